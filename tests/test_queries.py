@@ -1,0 +1,130 @@
+"""The six questions on literal edge fixtures, against hand-computed answers."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+
+from fixtures import frames
+from tillroll.functions.periods import month_bounds
+from tillroll.operators import distribution, ranking, refunds, repeats, unsold
+
+
+@pytest.fixture(scope="module")
+def t(spark):
+    return frames(spark)
+
+
+def test_sales_distribution_inner_and_ordered(t):
+    rows = distribution.sales_distribution(t["sales"], t["product"]).collect()
+    # Laptop = P2 (700 + 400 + 300) + P5 (100 + 100); unsold Drone is absent
+    assert [(r.product_name, r.product_type, r.total_amount) for r in rows] == [
+        ("Laptop ", "P105", 1600.0),
+        ("Desktop ", "P106", 1500.0),
+        ("Tablet ", "P105", 670.0),
+    ]
+
+
+def test_sales_distribution_keeps_unsold_on_request(t):
+    rows = distribution.sales_distribution(
+        t["sales"], t["product"], keep_unsold=True, amount_name="total_sales"
+    ).collect()
+    assert ("Drone ", "P102", None) in [tuple(r) for r in rows]
+    assert rows[-1].total_sales is None  # NULLs sort last
+
+
+def test_top_n_is_a_prefix(t):
+    rows = distribution.top_sales_distribution(t["sales"], t["product"], n=2).collect()
+    assert [r.product_name for r in rows] == ["Laptop ", "Desktop "]
+
+
+def test_unrefunded_total_scopes(t):
+    # 2013 sales: T1..T10; refunded T1 (2013), T2 (2013), T10 (refund dated 2012)
+    same_year = refunds.unrefunded_total(t["sales"], t["refund"], 2013).collect()[0][0]
+    any_refund = refunds.unrefunded_total(
+        t["sales"], t["refund"], 2013, refunds_since=None
+    ).collect()[0][0]
+    base = 400 + 400 + 50 + 100 + 100 + 10 + 10
+    assert same_year == base + 500.0  # the 2012 refund of T10 is out of scope
+    assert any_refund == float(base)
+
+
+def test_unrefunded_total_empty_year_is_null(t):
+    assert refunds.unrefunded_total(t["sales"], t["refund"], 1999).collect()[0][0] is None
+
+
+def test_net_per_customer_pre_aggregated_vs_fan_out(t):
+    pre = {
+        r.customer_id: float(r.net_total)
+        for r in refunds.net_sales_per_customer(t["sales"], t["refund"], 2013, 5).collect()
+    }
+    fan = {
+        r.customer_id: float(r.net_total)
+        for r in refunds.net_sales_per_customer(
+            t["sales"], t["refund"], 2013, 5, fan_out=True
+        ).collect()
+    }
+    assert pre["C1"] == 1000 - 100 - 150
+    assert fan["C1"] == (1000 - 100) + (1000 - 150)
+    assert pre["C2"] == 0.0 and fan["C2"] == 0.0
+    assert pre["C5"] == 220.0
+
+
+def _names(df):
+    return sorted((r.customer_id, r.customer_name, r.net_total) for r in df.collect())
+
+
+def test_second_best_dense_rank_returns_ties(t):
+    per = refunds.net_sales_per_customer(t["sales"], t["refund"], 2013, 5)
+    # nets: C1 750, C3 400, C4 400, C5 220, CX 50, C2 0 -> rank 2 = 400 (C3, C4)
+    got = _names(ranking.nth_best_customer(per, t["customer"], 2))
+    assert got == [("C3", " NOFIRST", 400.0), ("C4", "DAN FOX", 400.0)]
+
+
+def test_second_best_row_number_breaks_ties_by_id(t):
+    per = refunds.net_sales_per_customer(t["sales"], t["refund"], 2013, 5)
+    got = _names(ranking.nth_best_customer(per, t["customer"], 2, method="row"))
+    assert got == [("C3", " NOFIRST", 400.0)]
+
+
+def test_rank_of_unknown_customer_drops_out(t):
+    per = refunds.net_sales_per_customer(t["sales"], t["refund"], 2013, 5)
+    # dense ranks: 750, 400, 220, 50 (CX, unknown), 0
+    assert _names(ranking.nth_best_customer(per, t["customer"], 4)) == []
+    assert _names(ranking.nth_best_customer(per, t["customer"], 5)) == [("C2", "BOB RAY", 0.0)]
+
+
+def test_month_with_one_or_no_customer(t):
+    one = refunds.net_sales_per_customer(t["sales"], t["refund"], 2014, 6)
+    assert _names(ranking.nth_best_customer(one, t["customer"], 1)) == [
+        ("C3", " NOFIRST", 200.0)
+    ]
+    assert _names(ranking.nth_best_customer(one, t["customer"], 2)) == []
+    none = refunds.net_sales_per_customer(t["sales"], t["refund"], 2015, 1)
+    assert _names(ranking.nth_best_customer(none, t["customer"], 2)) == []
+    assert _names(ranking.nth_best_customer(none, t["customer"], 2, method="row")) == []
+
+
+def test_unsold_products(t):
+    assert [r.product_id for r in unsold.unsold_products(t["product"], t["sales"]).collect()] == [
+        "P4"
+    ]
+    start, end = month_bounds(2013, 7)
+    got = sorted(
+        r.product_id
+        for r in unsold.unsold_products(t["product"], t["sales"], start, end).collect()
+    )
+    assert got == ["P2", "P3", "P4", "P5"]
+    assert unsold.unsold_products(t["product"], t["sales"]).columns == t["product"].columns
+
+
+def test_repeat_purchases_groups_and_users(t):
+    row = repeats.repeat_purchases(t["sales"]).collect()[0]
+    assert (row.n_groups, row.n_users) == (2, 1)
+    groups = repeats.repeat_purchase_groups(t["sales"]).collect()
+    assert {(g.sale_day, g.product_id, g.n_purchases) for g in groups} == {
+        (dt.date(2013, 5, 5), "P5", 2),
+        (dt.date(2013, 5, 5), "P3", 2),
+    }
+    assert repeats.repeat_purchases(t["sales"], 3).collect()[0].n_groups == 0

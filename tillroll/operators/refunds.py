@@ -88,9 +88,15 @@ def net_sales_per_customer(
     refunds_since=SAME_YEAR,
     fan_out: bool = False,
 ) -> DataFrame:
-    """(customer_id, net_total) for one month; net_total stays decimal for ranking."""
+    """(customer_id, net_total) for one month; net_total stays decimal for ranking.
+
+    Sales without a customer id are left out (text input never has one; a NULL id is
+    no customer to rank). Stating it here also keeps both uses of this aggregate in the
+    ranking plan identical, so its shuffle is computed once and reused.
+    """
     return (
         net_sales(sales, refunds, year, month, refunds_since, fan_out)
+        .filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(F.sum("net").alias("net_total"))
     )

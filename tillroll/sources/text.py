@@ -20,6 +20,7 @@ from tillroll.functions import parse as P
 from tillroll.sources.schema import SPECS, TableSpec
 
 REASON = "_reason"
+_PARTS = "_parts"
 
 # Quarantine reasons, checked in this order (first one wins).
 SHORT_LINE = "short line"
@@ -63,10 +64,14 @@ def parse(
     if mode not in ("quarantine", "failfast"):
         raise ValueError(f"unknown mode {mode!r}")
 
-    parts = F.split(F.col("value"), r"\|", -1)
-    short = F.size(parts) < spec.arity
+    # Stage 1 splits each line once; stage 2 converts fields; stage 3 derives the reason
+    # from the converted values. Each stage references the previous one's columns more
+    # than once, so Catalyst keeps them as separate projections instead of re-evaluating
+    # the split or a timestamp parse per reference.
+    staged = lines.select("value", F.split(F.col("value"), r"\|", -1).alias(_PARTS))
+    parts = F.col(_PARTS)
     typed: list[Column] = []
-    checks: list[Column] = [F.when(short, F.lit(SHORT_LINE))]
+    checks: list[Column] = [F.when(F.size(parts) < spec.arity, F.lit(SHORT_LINE))]
     for i, (name, kind) in enumerate(spec.fields):
         raw = _field(parts, i)
         if kind == "text":
@@ -75,29 +80,35 @@ def parse(
             typed.append(P.money(raw, signed=signed_money).alias(name))
         elif kind == "stamp":
             typed.append(P.timestamp(raw).alias(name))
-            checks.append(F.when(P.timestamp(raw).isNull(), F.lit(BAD_TIMESTAMP)))
+            checks.append(F.when(F.col(name).isNull(), F.lit(BAD_TIMESTAMP)))
         elif kind == "int":
             typed.append(P.integer(raw).alias(name))
-            checks.append(F.when(P.is_bad_integer(raw), F.lit(BAD_INTEGER)))
+            bad_int = (F.length(raw) > 0) & F.col(name).isNull()
+            checks.append(F.when(bad_int, F.lit(BAD_INTEGER)))
         else:
             raise ValueError(f"unknown field kind {kind!r}")
-
-    flat = lines.select("value", *typed, F.coalesce(*checks).alias(REASON))
+    converted = staged.select("value", _PARTS, *typed)
+    flat = converted.select(
+        "value", *[n for n, _ in spec.fields], F.coalesce(*checks).alias(REASON)
+    )
     tagged = _fold_groups(flat, spec, keep=("value", REASON))
     names = [f.name for f in spec.schema().fields]
 
+    # Good and bad rows are emitted by a generator (0 or 1 row per line) rather than a
+    # filter: a filter on the reason would be pushed below the projections and evaluate
+    # the whole parse a second time inside the predicate.
+    ok = F.col(REASON).isNull()
+    row = F.array(F.struct(*names))
     if mode == "failfast":
-        guard = F.when(F.col(REASON).isNull(), F.lit(True)).otherwise(
-            F.raise_error(F.concat(F.col(REASON), F.lit(": "), F.col("value"))).cast(
-                "boolean"
-            )
+        message = F.concat(F.col(REASON), F.lit(": "), F.col("value"))
+        good = tagged.select(F.inline(F.when(ok, row).otherwise(F.raise_error(message))))
+        bad = tagged.select(
+            F.inline(F.when(F.lit(False), F.array(F.struct("value", F.col(REASON).alias("reason")))))
         )
-        good = tagged.filter(guard).select(*names)
-        bad = tagged.filter(F.lit(False)).select("value", REASON)
     else:
-        good = tagged.filter(F.col(REASON).isNull()).select(*names)
-        bad = tagged.filter(F.col(REASON).isNotNull()).select(
-            "value", F.col(REASON).alias("reason")
+        good = tagged.select(F.inline(F.when(ok, row)))
+        bad = tagged.select(
+            F.inline(F.when(~ok, F.array(F.struct("value", F.col(REASON).alias("reason")))))
         )
     return Parsed(good=good, bad=bad, tagged=tagged)
 
