@@ -1,0 +1,66 @@
+"""Data-quality report and the cleaning steps for extended customers."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from conftest import lines_df
+from tillroll.functions import clean as C
+from tillroll.operators.quality import clean_customers_extended, dq_report
+from tillroll.sources.schema import CUSTOMER_EXTENDED, SALES
+from tillroll.sources.text import parse
+
+
+def test_dq_report_counts(spark):
+    lines = [
+        "t1|c1|p1|05/01/2013 10:00:00|$1,000.00|2",
+        "t2|c1|p1|05/01/2013 10:00:00|4995|1",
+        "t3||p1|bad|1,449|",
+        "t4|c1|p1",
+    ]
+    rep = {(r.field, r.check_name): r.n for r in dq_report(lines_df(spark, lines), SALES).collect()}
+    assert rep[("*", "rows")] == 4
+    assert rep[("*", "short_line")] == 1
+    assert rep[("customer_id", "blank")] == 1
+    assert rep[("total_amount", "non_uniform_money")] == 2
+    assert rep[("timestamp", "bad_timestamp")] == 1
+    assert rep[("total_quantity", "blank")] == 1
+    assert rep[("total_quantity", "bad_integer")] == 0
+
+
+def test_clean_street_state_contact(spark):
+    df = spark.createDataFrame(
+        [("12 Main St.", "Delaware", "@facebook.com"),
+         ("12 MAIN street", "de", "x@facebook.com"),
+         ("7 Stone Ave", "New York", None)],
+        "street string, state string, fb string",
+    )
+    rows = df.select(C.clean_street("street"), C.state_code("state"), C.valid_contact("fb")).collect()
+    assert [tuple(r) for r in rows] == [
+        ("12 MAIN ST", "DE", "invalid"),
+        ("12 MAIN ST", "DE", "x@facebook.com"),
+        ("7 STONE AVE", "NY", "invalid"),
+    ]
+
+
+def test_clean_customers_extended_keeps_schema(spark):
+    fields = ["1", "A", "B", "1", "2", "Male"]
+    fields += ["1154 Winters Blvd", "sf", "California", "usa", "94100"]
+    fields += ["2 Hart Street", "pa", "Delaware", "usa", "19901"]
+    fields += ["3 Hurst st", "ny", "NY", "usa", "10001"]
+    fields += ["a@hotmail.com", "b@gmail", "c@twitter.com", "@facebook.com", "d@linkedin.com"]
+    ce = parse(lines_df(spark, ["|".join(fields)]), CUSTOMER_EXTENDED).good
+    out = clean_customers_extended(ce)
+    assert out.schema.simpleString() == ce.schema.simpleString()
+    r = out.collect()[0]
+    assert r.current_address.state == "CA" and r.permanent_address.street_address == "2 HART ST"
+    assert r.office_address.street_address == "3 HURST ST"
+    assert (r.work_email_address, r.facebook_id) == ("invalid", "invalid")
+    assert r.personal_email_address == "a@hotmail.com"
+
+
+def test_state_lookup_is_a_literal_not_a_join(spark):
+    from tillroll.plans.inspect import plan_text
+
+    df = spark.range(3).select(C.state_code(F.lit("Ohio")).alias("s"))
+    assert "Join" not in plan_text(df, "simple")
