@@ -71,3 +71,20 @@ def test_stream_ingest_available_now(spark, scratch):
     q2 = start_ingest(spark, stream_table(spark, src, "sales"), out, "sales")
     q2.awaitTermination(120)
     assert spark.read.parquet(out).count() == 3
+
+
+def test_report_answers_from_text(spark, scratch):
+    from tillroll.report import answers
+
+    text = _text_dir(scratch)
+    out = os.path.join(scratch, "parquet")
+    ingest(spark, text, out)
+    tables = {name: load(spark, out, name) for name in FILE_NAMES}
+    res = answers(tables, street="a")
+    got = {k.split(".")[0]: v.collect() for k, v in res.items()}
+    assert [tuple(r) for r in got["2"]] == [("Desktop ", "P106", 1000.0), ("Laptop ", "P105", 700.0)]
+    assert got["3"][0][0] == 700.0
+    assert [r.customer_id for r in got["4"]] == ["C2"]  # C1 nets 900, C2 700
+    assert got["5"] == []
+    assert got["6"][0].n_groups == 0
+    assert [r.id for r in got["7"]] == ["C1"]

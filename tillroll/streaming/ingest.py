@@ -2,12 +2,14 @@
 
 The reference is batch only; this is the same ``parse`` applied to ``readStream.text``,
 for data that keeps arriving. The file sink with a checkpoint gives exactly-once output
-across restarts and lost executors. The checkpoint lives under the session's
-``spark.checkpoint.dir`` unless a location is given.
+across restarts and lost executors. Unless a location is given, the checkpoint lives
+under the session's ``spark.checkpoint.dir``, named after the table and output path.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,13 +43,16 @@ def start_ingest(
     """Append parsed rows (ok and bad, partitioned by ``_status``) to ``out_dir``."""
     if name not in SPECS:
         raise ValueError(f"unknown table {name!r}")
-    location = checkpoint_location or f"{checkpoint_dir(spark)}/stream-{name}"
+    if checkpoint_location is None:
+        # stable for the same output (a restart resumes), distinct between outputs
+        digest = hashlib.sha1(out_dir.rstrip("/").encode()).hexdigest()[:16]
+        checkpoint_location = f"{checkpoint_dir(spark)}/tillroll-stream-{name}-{digest}"
     writer = (
         tag_status(parsed)
         .writeStream.format("parquet")
         .partitionBy(STATUS)
         .option("path", out_dir)
-        .option("checkpointLocation", location)
+        .option("checkpointLocation", checkpoint_location)
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
