@@ -128,3 +128,16 @@ def test_repeat_purchases_groups_and_users(t):
         (dt.date(2013, 5, 5), "P3", 2),
     }
     assert repeats.repeat_purchases(t["sales"], 3).collect()[0].n_groups == 0
+
+
+def test_address_equality_and_like(spark):
+    from tillroll.operators.address import customers_at_address
+
+    ce = spark.createDataFrame(
+        [("1", ("1154 WINTERS Blvd", "x")), ("2", ("1154 Winters Blvd_2", "y")), ("3", ("9 Elm", "z"))],
+        "id string, current_address struct<street_address:string,city:string>",
+    )
+    assert [r.id for r in customers_at_address(ce, "1154 winters blvd").collect()] == ["1"]
+    assert [r.id for r in customers_at_address(ce, "1154 winters blvd_2").collect()] == ["2"]
+    got = sorted(r.id for r in customers_at_address(ce, "1154 winters%", pattern=True).collect())
+    assert got == ["1", "2"]

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 
 def customers_at_address(
-    customers_extended: DataFrame, street: str, address: str = "current_address"
+    customers_extended: DataFrame,
+    street: str,
+    address: str = "current_address",
+    pattern: bool = False,
 ) -> DataFrame:
     """Rows whose ``address.street_address`` equals ``street``, ignoring case.
 
     The reference compares with LIKE and no wildcard, which Catalyst turns into an
-    equality; equality is used directly so ``%`` or ``_`` in an address stay literal.
+    equality; equality is the default so ``%`` or ``_`` in an address stay literal.
+    ``pattern=True`` keeps LIKE semantics for callers that pass wildcards.
     """
-    return customers_extended.filter(
-        F.upper(F.col(f"{address}.street_address")) == F.lit(street.upper())
-    )
+    column = F.upper(F.col(f"{address}.street_address"))
+    if pattern:
+        return customers_extended.filter(column.like(street.upper()))
+    return customers_extended.filter(column == F.lit(street.upper()))

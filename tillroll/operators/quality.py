@@ -19,7 +19,7 @@ UNIFORM_MONEY = r"^\$[0-9]{1,3}(,[0-9]{3})*\.[0-9]{2}$"
 
 
 def _checks(spec: TableSpec) -> list[tuple[str, str, Column]]:
-    parts = F.split(F.col("value"), r"\|", -1)
+    parts = F.col("_parts")
     out: list[tuple[str, str, Column]] = [
         ("*", "rows", F.lit(True)),
         ("*", "short_line", F.size(parts) < spec.arity),
@@ -41,7 +41,8 @@ def dq_report(lines: DataFrame, spec: TableSpec | str) -> DataFrame:
     if isinstance(spec, str):
         spec = SPECS[spec]
     checks = _checks(spec)
-    counts = lines.agg(
+    staged = lines.select(F.split(F.col("value"), r"\|", -1).alias("_parts"))
+    counts = staged.agg(
         *[
             F.count_if(F.coalesce(cond, F.lit(False))).alias(f"c{i}")
             for i, (_, _, cond) in enumerate(checks)
