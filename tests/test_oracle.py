@@ -76,3 +76,19 @@ def test_known_values_at_sf001(spark):
 def test_queries_run_on_the_smallest_scale(spark):
     for name, fn in E.queries().items():
         assert fn(spark, SF0001).count() >= 0, name
+
+
+@pytest.mark.parametrize(
+    "name", ["parse_sales_lines", "parse_refund_lines", "second_best_customer", "repeat_purchase_groups"]
+)
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    """The driver may run another session zone; America/Santiago skips midnight."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Santiago")
+    try:
+        df = E.queries()[name](spark, SF001)
+        got = _canon(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    cur = con.execute(E.oracle_sql()[name])
+    assert got == _canon([d[0] for d in cur.description], cur.fetchall())

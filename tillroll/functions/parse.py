@@ -16,7 +16,6 @@ MONEY_DROP = r"[^0-9.]"
 # Accepted timestamp layout, month/day/year hour:minute:second,
 # one or two digits for every part except the four-digit year.
 TIMESTAMP_LAYOUT = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"
-TIMESTAMP_FORMAT = "MM/dd/yyyy HH:mm:ss"
 
 
 def _col(c: Column | str) -> Column:
@@ -69,6 +68,21 @@ def is_bad_integer(c: Column | str) -> Column:
     return (F.length(c) > 0) & integer(c).isNull()
 
 
-def format_timestamp(c: Column | str) -> Column:
-    """Timestamp back to the file layout, zero padded."""
-    return F.date_format(_col(c), TIMESTAMP_FORMAT)
+def format_timestamp(c: Column | str, padded: bool = True) -> Column:
+    """``timestamp_ntz`` back to the file layout (``MM/dd/yyyy HH:mm:ss``, or unpadded).
+
+    Built from the calendar parts, which read the wall clock directly: ``date_format``
+    would go through the session time zone and shift times that zone skips.
+    """
+    c = _col(c)
+
+    def part(x: Column, width: int) -> Column:
+        text = x.cast("string")
+        return F.lpad(text, width, "0") if padded else text
+
+    return F.concat(
+        part(F.month(c), 2), F.lit("/"), part(F.dayofmonth(c), 2), F.lit("/"),
+        F.lpad(F.year(c).cast("string"), 4, "0"), F.lit(" "),
+        part(F.hour(c), 2), F.lit(":"), part(F.minute(c), 2), F.lit(":"),
+        part(F.second(c), 2),
+    )

@@ -213,8 +213,7 @@ def money_text(amount: str, style: Column) -> Column:
 
 
 def stamp_text(ts: str, padded: Column) -> Column:
-    loose = F.date_format(F.col(ts), "M/d/yyyy H:m:s")
-    return F.when(padded, format_timestamp(ts)).otherwise(loose)
+    return F.when(padded, format_timestamp(ts)).otherwise(format_timestamp(ts, padded=False))
 
 
 def _pipe(*cols: Column) -> Column:
