@@ -141,3 +141,15 @@ def test_address_equality_and_like(spark):
     assert [r.id for r in customers_at_address(ce, "1154 winters blvd_2").collect()] == ["2"]
     got = sorted(r.id for r in customers_at_address(ce, "1154 winters%", pattern=True).collect())
     assert got == ["1", "2"]
+
+
+def test_nth_value_ignores_null_totals(spark):
+    from decimal import Decimal
+
+    per = spark.createDataFrame(
+        [("A", Decimal("5.00")), ("B", None), ("C", Decimal("3.00"))],
+        "customer_id string, net_total decimal(38,2)",
+    )
+    got = ranking.nth_distinct_value(per, "net_total", 2).collect()
+    assert [r._nth for r in got] == [Decimal("3.00")]
+    assert ranking.nth_distinct_value(per, "net_total", 3).collect() == []

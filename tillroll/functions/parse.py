@@ -35,7 +35,9 @@ def money(c: Column | str, signed: bool = False) -> Column:
     if not signed:
         return value
     negative = F.coalesce(c.rlike(r"^\s*(-|\()"), F.lit(False))
-    return F.when(negative & (value != 0.0), -value).otherwise(value)
+    # a sign factor keeps ``value`` outside CASE branches, so it is evaluated once
+    sign = F.when(negative, F.lit(-1.0)).otherwise(F.lit(1.0))
+    return F.when(value == 0.0, value).otherwise(value * sign)
 
 
 def timestamp(c: Column | str) -> Column:
@@ -45,8 +47,11 @@ def timestamp(c: Column | str) -> Column:
     Out-of-range parts (month 13, second 61) give NULL instead of rolling over.
     """
     c = _col(c)
-    parts = F.split(c, "[/ :]")
-    stamp = F.try_make_timestamp_ntz(
+    # The layout check gates the split's input rather than wrapping the result in a
+    # CASE: a split inside a CASE branch would be evaluated once per part, while an
+    # unconditional one is computed once and shared by all six parts.
+    parts = F.split(F.when(c.rlike(TIMESTAMP_LAYOUT), c), "[/ :]")
+    return F.try_make_timestamp_ntz(
         F.get(parts, 2).cast("int"),
         F.get(parts, 0).cast("int"),
         F.get(parts, 1).cast("int"),
@@ -54,7 +59,6 @@ def timestamp(c: Column | str) -> Column:
         F.get(parts, 4).cast("int"),
         F.get(parts, 5).cast("int"),
     )
-    return F.when(c.rlike(TIMESTAMP_LAYOUT), stamp)
 
 
 def integer(c: Column | str) -> Column:

@@ -19,8 +19,17 @@ from tillroll.functions.money import as_double
 
 
 def nth_distinct_value(df: DataFrame, value: str, n: int) -> DataFrame:
-    """One row ``_nth`` holding the n-th largest distinct value, or no row if fewer exist."""
-    top = df.select(value).distinct().orderBy(F.desc(value)).limit(n)
+    """One row ``_nth`` holding the n-th largest distinct value, or no row if fewer exist.
+
+    NULL is not a value here (a customer with an unknown total is not ranked).
+    """
+    top = (
+        df.select(value)
+        .filter(F.col(value).isNotNull())
+        .distinct()
+        .orderBy(F.desc(value))
+        .limit(n)
+    )
     return (
         top.agg(F.min(value).alias("_nth"), F.count(F.lit(1)).alias("_count"))
         .filter(F.col("_count") == n)
