@@ -94,7 +94,8 @@ def nth_best_customer(
           GROUP BY s.customer_id),
         nth AS (
           SELECT min(net_total) AS value FROM (
-            SELECT DISTINCT net_total FROM net ORDER BY net_total DESC LIMIT {int(n)})
+            SELECT DISTINCT net_total FROM net WHERE net_total IS NOT NULL
+            ORDER BY net_total DESC LIMIT {int(n)})
           HAVING count(*) = :n)
         SELECT net.customer_id,
                concat_ws(' ', c.customer_first_name, c.customer_last_name) AS customer_name,
