@@ -125,11 +125,12 @@ def customers_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(i, name, code) for i, (name, code) in enumerate(US_STATES)],
         "state_index int, state_name string, state_code string",
     )
-    # nation, region and the state list are tiny dimension tables with fixed row counts
+    # nation, region and the state list are tiny: Spark's own size check broadcasts them
+    # (no hint, so a larger dimension would fall back to a sort-merge join by itself)
     base = (
-        c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
-        .join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
-        .join(F.broadcast(states), c.c_nationkey == states.state_index, "left")
+        c.join(n, c.c_nationkey == n.n_nationkey)
+        .join(r, n.n_regionkey == r.r_regionkey)
+        .join(states, c.c_nationkey == states.state_index, "left")
     )
     key = F.col("c_custkey").cast("string")
     first = F.substring_index("c_name", "#", 1)
