@@ -121,16 +121,16 @@ def customers_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    states = spark.createDataFrame(
-        [(i, name, code) for i, (name, code) in enumerate(US_STATES)],
-        "state_index int, state_name string, state_code string",
-    )
-    # nation, region and the state list are tiny: Spark's own size check broadcasts them
-    # (no hint, so a larger dimension would fall back to a sort-merge join by itself)
+    # nation and region are tiny: Spark's own size check broadcasts them (no hint, so a
+    # larger dimension would fall back to a sort-merge join by itself). The state of a
+    # nation is a lookup by index into a literal array, not a join.
+    state_names = F.array(*[F.lit(name) for name, _ in US_STATES])
+    state_codes = F.array(*[F.lit(code) for _, code in US_STATES])
     base = (
         c.join(n, c.c_nationkey == n.n_nationkey)
         .join(r, n.n_regionkey == r.r_regionkey)
-        .join(states, c.c_nationkey == states.state_index, "left")
+        .withColumn("state_name", F.get(state_names, F.col("c_nationkey")))
+        .withColumn("state_code", F.get(state_codes, F.col("c_nationkey")))
     )
     key = F.col("c_custkey").cast("string")
     first = F.substring_index("c_name", "#", 1)
