@@ -31,13 +31,11 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     ``fallback`` is used (and installed) only when the session names none, as in tests
     on one machine; on a cluster the setting must point at shared storage.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
+    sc.setCheckpointDir(fallback)
     return fallback.rstrip("/")
