@@ -88,3 +88,29 @@ def test_report_answers_from_text(spark, scratch):
     assert got["5"] == []
     assert got["6"][0].n_groups == 0
     assert [r.id for r in got["7"]] == ["C1"]
+
+
+def test_bucketed_ingest_joins_without_shuffle(spark, scratch):
+    from tillroll.operators import refunds
+    from tillroll.plans.inspect import plan_text
+    from tillroll.sources.ingest import load_bucketed
+
+    text = _text_dir(scratch)
+    out = os.path.join(scratch, "bucketed")
+    ingest(spark, text, out, tables=("sales", "refund"), buckets=4, table_prefix="bk_")
+    sales = load_bucketed(spark, "sales", "bk_")
+    refund = load_bucketed(spark, "refund", "bk_")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force the shuffle-join plan
+    try:
+        for df in (
+            refunds.net_sales(sales, refund, 2013, 5),
+            refunds.unrefunded_sales(sales, refund, 2013),
+        ):
+            text_plan = plan_text(df, "simple")
+            assert "SortMergeJoin" in text_plan
+            assert "Exchange" not in text_plan, text_plan
+        per = refunds.net_sales_per_customer(sales, refund, 2013, 5).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert sorted((r.customer_id, float(r.net_total)) for r in per) == [("C1", 900.0), ("C2", 700.0)]

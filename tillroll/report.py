@@ -5,7 +5,8 @@ main program does, and print the answers.
         --min-repeats 2 --street "1154 Winters Blvd" --ingested <parquet_dir>]
 
 With ``--ingested`` the tables come from a folder written by
-``tillroll.sources.ingest.ingest`` (parsed once, partition-pruned) instead of the text.
+``tillroll.sources.ingest.ingest`` (parsed once, partition-pruned) instead of the text;
+``--bucketed-prefix`` reads sales and refunds from the bucketed catalog tables.
 The session is taken from the environment (``spark-submit --master ...``); nothing
 here sets a master.
 """
@@ -27,7 +28,7 @@ from tillroll.operators import (
     unsold_products,
 )
 from tillroll.session import tune
-from tillroll.sources.ingest import load, load_text_tables
+from tillroll.sources.ingest import BUCKET_KEYS, load, load_bucketed, load_text_tables
 from tillroll.sources.schema import FILE_NAMES
 
 
@@ -66,6 +67,11 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--min-repeats", type=int, default=2)
     ap.add_argument("--street", default="1154 Winters Blvd")
     ap.add_argument("--ingested", default=None, help="parquet folder written by ingest()")
+    ap.add_argument(
+        "--bucketed-prefix",
+        default=None,
+        help="catalog table prefix of sales/refund written by ingest(buckets=N)",
+    )
     ap.add_argument("--rows", type=int, default=25)
     args = ap.parse_args(argv)
 
@@ -74,6 +80,9 @@ def main(argv: list[str] | None = None) -> None:
         tables = {name: load(spark, args.ingested, name) for name in FILE_NAMES}
     else:
         tables = load_text_tables(spark, args.data_dir)
+    if args.bucketed_prefix is not None:
+        for name in BUCKET_KEYS:
+            tables[name] = load_bucketed(spark, name, args.bucketed_prefix)
     year_bounds(args.year)  # validates the year early
     for title, df in answers(
         tables, args.year, args.month, args.rank, args.min_repeats, args.street
