@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.clean import US_STATES
+from tillroll.functions.money import as_double
 from tillroll.functions.periods import month_bounds
 from tillroll.operators import address, distribution, quality, ranking, refunds
 from tillroll.operators import repeats, unsold
@@ -106,9 +107,7 @@ def q_unrefunded_total_sql(spark, d):
 
 
 def q_net_sales_per_customer(spark, d):
-    return _per_customer(spark, d).select(
-        "customer_id", F.col("net_total").cast("double").alias("net_total")
-    )
+    return _per_customer(spark, d).select("customer_id", as_double("net_cents").alias("net_total"))
 
 
 def q_second_best_customer(spark, d):

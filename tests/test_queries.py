@@ -56,11 +56,11 @@ def test_unrefunded_total_empty_year_is_null(t):
 
 def test_net_per_customer_pre_aggregated_vs_fan_out(t):
     pre = {
-        r.customer_id: float(r.net_total)
+        r.customer_id: r.net_cents / 100
         for r in refunds.net_sales_per_customer(t["sales"], t["refund"], 2013, 5).collect()
     }
     fan = {
-        r.customer_id: float(r.net_total)
+        r.customer_id: r.net_cents / 100
         for r in refunds.net_sales_per_customer(
             t["sales"], t["refund"], 2013, 5, fan_out=True
         ).collect()
@@ -153,3 +153,21 @@ def test_nth_value_ignores_null_totals(spark):
     got = ranking.nth_distinct_value(per, "net_total", 2).collect()
     assert [r._nth for r in got] == [Decimal("3.00")]
     assert ranking.nth_distinct_value(per, "net_total", 3).collect() == []
+
+
+def test_money_total_overflow_fails_loudly(spark):
+    from tillroll.functions.money import as_double, total
+
+    ok = spark.createDataFrame([(1.1,), (2.2,), (None,)], "x double")
+    assert ok.agg(as_double(total("x"))).collect()[0][0] == 3.3
+    empty = spark.createDataFrame([(None,)], "x double")
+    assert empty.agg(total("x")).collect()[0][0] is None
+    huge = spark.createDataFrame([(5e16,), (5e16,)], "x double")  # 1e19 cents > 2**63
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        for ansi in ("true", "false"):
+            spark.conf.set("spark.sql.ansi.enabled", ansi)
+            with pytest.raises(Exception, match="overflows"):
+                huge.agg(total("x")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

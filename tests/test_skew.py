@@ -69,7 +69,7 @@ def test_distribution_with_hot_product(skewed):
 def test_net_per_customer_with_hot_transaction(skewed, fan_out):
     sales, refund, _, customers, ps, pr, _ = skewed
     per = refunds.net_sales_per_customer(sales, refund, 2013, 5, fan_out=fan_out)
-    got = {r.customer_id: r.net_total for r in per.collect()}
+    got = {r.customer_id: Decimal(r.net_cents) / 100 for r in per.collect()}
     r = pr.assign(amt=pr.refund_amount.map(_dec)).groupby("original_transaction_id").agg(
         total=("amt", "sum"), k=("amt", "size"))
     s = ps.assign(amt=ps.total_amount.map(_dec)).merge(

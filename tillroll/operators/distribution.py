@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import as_double, total
+from tillroll.functions.money import as_double, sum_cents, total
 
 
 def sales_per_product(sales: DataFrame) -> DataFrame:
-    """Exact total per product id. Partial aggregation runs before the shuffle, so a
-    product with a third of all sales still ships one row per map task."""
+    """Exact total per product id, in cents. Partial aggregation runs before the shuffle,
+    so a product with a third of all sales still ships one row per map task."""
     return sales.groupBy("product_id").agg(total("total_amount").alias("_amount"))
 
 
@@ -34,7 +34,7 @@ def sales_distribution(
     else:
         joined = per_product.join(names, "product_id")
     out = joined.groupBy("product_name", "product_type").agg(
-        as_double(F.sum("_amount")).alias(amount_name)
+        as_double(sum_cents("_amount")).alias(amount_name)
     )
     if ordered:
         out = out.orderBy(

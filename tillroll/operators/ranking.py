@@ -58,15 +58,16 @@ def nth_row(df: DataFrame, value: str, key: str, n: int) -> DataFrame:
 def nth_best_customer(
     per_customer: DataFrame, customers: DataFrame, n: int = 2, method: str = "dense"
 ) -> DataFrame:
-    """(customer_id, customer_name, net_total) of the n-th best customer(s).
+    """(customer_id, customer_name, net_total) of the n-th best customer(s), ranked on
+    ``per_customer.net_cents`` (see ``refunds.net_sales_per_customer``).
 
     Ranking happens before the customer join, as in the reference: a ranked id missing
     from the customer table drops out instead of promoting the next one.
     """
     if method == "dense":
-        ranked = dense_rank_equals(per_customer, "net_total", n)
+        ranked = dense_rank_equals(per_customer, "net_cents", n)
     elif method == "row":
-        ranked = nth_row(per_customer, "net_total", "customer_id", n)
+        ranked = nth_row(per_customer, "net_cents", "customer_id", n)
     else:
         raise ValueError(f"unknown method {method!r}")
     names = customers.select(
@@ -76,5 +77,5 @@ def nth_best_customer(
         ),
     )
     return ranked.join(names, "customer_id").select(
-        "customer_id", "customer_name", as_double("net_total").alias("net_total")
+        "customer_id", "customer_name", as_double("net_cents").alias("net_total")
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import as_double, exact, total
+from tillroll.functions.money import as_double, cents, checked, sum_cents, total
 from tillroll.functions.periods import in_month, in_year, since_year
 
 SAME_YEAR = "year"
@@ -30,9 +30,9 @@ def refunded_transactions(refunds: DataFrame) -> DataFrame:
 
 
 def refunds_per_transaction(refunds: DataFrame) -> DataFrame:
-    """One row per refunded transaction: exact refund total and number of refunds."""
+    """One row per refunded transaction: refund total in cents and number of refunds."""
     return refunds.groupBy(F.col("original_transaction_id").alias("transaction_id")).agg(
-        total("refund_amount").alias("refund_total"),
+        total("refund_amount").alias("refund_cents"),
         F.count(F.lit(1)).cast("int").alias("n_refunds"),
     )
 
@@ -63,7 +63,7 @@ def net_sales(
     refunds_since=SAME_YEAR,
     fan_out: bool = False,
 ) -> DataFrame:
-    """Sales of one month with ``net`` = amount minus refunds (exact decimal).
+    """Sales of one month with ``net`` = amount minus refunds, in cents.
 
     Refunds are aggregated per transaction before the join, so the join is one-to-one.
     ``fan_out=True`` gives the reference's number, where a sale with k refunds is counted
@@ -73,10 +73,11 @@ def net_sales(
     month_sales = sales.filter(in_month("timestamp", year, month))
     per_tx = refunds_per_transaction(_scoped(refunds, year, refunds_since))
     joined = month_sales.join(per_tx, "transaction_id", "left")
-    refunded = F.coalesce(F.col("refund_total"), F.lit(0).cast("decimal(28,2)"))
-    amount = exact("total_amount")
+    refunded = F.coalesce(F.col("refund_cents"), F.lit(0).cast("bigint"))
+    amount = cents("total_amount")
     if fan_out:
-        amount = amount * F.greatest(F.coalesce(F.col("n_refunds"), F.lit(1)), F.lit(1))
+        times = F.greatest(F.coalesce(F.col("n_refunds"), F.lit(1)), F.lit(1))
+        amount = checked(F.try_multiply(amount, times.cast("bigint")))
     return joined.withColumn("net", amount - refunded)
 
 
@@ -88,7 +89,7 @@ def net_sales_per_customer(
     refunds_since=SAME_YEAR,
     fan_out: bool = False,
 ) -> DataFrame:
-    """(customer_id, net_total) for one month; net_total stays decimal for ranking.
+    """(customer_id, net_cents) for one month; exact cents, so ranks and ties are exact.
 
     Sales without a customer id are left out (text input never has one; a NULL id is
     no customer to rank). Stating it here also keeps both uses of this aggregate in the
@@ -98,5 +99,5 @@ def net_sales_per_customer(
         net_sales(sales, refunds, year, month, refunds_since, fan_out)
         .filter(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
-        .agg(F.sum("net").alias("net_total"))
+        .agg(sum_cents("net").alias("net_cents"))
     )
