@@ -2,7 +2,8 @@
 
 ``parse`` takes any DataFrame with a string ``value`` column (``spark.read.text``, a
 streaming text source, or lines built in Spark) and returns typed rows plus quarantined
-lines, all as Column expressions in one projection: no RDD, no Python UDF.
+lines. It is a few narrow projections and one generator, all Column expressions inside
+whole-stage codegen: no RDD, no Python UDF, no shuffle.
 
 Differences from a plain ``String.split``: trailing empty fields are kept (limit -1), so
 ``a|b||`` has four fields; a line with fewer fields than the spec is quarantined instead
@@ -30,7 +31,7 @@ BAD_INTEGER = "bad integer"
 
 @dataclass(frozen=True)
 class Parsed:
-    """Typed rows and rejected lines, both lazy views of one projection."""
+    """Typed rows and rejected lines, both lazy views of the same parse."""
 
     good: DataFrame
     bad: DataFrame
