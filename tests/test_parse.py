@@ -127,7 +127,7 @@ def test_names_keep_trailing_blanks(spark):
 
 
 def test_customer_extended_nested_schema(spark):
-    fields = ["815008", "MCBRIDE", "BURNETT", "1", "2", "Male"]
+    fields = ["900001", "JANE", "ROE", "1", "2", "Female"]
     fields += ["1154 WINTERS Blvd", "SF", "CA", "USA", "94100"]
     fields += ["2251 HART Blvd", "PA", "Delaware", "USA", "19901"]
     fields += ["2694 HURST Blvd", "NY", "NY", "USA", "10001"]
