@@ -81,3 +81,10 @@ def test_second_best_on_driver_tables(spark):
         )
         df = ranking.nth_best_customer(per, td.customers(spark, d), 2)
         assert _rows(S.nth_best_customer(spark, 1997, 5, 2, since, fan_out)) == _rows(df)
+
+
+def test_refund_mapping_with_customer(spark):
+    plain = td.refunds(spark, SF001)
+    full = td.refunds(spark, SF001, with_customer=True)
+    assert full.columns == [f.name for f in __import__("tillroll.sources.schema", fromlist=["REFUND"]).REFUND.schema().fields]
+    assert full.count() == plain.count()

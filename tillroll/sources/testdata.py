@@ -79,8 +79,10 @@ def line_sales(spark: SparkSession, sf_dir: str, with_order: bool = True) -> Dat
     )
 
 
-def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
+def refunds(spark: SparkSession, sf_dir: str, with_customer: bool = False) -> DataFrame:
+    """Refund lines. ``with_customer`` adds the refund table's ``customer_id`` (the
+    order's customer); it costs a join with orders, which no question needs."""
+    out = (
         table(spark, sf_dir, "lineitem")
         .filter(F.col("l_returnflag") == "R")
         .select(
@@ -94,6 +96,21 @@ def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("l_quantity").cast("int").alias("refund_quantity"),
         )
     )
+    if not with_customer:
+        return out
+    owners = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("original_transaction_id"),
+        F.col("o_custkey").alias("customer_id"),
+    )
+    return out.join(owners, "original_transaction_id").select(
+        "refund_id",
+        "original_transaction_id",
+        "customer_id",
+        "product_id",
+        "timestamp",
+        "refund_amount",
+        "refund_quantity",
+    )
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
