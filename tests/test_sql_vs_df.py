@@ -9,6 +9,7 @@ from fixtures import frames
 from tillroll.operators import address, distribution, ranking, refunds, repeats, unsold
 from tillroll.plans import sql as S
 from tillroll.sources import testdata as td
+from tillroll.sources.schema import REFUND
 
 
 def _rows(df):
@@ -86,5 +87,5 @@ def test_second_best_on_driver_tables(spark):
 def test_refund_mapping_with_customer(spark):
     plain = td.refunds(spark, SF001)
     full = td.refunds(spark, SF001, with_customer=True)
-    assert full.columns == [f.name for f in __import__("tillroll.sources.schema", fromlist=["REFUND"]).REFUND.schema().fields]
+    assert full.columns == [f.name for f in REFUND.schema().fields]
     assert full.count() == plain.count()
