@@ -2,9 +2,11 @@
 
 ``dense``: every key whose value has dense rank n (ties all returned), as the reference's
 ``dense_rank() ... where dense_rank == 2``. A window over the whole table would order
-all keys in one task; here the n-th largest *distinct* value is found first (distinct
-values, then a per-partition top-n) and the keys are selected by an equi-join against
-that one-row result, so no task ever holds more than n rows per partition.
+all keys in one task. Here the n-th largest *distinct* value is found first: distinct
+values (de-duplicated map-side, so a value shared by millions of keys ships once per
+task), then a per-partition top-n whose merge task receives at most n rows from each
+partition. The keys are then selected by an equi-join against that one-row result, so
+tied keys stay spread over the tasks that already hold them.
 
 ``row``: exactly one key, the n-th row in (value desc, key asc) order, as the reference's
 script version ``head(2).last`` with a deterministic tie-break.
@@ -64,6 +66,8 @@ def nth_best_customer(
     Ranking happens before the customer join, as in the reference: a ranked id missing
     from the customer table drops out instead of promoting the next one.
     """
+    if n < 1:
+        raise ValueError(f"rank must be 1 or more, got {n}")
     if method == "dense":
         ranked = dense_rank_equals(per_customer, "net_cents", n)
     elif method == "row":
