@@ -204,6 +204,14 @@ def q_dq_report_refund(spark, d):
     return quality.dq_report(td.refund_lines(spark, d), SPECS["refund"])
 
 
+def q_dq_report_product(spark, d):
+    return quality.dq_report(td.product_lines(spark, d), SPECS["product"])
+
+
+def q_dq_report_customer(spark, d):
+    return quality.dq_report(td.customer_lines(spark, d), SPECS["customer"])
+
+
 def _clean_ce(spark, d):
     return quality.clean_customers_extended(td.customers_extended(spark, d))
 
@@ -269,6 +277,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quarantined_lines": q_quarantined_lines,
     "dq_report_sales": q_dq_report_sales,
     "dq_report_refund": q_dq_report_refund,
+    "dq_report_product": q_dq_report_product,
+    "dq_report_customer": q_dq_report_customer,
     "clean_addresses": q_clean_addresses,
     "clean_state_codes": q_clean_state_codes,
     "flag_invalid_contacts": q_flag_invalid_contacts,
@@ -493,6 +503,15 @@ _DQ_REFUND = _dq_sql(
     _dq_rows("refund", {("refund_amount", "non_uniform_money"): "n_nonuniform"}),
 )
 
+_DQ_PRODUCT = _dq_sql(
+    "product",
+    "part",
+    {"n_rows": "true", "n_nonuniform": "p_size >= 10"},
+    _dq_rows("product", {("product_price", "non_uniform_money"): "n_nonuniform"}),
+)
+
+_DQ_CUSTOMER = _dq_sql("customer", "customer", {"n_rows": "true"}, _dq_rows("customer", {}))
+
 _STATE_CASE = (
     "CASE upper({c}) "
     + " ".join(f"WHEN '{n.upper()}' THEN '{code}'" for n, code in US_STATES)
@@ -568,6 +587,8 @@ ORDER BY total_amount DESC, product_name, product_type LIMIT {TOP}"""
         "quarantined_lines": _QUARANTINE,
         "dq_report_sales": _DQ_SALES,
         "dq_report_refund": _DQ_REFUND,
+        "dq_report_product": _DQ_PRODUCT,
+        "dq_report_customer": _DQ_CUSTOMER,
         "clean_addresses": _CLEAN_ADDRESSES,
         "clean_state_codes": _CLEAN_STATES,
         "flag_invalid_contacts": _CONTACTS,
