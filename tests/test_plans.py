@@ -42,8 +42,20 @@ def test_ranking_has_no_global_window(spark):
     for name in ("second_best_customer", "second_best_customer_fan_out"):
         text = plan_text(E.queries()[name](spark, SF001), "simple")
         assert "Window" not in text
-        assert "SinglePartition" not in text
         assert "TakeOrderedAndProject" in text
+        # a single-partition exchange only ever feeds a global (keyless) aggregate,
+        # which receives one partial row per task
+        lines = text.splitlines()
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" in line:
+                assert "HashAggregate(keys=[]" in lines[i - 1], lines[i - 1]
+                assert "HashAggregate(keys=[]" in lines[i + 1], lines[i + 1]
+
+
+def test_customer_names_are_range_filtered_before_the_join(spark):
+    text = plan_text(E.queries()["second_best_customer"](spark, SF001), "simple")
+    assert "BroadcastNestedLoopJoin" in text
+    assert re.search(r"customer_id#\d+L >= _lo", text)
 
 
 def test_row_number_variant_windows_only_n_rows(spark):

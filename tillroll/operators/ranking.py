@@ -80,6 +80,20 @@ def nth_best_customer(
             "customer_name"
         ),
     )
-    return ranked.join(names, "customer_id").select(
+    return ranked.join(within_key_range(names, ranked, "customer_id"), "customer_id").select(
         "customer_id", "customer_name", as_double("net_cents").alias("net_total")
     )
+
+
+def within_key_range(big: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """Rows of ``big`` whose ``key`` lies in [min, max] of ``small.key``.
+
+    A runtime min/max filter: the bounds are one row (a global aggregate), so
+    broadcasting them is bounded whatever the size of ``small``. The filtered scan of
+    ``big`` can only start once the bounds exist, so a large dimension table (customers)
+    is filtered before its shuffle instead of being shuffled whole to meet a handful of
+    ranked rows. The result of a later join on ``key`` is unchanged.
+    """
+    bounds = small.agg(F.min(key).alias("_lo"), F.max(key).alias("_hi"))
+    cond = (big[key] >= bounds["_lo"]) & (big[key] <= bounds["_hi"])
+    return big.join(F.broadcast(bounds), cond).drop("_lo", "_hi")
