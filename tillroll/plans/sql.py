@@ -6,8 +6,9 @@ the small integer ``n`` of a LIMIT is formatted in, after ``int()``.
 
 The statements have the same shapes as the DataFrame operators: sales aggregated per
 product before the product join, refunds aggregated per transaction before the sales
-join, anti joins for "no refund" and "never sold", and the n-th distinct value instead
-of a window over every customer.
+join, anti joins for "no refund" and "never sold", the n-th distinct value instead
+of a window over every customer, and a one-row [min, max] id filter on the customer
+table before the name lookup.
 """
 
 from __future__ import annotations
@@ -96,12 +97,18 @@ def nth_best_customer(
           SELECT min(net_total) AS value FROM (
             SELECT DISTINCT net_total FROM net WHERE net_total IS NOT NULL
             ORDER BY net_total DESC LIMIT {int(n)})
-          HAVING count(*) = :n)
-        SELECT net.customer_id,
-               concat_ws(' ', c.customer_first_name, c.customer_last_name) AS customer_name,
-               CAST(net.net_total AS DOUBLE) AS net_total
-        FROM net JOIN nth ON net.net_total = nth.value
-        JOIN customer c ON c.customer_id = net.customer_id
+          HAVING count(*) = :n),
+        ranked AS (
+          SELECT net.* FROM net JOIN nth ON net.net_total = nth.value),
+        bounds AS (
+          SELECT min(customer_id) AS lo, max(customer_id) AS hi FROM ranked),
+        names AS (
+          SELECT /*+ BROADCAST(b) */ c.customer_id,
+                 concat_ws(' ', c.customer_first_name, c.customer_last_name) AS customer_name
+          FROM customer c JOIN bounds b ON c.customer_id BETWEEN b.lo AND b.hi)
+        SELECT ranked.customer_id, names.customer_name,
+               CAST(ranked.net_total AS DOUBLE) AS net_total
+        FROM ranked JOIN names ON names.customer_id = ranked.customer_id
         """,
         args=args,
     )
