@@ -60,9 +60,15 @@ def _second_best(spark, d, since="year", fan_out=False, method="dense"):
     )
 
 
+# the SQL-formulation queries register their views under this prefix, so they never
+# replace temp views of the same name in the caller's session
+VIEW_PREFIX = "tillroll_"
+
+
 def _views(spark, d, sales):
     S.register_views(
         spark,
+        VIEW_PREFIX,
         product=td.products(spark, d),
         sales=sales,
         refund=td.refunds(spark, d),
@@ -82,7 +88,7 @@ def q_sales_distribution(spark, d):
 
 def q_sales_distribution_all_products(spark, d):
     _views(spark, d, td.line_sales(spark, d, with_order=False))
-    return S.sales_distribution(spark, keep_unsold=True)
+    return S.sales_distribution(spark, keep_unsold=True, prefix=VIEW_PREFIX)
 
 
 def q_sales_distribution_top25(spark, d):
@@ -103,7 +109,7 @@ def q_unrefunded_total_any_refund(spark, d):
 
 def q_unrefunded_total_sql(spark, d):
     _views(spark, d, td.order_sales(spark, d))
-    return S.unrefunded_total(spark, YEAR, since=None)
+    return S.unrefunded_total(spark, YEAR, since=None, prefix=VIEW_PREFIX)
 
 
 def q_net_sales_per_customer(spark, d):
@@ -128,7 +134,9 @@ def q_second_best_customer_any_refund(spark, d):
 
 def q_second_best_customer_sql(spark, d):
     _views(spark, d, td.order_sales(spark, d))
-    return S.nth_best_customer(spark, YEAR, MONTH, RANK, since=None, fan_out=True)
+    return S.nth_best_customer(
+        spark, YEAR, MONTH, RANK, since=None, fan_out=True, prefix=VIEW_PREFIX
+    )
 
 
 def q_unsold_products(spark, d):
@@ -144,7 +152,7 @@ def q_unsold_products_in_month(spark, d):
 
 def q_unsold_products_sql(spark, d):
     _views(spark, d, td.line_sales(spark, d, with_order=False))
-    return S.unsold_products(spark)
+    return S.unsold_products(spark, prefix=VIEW_PREFIX)
 
 
 def q_repeat_purchases(spark, d):
@@ -157,7 +165,7 @@ def q_repeat_purchase_groups(spark, d):
 
 def q_repeat_purchases_sql(spark, d):
     _views(spark, d, td.line_sales(spark, d))
-    return S.repeat_purchases(spark, MIN_REPEATS)
+    return S.repeat_purchases(spark, MIN_REPEATS, prefix=VIEW_PREFIX)
 
 
 def q_customers_at_address(spark, d):
@@ -166,7 +174,7 @@ def q_customers_at_address(spark, d):
 
 def q_customers_at_address_sql(spark, d):
     _views(spark, d, td.order_sales(spark, d))
-    return _flat_ce(S.customers_at_address(spark, STREET))
+    return _flat_ce(S.customers_at_address(spark, STREET, prefix=VIEW_PREFIX))
 
 
 def q_parse_sales_lines(spark, d):

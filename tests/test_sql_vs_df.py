@@ -89,3 +89,21 @@ def test_refund_mapping_with_customer(spark):
     full = td.refunds(spark, SF001, with_customer=True)
     assert full.columns == [f.name for f in REFUND.schema().fields]
     assert full.count() == plain.count()
+
+
+def test_registered_sql_queries_keep_caller_views(spark):
+    import __spark_entry__ as E
+
+    mine = spark.range(1).toDF("mine")
+    for name in S.VIEWS:
+        mine.createOrReplaceTempView(name)
+    E.queries()["second_best_customer_sql"](spark, SF001).collect()
+    E.queries()["customers_at_address_sql"](spark, SF001).collect()
+    for name in S.VIEWS:
+        assert spark.table(name).columns == ["mine"]
+        spark.catalog.dropTempView(name)
+
+
+def test_view_prefix_must_be_an_identifier(spark):
+    with pytest.raises(ValueError):
+        S.register_views(spark, "x; DROP", sales=spark.range(1))

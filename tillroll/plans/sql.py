@@ -1,8 +1,9 @@
 """The six questions as SQL over temp views, the reference's second formulation.
 
-Views: ``product``, ``sales``, ``refund``, ``customer``, ``customer_extnd``. Values go in
-through named parameters (``spark.sql(text, args=...)``), never by string splicing; only
-the small integer ``n`` of a LIMIT is formatted in, after ``int()``.
+Views: ``product``, ``sales``, ``refund``, ``customer``, ``customer_extnd``, optionally
+behind a prefix (an identifier, checked) so they do not replace a caller's own views.
+Values go in through named parameters (``spark.sql(text, args=...)``), never by string
+splicing; only the small integer ``n`` of a LIMIT is formatted in, after ``int()``.
 
 The statements have the same shapes as the DataFrame operators: sales aggregated per
 product before the product join, refunds aggregated per transaction before the sales
@@ -13,28 +14,41 @@ table before the name lookup.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 VIEWS = ("product", "sales", "refund", "customer", "customer_extnd")
 
 
-def register_views(spark: SparkSession, **tables: DataFrame) -> None:
-    """``register_views(spark, product=df, sales=df, ...)``."""
+def _prefix(prefix: str) -> str:
+    if not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*|", prefix):
+        raise ValueError(f"view prefix must be an identifier, got {prefix!r}")
+    return prefix
+
+
+def register_views(spark: SparkSession, prefix: str = "", **tables: DataFrame) -> None:
+    """``register_views(spark, product=df, sales=df, ...)``; views are named
+    ``<prefix><name>`` (a prefix keeps them apart from the caller's own views)."""
+    prefix = _prefix(prefix)
     for name, df in tables.items():
         if name not in VIEWS:
             raise ValueError(f"unknown view {name!r}; expected one of {VIEWS}")
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(f"{prefix}{name}")
 
 
-def sales_distribution(spark: SparkSession, keep_unsold: bool = True) -> DataFrame:
+def sales_distribution(
+    spark: SparkSession, keep_unsold: bool = True, prefix: str = ""
+) -> DataFrame:
+    p = _prefix(prefix)
     join = "LEFT JOIN" if keep_unsold else "JOIN"
     return spark.sql(
         f"""
         WITH per_product AS (
           SELECT product_id, sum(CAST(total_amount AS DECIMAL(18,2))) AS amount
-          FROM sales GROUP BY product_id)
+          FROM {p}sales GROUP BY product_id)
         SELECT p.product_name, p.product_type, CAST(sum(s.amount) AS DOUBLE) AS total_sales
-        FROM product p {join} per_product s ON s.product_id = p.product_id
+        FROM {p}product p {join} per_product s ON s.product_id = p.product_id
         GROUP BY p.product_name, p.product_type
         ORDER BY total_sales DESC NULLS LAST, product_name, product_type
         """
@@ -47,15 +61,18 @@ def _refund_scope(since: int | None) -> str:
     return "WHERE timestamp >= make_timestamp_ntz(:since, 1, 1, 0, 0, 0)"
 
 
-def unrefunded_total(spark: SparkSession, year: int, since: int | None = None) -> DataFrame:
+def unrefunded_total(
+    spark: SparkSession, year: int, since: int | None = None, prefix: str = ""
+) -> DataFrame:
+    p = _prefix(prefix)
     args = {"year": year}
     if since is not None:
         args["since"] = since
     return spark.sql(
         f"""
         SELECT CAST(sum(CAST(s.total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
-        FROM sales s
-        LEFT ANTI JOIN (SELECT DISTINCT original_transaction_id FROM refund
+        FROM {p}sales s
+        LEFT ANTI JOIN (SELECT DISTINCT original_transaction_id FROM {p}refund
                         {_refund_scope(since)}) r
           ON s.transaction_id = r.original_transaction_id
         WHERE s.timestamp >= make_timestamp_ntz(:year, 1, 1, 0, 0, 0)
@@ -72,7 +89,9 @@ def nth_best_customer(
     n: int = 2,
     since: int | None = None,
     fan_out: bool = False,
+    prefix: str = "",
 ) -> DataFrame:
+    p = _prefix(prefix)
     args = {"year": year, "month": month, "n": int(n)}
     if since is not None:
         args["since"] = since
@@ -85,13 +104,14 @@ def nth_best_customer(
           SELECT original_transaction_id AS transaction_id,
                  sum(CAST(refund_amount AS DECIMAL(18,2))) AS refund_total,
                  CAST(count(*) AS INT) AS n_refunds
-          FROM refund {_refund_scope(since)}
+          FROM {p}refund {_refund_scope(since)}
           GROUP BY original_transaction_id),
         net AS (
           SELECT s.customer_id, sum({amount} - coalesce(r.refund_total, 0)) AS net_total
-          FROM sales s LEFT JOIN per_tx r ON s.transaction_id = r.transaction_id
+          FROM {p}sales s LEFT JOIN per_tx r ON s.transaction_id = r.transaction_id
           WHERE s.timestamp >= make_timestamp_ntz(:year, :month, 1, 0, 0, 0)
             AND s.timestamp < make_timestamp_ntz(:year, :month, 1, 0, 0, 0) + INTERVAL 1 MONTH
+            AND s.customer_id IS NOT NULL
           GROUP BY s.customer_id),
         nth AS (
           SELECT min(net_total) AS value FROM (
@@ -105,7 +125,7 @@ def nth_best_customer(
         names AS (
           SELECT /*+ BROADCAST(b) */ c.customer_id,
                  concat_ws(' ', c.customer_first_name, c.customer_last_name) AS customer_name
-          FROM customer c JOIN bounds b ON c.customer_id BETWEEN b.lo AND b.hi)
+          FROM {p}customer c JOIN bounds b ON c.customer_id BETWEEN b.lo AND b.hi)
         SELECT ranked.customer_id, names.customer_name,
                CAST(ranked.net_total AS DOUBLE) AS net_total
         FROM ranked JOIN names ON names.customer_id = ranked.customer_id
@@ -114,31 +134,35 @@ def nth_best_customer(
     )
 
 
-def unsold_products(spark: SparkSession) -> DataFrame:
+def unsold_products(spark: SparkSession, prefix: str = "") -> DataFrame:
+    p = _prefix(prefix)
     return spark.sql(
-        """
-        SELECT p.* FROM product p
-        LEFT ANTI JOIN (SELECT DISTINCT product_id FROM sales) s ON p.product_id = s.product_id
+        f"""
+        SELECT p.* FROM {p}product p
+        LEFT ANTI JOIN (SELECT DISTINCT product_id FROM {p}sales) s
+          ON p.product_id = s.product_id
         """
     )
 
 
-def repeat_purchases(spark: SparkSession, min_count: int = 2) -> DataFrame:
+def repeat_purchases(spark: SparkSession, min_count: int = 2, prefix: str = "") -> DataFrame:
+    p = _prefix(prefix)
     return spark.sql(
-        """
+        f"""
         SELECT count(*) AS n_groups, count(DISTINCT customer_id) AS n_users
         FROM (SELECT to_date(timestamp) AS sale_day, product_id, customer_id,
                      count(*) AS n_purchases
-              FROM sales GROUP BY to_date(timestamp), product_id, customer_id
+              FROM {p}sales GROUP BY to_date(timestamp), product_id, customer_id
               HAVING n_purchases >= :min_count)
         """,
         args={"min_count": min_count},
     )
 
 
-def customers_at_address(spark: SparkSession, street: str) -> DataFrame:
+def customers_at_address(spark: SparkSession, street: str, prefix: str = "") -> DataFrame:
+    p = _prefix(prefix)
     return spark.sql(
-        "SELECT * FROM customer_extnd "
+        f"SELECT * FROM {p}customer_extnd "
         "WHERE upper(current_address.street_address) = upper(:street)",
         args={"street": street},
     )
