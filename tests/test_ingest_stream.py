@@ -114,3 +114,25 @@ def test_bucketed_ingest_joins_without_shuffle(spark, scratch):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert sorted((r.customer_id, r.net_cents) for r in per) == [("C1", 90000), ("C2", 70000)]
+
+
+def test_report_cli_prints_all_answers(spark, scratch, capsys):
+    from tillroll.report import main
+
+    text = _text_dir(scratch)
+    _write(text, FILE_NAMES["sales"], SALES[:2])  # only well-formed lines: fail-fast passes
+    main([text, "--street", "a", "--rows", "5"])
+    out = capsys.readouterr().out
+    for title in ("2. sales by product", "3. unrefunded sales of 2013", "4. customer ranked 2",
+                  "5. products never sold", "6. same product bought", "7. customers at a"):
+        assert title in out
+
+
+def test_report_cli_fails_fast_on_bad_line(spark, scratch):
+    import pytest
+
+    from tillroll.report import main
+
+    text = _text_dir(scratch)  # its sales file has a line with a bad timestamp
+    with pytest.raises(Exception, match="bad timestamp"):
+        main([text])
