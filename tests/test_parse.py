@@ -159,3 +159,12 @@ def test_parse_evaluates_the_line_once(spark):
     )
     text = plan_text(parse(lines, SALES).good, "simple")
     assert text.count("format_number") == 1
+
+
+def test_empty_trailing_fields_count(spark):
+    from tillroll.sources.schema import CUSTOMER
+
+    p = parse(lines_df(spark, ["a|b||", "a|b|"]), CUSTOMER)
+    good = [tuple(r) for r in p.good.collect()]
+    assert good == [("a", "b", "", "")]
+    assert [r.reason for r in p.bad.collect()] == ["short line"]
