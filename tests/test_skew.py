@@ -4,10 +4,8 @@ must combine map-side before every shuffle on those keys."""
 
 from __future__ import annotations
 
-import datetime as dt
 from decimal import Decimal
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
