@@ -74,3 +74,26 @@ def test_scans_read_only_needed_columns(spark):
 def test_product_query_does_not_join_orders(spark):
     text = plan_text(E.queries()["sales_distribution"](spark, SF001), "simple")
     assert "orders.parquet" not in text
+
+
+# shuffle budget per question on the driver's tables: final adaptive plan after running,
+# reused exchanges counted once
+BUDGET = {
+    "sales_distribution": 3,  # per product, per (name, type), sort
+    "unrefunded_total": 3,  # year orders, distinct refunded ids, global sum
+    "second_best_customer": 4,  # refunds per tx, per customer, distinct nets, id bounds
+    "unsold_products_in_month": 3,
+    "repeat_purchases": 4,
+    "customers_at_address": 0,
+    "parse_sales_lines": 0,
+    "dq_report_sales": 1,
+}
+
+
+@pytest.mark.parametrize("name", sorted(BUDGET))
+def test_shuffle_budget(spark, name):
+    from tillroll.plans.inspect import count_shuffles
+
+    df = E.queries()[name](spark, SF001)
+    df.collect()
+    assert count_shuffles(df) <= BUDGET[name]

@@ -19,25 +19,18 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return buf.getvalue()
 
 
-def physical_operators(df: DataFrame) -> list[str]:
-    """Operator names of the physical plan, top-down (``simple`` explain)."""
-    text = plan_text(df, "simple")
-    body = text.split("== Physical Plan ==", 1)[-1]
-    names = []
-    for line in body.splitlines():
-        m = re.search(r"([A-Z][A-Za-z]+)", line.lstrip(" :+-*()0-9"))
-        if m:
-            names.append(m.group(1))
-    return names
-
-
 def uses_python(df: DataFrame) -> bool:
     text = plan_text(df, "simple")
     return any(op in text for op in PYTHON_OPERATORS)
 
 
 def count_shuffles(df: DataFrame) -> int:
-    return len(re.findall(r"Exchange hashpartitioning|Exchange rangepartitioning|Exchange SinglePartition", plan_text(df, "simple")))
+    """Shuffle exchanges in the physical plan; after an action, only the final adaptive
+    plan is counted, and reused exchanges are not counted again."""
+    text = plan_text(df, "simple").split("== Initial Plan ==")[0]
+    lines = [ln for ln in text.splitlines() if "ReusedExchange" not in ln]
+    pattern = r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)"
+    return sum(1 for ln in lines if re.search(pattern, ln))
 
 
 def pushed_filters(df: DataFrame) -> list[str]:
