@@ -136,3 +136,17 @@ def test_report_cli_fails_fast_on_bad_line(spark, scratch):
     text = _text_dir(scratch)  # its sales file has a line with a bad timestamp
     with pytest.raises(Exception, match="bad timestamp"):
         main([text])
+
+
+def test_stream_picks_up_only_new_files(spark, scratch):
+    src = os.path.join(scratch, "arriving")
+    out = os.path.join(scratch, "arriving-out")
+    _write(src, "a.txt", SALES[:1])
+    start_ingest(spark, stream_table(spark, src, "sales"), out, "sales").awaitTermination(120)
+    assert spark.read.parquet(out).count() == 1
+    _write(src, "b.txt", SALES[1:])
+    start_ingest(spark, stream_table(spark, src, "sales"), out, "sales").awaitTermination(120)
+    df = spark.read.parquet(out)
+    assert sorted((r.transaction_id, r._status) for r in df.select("transaction_id", "_status").collect()) == [
+        ("T1", "ok"), ("T2", "ok"), ("T3", "bad")
+    ]
