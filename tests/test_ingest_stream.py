@@ -150,3 +150,21 @@ def test_stream_picks_up_only_new_files(spark, scratch):
     assert sorted((r.transaction_id, r._status) for r in df.select("transaction_id", "_status").collect()) == [
         ("T1", "ok"), ("T2", "ok"), ("T3", "bad")
     ]
+
+
+def test_report_reference_variants(spark, scratch):
+    from tillroll.report import answers
+
+    text = _text_dir(scratch)
+    out = os.path.join(scratch, "parquet-variants")
+    ingest(spark, text, out)
+    tables = {name: load(spark, out, name) for name in FILE_NAMES}
+    q4 = {
+        (fan, anyr): [(r.customer_id, r.net_total) for r in
+                      answers(tables, rank=1, fan_out=fan, any_refund=anyr)["4. customer ranked 1 in 2013-05"].collect()]
+        for fan in (False, True) for anyr in (False, True)
+    }
+    # T1 = $1,000 with refunds $100 and $0 (two rows): pre-aggregated 900, fan-out 1900
+    assert q4[(False, False)] == [("C1", 900.0)]
+    assert q4[(True, False)] == [("C1", 1900.0)]
+    assert q4[(True, True)] == [("C1", 1900.0)]

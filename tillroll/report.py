@@ -2,7 +2,8 @@
 main program does, and print the answers.
 
     spark-submit -m tillroll.report <data_dir> [--year 2013 --month 5 --rank 2
-        --min-repeats 2 --street "1154 Winters Blvd" --ingested <parquet_dir>]
+        --min-repeats 2 --street "1154 Winters Blvd" --fan-out --any-refund
+        --ingested <parquet_dir>]
 
 With ``--ingested`` the tables come from a folder written by
 ``tillroll.sources.ingest.ingest`` (parsed once, partition-pruned) instead of the text;
@@ -39,14 +40,23 @@ def answers(
     rank: int = 2,
     min_repeats: int = 2,
     street: str = "1154 Winters Blvd",
+    fan_out: bool = False,
+    any_refund: bool = False,
 ) -> dict[str, DataFrame]:
-    """The six answers as lazy DataFrames (no action runs here)."""
+    """The six answers as lazy DataFrames (no action runs here).
+
+    ``fan_out=True`` counts a sale once per refund row in Q4, and ``any_refund=True``
+    counts refunds of any date in Q3/Q4: together they reproduce the reference's SQL
+    numbers; ``fan_out`` alone its DataFrame numbers.
+    """
     sales, refund = tables["sales"], tables["refund"]
+    since = None if any_refund else "year"
+    per_customer = net_sales_per_customer(sales, refund, year, month, since, fan_out)
     return {
         "2. sales by product name and type": sales_distribution(sales, tables["product"]),
-        f"3. unrefunded sales of {year}": unrefunded_total(sales, refund, year),
+        f"3. unrefunded sales of {year}": unrefunded_total(sales, refund, year, since),
         f"4. customer ranked {rank} in {year}-{month:02d}": nth_best_customer(
-            net_sales_per_customer(sales, refund, year, month), tables["customer"], rank
+            per_customer, tables["customer"], rank
         ),
         "5. products never sold": unsold_products(tables["product"], sales),
         f"6. same product bought {min_repeats}+ times a day": repeat_purchases(
@@ -73,6 +83,8 @@ def main(argv: list[str] | None = None) -> None:
         help="catalog table prefix of sales/refund written by ingest(buckets=N)",
     )
     ap.add_argument("--rows", type=int, default=25)
+    ap.add_argument("--fan-out", action="store_true", help="Q4: a sale counts once per refund row")
+    ap.add_argument("--any-refund", action="store_true", help="Q3/Q4: refunds of any date")
     args = ap.parse_args(argv)
 
     spark = tune(SparkSession.builder.appName("tillroll-report").getOrCreate())
@@ -85,7 +97,14 @@ def main(argv: list[str] | None = None) -> None:
             tables[name] = load_bucketed(spark, name, args.bucketed_prefix)
     year_bounds(args.year)  # validates the year early
     for title, df in answers(
-        tables, args.year, args.month, args.rank, args.min_repeats, args.street
+        tables,
+        args.year,
+        args.month,
+        args.rank,
+        args.min_repeats,
+        args.street,
+        fan_out=args.fan_out,
+        any_refund=args.any_refund,
     ).items():
         print(title)
         df.show(args.rows, truncate=False)
