@@ -168,3 +168,35 @@ def test_report_reference_variants(spark, scratch):
     assert q4[(False, False)] == [("C1", 900.0)]
     assert q4[(True, False)] == [("C1", 1900.0)]
     assert q4[(True, True)] == [("C1", 1900.0)]
+
+
+def test_month_partitioned_ingest_prunes_folders(spark, scratch):
+    from tillroll.operators import refunds, unsold
+    from tillroll.plans.inspect import plan_text
+
+    text = _text_dir(scratch)
+    _write(text, FILE_NAMES["sales"], SALES + ["T4|C1|P2|07/04/2014 09:00:00|$50|1"])
+    out = os.path.join(scratch, "by-month")
+    ingest(spark, text, out, by_month=True)
+    assert sorted(d for d in os.listdir(os.path.join(out, "sales", "_status=ok"))
+                  if d.startswith("_month=")) == ["_month=201305", "_month=201407"]
+    sales, refund = load(spark, out, "sales"), load(spark, out, "refund")
+    assert "_month" in sales.columns
+    per = refunds.net_sales_per_customer(sales, refund, 2013, 5)
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    try:
+        text_plan = plan_text(per, "simple")
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", before)
+    import re
+
+    filters = re.findall(r"PartitionFilters: \[([^\]]*)\]", text_plan)
+    assert any(re.search(r"_month#\d+ >= 201305", f) and re.search(r"_month#\d+ <= 201305", f)
+               for f in filters), filters  # sales: one month folder
+    assert any(re.search(r"_month#\d+ >= 201301", f) for f in filters), filters  # refunds
+    assert sorted((r.customer_id, r.net_cents) for r in per.collect()) == [("C1", 90000), ("C2", 70000)]
+    assert refunds.unrefunded_total(sales, refund, 2014).collect()[0][0] == 50.0
+    import datetime as dt
+    got = unsold.unsold_products(load(spark, out, "product"), sales, dt.date(2014, 7, 1), dt.date(2014, 8, 1))
+    assert [r.product_id for r in got.collect()] == ["P1"]

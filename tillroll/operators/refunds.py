@@ -8,11 +8,13 @@ selects between them: ``"year"`` (default, the year asked for), an explicit year
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.money import as_double, cents, checked, sum_cents, total
-from tillroll.functions.periods import in_month, in_year, since_year
+from tillroll.functions.periods import month_bounds, restrict, year_bounds
 
 SAME_YEAR = "year"
 
@@ -21,7 +23,7 @@ def _scoped(refunds: DataFrame, year: int, refunds_since: int | str | None) -> D
     if refunds_since is None:
         return refunds
     since = year if refunds_since == SAME_YEAR else int(refunds_since)
-    return refunds.filter(since_year("timestamp", since))
+    return restrict(refunds, "timestamp", dt.date(since, 1, 1), None)
 
 
 def refunded_transactions(refunds: DataFrame) -> DataFrame:
@@ -41,7 +43,7 @@ def unrefunded_sales(
     sales: DataFrame, refunds: DataFrame, year: int, refunds_since=SAME_YEAR
 ) -> DataFrame:
     """Sales of ``year`` with no refund in scope (a left anti join)."""
-    year_sales = sales.filter(in_year("timestamp", year))
+    year_sales = restrict(sales, "timestamp", *year_bounds(year))
     refunded = refunded_transactions(_scoped(refunds, year, refunds_since))
     return year_sales.join(refunded, "transaction_id", "left_anti")
 
@@ -70,7 +72,7 @@ def net_sales(
     k times (once per joined refund row): k * amount - sum(refunds). It is computed from
     the same aggregate, without materialising the fanned-out rows.
     """
-    month_sales = sales.filter(in_month("timestamp", year, month))
+    month_sales = restrict(sales, "timestamp", *month_bounds(year, month))
     per_tx = refunds_per_transaction(_scoped(refunds, year, refunds_since))
     joined = month_sales.join(per_tx, "transaction_id", "left")
     refunded = F.coalesce(F.col("refund_cents"), F.lit(0).cast("bigint"))

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
-from tillroll.functions.periods import within
+from tillroll.functions.periods import restrict
 
 
 def sold_product_ids(
@@ -14,7 +14,7 @@ def sold_product_ids(
 ) -> DataFrame:
     """Distinct product ids sold in [start, end); de-duplicated map-side first."""
     if start is not None or end is not None:
-        sales = sales.filter(within("timestamp", start, end))
+        sales = restrict(sales, "timestamp", start, end)
     return sales.select("product_id").distinct()
 
 

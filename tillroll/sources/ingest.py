@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.periods import PERIOD, month_key
 from tillroll.sources.schema import FILE_NAMES, SPECS
 from tillroll.sources.text import REASON, Parsed, parse, read_lines
 
@@ -39,6 +40,7 @@ def ingest(
     mode: str = "quarantine",
     buckets: int | None = None,
     table_prefix: str = "",
+    by_month: bool = False,
 ) -> dict[str, str]:
     """Write ``out_dir/<table>`` for each table; returns the paths written.
 
@@ -46,18 +48,29 @@ def ingest(
     (``<table_prefix><name>``) bucketed by transaction id into N buckets: the refund
     aggregation and the sales-refund joins then read co-partitioned data and need no
     shuffle. The table metadata lives in the session catalog (a metastore on a cluster).
+
+    ``by_month=True`` (tables with a timestamp, when not bucketed) adds ``_month``
+    (yyyymm) and partitions by it, so period questions prune whole month folders. The
+    rows are range-partitioned by time first (one shuffle at ingest), so each task
+    writes one or two month folders instead of a file in every month.
     """
     written = {}
     for name in tables:
         parsed = parse(read_lines(spark, f"{text_dir.rstrip('/')}/{FILE_NAMES[name]}"), name, mode)
         out = tag_status(parsed)
         path = f"{out_dir.rstrip('/')}/{name}"
+        bucketed = bool(buckets) and name in BUCKET_KEYS
+        partitions = [STATUS]
         writer_df = out
-        if "timestamp" in out.columns and not (buckets and name in BUCKET_KEYS):
+        if "timestamp" in out.columns and not bucketed:
+            if by_month:
+                writer_df = writer_df.withColumn(PERIOD, month_key("timestamp"))
+                writer_df = writer_df.repartitionByRange(F.col("timestamp"))
+                partitions.append(PERIOD)
             # clustered by time inside each file: row-group min/max prune period filters
-            writer_df = out.sortWithinPartitions("timestamp")
-        writer = writer_df.write.mode("overwrite").partitionBy(STATUS)
-        if buckets and name in BUCKET_KEYS:
+            writer_df = writer_df.sortWithinPartitions("timestamp")
+        writer = writer_df.write.mode("overwrite").partitionBy(*partitions)
+        if bucketed:
             (
                 writer.bucketBy(buckets, BUCKET_KEYS[name])
                 .sortBy("timestamp")
@@ -77,9 +90,12 @@ def load_bucketed(spark: SparkSession, name: str, table_prefix: str = "") -> Dat
 
 
 def load(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
-    """The good rows of an ingested table, with the spec's typed schema."""
+    """The good rows of an ingested table, with the spec's typed schema (plus
+    ``_month`` when the table was written by month, for partition pruning)."""
     cols = [f.name for f in SPECS[name].schema().fields]
     df = spark.read.parquet(f"{out_dir.rstrip('/')}/{name}")
+    if PERIOD in df.columns:
+        cols.append(PERIOD)
     return df.filter(F.col(STATUS) == "ok").select(*cols)
 
 
