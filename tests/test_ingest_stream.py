@@ -200,3 +200,14 @@ def test_month_partitioned_ingest_prunes_folders(spark, scratch):
     import datetime as dt
     got = unsold.unsold_products(load(spark, out, "product"), sales, dt.date(2014, 7, 1), dt.date(2014, 8, 1))
     assert [r.product_id for r in got.collect()] == ["P1"]
+
+
+def test_ingest_cli(spark, scratch, capsys):
+    from tillroll.sources.ingest import main
+
+    text = _text_dir(scratch)
+    out = os.path.join(scratch, "cli-out")
+    main([text, out, "--by-month"])
+    printed = capsys.readouterr().out
+    assert all(f"{name}: " in printed for name in FILE_NAMES)
+    assert load(spark, out, "sales").count() == 2

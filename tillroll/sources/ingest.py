@@ -112,3 +112,37 @@ def load_text_tables(
         name: parse(read_lines(spark, f"{text_dir.rstrip('/')}/{fname}"), name, mode).good
         for name, fname in FILE_NAMES.items()
     }
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit -m tillroll.sources.ingest <text_dir> <out_dir> [--by-month]
+    [--buckets N --table-prefix P] [--failfast]``"""
+    import argparse
+
+    ap = argparse.ArgumentParser(prog="tillroll.sources.ingest")
+    ap.add_argument("text_dir")
+    ap.add_argument("out_dir")
+    ap.add_argument("--by-month", action="store_true", help="partition timestamped tables by _month")
+    ap.add_argument("--buckets", type=int, default=None, help="bucket sales/refund by transaction id")
+    ap.add_argument("--table-prefix", default="", help="catalog name prefix for bucketed tables")
+    ap.add_argument("--failfast", action="store_true", help="fail on the first bad line")
+    args = ap.parse_args(argv)
+
+    from tillroll.session import tune
+
+    spark = tune(SparkSession.builder.appName("tillroll-ingest").getOrCreate())
+    written = ingest(
+        spark,
+        args.text_dir,
+        args.out_dir,
+        mode="failfast" if args.failfast else "quarantine",
+        buckets=args.buckets,
+        table_prefix=args.table_prefix,
+        by_month=args.by_month,
+    )
+    for name, path in written.items():
+        print(f"{name}: {path}")
+
+
+if __name__ == "__main__":
+    main()
