@@ -211,3 +211,15 @@ def test_ingest_cli(spark, scratch, capsys):
     printed = capsys.readouterr().out
     assert all(f"{name}: " in printed for name in FILE_NAMES)
     assert load(spark, out, "sales").count() == 2
+
+
+def test_stream_by_month_reads_back_with_load(spark, scratch):
+    src = os.path.join(scratch, "stream-src")
+    _write(src, "a.txt", SALES)
+    warehouse = os.path.join(scratch, "stream-wh")
+    q = start_ingest(spark, stream_table(spark, src, "sales"), os.path.join(warehouse, "sales"),
+                     "sales", by_month=True)
+    q.awaitTermination(120)
+    sales = load(spark, warehouse, "sales")
+    assert "_month" in sales.columns
+    assert sorted(r.transaction_id for r in sales.collect()) == ["T1", "T2"]

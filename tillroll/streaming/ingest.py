@@ -13,6 +13,7 @@ import hashlib
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tillroll.functions.periods import PERIOD, month_key
 from tillroll.session import checkpoint_dir
 from tillroll.sources.ingest import STATUS, tag_status
 from tillroll.sources.schema import SPECS, TableSpec
@@ -39,18 +40,28 @@ def start_ingest(
     name: str,
     checkpoint_location: str | None = None,
     available_now: bool = True,
+    by_month: bool = False,
 ) -> StreamingQuery:
-    """Append parsed rows (ok and bad, partitioned by ``_status``) to ``out_dir``."""
+    """Append parsed rows (ok and bad, partitioned by ``_status``) to ``out_dir``.
+
+    With ``out_dir = <warehouse>/<name>`` the result has the batch ingest's layout, so
+    ``tillroll.sources.ingest.load(spark, <warehouse>, <name>)`` reads it; ``by_month``
+    adds the ``_month`` partition for period pruning.
+    """
     if name not in SPECS:
         raise ValueError(f"unknown table {name!r}")
     if checkpoint_location is None:
         # stable for the same output (a restart resumes), distinct between outputs
         digest = hashlib.sha1(out_dir.rstrip("/").encode()).hexdigest()[:16]
         checkpoint_location = f"{checkpoint_dir(spark)}/tillroll-stream-{name}-{digest}"
+    rows = tag_status(parsed)
+    partitions = [STATUS]
+    if by_month and "timestamp" in rows.columns:
+        rows = rows.withColumn(PERIOD, month_key("timestamp"))
+        partitions.append(PERIOD)
     writer = (
-        tag_status(parsed)
-        .writeStream.format("parquet")
-        .partitionBy(STATUS)
+        rows.writeStream.format("parquet")
+        .partitionBy(*partitions)
         .option("path", out_dir)
         .option("checkpointLocation", checkpoint_location)
     )
