@@ -223,3 +223,13 @@ def test_stream_by_month_reads_back_with_load(spark, scratch):
     sales = load(spark, warehouse, "sales")
     assert "_month" in sales.columns
     assert sorted(r.transaction_id for r in sales.collect()) == ["T1", "T2"]
+
+
+def test_failfast_ingest_raises_instead_of_quarantining(spark, scratch):
+    import pytest
+
+    text = _text_dir(scratch)  # its sales file has a line with a bad timestamp
+    with pytest.raises(Exception, match="bad timestamp"):
+        ingest(spark, text, os.path.join(scratch, "ff"), tables=("sales",), mode="failfast")
+    ingest(spark, text, os.path.join(scratch, "ff2"), tables=("product",), mode="failfast")
+    assert load(spark, os.path.join(scratch, "ff2"), "product").count() == 2

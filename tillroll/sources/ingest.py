@@ -20,10 +20,16 @@ STATUS = "_status"
 
 
 def tag_status(parsed: Parsed) -> DataFrame:
-    """Typed columns + ``_status`` (ok/bad); the raw line is kept only for bad rows."""
+    """Typed columns + ``_status`` (ok/bad); the raw line is kept only for bad rows.
+
+    Parsed in fail-fast mode, a bad line fails the job instead of being tagged.
+    """
     bad = F.col(REASON).isNotNull()
-    return parsed.tagged.withColumn("value", F.when(bad, F.col("value"))).withColumn(
-        STATUS, F.when(bad, F.lit("bad")).otherwise(F.lit("ok"))
+    tag = F.lit("bad")
+    if parsed.mode == "failfast":
+        tag = F.raise_error(F.concat(F.col(REASON), F.lit(": "), F.col("value"))).cast("string")
+    return parsed.tagged.withColumn(STATUS, F.when(bad, tag).otherwise(F.lit("ok"))).withColumn(
+        "value", F.when(bad, F.col("value"))
     )
 
 

@@ -36,6 +36,7 @@ class Parsed:
     good: DataFrame
     bad: DataFrame
     tagged: DataFrame  # typed columns + value + _reason (NULL for good rows)
+    mode: str = "quarantine"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -111,7 +112,7 @@ def parse(
         bad = tagged.select(
             F.inline(F.when(~ok, F.array(F.struct("value", F.col(REASON).alias("reason")))))
         )
-    return Parsed(good=good, bad=bad, tagged=tagged)
+    return Parsed(good=good, bad=bad, tagged=tagged, mode=mode)
 
 
 def _fold_groups(flat: DataFrame, spec: TableSpec, keep: tuple[str, ...]) -> DataFrame:
