@@ -97,3 +97,21 @@ def test_shuffle_budget(spark, name):
     df = E.queries()[name](spark, SF001)
     df.collect()
     assert count_shuffles(df) <= BUDGET[name]
+
+
+def test_tune_sizes_initial_partitions(spark):
+    from tillroll.session import initial_partitions, tune
+
+    assert initial_partitions(0) == 200
+    assert initial_partitions(10 * 2**40) == 81920  # 10 TB / 128 MB
+    assert initial_partitions(10**18) == 200_000
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    assert spark.conf.get(key, None) is None
+    try:
+        tune(spark, largest_shuffle_bytes=10 * 2**40)
+        assert spark.conf.get(key) == "81920"
+        spark.conf.set(key, "7")
+        tune(spark, largest_shuffle_bytes=1)  # a value the caller set is kept
+        assert spark.conf.get(key) == "7"
+    finally:
+        spark.conf.unset(key)

@@ -16,9 +16,28 @@ DEFAULTS = {
 }
 
 
-def tune(spark: SparkSession, **overrides: str) -> SparkSession:
-    """Apply DEFAULTS (then ``overrides``) for keys the session has not set itself."""
+PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def initial_partitions(largest_shuffle_bytes: int) -> int:
+    """Shuffle partitions so the largest shuffle starts at about 128 MB per partition
+    (AQE coalesces from there); at least 200, at most 200,000."""
+    return max(200, min(200_000, -(-largest_shuffle_bytes // PARTITION_BYTES)))
+
+
+def tune(
+    spark: SparkSession, largest_shuffle_bytes: int | None = None, **overrides: str
+) -> SparkSession:
+    """Apply DEFAULTS (then ``overrides``) for keys the session has not set itself.
+
+    ``largest_shuffle_bytes`` (e.g. the size of the biggest table a job shuffles) also
+    sizes ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``.
+    """
     wanted = {**DEFAULTS, **{k.replace("__", "."): v for k, v in overrides.items()}}
+    if largest_shuffle_bytes is not None:
+        wanted["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
+            initial_partitions(largest_shuffle_bytes)
+        )
     for key, value in wanted.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
