@@ -168,3 +168,14 @@ def test_empty_trailing_fields_count(spark):
     good = [tuple(r) for r in p.good.collect()]
     assert good == [("a", "b", "", "")]
     assert [r.reason for r in p.bad.collect()] == ["short line"]
+
+
+def test_null_and_blank_lines_are_short(spark):
+    from tillroll.operators.quality import dq_report
+
+    df = spark.createDataFrame([(None,), ("",), ("t1|c1|p1|05/01/2013 10:00:00|5|1",)], "value string")
+    p = parse(df, SALES)
+    assert [r.transaction_id for r in p.good.collect()] == ["t1"]
+    assert sorted(r.reason for r in p.bad.collect()) == ["short line", "short line"]
+    rep = {(r.field, r.check_name): r.n for r in dq_report(df, SALES).collect()}
+    assert rep[("*", "short_line")] == 2

@@ -22,7 +22,7 @@ def _checks(spec: TableSpec) -> list[tuple[str, str, Column]]:
     parts = F.col("_parts")
     out: list[tuple[str, str, Column]] = [
         ("*", "rows", F.lit(True)),
-        ("*", "short_line", F.size(parts) < spec.arity),
+        ("*", "short_line", F.coalesce(F.size(parts) < spec.arity, F.lit(True))),
     ]
     for i, (name, kind) in enumerate(spec.fields):
         raw = F.get(parts, i)

@@ -73,7 +73,7 @@ def parse(
     staged = lines.select("value", F.split(F.col("value"), r"\|", -1).alias(_PARTS))
     parts = F.col(_PARTS)
     typed: list[Column] = []
-    checks: list[Column] = [F.when(F.size(parts) < spec.arity, F.lit(SHORT_LINE))]
+    checks: list[Column] = [F.when(F.coalesce(F.size(parts) < spec.arity, F.lit(True)), F.lit(SHORT_LINE))]
     for i, (name, kind) in enumerate(spec.fields):
         raw = _field(parts, i)
         if kind == "text":
