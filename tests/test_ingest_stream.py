@@ -233,3 +233,16 @@ def test_failfast_ingest_raises_instead_of_quarantining(spark, scratch):
         ingest(spark, text, os.path.join(scratch, "ff"), tables=("sales",), mode="failfast")
     ingest(spark, text, os.path.join(scratch, "ff2"), tables=("product",), mode="failfast")
     assert load(spark, os.path.join(scratch, "ff2"), "product").count() == 2
+
+
+def test_signed_money_option(spark, scratch):
+    text = _text_dir(scratch)
+    _write(text, FILE_NAMES["product"], ["P1|Desktop |P106|v1|-$949", "P2|Laptop |P105|v1|(677)"])
+    plain = {r.product_id: r.product_price for r in load_text_tables(spark, text)["product"].collect()}
+    signed = {r.product_id: r.product_price
+              for r in load_text_tables(spark, text, signed_money=True)["product"].collect()}
+    assert plain == {"P1": 949.0, "P2": 677.0}
+    assert signed == {"P1": -949.0, "P2": -677.0}
+    out = os.path.join(scratch, "signed")
+    ingest(spark, text, out, tables=("product",), signed_money=True)
+    assert sorted(r.product_price for r in load(spark, out, "product").collect()) == [-949.0, -677.0]

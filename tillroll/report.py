@@ -85,13 +85,14 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--rows", type=int, default=25)
     ap.add_argument("--fan-out", action="store_true", help="Q4: a sale counts once per refund row")
     ap.add_argument("--any-refund", action="store_true", help="Q3/Q4: refunds of any date")
+    ap.add_argument("--signed-money", action="store_true", help="keep '-5' / '(5)' negative")
     args = ap.parse_args(argv)
 
     spark = tune(SparkSession.builder.appName("tillroll-report").getOrCreate())
     if args.ingested:
         tables = {name: load(spark, args.ingested, name) for name in FILE_NAMES}
     else:
-        tables = load_text_tables(spark, args.data_dir)
+        tables = load_text_tables(spark, args.data_dir, signed_money=args.signed_money)
     if args.bucketed_prefix is not None:
         for name in BUCKET_KEYS:
             tables[name] = load_bucketed(spark, name, args.bucketed_prefix)

@@ -47,6 +47,7 @@ def ingest(
     buckets: int | None = None,
     table_prefix: str = "",
     by_month: bool = False,
+    signed_money: bool = False,
 ) -> dict[str, str]:
     """Write ``out_dir/<table>`` for each table; returns the paths written.
 
@@ -62,8 +63,8 @@ def ingest(
     """
     written = {}
     for name in tables:
-        parsed = parse(read_lines(spark, f"{text_dir.rstrip('/')}/{FILE_NAMES[name]}"), name, mode)
-        out = tag_status(parsed)
+        lines = read_lines(spark, f"{text_dir.rstrip('/')}/{FILE_NAMES[name]}")
+        out = tag_status(parse(lines, name, mode, signed_money=signed_money))
         path = f"{out_dir.rstrip('/')}/{name}"
         bucketed = bool(buckets) and name in BUCKET_KEYS
         partitions = [STATUS]
@@ -111,11 +112,16 @@ def load_quarantine(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
 
 
 def load_text_tables(
-    spark: SparkSession, text_dir: str, mode: str = "failfast"
+    spark: SparkSession, text_dir: str, mode: str = "failfast", signed_money: bool = False
 ) -> dict[str, DataFrame]:
-    """All five tables parsed straight from text (lazy), as the reference loads them."""
+    """All five tables parsed straight from text (lazy), as the reference loads them.
+
+    ``signed_money=True`` keeps a leading minus or accounting parentheses as a negative
+    amount; by default the sign is dropped, as the reference does."""
     return {
-        name: parse(read_lines(spark, f"{text_dir.rstrip('/')}/{fname}"), name, mode).good
+        name: parse(
+            read_lines(spark, f"{text_dir.rstrip('/')}/{fname}"), name, mode, signed_money
+        ).good
         for name, fname in FILE_NAMES.items()
     }
 
@@ -132,6 +138,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--buckets", type=int, default=None, help="bucket sales/refund by transaction id")
     ap.add_argument("--table-prefix", default="", help="catalog name prefix for bucketed tables")
     ap.add_argument("--failfast", action="store_true", help="fail on the first bad line")
+    ap.add_argument("--signed-money", action="store_true", help="keep '-5' / '(5)' negative")
     args = ap.parse_args(argv)
 
     from tillroll.session import tune
@@ -145,6 +152,7 @@ def main(argv: list[str] | None = None) -> None:
         buckets=args.buckets,
         table_prefix=args.table_prefix,
         by_month=args.by_month,
+        signed_money=args.signed_money,
     )
     for name, path in written.items():
         print(f"{name}: {path}")
