@@ -106,12 +106,16 @@ def test_tune_sizes_initial_partitions(spark):
     assert initial_partitions(10 * 2**40) == 81920  # 10 TB / 128 MB
     assert initial_partitions(10**18) == 200_000
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    assert spark.conf.get(key, None) is None
+    before = spark.conf.get(key, None)
     try:
+        spark.conf.unset(key)
         tune(spark, largest_shuffle_bytes=10 * 2**40)
         assert spark.conf.get(key) == "81920"
         spark.conf.set(key, "7")
         tune(spark, largest_shuffle_bytes=1)  # a value the caller set is kept
         assert spark.conf.get(key) == "7"
     finally:
-        spark.conf.unset(key)
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
