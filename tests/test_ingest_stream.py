@@ -246,3 +246,14 @@ def test_signed_money_option(spark, scratch):
     out = os.path.join(scratch, "signed")
     ingest(spark, text, out, tables=("product",), signed_money=True)
     assert sorted(r.product_price for r in load(spark, out, "product").collect()) == [-949.0, -677.0]
+
+
+def test_report_cli_with_bucketed_tables(spark, scratch, capsys):
+    from tillroll.report import main
+
+    text = _text_dir(scratch)
+    out = os.path.join(scratch, "bucketed-cli")
+    ingest(spark, text, out, buckets=4, table_prefix="cli_")
+    main([text, "--ingested", out, "--bucketed-prefix", "cli_", "--street", "a", "--rows", "5"])
+    printed = capsys.readouterr().out
+    assert "3. unrefunded sales of 2013" in printed and "700.0" in printed
