@@ -13,6 +13,7 @@ PYTHON_OPERATORS = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas
 
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
+    """What ``df.explain(mode)`` prints, as a string (no action runs)."""
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain(mode=mode)
@@ -20,6 +21,7 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
 
 
 def uses_python(df: DataFrame) -> bool:
+    """True when any physical operator hands rows to a Python worker."""
     text = plan_text(df, "simple")
     return any(op in text for op in PYTHON_OPERATORS)
 
@@ -34,4 +36,5 @@ def count_shuffles(df: DataFrame) -> int:
 
 
 def pushed_filters(df: DataFrame) -> list[str]:
+    """The ``PushedFilters`` list of every file scan in the plan."""
     return re.findall(r"PushedFilters: \[([^\]]*)\]", plan_text(df, "simple"))
