@@ -182,6 +182,9 @@ def test_month_partitioned_ingest_prunes_folders(spark, scratch):
                   if d.startswith("_month=")) == ["_month=201305", "_month=201407"]
     sales, refund = load(spark, out, "sales"), load(spark, out, "refund")
     assert "_month" in sales.columns
+    # a line without a valid timestamp has no month: it sits in the default partition
+    bad = load_quarantine(spark, out, "sales").collect()
+    assert [(b.value.split("|")[0], b.reason) for b in bad] == [("T3", "bad timestamp")]
     per = refunds.net_sales_per_customer(sales, refund, 2013, 5)
     before = spark.conf.get("spark.sql.maxMetadataStringLength")
     spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
