@@ -1,15 +1,15 @@
 """Run all six questions on a directory of pipe-delimited files, as the reference's
 main program does, and print the answers.
 
-    spark-submit -m tillroll.report <data_dir> [--year 2013 --month 5 --rank 2
+    python -m tillroll.report <data_dir> [--year 2013 --month 5 --rank 2
         --min-repeats 2 --street "1154 Winters Blvd" --fan-out --any-refund
         --ingested <parquet_dir>]
 
 With ``--ingested`` the tables come from a folder written by
 ``tillroll.sources.ingest.ingest`` (parsed once, partition-pruned) instead of the text;
 ``--bucketed-prefix`` reads sales and refunds from the bucketed catalog tables.
-The session is taken from the environment (``spark-submit --master ...``); nothing
-here sets a master.
+The session is taken from the environment (spark-defaults, or the ``spark-submit``
+options of a driver script that calls ``main``); nothing here sets a master.
 """
 
 from __future__ import annotations

@@ -127,7 +127,7 @@ def load_text_tables(
 
 
 def main(argv: list[str] | None = None) -> None:
-    """``spark-submit -m tillroll.sources.ingest <text_dir> <out_dir> [--by-month]
+    """``python -m tillroll.sources.ingest <text_dir> <out_dir> [--by-month]
     [--buckets N --table-prefix P] [--failfast]``"""
     import argparse
 
