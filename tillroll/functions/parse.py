@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The money cleaner keeps ASCII digits and the dot, nothing else.
-MONEY_DROP = r"[^0-9.]"
+MONEY_DROP = r"[^0-9.]+"
 # Accepted timestamp layout, month/day/year hour:minute:second,
 # one or two digits for every part except the four-digit year.
 TIMESTAMP_LAYOUT = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"
