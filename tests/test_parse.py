@@ -179,3 +179,20 @@ def test_null_and_blank_lines_are_short(spark):
     assert sorted(r.reason for r in p.bad.collect()) == ["short line", "short line"]
     rep = {(r.field, r.check_name): r.n for r in dq_report(df, SALES).collect()}
     assert rep[("*", "short_line")] == 2
+
+
+def test_load_table_reads_one_file(spark, scratch):
+    import os
+
+    from tillroll.sources.text import load_table
+
+    path = os.path.join(scratch, "Product.txt")
+    with open(path, "w") as fh:
+        fh.write("P1|Desktop |P106|v1|$949\nP2|Laptop |P105|v1|677\n")
+    rows = sorted(tuple(r) for r in load_table(spark, path, "product").collect())
+    assert rows == [("P1", "Desktop ", "P106", "v1", 949.0), ("P2", "Laptop ", "P105", "v1", 677.0)]
+    flat = flatten_struct(
+        spark.createDataFrame([(1, ("a", "b"))], "id int, home struct<street:string,city:string>"),
+        "home", prefix="h",
+    )
+    assert flat.columns == ["id", "h_street", "h_city"]
