@@ -260,3 +260,17 @@ def test_report_cli_with_bucketed_tables(spark, scratch, capsys):
     main([text, "--ingested", out, "--bucketed-prefix", "cli_", "--street", "a", "--rows", "5"])
     printed = capsys.readouterr().out
     assert "3. unrefunded sales of 2013" in printed and "700.0" in printed
+
+
+def test_address_search_pushes_down_on_ingested_table(spark, scratch):
+    from tillroll.operators.address import customers_at_address
+    from tillroll.plans.inspect import pushed_filters
+
+    text = _text_dir(scratch)
+    out = os.path.join(scratch, "addr")
+    ingest(spark, text, out, tables=("customer_extended",))
+    ce = load(spark, out, "customer_extended")
+    hit = customers_at_address(ce, "A")  # the fixture's street is "a"
+    assert [r.id for r in hit.collect()] == ["C1"]
+    assert any("EqualTo(_current_street,A)" in f for f in pushed_filters(hit))
+    assert customers_at_address(ce, "b").count() == 0

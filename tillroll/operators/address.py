@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.sources.schema import STREET_KEY
+
 
 def customers_at_address(
     customers_extended: DataFrame,
@@ -21,4 +23,8 @@ def customers_at_address(
     column = F.upper(F.col(f"{address}.street_address"))
     if pattern:
         return customers_extended.filter(column.like(street.upper()))
-    return customers_extended.filter(column == F.lit(street.upper()))
+    cond = column == F.lit(street.upper())
+    if address == "current_address" and STREET_KEY in customers_extended.columns:
+        # the ingested key equals upper(street): a plain column equality parquet can push
+        cond = (F.col(STREET_KEY) == F.lit(street.upper())) & cond
+    return customers_extended.filter(cond)

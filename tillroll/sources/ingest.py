@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions.periods import PERIOD, month_key
-from tillroll.sources.schema import FILE_NAMES, SPECS
+from tillroll.sources.schema import FILE_NAMES, SPECS, STREET_KEY
 from tillroll.sources.text import REASON, Parsed, parse, read_lines
 
 STATUS = "_status"
@@ -69,6 +69,10 @@ def ingest(
         bucketed = bool(buckets) and name in BUCKET_KEYS
         partitions = [STATUS]
         writer_df = out
+        if name == "customer_extended":
+            writer_df = writer_df.withColumn(
+                STREET_KEY, F.upper(F.col("current_address.street_address"))
+            )
         if "timestamp" in out.columns and not bucketed:
             if by_month:
                 writer_df = writer_df.withColumn(PERIOD, month_key("timestamp"))
@@ -98,11 +102,11 @@ def load_bucketed(spark: SparkSession, name: str, table_prefix: str = "") -> Dat
 
 def load(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
     """The good rows of an ingested table, with the spec's typed schema (plus
-    ``_month`` when the table was written by month, for partition pruning)."""
+    ``_month`` when the table was written by month, for partition pruning, and the
+    normalised street key of extended customers, for pushed-down address search)."""
     cols = [f.name for f in SPECS[name].schema().fields]
     df = spark.read.parquet(f"{out_dir.rstrip('/')}/{name}")
-    if PERIOD in df.columns:
-        cols.append(PERIOD)
+    cols += [c for c in (PERIOD, STREET_KEY) if c in df.columns]
     return df.filter(F.col(STATUS) == "ok").select(*cols)
 
 

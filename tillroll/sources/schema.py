@@ -152,6 +152,10 @@ CUSTOMER_EXTENDED = TableSpec(
 
 SPECS = {s.name: s for s in (PRODUCT, SALES, REFUND, CUSTOMER, CUSTOMER_EXTENDED)}
 
+# Written at ingest for extended customers: upper(current street), so an address search
+# is a plain column equality that parquet can filter with statistics and dictionaries.
+STREET_KEY = "_current_street"
+
 # File name of each table inside a data directory.
 FILE_NAMES = {
     "product": "Product.txt",
