@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,7 +80,7 @@ def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
     """Cut a batch into runs of rows whose ``column`` holds about ``limit`` bytes (a longer
     single value stays whole)."""
     total, start = 0, 0
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
     for i, n in enumerate(sizes):
         if total and total + n > limit:
             yield batch.slice(start, i - start)
