@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, topk, warc
+from tillroll.llm import bpe, decontaminate, langid, quality, topk, warc
 from tillroll.llm.common import stored, table, work_dir
 
 
@@ -30,6 +30,25 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, path, public_tokenizers.PATTERN, ids=False, digests=True)
 
 
+def _remainder(n: int) -> Column:
+    """crc32 of doc_id as text modulo ``n`` (0 for a null id)."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n, F.lit(0))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), _remainder(5) == 0
+    )
+    return scored.select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.classify(docs, _remainder(4) == 2)
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -51,6 +70,8 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
+    "op3_quality": op3_quality,
+    "op4_langid": op4_langid,
     "op9_decontaminate": op9_decontaminate,
     "op10_topk": op10_topk,
 }

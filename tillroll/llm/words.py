@@ -25,7 +25,7 @@ BYTE_HASH = _mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15)) | U64(1
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _BASE = 0xD1342543DE82EF95
-_INVERSE = pow(_BASE, -1, 1 << 64)
+INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
 # words are runs of bytes outside the separators
@@ -96,5 +96,5 @@ def find_words(column: pa.Array, inside: np.ndarray) -> Words:
     start = np.flatnonzero(word & (~before | edge[:-1]))
     end = np.flatnonzero(word & (~after | edge[1:])) + 1
     sums = prefix_hash(BYTE_HASH[data])
-    hashes = (sums[end] - sums[start]) * powers(_INVERSE, len(data) + 1)[start]
+    hashes = (sums[end] - sums[start]) * powers(INVERSE, len(data) + 1)[start]
     return Words(data, start, end, np.searchsorted(start, bounds), _mix(hashes))
