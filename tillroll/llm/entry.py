@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, langid, quality, topk, warc
+from tillroll.llm import bpe, decontaminate, html, langid, quality, topk, warc
 from tillroll.llm.common import stored, table, work_dir
 
 
@@ -49,6 +49,11 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.classify(docs, _remainder(4) == 2)
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html.extract(pages, html.fit(pages))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -72,6 +77,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
     "op4_langid": op4_langid,
+    "op8_html": op8_html,
     "op9_decontaminate": op9_decontaminate,
     "op10_topk": op10_topk,
 }
