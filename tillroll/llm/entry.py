@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, html, langid, quality, topk, warc
+from tillroll.llm import bpe, decontaminate, html, langid, licenses, quality, topk, warc
 from tillroll.llm.common import stored, table, work_dir
 
 
@@ -49,6 +49,20 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.classify(docs, _remainder(4) == 2)
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as a file tree: each source is a top directory with a directory per
+    1,000 doc_ids and below it one per 100; in each of the lower ones the documents of
+    0..4 modulo 100 are licence files, and those of 0..4 modulo 1,000 stand one level up."""
+    i = F.col("doc_id")
+    top = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(i / 1000))
+    folder = F.when(i % 1000 < 5, top).otherwise(F.concat_ws("/", top, F.floor(i / 100)))
+    name = F.when(i % 100 < 5, F.concat(F.lit("LICENSE."), i)).otherwise(F.concat(F.lit("doc-"), i))
+    files = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.concat(folder, F.lit("/"), name).alias("path")
+    )
+    return licenses.scan(files, licenses.templates(spark))
+
+
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html.extract(pages, html.fit(pages))
@@ -77,12 +91,79 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
     "op4_langid": op4_langid,
+    "op6_licenses": op6_licenses,
     "op8_html": op8_html,
     "op9_decontaminate": op9_decontaminate,
     "op10_topk": op10_topk,
 }
 
+_TEMPLATES = ", ".join(
+    "('{}', '{}')".format(k, v.replace("'", "''")) for k, v in licenses.TEMPLATES
+)
+
 ORACLE_SQL = {
+    "op6_licenses": f"""
+WITH tpl(license_id, template) AS (VALUES {_TEMPLATES}),
+tok AS (
+    SELECT license_id, token, count(*) AS tf
+    FROM (SELECT license_id, unnest(regexp_extract_all(lower(template), '[a-z0-9]+(?:\\.[0-9]+)*')) AS token FROM tpl)
+    GROUP BY ALL
+), idf AS (
+    SELECT token, ln((SELECT count(*) FROM tpl) + 1.0) - ln(count(*) + 1.0) + 1 AS idf FROM tok GROUP BY token
+), tw AS (
+    SELECT license_id, token, tf * idf AS w,
+           sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY license_id)) AS norm
+    FROM tok JOIN idf USING (token)
+), files AS (
+    SELECT doc_id, text, regexp_replace(path, '/?[^/]*$', '') AS dir, path,
+           regexp_matches(path, '(^|/)LICENSE[.][^/]*$') AS is_license
+    FROM (
+        SELECT doc_id, text,
+               coalesce(source, 'none') || '/' || (doc_id // 1000)
+               || CASE WHEN doc_id % 1000 < 5 THEN '' ELSE '/' || (doc_id // 100) END || '/'
+               || CASE WHEN doc_id % 100 < 5 THEN 'LICENSE.' ELSE 'doc-' END || doc_id AS path
+        FROM documents WHERE doc_id IS NOT NULL
+    )
+), seg AS (
+    SELECT DISTINCT path, segment FROM (
+        SELECT path, unnest(string_split(text, chr(10))) AS segment FROM files
+        UNION ALL
+        SELECT path, text FROM files WHERE is_license
+    ) WHERE regexp_matches(segment, '(?i)licen[sc]|copyright|spdx')
+), st AS (
+    SELECT path, segment, token, count(*) AS tf
+    FROM (SELECT path, segment, unnest(regexp_extract_all(lower(segment), '[a-z0-9]+(?:\\.[0-9]+)*')) AS token FROM seg)
+    GROUP BY ALL
+), sw AS (
+    SELECT path, segment, token,
+           tf * coalesce(idf, ln((SELECT count(*) FROM tpl) + 1.0) + 1) AS w
+    FROM st LEFT JOIN idf USING (token)
+), sn AS (
+    SELECT path, segment, sqrt(sum(w * w)) AS norm FROM sw GROUP BY ALL
+), dots AS (
+    SELECT sw.path, sw.segment, license_id, sum(sw.w * tw.w / tw.norm) AS dot
+    FROM sw JOIN tw USING (token) GROUP BY ALL
+), own AS (
+    SELECT path, license_id, score FROM (
+        SELECT path, license_id, round(dot / norm, 6) AS score,
+               row_number() OVER (PARTITION BY path ORDER BY round(dot / norm, 6) DESC, license_id) AS r
+        FROM dots JOIN sn USING (path, segment)
+        WHERE round(dot / norm, 6) >= 0.6
+    ) WHERE r = 1
+), holders AS (
+    SELECT dir, min(path) AS license_path, arg_min(own.license_id, path) AS license_id
+    FROM own JOIN files USING (path) WHERE is_license GROUP BY dir
+)
+SELECT doc_id, path, coalesce(own.license_id, h2.license_id, h1.license_id, h0.license_id) AS license_id,
+       own.score AS score,
+       CASE WHEN own.license_id IS NOT NULL THEN 'own'
+            WHEN coalesce(h2.license_id, h1.license_id, h0.license_id) IS NOT NULL THEN 'inherited' END AS origin,
+       CASE WHEN own.license_id IS NOT NULL THEN path
+            ELSE coalesce(h2.license_path, h1.license_path, h0.license_path) END AS license_path
+FROM files LEFT JOIN own USING (path)
+LEFT JOIN holders h2 ON h2.dir = files.dir
+LEFT JOIN holders h1 ON h1.dir = regexp_replace(files.dir, '/?[^/]*$', '')
+LEFT JOIN holders h0 ON h0.dir = regexp_replace(regexp_replace(files.dir, '/?[^/]*$', ''), '/?[^/]*$', '')""",
     "op1_warc": """
 WITH p AS (
     SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
