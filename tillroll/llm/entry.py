@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, html, langid, licenses, quality, topk, warc
+from tillroll.llm import bpe, decontaminate, html, langid, licenses, quality, suffix_dedup, topk, warc
 from tillroll.llm.common import stored, table, work_dir
 
 
@@ -49,6 +49,14 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.classify(docs, _remainder(4) == 2)
 
 
+def op5_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = suffix_dedup.remove_repeats(docs, kept=False, digest=True)
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents as a file tree: each source is a top directory with a directory per
     1,000 doc_ids and below it one per 100; in each of the lower ones the documents of
@@ -91,6 +99,7 @@ QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_quality": op3_quality,
     "op4_langid": op4_langid,
+    "op5_suffix": op5_suffix,
     "op6_licenses": op6_licenses,
     "op8_html": op8_html,
     "op9_decontaminate": op9_decontaminate,
