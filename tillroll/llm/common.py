@@ -76,6 +76,19 @@ def maybe_broadcast(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def keyed(docs: DataFrame, id_col: str) -> tuple[DataFrame, int, int]:
+    """``docs`` (id and ``_text``) with ``_row``, unique numbers in the order of (id, nulls
+    last, text), which are the ids themselves if those are unique; rows; text bytes."""
+    sizes = docs.agg(
+        F.count("*"), F.count(id_col), F.sum(F.octet_length("_text")), F.countDistinct(id_col),
+    ).first()
+    rows, known, size, distinct = (x or 0 for x in sizes)
+    if rows == known == distinct:
+        return docs.withColumn("_row", F.col(id_col).cast("long")), rows, size
+    ordered = docs.orderBy(F.col(id_col).asc_nulls_last(), "_text")
+    return stored(ordered.withColumn("_row", F.monotonically_increasing_id()), "rows"), rows, size
+
+
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose ``column`` holds about ``limit`` bytes (a longer
     single value stays whole)."""

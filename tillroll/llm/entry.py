@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, html, langid, licenses, quality, suffix_dedup, topk, warc
+from tillroll.llm import bpe, decontaminate, html, jaccard, langid, licenses, quality, suffix_dedup, topk, warc
 from tillroll.llm.common import stored, table, work_dir
 
 
@@ -71,6 +71,11 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(files, licenses.templates(spark))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return joined.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
+
+
 def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return html.extract(pages, html.fit(pages))
@@ -101,6 +106,7 @@ QUERIES = {
     "op4_langid": op4_langid,
     "op5_suffix": op5_suffix,
     "op6_licenses": op6_licenses,
+    "op7_jaccard": op7_jaccard,
     "op8_html": op8_html,
     "op9_decontaminate": op9_decontaminate,
     "op10_topk": op10_topk,

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_arrow, stored
+from tillroll.llm.common import keyed, map_arrow, stored
 from tillroll.llm.words import BYTE_HASH, U64, _mix, powers, prefix_hash, text_bytes
 
 LENGTH = 100
@@ -366,18 +366,6 @@ def _hot_seeds(docs: DataFrame, rows: int, size: int, length: int, seed: int) ->
     return np.sort(np.array(frequent, np.int64).view(np.uint64))
 
 
-def _keyed(docs: DataFrame, id_col: str) -> tuple[DataFrame, int, int]:
-    """``docs`` with ``_row``, unique numbers in the order of ids; rows; text bytes."""
-    sizes = docs.agg(
-        F.count("*"), F.count(id_col), F.sum(F.octet_length("_text")), F.countDistinct(id_col),
-    ).first()
-    rows, known, size, distinct = (x or 0 for x in sizes)
-    if rows == known == distinct:
-        return docs.withColumn("_row", F.col(id_col).cast("long")), rows, size
-    ordered = docs.orderBy(F.col(id_col).asc_nulls_last(), "_text")
-    return stored(ordered.withColumn("_row", F.monotonically_increasing_id()), "rows"), rows, size
-
-
 def remove_repeats(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
     seed: int = SEED, batch_bytes: int = BATCH_BYTES, kept: bool = True, digest: bool = False,
@@ -389,7 +377,7 @@ def remove_repeats(
     added += [("kept", "binary")] * kept + [("kept_sha256", "string")] * digest
     names = [n for n, _ in added]
     keep = [c for c in df.columns if c not in (text_col, "_row", "_text", *names)]
-    docs, rows, size = _keyed(
+    docs, rows, size = keyed(
         df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").cast("string").alias("_text")),
         id_col,
     )
