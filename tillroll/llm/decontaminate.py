@@ -161,10 +161,12 @@ def _count_shingles(docs: DataFrame, index: WindowIndex) -> dict[tuple[int, int]
     return {(r.k, r.shingle): r.n for r in summed.collect()}  # at most the index's shingles
 
 
-def _slice_pass(docs: DataFrame, index: WindowIndex, extend: bool) -> DataFrame:
-    """Add the result columns; ``extend``: to those that ``docs`` has from other slices."""
+def _slice_pass(docs: DataFrame, index: WindowIndex, extend: bool, text: bool) -> DataFrame:
+    """Add the result columns; ``extend``: to those that ``docs`` has from other slices;
+    ``text``: return the text too."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
-    keep = [c for c in docs.columns if c not in ("n_words", "n_hit", "item_ids", "hit_spans")]
+    drop = {"n_words", "n_hit", "item_ids", "hit_spans"} | ({"_text"} if not text else set())
+    keep = [c for c in docs.columns if c not in drop]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,7 +217,7 @@ def _runs(mask: np.ndarray) -> list[dict]:
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE,
-    slice_bytes: int = BROADCAST_BYTES // 8,
+    slice_bytes: int = BROADCAST_BYTES // 8, keep_text: bool = True,
 ) -> DataFrame:
     """``docs`` plus n_words, n_hit, item_ids (sorted, distinct) and hit_spans (first and
     last word of each maximal run of hit words)."""
@@ -224,14 +226,15 @@ def find_contamination(
     ).where("item IS NOT NULL AND text IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_slices = max(1, -(-total // slice_bytes))
-    clash = {"_text", "n_words", "n_hit", "item_ids", "hit_spans"}
+    clash = {text_col, "_text", "n_words", "n_hit", "item_ids", "hit_spans"}
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in clash]
     out = docs.select(*keep, F.col(f"`{text_col}`").cast("string").alias("_text"))
     for i in range(n_slices):
         part = items.where(F.pmod(F.xxhash64("item"), F.lit(n_slices)) == i)
         index = WindowIndex([tuple(r) for r in part.collect()], window, shingle)
         index.choose(_count_shingles(out, index) if index.windows else {})
-        out = _slice_pass(out, index, extend=i > 0)
-        if i + 1 < n_slices:
+        last = i + 1 == n_slices
+        out = _slice_pass(out, index, extend=i > 0, text=keep_text or not last)
+        if not last:
             out = stored(out, "contamination")
-    return out.drop("_text")
+    return out.withColumnRenamed("_text", text_col)

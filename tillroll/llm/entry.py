@@ -84,7 +84,7 @@ def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
-        table(spark, sf_dir, "benchmark"),
+        table(spark, sf_dir, "benchmark"), keep_text=False,
     )
     ids = F.array_sort(F.transform("item_ids", lambda x: x.cast("string")))
     return found.select(

@@ -422,17 +422,10 @@ def _verify(pairs: DataFrame, docs: DataFrame, parts: int, k: int) -> DataFrame:
     return map_arrow(rows.select("a", "b", "_text"), run, "u long, v long")
 
 
-def join(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE
-) -> DataFrame:
-    """(id, n_shingles, component, is_first) per row of ``df``: ``component`` is the
-    smallest id of the documents reachable by links, ``is_first`` marks one row of each
-    component (the first in the order of ids)."""
-    docs, _, size = keyed(
-        df.select(F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").cast("string").alias("_text")),
-        id_col,
-    )
-    spark = df.sparkSession
+def _labels(docs: DataFrame, size: int, k: int) -> DataFrame:
+    """(doc, n_shingles, label) per ``_row`` of ``docs``: label is the least row reachable
+    by links."""
+    spark = docs.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
     texts = docs.select("_row", "_text")
     summary = stored(_summaries(texts, k), "sets")
@@ -477,11 +470,31 @@ def join(
     named = classes.join(labels, F.col("first") == F.col("node"), "left").select(
         *same, F.coalesce("component", "first").alias("label")
     )
-    found = summary.select("doc", *same).join(named, same, "left").select(
+    return summary.select("doc", *same).join(named, same, "left").select(
         "doc", F.col("n").alias("n_shingles"), F.coalesce("label", "doc").alias("label")
     )
-    ids = docs.select(F.col("_row").alias("doc"), F.col(f"`{id_col}`").alias(id_col))
-    names = docs.select(F.col("_row").alias("label"), F.col(f"`{id_col}`").alias("component"))
-    return found.join(ids, "doc").join(names, "label").select(
-        id_col, "n_shingles", "component", (F.col("doc") == F.col("label")).alias("is_first")
+
+
+def join(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE
+) -> DataFrame:
+    """(id, n_shingles, component) per row of ``df``: ``component`` is the smallest id of
+    the documents reachable by links, the row's own included."""
+    text = F.col(f"`{text_col}`").cast("string").alias("_text")
+    docs, _, size = keyed(df.select(F.col(f"`{id_col}`").alias(id_col), text), id_col)
+    found = _labels(docs, size, k)
+    ids = docs.select(F.col("_row").alias("doc"), F.col(id_col))
+    names = docs.select(F.col("_row").alias("label"), F.col(id_col).alias("component"))
+    return found.join(ids, "doc").join(names, "label").select(id_col, "n_shingles", "component")
+
+
+def representatives(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE
+) -> DataFrame:
+    """The rows of ``df`` that are the first of their component, in the order of ids."""
+    text = F.col(f"`{text_col}`").cast("string").alias("_text")
+    docs, _, size = keyed(df.select(*(F.col(f"`{c}`") for c in df.columns), text), id_col)
+    firsts = _labels(docs, size, k).where("doc = label").select("doc")
+    return docs.join(firsts, F.col("_row") == F.col("doc"), "left_semi").select(
+        *(F.col(f"`{c}`") for c in df.columns)
     )

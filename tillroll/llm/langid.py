@@ -239,10 +239,13 @@ def fit(
     return model
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+def predict(
+    docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True
+) -> DataFrame:
     """``docs`` plus lang_pred and score (columns of those names are replaced)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS x languages
-    keep = [c for c in docs.columns if c not in ("lang_pred", "score")]
+    keep = [c for c in docs.columns if c not in (text_col, "_text", "lang_pred", "score")]
+    out = [*keep, *(["_text"] if keep_text else [])]
     rows = docs.select(
         *(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").cast("string").alias("_text")
     )
@@ -255,16 +258,18 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
                 names += found
                 scores.append(p)
             yield pa.RecordBatch.from_arrays([
-                *batch.columns[:-1], pa.array(names, pa.string()),
+                *batch.columns[: len(out)], pa.array(names, pa.string()),
                 pa.array(np.concatenate(scores or [np.zeros(0)])),
-            ], [*keep, "lang_pred", "score"])
+            ], [*out, "lang_pred", "score"])
 
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    return map_arrow(rows, run, ", ".join([*fields, "lang_pred string", "score double"]))
+    fields = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in out]
+    found = map_arrow(rows, run, ", ".join([*fields, "lang_pred string", "score double"]))
+    return found.withColumnRenamed("_text", text_col)
 
 
 def classify(docs: DataFrame, held_out: Column) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of documents (doc_id, text, lang), learned from
     the rows where ``held_out`` (a Column over doc_id) is false."""
     model = fit(docs.where(~held_out))
-    return predict(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return predict(rows, model, keep_text=False)

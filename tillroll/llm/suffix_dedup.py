@@ -366,15 +366,32 @@ def _hot_seeds(docs: DataFrame, rows: int, size: int, length: int, seed: int) ->
     return np.sort(np.array(frequent, np.int64).view(np.uint64))
 
 
+def _without(raw: bytes, turns: list[int]) -> bytes:
+    """``raw`` (UTF-8) without the characters that lie whole in the runs between turns."""
+    out, at = [], 0
+    for start, end in zip(turns[::2], turns[1::2]):
+        while start < len(raw) and raw[start] & 0xC0 == 0x80:
+            start += 1  # the character that the run starts within stays
+        while start < end < len(raw) and raw[end] & 0xC0 == 0x80:
+            end -= 1  # the one that it ends within, too
+        if end > start:
+            out.append(raw[at:start])
+            at = end
+    return b"".join([*out, raw[at:]])
+
+
 def remove_repeats(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
     seed: int = SEED, batch_bytes: int = BATCH_BYTES, kept: bool = True, digest: bool = False,
+    text: bool = False,
 ) -> DataFrame:
     """``df`` without its text plus n_bytes, n_removed, removed (array of maximal removed
-    runs: start, end in bytes) and, as asked for, ``kept`` (binary: the remaining bytes) and
-    ``kept_sha256``.  Columns of those names are replaced."""
+    runs: start, end in bytes) and, as asked for, ``kept`` (binary: the remaining bytes),
+    ``kept_sha256`` and the text column without the characters whose bytes are all removed.
+    Columns of those names are replaced."""
     added = [("n_bytes", "long"), ("n_removed", "long"), ("removed", "array<struct<start:int,end:int>>")]
     added += [("kept", "binary")] * kept + [("kept_sha256", "string")] * digest
+    added += [(text_col, "string")] * text
     names = [n for n, _ in added]
     keep = [c for c in df.columns if c not in (text_col, "_row", "_text", *names)]
     docs, rows, size = keyed(
@@ -431,9 +448,11 @@ def remove_repeats(
                     out["kept"].append(rest)
                 if digest:
                     out["kept_sha256"].append(hashlib.sha256(rest).hexdigest())
+                if text:
+                    out[text_col].append(_without(raw[a:b].tobytes(), turns.tolist()).decode())
             types = {
                 "n_bytes": pa.int64(), "n_removed": pa.int64(), "kept": pa.binary(),
-                "kept_sha256": pa.string(),
+                "kept_sha256": pa.string(), text_col: pa.string(),
                 "removed": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])),
             }
             yield pa.RecordBatch.from_arrays(
