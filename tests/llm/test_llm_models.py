@@ -1,0 +1,184 @@
+"""Quality, language and page extraction."""
+
+from __future__ import annotations
+
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
+
+from tillroll.llm import entry, html, langid, quality
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_statistics_by_definition():
+    texts = ["Aa bb bb, 12 %%\nxx yy\nxx yy", "", None, "  \n", "é É"]
+    x = quality.statistics(pa.array(texts))
+    names = dict(zip(quality.FEATURES, x[0]))
+    n = len(texts[0].encode())
+    words = texts[0].split()
+    assert np.isclose(names["log_words"], np.log1p(len(words)))
+    assert np.isclose(names["symbols"] ** 2, 2 / n)
+    assert np.isclose(names["digits"] ** 2, 2 / n)
+    assert np.isclose(names["few_distinct"] ** 2, 1 - len(set(w.lower() for w in words)) / len(words))
+    assert np.isclose(names["no_letter"] ** 2, 2 / len(words))
+    assert np.isclose(names["line_copies"] ** 2, 1 / 3)
+    assert np.isclose(names["top_word"] ** 2, 2 / len(words))
+    assert not x[1:4].any() and x[4, 0] > 0
+
+
+def test_statistics_do_not_depend_on_the_neighbours():
+    rng = random.Random(0)
+    texts = ["".join(rng.choice("ab \n%A1é") for _ in range(rng.randint(0, 60))) for _ in range(50)]
+    together = quality.statistics(pa.array(texts))
+    alone = np.concatenate([quality.statistics(pa.array([t])) for t in texts])
+    assert np.allclose(together, alone)
+
+
+def test_quality_held_out(spark):
+    got = {r.doc_id: r for r in entry.op3_quality(spark, SF).collect()}
+    labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
+    held = [(got[r.doc_id].predicted, r.quality) for r in labels if got[r.doc_id].held_out]
+    assert len(got) == 1000 and np.mean([a == b for a, b in held]) > 0.97
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_quality_of_unusual_tables(spark):
+    docs = spark.createDataFrame(
+        [(1, "good words here"), (2, None), (None, "x"), (2, "%% %%"), (3, "")], "doc_id long, text string"
+    ).withColumn("score", F.lit("clash"))
+    held = F.lit(False)
+    empty = spark.createDataFrame([], "doc_id long, quality int")
+    got = quality.classify(docs, empty, held).collect()
+    assert sorted(r.score for r in got) == [0, 0, 0.5, 0.5, 0.5]
+    one = spark.createDataFrame([(1, 1), (1, 1), (9, None), (2, 7)], "doc_id long, quality int")
+    assert {r.score for r in quality.classify(docs, one, held).collect()} == {0.0, 0.75}
+    assert quality.classify(docs.limit(0), one, held).collect() == []
+
+
+def test_language_held_out(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    got = entry.op4_langid(spark, SF).join(docs, "doc_id").collect()
+    assert len(got) == 1000
+    assert np.mean([r.lang == r.lang_pred for r in got if r.held_out]) > 0.98
+    assert all(0 < r.score <= 1 for r in got)
+
+
+def test_language_of_unusual_tables(spark):
+    rows = [(1, None, "en"), (2, "", "en"), (3, "12 -- 7", "de"), (4, "hello there", "en"),
+            (5, "hallo da", "de"), (6, "hello there", None), (6, "hello there", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.predict(docs.withColumn("lang_pred", F.lit(1)), langid.fit(docs)).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r.doc_id].append((r.lang_pred, r.score))
+    assert all(by[i] == [("und", 0.0)] for i in (1, 2, 3))
+    assert by[4][0][0] == by[6][0][0] == "en" and by[6][0] == by[6][1] and by[5][0][0] == "de"
+    nothing = langid.fit(docs.where("lang IS NULL"))
+    assert {(r.lang_pred, r.score) for r in langid.predict(docs, nothing).collect()} == {("und", 0.0)}
+    single = langid.fit(docs.where("doc_id = 4"))
+    assert {(r.lang_pred, r.score) for r in langid.predict(docs.where("doc_id = 6"), single).collect()} == {("en", 1.0)}
+    assert langid.predict(docs.limit(0), single).collect() == []
+
+
+def test_learned_weights_are_sparse():
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(a) for _ in range(80)) for a in ("abcde ", "vwxyz ") for _ in range(60)]
+    bounds, bucket, count = langid.counts(texts)
+    x = langid.weigh(bounds, bucket, count, np.ones(langid.BUCKETS))
+    rows = [(bucket[a:b], x[a:b], i // 60) for i, (a, b) in enumerate(zip(bounds, bounds[1:]))]
+    rng.shuffle(rows)
+    weights, bias = langid.learn(rows, 2)
+    assert 0 < (weights != 0).sum() < 0.05 * weights.size
+    model = langid.Model(["l", "r"], np.ones(langid.BUCKETS), weights, bias)
+    assert model.predict(["abc dea", "zyx wv"])[0] == ["l", "r"]
+
+
+def test_counts_do_not_cross_texts():
+    bounds, bucket, count = langid.counts(["ab", "", "AB", "b"])
+    assert bucket[bounds[0] : bounds[1]].tolist() == bucket[bounds[2] : bounds[3]].tolist()
+    assert bounds[1] == bounds[2] and count.sum() == 3 + 3 + 1
+
+
+def test_temperature_fits_confidence():
+    rng = np.random.default_rng(0)
+    labels = rng.integers(0, 3, 2000)
+    logits = rng.normal(0, 1, (2000, 3))
+    logits[np.arange(2000), labels] += 1.5
+    p = langid.softmax(logits * 4 / langid.calibrate(logits * 4, labels))
+    assert abs(p.max(1).mean() - (p.argmax(1) == labels).mean()) < 0.05
+
+
+# ------------------------------------------------------------------------------- pages
+
+PAGE = (
+    '<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body>'
+    '<nav><ul><li><a href="/a">menu one</a></li><li><a>two</a></li></ul></nav>'
+    '<div class="ad">buy {0} now</div><article><h1>Head {0}</h1><p>First &amp; <b>bold</b>ly\n  said.'
+    '<br><p>Second<script>var x = "</p>";</script> caf&eacute;.</p></article>'
+    '<footer>&copy; foot {0}</footer></body></html>'
+)
+
+
+def model(pages):
+    counts = defaultdict(lambda: [0, 0])
+    for page in pages:
+        for (kind, key, inside), v in html.label_counts(page).items():
+            counts[kind, key][inside] += v
+    return html.model_from_counts(counts)
+
+
+def test_article_of_labelled_pages():
+    m = model([PAGE.format(i) for i in range(5)])
+    assert m.extract(PAGE.format("x")) == "Head x\nFirst & boldly said.\nSecond café."
+    assert all(v < 0 for v in m.tags.values())
+
+
+def test_pages_of_other_templates():
+    m = model([PAGE.format(i) for i in range(5)])
+    other = (
+        '<body><header><h1>Site</h1></header><div id="cookie-notice"><p>We use cookies and so on.</p></div>'
+        '<nav class="menu"><a href=#>Home</a></nav><div id="main"><div class="post-content"><h1>Title of it</h1>'
+        '<p>First para of text with <a href=x>link words</a> and more.</p><div class="ad">Buy all things great '
+        'and small and tall.</div><p>Second para still&nbsp;going.</p><ul><li>one<li>two</ul></div>'
+        '<div class="comments"><h3>Comments</h3><p>I think this is a great article and say so.</p></div></div>'
+        '<aside class="sidebar"><p>Some words</p></aside><form><input name=q><button>Go</button></form>'
+    )
+    assert m.extract(other) == (
+        "Title of it\nFirst para of text with link words and more.\nSecond para still going.\none\ntwo"
+    )
+
+
+def test_odd_markup():
+    m = html.Model({}, {})
+    cases = {
+        None: "", "": "", "  ": "", "plain  text": "plain text", "<p": "<p", "<p>a": "a",
+        "<script>x": "", "<!-- a": "", "a<!-- b -->c": "ac", "1 &lt; 2 &#233; &bogus;": "1 < 2 é &bogus;",
+        "<p>a</b></i>b</p><p/>c": "ab\nc", "<td>x<td>y": "x\ny", "<a title='>'>x</a>": "x",
+    }
+    for page, text in cases.items():
+        assert m.extract(page) == text, page
+    assert len(m.extract("<div>" * 3000 + "deep")) == 4
+    assert m.extract("<p>" + "word " * 50_000) == ("word " * 50_000).strip()
+
+
+def test_every_page_of_the_table(spark):
+    got = entry.op8_html(spark, SF).collect()
+    pages = {r.page_id: r for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    assert len(got) == len(pages)
+    for r in got:
+        page = pages[r.page_id]
+        assert r.url == page.url and r.n_chars == len(r.text)
+        assert r.text and "©" not in r.text and "\n\n" not in r.text
+
+
+def test_unusual_page_tables(spark):
+    pages = spark.createDataFrame(
+        [(1, None, None), (1, "u", "<p>x"), (None, "u", "<p>x")], "page_id long, url string, html string"
+    ).withColumn("text", F.lit(5))
+    got = html.extract(pages, html.fit(pages)).collect()
+    assert Counter(r.text for r in got) == {"": 1, "x": 2}
+    assert html.extract(pages.limit(0), html.fit(pages.limit(0))).collect() == []

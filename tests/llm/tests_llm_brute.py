@@ -1,0 +1,3 @@
+"""Brute-force versions shared by the tests of this folder."""
+
+from test_llm_text_ops import hits, linked, repeats  # noqa: F401

@@ -118,6 +118,11 @@ def parse(html: str) -> tuple[list[Block], list[tuple[str, int, Context]]]:
     stack, blocks, tags = [root], [], []
     at, covers = 0, 0
     block: Block | None = None
+    opened: Counter = Counter()
+
+    def close(depth: int) -> None:
+        opened.subtract(c.tag for c in stack[depth:])
+        del stack[depth:]
 
     def text(piece: str) -> None:
         nonlocal block, at
@@ -146,27 +151,27 @@ def parse(html: str) -> tuple[list[Block], list[tuple[str, int, Context]]]:
         elif tag == "br":
             text(" ")
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if opened[tag] > 0 else ():
                 if stack[depth].tag == tag:
                     tags.append((f"/{(stack[depth].keys or (tag,))[0]}", at, stack[depth]))
-                    del stack[depth:]
+                    close(depth)
                     break
                 if stack[depth].tag in SECTIONS and tag not in BLOCK:
                     break  # a stray inline end tag closes no section
             at += 1
             continue
-        if tag in _ENDS:
-            ends, limits = _ENDS[tag]
+        ends, limits = _ENDS.get(tag, ((), ()))
+        if any(opened[x] > 0 for x in ends):
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag in limits:
                     break
                 if stack[depth].tag in ends:
-                    del stack[depth:]
+                    close(depth)
                     break
-        if tag in _ENDS_P:
+        if tag in _ENDS_P and opened["p"] > 0:
             for depth in range(len(stack) - 1, 0, -1):
                 if stack[depth].tag == "p":
-                    del stack[depth:]
+                    close(depth)
                     break
                 if stack[depth].tag in BLOCK:
                     break
@@ -180,12 +185,11 @@ def parse(html: str) -> tuple[list[Block], list[tuple[str, int, Context]]]:
         tags.append(((keys or (tag,))[0], at, context))
         at += 1
         if tag in RAW:
-            close = re.compile(rf"</{tag}\s*>", re.I).search(html, pos)
-            pos = close.end() if close else end
-        elif tag not in VOID and not m[3].endswith("/"):
-            stack.append(context)
-        elif m[3].endswith("/") and tag in BLOCK:
+            m = re.compile(rf"</{tag}\s*>", re.I).search(html, pos)
+            pos = m.end() if m else end
+        elif tag not in VOID and (tag in BLOCK or not m[3].endswith("/")):
             stack.append(context)  # HTML has no self-closing blocks
+            opened[tag] += 1
     return [b for b in blocks if any(p.strip() for p in b.parts)], tags
 
 
@@ -225,10 +229,15 @@ def label_counts(html: str) -> Counter:
     return out
 
 
+def _off(keys: tuple[str, ...]) -> bool:
+    """Whether an element's names are those of something else than text."""
+    return any(NOT_TEXT.search(k.split(".", 1)[1]) for k in keys if "." in k)
+
+
 def _named_off(context: Context | None) -> bool:
     """Whether this element or one around it has a name of something else than text."""
     while context is not None:
-        if any(NOT_TEXT.search(k.split(".", 1)[1]) for k in context.keys if "." in k):
+        if _off(context.keys):
             return True
         if context.tag in ("article", "main"):
             return False
@@ -246,26 +255,24 @@ class Model:
     def context_score(self, context: Context | None, memo: dict[int, float]) -> float:
         """Score of a word below ``context``: what was learned for its keys, else its
         names, else its parent's."""
-        if context is None:
-            return self.default_word
-        if id(context) in memo:
-            return memo[id(context)]
-        learned = [self.words[k] for k in context.keys if k in self.words]
-        if context.never:
-            score = -3.0
-        elif any(NOT_TEXT.search(k.split(".", 1)[1]) for k in context.keys if "." in k):
-            score = -3.0
-        elif learned:
-            score = learned[0]
-            above = self.context_score(context.parent, memo)
-            # what stands in something else than text stays so, but for a section of text
-            if above < 0 and context.tag not in ("article", "main"):
-                score = above
-        else:
-            score = self.context_score(context.parent, memo)
-            if score < 0 and context.tag in ("article", "main"):
+        chain = []
+        while context is not None and id(context) not in memo:
+            chain.append(context)
+            context = context.parent
+        score = self.default_word if context is None else memo[id(context)]
+        for context in reversed(chain):
+            above = score
+            learned = [self.words[k] for k in context.keys if k in self.words]
+            part = context.tag in ("article", "main")
+            if context.never or _off(context.keys):
+                score = -3.0
+            elif above < 0 and not part:
+                score = above  # what stands in something else than text stays so
+            elif learned:
+                score = learned[0]
+            elif above < 0:
                 score = self.default_word
-        memo[id(context)] = score
+            memo[id(context)] = score
         return score
 
     def extract(self, html: str | None) -> str:

@@ -33,6 +33,7 @@ BUCKETS = 1 << 14
 GRAMS = 3
 PER_LANGUAGE = 1000
 SAMPLE = 8000
+MIN_CALIBRATED = 50  # with fewer rows all are learned from, at temperature 1
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.1
 UNDETERMINED = "und"
@@ -229,7 +230,9 @@ def fit(
         for k, b, v in zip(rows["lang"].to_pylist(), rows["bucket"], rows["x"])
     ]
     kept_back, learned = examples[::5], [e for i, e in enumerate(examples) if i % 5]
-    weights, bias = learn(learned or kept_back, len(languages))
+    if len(examples) < MIN_CALIBRATED:
+        kept_back, learned = [], examples
+    weights, bias = learn(learned, len(languages))
     model = Model(languages, idf, weights, bias)
     if len(languages) > 1 and kept_back:
         bounds = np.cumsum([0] + [len(b) for b, _, _ in kept_back])

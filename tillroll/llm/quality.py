@@ -82,13 +82,12 @@ def statistics(column: pa.Array) -> np.ndarray:
     np.cumsum(_CLASSES[_LETTER][raw], out=letters[1:])
     bare = (letters[words.end] == letters[words.start]).astype(float)
     # lines, without their breaks
-    breaks = np.union1d(np.flatnonzero(raw == 10), bounds[1:] - 1)
-    starts = np.union1d(np.flatnonzero(raw == 10) + 1, bounds[:-1])
+    breaks = np.append(np.flatnonzero(raw == 10), len(raw))
+    starts = np.union1d(breaks[:-1] + 1, bounds[:-1])
     starts = starts[starts < len(raw)]
-    ends = np.minimum(np.searchsorted(breaks, starts), len(breaks) - 1) if len(breaks) else starts
-    ends = breaks[ends] + 1 if len(breaks) else starts
-    sums = prefix_hash(BYTE_HASH[raw])
     line = np.searchsorted(bounds, starts, side="right") - 1
+    ends = np.minimum(breaks[np.searchsorted(breaks, starts)], bounds[line + 1])
+    sums = prefix_hash(BYTE_HASH[raw])
     line_hash = (sums[ends] - sums[starts]) * powers(INVERSE, len(raw) + 1)[starts]
     n_lines = np.bincount(line, minlength=n).astype(float)
     distinct_lines, _ = _repeated(line, line_hash, n)
