@@ -13,7 +13,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.functions.money import as_double, cents, checked, sum_cents, total
+from tillroll.functions.money import TOTAL, as_double, cents, checked, sum_cents, total
 from tillroll.functions.periods import month_bounds, restrict, year_bounds
 
 SAME_YEAR = "year"
@@ -35,7 +35,7 @@ def refunds_per_transaction(refunds: DataFrame) -> DataFrame:
     """One row per refunded transaction: refund total in cents and number of refunds."""
     return refunds.groupBy(F.col("original_transaction_id").alias("transaction_id")).agg(
         total("refund_amount").alias("refund_cents"),
-        F.count(F.lit(1)).cast("int").alias("n_refunds"),
+        F.count(F.lit(1)).alias("n_refunds"),
     )
 
 
@@ -75,12 +75,12 @@ def net_sales(
     month_sales = restrict(sales, "timestamp", *month_bounds(year, month))
     per_tx = refunds_per_transaction(_scoped(refunds, year, refunds_since))
     joined = month_sales.join(per_tx, "transaction_id", "left")
-    refunded = F.coalesce(F.col("refund_cents"), F.lit(0).cast("bigint"))
+    refunded = F.coalesce(F.col("refund_cents"), F.lit(0).cast(TOTAL))
     amount = cents("total_amount")
     if fan_out:
         times = F.greatest(F.coalesce(F.col("n_refunds"), F.lit(1)), F.lit(1))
-        amount = checked(F.try_multiply(amount, times.cast("bigint")))
-    return joined.withColumn("net", amount - refunded)
+        amount = F.when(amount.isNotNull(), checked((amount * times).try_cast(TOTAL)))
+    return joined.withColumn("net", (amount - refunded).cast(TOTAL))
 
 
 def net_sales_per_customer(

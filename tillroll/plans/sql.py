@@ -18,6 +18,11 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.functions.money import TOTAL, cents_sql, total_sql
+
+# exact cents back to a double amount
+_DOUBLE = f"CAST(CAST({{}} AS {TOTAL}) / 100 AS DOUBLE)"
+
 VIEWS = ("product", "sales", "refund", "customer", "customer_extnd")
 
 
@@ -45,9 +50,9 @@ def sales_distribution(
     return spark.sql(
         f"""
         WITH per_product AS (
-          SELECT product_id, sum(CAST(total_amount AS DECIMAL(18,2))) AS amount
+          SELECT product_id, {total_sql("total_amount")} AS amount
           FROM {p}sales GROUP BY product_id)
-        SELECT p.product_name, p.product_type, CAST(sum(s.amount) AS DOUBLE) AS total_sales
+        SELECT p.product_name, p.product_type, {_DOUBLE.format('sum(s.amount)')} AS total_sales
         FROM {p}product p {join} per_product s ON s.product_id = p.product_id
         GROUP BY p.product_name, p.product_type
         ORDER BY total_sales DESC NULLS LAST, product_name, product_type
@@ -70,7 +75,7 @@ def unrefunded_total(
         args["since"] = since
     return spark.sql(
         f"""
-        SELECT CAST(sum(CAST(s.total_amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
+        SELECT {_DOUBLE.format(total_sql('s.total_amount'))} AS total_amount
         FROM {p}sales s
         LEFT ANTI JOIN (SELECT DISTINCT original_transaction_id FROM {p}refund
                         {_refund_scope(since)}) r
@@ -95,19 +100,20 @@ def nth_best_customer(
     args = {"year": year, "month": month, "n": int(n)}
     if since is not None:
         args["since"] = since
-    amount = "CAST(s.total_amount AS DECIMAL(18,2))"
+    amount = cents_sql("s.total_amount")
     if fan_out:
-        amount += " * greatest(coalesce(r.n_refunds, 1), 1)"
+        amount = f"CAST({amount} * greatest(coalesce(r.n_refunds, 1L), 1L) AS {TOTAL})"
     return spark.sql(
         f"""
         WITH per_tx AS (
           SELECT original_transaction_id AS transaction_id,
-                 sum(CAST(refund_amount AS DECIMAL(18,2))) AS refund_total,
-                 CAST(count(*) AS INT) AS n_refunds
+                 {total_sql("refund_amount")} AS refund_total,
+                 count(*) AS n_refunds
           FROM {p}refund {_refund_scope(since)}
           GROUP BY original_transaction_id),
         net AS (
-          SELECT s.customer_id, sum({amount} - coalesce(r.refund_total, 0)) AS net_total
+          SELECT s.customer_id,
+                 CAST(sum(CAST({amount} - coalesce(r.refund_total, 0) AS {TOTAL})) AS {TOTAL}) AS net_total
           FROM {p}sales s LEFT JOIN per_tx r ON s.transaction_id = r.transaction_id
           WHERE s.timestamp >= make_timestamp_ntz(:year, :month, 1, 0, 0, 0)
             AND s.timestamp < make_timestamp_ntz(:year, :month, 1, 0, 0, 0) + INTERVAL 1 MONTH
@@ -127,7 +133,7 @@ def nth_best_customer(
                  concat_ws(' ', c.customer_first_name, c.customer_last_name) AS customer_name
           FROM {p}customer c JOIN bounds b ON c.customer_id BETWEEN b.lo AND b.hi)
         SELECT ranked.customer_id, names.customer_name,
-               CAST(ranked.net_total AS DOUBLE) AS net_total
+               {_DOUBLE.format('ranked.net_total')} AS net_total
         FROM ranked JOIN names ON names.customer_id = ranked.customer_id
         """,
         args=args,
