@@ -27,7 +27,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tillroll.functions.clean import US_STATES
 from tillroll.functions.money import as_double
-from tillroll.functions.periods import month_bounds
+from tillroll.functions.periods import month_bounds, restrict
 from tillroll.operators import address, distribution, quality, ranking, refunds
 from tillroll.operators import repeats, unsold
 from tillroll.plans import sql as S
@@ -93,6 +93,11 @@ def _views(spark, d, sales):
     )
 
 
+def _month_sales(spark, d):
+    """One month's sales: over all of them every product is sold."""
+    return restrict(td.line_sales(spark, d), "timestamp", *month_bounds(YEAR, MONTH))
+
+
 # --------------------------------------------------------------------------- queries
 
 
@@ -103,7 +108,7 @@ def q_sales_distribution(spark, d):
 
 
 def q_sales_distribution_all_products(spark, d):
-    _views(spark, d, td.line_sales(spark, d, with_order=False))
+    _views(spark, d, _month_sales(spark, d))
     return S.sales_distribution(spark, keep_unsold=True, prefix=VIEW_PREFIX)
 
 
@@ -167,7 +172,7 @@ def q_unsold_products_in_month(spark, d):
 
 
 def q_unsold_products_sql(spark, d):
-    _views(spark, d, td.line_sales(spark, d, with_order=False))
+    _views(spark, d, _month_sales(spark, d))
     return S.unsold_products(spark, prefix=VIEW_PREFIX)
 
 
@@ -236,6 +241,10 @@ def q_dq_report_customer(spark, d):
     return quality.dq_report(td.customer_lines(spark, d), SPECS["customer"])
 
 
+def q_dq_report_customer_extended(spark, d):
+    return quality.dq_report(td.customer_extended_lines(spark, d), CUSTOMER_EXTENDED)
+
+
 def _clean_ce(spark, d):
     return quality.clean_customers_extended(td.customers_extended(spark, d))
 
@@ -303,6 +312,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_report_refund": q_dq_report_refund,
     "dq_report_product": q_dq_report_product,
     "dq_report_customer": q_dq_report_customer,
+    "dq_report_customer_extended": q_dq_report_customer_extended,
     "clean_addresses": q_clean_addresses,
     "clean_state_codes": q_clean_state_codes,
     "flag_invalid_contacts": q_flag_invalid_contacts,
@@ -327,7 +337,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _Y0 = f"TIMESTAMP '{YEAR}-01-01'"
 _Y1 = f"TIMESTAMP '{YEAR + 1}-01-01'"
-_M0, _M1 = (f"TIMESTAMP '{b.isoformat()}'" for b in month_bounds(YEAR, MONTH))
+_M0 = f"TIMESTAMP '{YEAR}-{MONTH:02d}-01'"
+_M1 = f"({_M0} + INTERVAL 1 MONTH)"
 _DEC = "DECIMAL(18,2)"
 _LINE_KEY = (
     "concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR), "
@@ -348,29 +359,30 @@ def _states_values() -> str:
 def _ce_cte() -> str:
     key = "CAST(c_custkey AS VARCHAR)"
     nk = "CAST(c_nationkey AS VARCHAR)"
+    pad = "lpad({0}, CAST(greatest(length({0}), {1}) AS INTEGER), '0')".format  # DuckDB's lpad cuts, too
     return f"""{_states_values()},
 ce AS (
   SELECT c_custkey AS id, {_FIRST} AS first_name, {_LAST} AS last_name,
-    '1415' || lpad({key}, 7, '0') AS home_phone,
-    '1650' || lpad({key}, 7, '0') AS mobile_phone,
+    '1415' || {pad(key, 7)} AS home_phone,
+    '1650' || {pad(key, 7)} AS mobile_phone,
     CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'FURNITURE') THEN 'Female' ELSE 'Male' END AS gender,
     {key} || ' ' || c_mktsegment || ' Blvd' AS current_street_address,
     n_name AS current_city,
     CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN state_name ELSE state_code END AS current_state,
     r_name AS current_country,
-    lpad({key}, 5, '0') AS current_zip,
+    {pad(key, 5)} AS current_zip,
     {key} || ' ' || lower(c_mktsegment) ||
       CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'HOUSEHOLD') THEN ' St.' ELSE ' Street' END
       AS permanent_street_address,
     n_name AS permanent_city,
     CASE WHEN c_mktsegment = 'FURNITURE' THEN upper(state_name) ELSE state_code END AS permanent_state,
     r_name AS permanent_country,
-    lpad({key}, 5, '0') AS permanent_zip,
+    {pad(key, 5)} AS permanent_zip,
     {nk} || ' Market st' AS office_street_address,
     n_name AS office_city,
     state_code AS office_state,
     r_name AS office_country,
-    lpad({nk}, 5, '0') AS office_zip,
+    {pad(nk, 5)} AS office_zip,
     {_LAST} || '@hotmail.com' AS personal_email_address,
     lower({_FIRST}) || '.' || {_LAST} || '@gmail.com' AS work_email_address,
     {_LAST} || '@twitter.com' AS twitter_id,
@@ -403,12 +415,15 @@ net AS (
   GROUP BY o_custkey)"""
 
 
-def _second_best_sql(since: bool, fan_out: bool, rank_fn: str = "dense_rank") -> str:
+def _second_best_sql(
+    since: bool, fan_out: bool, rank_fn: str = "dense_rank", keep_rank: bool = False
+) -> str:
     order = "net_total DESC" if rank_fn == "dense_rank" else "net_total DESC, customer_id"
     return f"""WITH {_net_cte(since, fan_out)},
 ranked AS (SELECT *, {rank_fn}() OVER (ORDER BY {order}) AS rk FROM net)
 SELECT customer_id, {_FIRST} || ' ' || {_LAST} AS customer_name,
        CAST(net_total AS DOUBLE) AS net_total
+       {", CAST(rk AS INTEGER) AS dense_rank" if keep_rank else ""}
 FROM ranked JOIN customer ON c_custkey = customer_id
 WHERE rk = {RANK}"""
 
@@ -459,8 +474,9 @@ FROM {_LINES}"""
 _PARSE_REFUND = f"""SELECT {_LINE_KEY} AS refund_id,
        CAST(l_orderkey AS VARCHAR) AS original_transaction_id,
        CAST(o_custkey AS VARCHAR) AS customer_id, CAST(l_partkey AS VARCHAR) AS product_id,
-       l_shipdate AS timestamp, l_extendedprice AS refund_amount,
-       CAST(l_quantity AS INTEGER) AS refund_quantity
+       l_shipdate AS timestamp,
+       CASE WHEN l_partkey % 20 IN (1, 2) THEN 0.0 ELSE l_extendedprice END AS refund_amount,
+       CASE WHEN l_partkey % 20 NOT IN (1, 2) THEN CAST(l_quantity AS INTEGER) END AS refund_quantity
 FROM {_LINES} WHERE l_returnflag = 'R'"""
 
 _PARSE_PRODUCT = """SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
@@ -468,17 +484,21 @@ _PARSE_PRODUCT = """SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS p
 FROM part"""
 
 _PARSE_CUSTOMER = f"""SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
-       {_FIRST} AS customer_first_name, {_LAST} AS customer_last_name,
-       '1415' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS phone_number
+       CASE WHEN c_custkey % 10 = 0 THEN '' ELSE {_FIRST} END AS customer_first_name,
+       {_LAST} AS customer_last_name,
+       '1415' || lpad(CAST(c_custkey AS VARCHAR), CAST(greatest(length(CAST(c_custkey AS VARCHAR)), 7) AS INTEGER), '0')
+         AS phone_number
 FROM customer"""
 
 _PARSE_CE = f"""WITH {_ce_cte()}
 SELECT * REPLACE (CAST(id AS VARCHAR) AS id) FROM ce"""
 
 _QUARANTINE = f"""SELECT {_LINE_KEY} AS transaction_id,
-       CASE WHEN o_orderstatus = 'P' THEN 'short line' ELSE 'bad timestamp' END AS reason
+       CASE WHEN o_orderstatus = 'P' THEN 'short line'
+            WHEN o_orderpriority = '1-URGENT' THEN 'bad timestamp'
+            ELSE 'bad integer' END AS reason
 FROM {_LINES}
-WHERE o_orderstatus = 'P' OR o_orderpriority = '1-URGENT'"""
+WHERE o_orderstatus = 'P' OR o_orderpriority IN ('1-URGENT', '2-HIGH')"""
 
 
 def _dq_sql(table: str, source: str, counts: dict[str, str], rows: list[tuple]) -> str:
@@ -493,13 +513,19 @@ def _dq_sql(table: str, source: str, counts: dict[str, str], rows: list[tuple])
 
 def _dq_rows(spec_name: str, special: dict[tuple[str, str], str]) -> list[tuple]:
     spec = SPECS[spec_name]
-    rows = [("*", "rows", "n_rows"), ("*", "short_line", special.get(("*", "short_line"), "0"))]
-    kind_check = {"money": "non_uniform_money", "stamp": "bad_timestamp", "int": "bad_integer"}
+    zero = "CAST(0 AS BIGINT)"
+    rows = [("*", "rows", "n_rows"), ("*", "short_line", special.get(("*", "short_line"), zero))]
+    if spec_name == "refund":
+        rows.append(("*", "missing_tail", special[("*", "missing_tail")]))
+    kind_checks = {
+        "money": ("non_uniform_money", "sub_cent_money"),
+        "stamp": ("bad_timestamp",),
+        "int": ("bad_integer",),
+        "text": (),
+    }
     for name, kind in spec.fields:
-        rows.append((name, "blank", special.get((name, "blank"), "CAST(0 AS BIGINT)")))
-        if kind in kind_check:
-            check = kind_check[kind]
-            rows.append((name, check, special.get((name, check), "CAST(0 AS BIGINT)")))
+        for check in ("blank", *kind_checks[kind]):
+            rows.append((name, check, special.get((name, check), zero)))
     return rows
 
 
@@ -510,14 +536,18 @@ _DQ_SALES = _dq_sql(
         "n_rows": "true",
         "n_short": "o_orderstatus = 'P'",
         "n_bad_ts": "o_orderpriority = '1-URGENT'",
-        "n_nonuniform": "o_orderstatus <> 'P' AND l_returnflag <> 'A'",
+        "n_empty": "o_orderstatus <> 'P' AND l_linenumber = 7",
+        "n_nonuniform": "o_orderstatus <> 'P' AND l_linenumber <> 7 AND l_returnflag <> 'A'",
+        "n_bad_int": "o_orderstatus <> 'P' AND o_orderpriority = '2-HIGH'",
     },
     _dq_rows(
         "sales",
         {
             ("*", "short_line"): "n_short",
             ("timestamp", "bad_timestamp"): "n_bad_ts",
+            ("total_amount", "blank"): "n_empty",
             ("total_amount", "non_uniform_money"): "n_nonuniform",
+            ("total_quantity", "bad_integer"): "n_bad_int",
         },
     ),
 )
@@ -525,8 +555,21 @@ _DQ_SALES = _dq_sql(
 _DQ_REFUND = _dq_sql(
     "refund",
     f"{_LINES} WHERE l_returnflag = 'R'",
-    {"n_rows": "true", "n_nonuniform": "l_linestatus <> 'O'"},
-    _dq_rows("refund", {("refund_amount", "non_uniform_money"): "n_nonuniform"}),
+    {
+        "n_rows": "true",
+        "n_missing": "l_partkey % 20 = 1",
+        "n_empty": "l_partkey % 20 = 2",
+        "n_nonuniform": "l_linestatus <> 'O' AND l_partkey % 20 NOT IN (1, 2)",
+    },
+    _dq_rows(
+        "refund",
+        {
+            ("*", "missing_tail"): "n_missing",
+            ("refund_amount", "blank"): "n_empty",
+            ("refund_quantity", "blank"): "n_empty",
+            ("refund_amount", "non_uniform_money"): "n_nonuniform",
+        },
+    ),
 )
 
 _DQ_PRODUCT = _dq_sql(
@@ -536,7 +579,45 @@ _DQ_PRODUCT = _dq_sql(
     _dq_rows("product", {("product_price", "non_uniform_money"): "n_nonuniform"}),
 )
 
-_DQ_CUSTOMER = _dq_sql("customer", "customer", {"n_rows": "true"}, _dq_rows("customer", {}))
+_DQ_CUSTOMER = _dq_sql(
+    "customer",
+    "customer",
+    {"n_rows": "true", "n_empty": "c_custkey % 10 = 0"},
+    _dq_rows("customer", {("customer_first_name", "blank"): "n_empty"}),
+)
+
+
+def _dq_customer_extended() -> str:
+    plain = (
+        "id first_name last_name home_phone mobile_phone gender current_city current_country current_zip "
+        "permanent_city permanent_country permanent_zip office_city office_country office_zip"
+    ).split()
+    contacts = (
+        "personal_email_address work_email_address twitter_id facebook_id linkedin_id".split()
+    )
+    checks = [("*", "rows", "true"), ("*", "short_line", "false")]
+    checks += [(c, "blank", f"CAST({c} AS VARCHAR) = ''") for c in plain]
+    for kind in ("current", "permanent", "office"):
+        street, state = f"{kind}_street_address", f"{kind}_state"
+        checks += [
+            (street, "blank", f"{street} = ''"),
+            (street, "mixed_case", f"{street} <> upper({street})"),
+            (street, "street_suffix", f"regexp_matches(upper({street}), '\\b(STREET|ST)\\b')"),
+            (state, "blank", f"coalesce({state}, '') = ''"),
+            (state, "not_two_letters", f"{state} <> '' AND NOT regexp_matches({state}, '^[A-Z][A-Z]$')"),
+        ]
+    for c in contacts:
+        checks += [
+            (c, "blank", f"{c} = ''"),
+            (c, "invalid_contact", f"NOT regexp_matches({c}, '^[^@\\s]+@[^@\\s]+\\.[A-Za-z]{{2,}}$')"),
+        ]
+    parts = [
+        f"SELECT 'customer_extended' AS table_name, '{f}' AS field, '{c}' AS check_name, "
+        f"count(*) FILTER (WHERE {cond}) AS n FROM ce"
+        for f, c, cond in checks
+    ]
+    return f"WITH {_ce_cte()}\n" + "\nUNION ALL\n".join(parts)
+
 
 _STATE_CASE = (
     "CASE upper({c}) "
@@ -580,7 +661,9 @@ def oracle_sql() -> dict[str, str]:
 SELECT customer_id, CAST(net_total AS DOUBLE) AS net_total FROM net"""
     all_products = f"""SELECT p_name AS product_name, p_type AS product_type,
        CAST(sum(CAST(l_extendedprice AS {_DEC})) AS DOUBLE) AS total_sales
-FROM part LEFT JOIN lineitem ON l_partkey = p_partkey
+FROM part LEFT JOIN (
+  SELECT * FROM {_LINES} WHERE o_orderdate >= {_M0} AND o_orderdate < {_M1}) s
+  ON l_partkey = p_partkey
 GROUP BY p_name, p_type"""
     top = f"""{_DISTRIBUTION}
 ORDER BY total_amount DESC, product_name, product_type LIMIT {TOP}"""
@@ -596,10 +679,10 @@ ORDER BY total_amount DESC, product_name, product_type LIMIT {TOP}"""
         "second_best_customer_fan_out": _second_best_sql(True, True),
         "second_best_customer_row_number": _second_best_sql(True, False, "row_number"),
         "second_best_customer_any_refund": _second_best_sql(False, False),
-        "second_best_customer_sql": _second_best_sql(False, True),
+        "second_best_customer_sql": _second_best_sql(False, True, keep_rank=True),
         "unsold_products": _UNSOLD,
         "unsold_products_in_month": _UNSOLD_MONTH,
-        "unsold_products_sql": _UNSOLD,
+        "unsold_products_sql": _UNSOLD_MONTH,
         "repeat_purchases": _REPEATS,
         "repeat_purchase_groups": _GROUPS,
         "repeat_purchases_sql": _REPEATS,
@@ -615,6 +698,7 @@ ORDER BY total_amount DESC, product_name, product_type LIMIT {TOP}"""
         "dq_report_refund": _DQ_REFUND,
         "dq_report_product": _DQ_PRODUCT,
         "dq_report_customer": _DQ_CUSTOMER,
+        "dq_report_customer_extended": _dq_customer_extended(),
         "clean_addresses": _CLEAN_ADDRESSES,
         "clean_state_codes": _CLEAN_STATES,
         "flag_invalid_contacts": _CONTACTS,

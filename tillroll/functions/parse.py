@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 MONEY_DROP = r"[^0-9.]+"
 # Accepted timestamp layout, month/day/year hour:minute:second,
 # one or two digits for every part except the four-digit year.
-TIMESTAMP_LAYOUT = r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$"
+TIMESTAMP_LAYOUT = r"^(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}:\d{1,2}:\d{1,2})$"
 
 
 def _col(c: Column | str) -> Column:
@@ -44,21 +44,12 @@ def timestamp(c: Column | str) -> Column:
     """``M/d/yyyy H:m:s`` text to ``timestamp_ntz``; NULL when the text does not parse.
 
     Zone-free: the wall clock in the file is the value, whatever the session time zone.
-    Out-of-range parts (month 13, second 61) give NULL instead of rolling over.
+    Out-of-range parts (month 13, second 60) give NULL instead of rolling over.
     """
     c = _col(c)
-    # The layout check gates the split's input rather than wrapping the result in a
-    # CASE: a split inside a CASE branch would be evaluated once per part, while an
-    # unconditional one is computed once and shared by all six parts.
-    parts = F.split(F.when(c.rlike(TIMESTAMP_LAYOUT), c), "[/ :]")
-    return F.try_make_timestamp_ntz(
-        F.get(parts, 2).cast("int"),
-        F.get(parts, 0).cast("int"),
-        F.get(parts, 1).cast("int"),
-        F.get(parts, 3).cast("int"),
-        F.get(parts, 4).cast("int"),
-        F.get(parts, 5).cast("int"),
-    )
+    # one expression: the layout's parts in ISO order, then a cast that checks each part
+    iso = F.regexp_replace(c, TIMESTAMP_LAYOUT, "$3-$1-$2 $4")
+    return F.when(c.rlike(TIMESTAMP_LAYOUT), iso).try_cast("timestamp_ntz")
 
 
 def integer(c: Column | str) -> Column:

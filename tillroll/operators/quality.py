@@ -17,25 +17,56 @@ from tillroll.sources.schema import SPECS, TableSpec
 # The one money layout counted as uniform, "$1,234.50".
 UNIFORM_MONEY = r"^\$[0-9]{1,3}(,[0-9]{3})*\.[0-9]{2}$"
 
+# more than two digits after the point of an amount, zeros not counted
+SUB_CENT_MONEY = r"\.[0-9]{2}[0-9]*[1-9]"
+TWO_LETTERS = r"^[A-Z]{2}$"
+CONTACTS = (
+    "personal_email_address",
+    "work_email_address",
+    "twitter_id",
+    "facebook_id",
+    "linkedin_id",
+)
+
 
 def _checks(spec: TableSpec) -> list[tuple[str, str, Column]]:
     parts = F.col("_parts")
     out: list[tuple[str, str, Column]] = [
         ("*", "rows", F.lit(True)),
-        ("*", "short_line", F.coalesce(F.size(parts) < spec.arity, F.lit(True))),
+        ("*", "short_line", F.coalesce(F.size(parts) < spec.required, F.lit(True))),
     ]
+    if spec.optional:
+        size = F.size(parts)
+        missing = (size >= spec.required) & (size < spec.arity)
+        out.append(("*", "missing_tail", missing))
     for i, (name, kind) in enumerate(spec.fields):
         raw = F.get(parts, i)
         out.append((name, "blank", raw == ""))
         if kind == "money":
             out.append((name, "non_uniform_money", (raw != "") & ~raw.rlike(UNIFORM_MONEY)))
+            out.append((name, "sub_cent_money", raw.rlike(SUB_CENT_MONEY)))
         elif kind == "stamp":
             out.append((name, "bad_timestamp", raw.isNotNull() & P.timestamp(raw).isNull()))
         elif kind == "int":
             out.append((name, "bad_integer", P.is_bad_integer(raw)))
+        out += [(name, check, cond) for check, cond in _text_checks(name, raw)]
     return out
 
 
+def _text_checks(name: str, raw: Column) -> list[tuple[str, Column]]:
+    """Checks of the extended customers' addresses and contacts, by field name."""
+    if name.endswith("_street_address"):
+        return [
+            ("mixed_case", raw != F.upper(raw)),
+            ("street_suffix", F.upper(raw).rlike(C.STREET_PATTERN)),
+        ]
+    if name.endswith("_state"):
+        return [("not_two_letters", (raw != "") & ~raw.rlike(TWO_LETTERS))]
+    if name in CONTACTS:
+        return [("invalid_contact", (raw != "") & ~raw.rlike(C.CONTACT_PATTERN))]
+    return []
+
+
 def dq_report(lines: DataFrame, spec: TableSpec | str) -> DataFrame:
     """(table_name, field, check_name, n) for every check of every field of ``spec``."""
     if isinstance(spec, str):
@@ -74,18 +105,11 @@ def clean_customers_extended(customers_extended: DataFrame) -> DataFrame:
             a["zip"].alias("zip"),
         ).alias(name)
 
-    contacts = [
-        "personal_email_address",
-        "work_email_address",
-        "twitter_id",
-        "facebook_id",
-        "linkedin_id",
-    ]
     cols: list[Column] = []
     for c in customers_extended.columns:
-        if c.endswith("_address") and c not in contacts:
+        if c.endswith("_address") and c not in CONTACTS:
             cols.append(address(c))
-        elif c in contacts:
+        elif c in CONTACTS:
             cols.append(C.valid_contact(c).alias(c))
         else:
             cols.append(F.col(c))

@@ -133,7 +133,8 @@ def nth_best_customer(
                  concat_ws(' ', c.customer_first_name, c.customer_last_name) AS customer_name
           FROM {p}customer c JOIN bounds b ON c.customer_id BETWEEN b.lo AND b.hi)
         SELECT ranked.customer_id, names.customer_name,
-               {_DOUBLE.format('ranked.net_total')} AS net_total
+               {_DOUBLE.format('ranked.net_total')} AS net_total,
+               CAST(:n AS INT) AS dense_rank
         FROM ranked JOIN names ON names.customer_id = ranked.customer_id
         """,
         args=args,

@@ -1,9 +1,15 @@
 """Run all six questions on a directory of pipe-delimited files, as the reference's
-main program does, and print the answers.
+main program does; write the answers in full, or print them.
 
     python -m tillroll.report <data_dir> [--year 2013 --month 5 --rank 2
         --min-repeats 2 --street "1154 Winters Blvd" --fan-out --any-refund
-        --ingested <parquet_dir>]
+        --ingested <parquet_dir> --out <dir> --rows 25 --quarantine]
+
+``--out`` writes every answer in full, as Parquet in ``<dir>/<number>``.  Printing is a
+preview of ``--rows`` rows per answer (25 if there is no ``--out``) that says when it is cut.
+Bad lines of text files fail the run, as in the reference; ``--quarantine`` leaves them out.
+Tables parsed from text that several questions read are kept (on disk where memory ends)
+while the answers run, so each file is parsed once.
 
 With ``--ingested`` the tables come from a folder written by
 ``tillroll.sources.ingest.ingest`` (parsed once, partition-pruned) instead of the text;
@@ -16,6 +22,7 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.functions.periods import year_bounds
@@ -33,6 +40,11 @@ from tillroll.sources.ingest import BUCKET_KEYS, load, load_bucketed, load_text_
 from tillroll.sources.schema import FILE_NAMES
 
 
+PREVIEW = 25
+# tables that more than one question reads
+SHARED = ("sales", "refund", "product")
+
+
 def answers(
     tables: dict[str, DataFrame],
     year: int = 2013,
@@ -82,7 +94,9 @@ def main(argv: list[str] | None = None) -> None:
         default=None,
         help="catalog table prefix of sales/refund written by ingest(buckets=N)",
     )
-    ap.add_argument("--rows", type=int, default=25)
+    ap.add_argument("--rows", type=int, default=None, help="print so many rows of each answer")
+    ap.add_argument("--out", default=None, help="folder for the whole answers (Parquet)")
+    ap.add_argument("--quarantine", action="store_true", help="leave bad lines out instead of failing")
     ap.add_argument("--fan-out", action="store_true", help="Q4: a sale counts once per refund row")
     ap.add_argument("--any-refund", action="store_true", help="Q3/Q4: refunds of any date")
     ap.add_argument("--signed-money", action="store_true", help="keep '-5' / '(5)' negative")
@@ -92,12 +106,18 @@ def main(argv: list[str] | None = None) -> None:
     if args.ingested:
         tables = {name: load(spark, args.ingested, name) for name in FILE_NAMES}
     else:
-        tables = load_text_tables(spark, args.data_dir, signed_money=args.signed_money)
+        mode = "quarantine" if args.quarantine else "failfast"
+        tables = load_text_tables(spark, args.data_dir, mode, signed_money=args.signed_money)
     if args.bucketed_prefix is not None:
         for name in BUCKET_KEYS:
             tables[name] = load_bucketed(spark, name, args.bucketed_prefix)
     year_bounds(args.year)  # validates the year early
-    for title, df in answers(
+    # from text, what several questions read is parsed once; ingested tables are Parquet
+    kept = [] if args.ingested else [n for n in SHARED if args.bucketed_prefix is None or n not in BUCKET_KEYS]
+    for name in kept:
+        tables[name] = tables[name].persist(StorageLevel.MEMORY_AND_DISK)
+    rows = args.rows if args.rows is not None or args.out else PREVIEW
+    found = answers(
         tables,
         args.year,
         args.month,
@@ -106,9 +126,30 @@ def main(argv: list[str] | None = None) -> None:
         args.street,
         fan_out=args.fan_out,
         any_refund=args.any_refund,
-    ).items():
-        print(title)
-        df.show(args.rows, truncate=False)
+    )
+    try:
+        for title, df in found.items():
+            print(title)
+            if args.out:
+                path = f"{args.out.rstrip('/')}/{title.split('.')[0]}"
+                df.write.mode("overwrite").parquet(path)
+                print(f"written to {path}")
+            if rows is not None:
+                _preview(df, rows)
+    finally:
+        for name in kept:
+            tables[name].unpersist()
+
+
+def _preview(df: DataFrame, rows: int) -> None:
+    head = df.limit(rows + 1).cache()
+    try:
+        cut = head.count() > rows
+        head.show(rows, truncate=False)
+    finally:
+        head.unpersist()
+    if cut:
+        print(f"cut after {rows} rows; --out writes all")
 
 
 if __name__ == "__main__":

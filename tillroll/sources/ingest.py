@@ -33,6 +33,16 @@ def tag_status(parsed: Parsed) -> DataFrame:
     )
 
 
+def with_derived(rows: DataFrame, name: str, by_month: bool) -> DataFrame:
+    """The columns that batch and stream ingest add for pruning and pushdown: the street
+    key of extended customers, and the month of timestamped tables if asked for."""
+    if name == "customer_extended":
+        rows = rows.withColumn(STREET_KEY, F.upper(F.col("current_address.street_address")))
+    if by_month and "timestamp" in rows.columns:
+        rows = rows.withColumn(PERIOD, month_key("timestamp"))
+    return rows
+
+
 # The join key of each table for co-located (bucketed) storage: sales and refunds meet
 # on the transaction id in the refund questions.
 BUCKET_KEYS = {"sales": "transaction_id", "refund": "original_transaction_id"}
@@ -54,13 +64,20 @@ def ingest(
     ``buckets=N`` also registers sales and refunds as catalog tables
     (``<table_prefix><name>``) bucketed by transaction id into N buckets: the refund
     aggregation and the sales-refund joins then read co-partitioned data and need no
-    shuffle. The table metadata lives in the session catalog (a metastore on a cluster).
-
-    ``by_month=True`` (tables with a timestamp, when not bucketed) adds ``_month``
-    (yyyymm) and partitions by it, so period questions prune whole month folders. The
-    rows are range-partitioned by time first (one shuffle at ingest), so each task
-    writes one or two month folders instead of a file in every month.
+    shuffle (read them with ``load_bucketed``). The table metadata lives in the session
+    catalog (a metastore on a cluster). Rows are shuffled by bucket before the write, so
+    good rows make one file per bucket, whatever the number of input splits; quarantined
+    rows, whose keys may be missing or equal, are spread over the tasks by a hash of the
+    line.
+
+    ``by_month=True`` adds ``_month`` (yyyymm) to tables with a timestamp and partitions
+    by it, so period questions prune whole month folders. Rows are rebalanced by status
+    and month first (one shuffle at ingest): adaptive execution splits large months, and
+    the quarantined lines without a month, over tasks and joins small ones. Bucketed
+    tables cannot be partitioned by month as well: asking for both is an error.
     """
+    if buckets and by_month and any(name in BUCKET_KEYS for name in tables):
+        raise ValueError("buckets and by_month exclude each other for sales and refund")
     written = {}
     for name in tables:
         lines = read_lines(spark, f"{text_dir.rstrip('/')}/{FILE_NAMES[name]}")
@@ -68,16 +85,17 @@ def ingest(
         path = f"{out_dir.rstrip('/')}/{name}"
         bucketed = bool(buckets) and name in BUCKET_KEYS
         partitions = [STATUS]
-        writer_df = out
-        if name == "customer_extended":
-            writer_df = writer_df.withColumn(
-                STREET_KEY, F.upper(F.col("current_address.street_address"))
-            )
+        writer_df = with_derived(out, name, by_month and not bucketed)
+        if bucketed:
+            key = F.col(BUCKET_KEYS[name])
+            spread = F.xxhash64("value").cast("string")
+            target = F.when(F.col(STATUS) == "ok", key).otherwise(spread)
+            # the hash of a string picks shuffle partition and bucket alike
+            writer_df = writer_df.repartition(buckets, target)
+        elif PERIOD in writer_df.columns:
+            partitions.append(PERIOD)
+            writer_df = writer_df.hint("rebalance", STATUS, PERIOD)
         if "timestamp" in out.columns and not bucketed:
-            if by_month:
-                writer_df = writer_df.withColumn(PERIOD, month_key("timestamp"))
-                writer_df = writer_df.repartitionByRange(F.col("timestamp"))
-                partitions.append(PERIOD)
             # clustered by time inside each file: row-group min/max prune period filters
             writer_df = writer_df.sortWithinPartitions("timestamp")
         writer = writer_df.write.mode("overwrite").partitionBy(*partitions)

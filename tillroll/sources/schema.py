@@ -34,11 +34,17 @@ class TableSpec:
     fields: tuple[tuple[str, str], ...]
     # struct name -> (first field index, struct field names)
     groups: tuple[tuple[str, int, tuple[str, ...]], ...] = field(default=())
+    # trailing fields that a good line may lack (they are then empty)
+    optional: int = 0
 
     @property
     def arity(self) -> int:
         return len(self.fields)
 
+    @property
+    def required(self) -> int:
+        return self.arity - self.optional
+
     def flat_schema(self) -> T.StructType:
         return T.StructType([T.StructField(n, _TYPES[k]) for n, k in self.fields])
 
@@ -113,6 +119,8 @@ REFUND = TableSpec(
         ("refund_amount", "money"),
         ("refund_quantity", "int"),
     ),
+    # a refund whose amount and quantity are missing is one of 0.0
+    optional=2,
 )
 
 CUSTOMER = TableSpec(

@@ -113,14 +113,17 @@ def refunds(spark: SparkSession, sf_dir: str, with_customer: bool = False) -> Da
     )
 
 
+def _padded(text: Column, width: int) -> Column:
+    """Zeros in front up to ``width``; a longer text stays whole (``lpad`` would cut it)."""
+    return F.lpad(text, F.greatest(F.length(text), F.lit(width)), F.lit("0"))
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("customer_id"),
         F.substring_index("c_name", "#", 1).alias("customer_first_name"),
         F.substring_index("c_name", "#", -1).alias("customer_last_name"),
-        F.concat(F.lit("1415"), F.lpad(F.col("c_custkey").cast("string"), 7, "0")).alias(
-            "phone_number"
-        ),
+        F.concat(F.lit("1415"), _padded(F.col("c_custkey").cast("string"), 7)).alias("phone_number"),
     )
 
 
@@ -152,7 +155,7 @@ def customers_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey").cast("string")
     first = F.substring_index("c_name", "#", 1)
     last = F.substring_index("c_name", "#", -1)
-    zip_code = F.lpad(key, 5, "0")
+    zip_code = _padded(key, 5)
 
     def address(street: Column, state: Column, zip_col: Column) -> Column:
         return F.struct(
@@ -187,14 +190,14 @@ def customers_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     office = address(
         F.concat(F.col("c_nationkey").cast("string"), F.lit(" Market st")),
         F.col("state_code"),
-        F.lpad(F.col("c_nationkey").cast("string"), 5, "0"),
+        _padded(F.col("c_nationkey").cast("string"), 5),
     )
     return base.select(
         F.col("c_custkey").alias("id"),
         first.alias("first_name"),
         last.alias("last_name"),
-        F.concat(F.lit("1415"), F.lpad(key, 7, "0")).alias("home_phone"),
-        F.concat(F.lit("1650"), F.lpad(key, 7, "0")).alias("mobile_phone"),
+        F.concat(F.lit("1415"), _padded(key, 7)).alias("home_phone"),
+        F.concat(F.lit("1650"), _padded(key, 7)).alias("mobile_phone"),
         F.when(_in("c_mktsegment", "AUTOMOBILE", "FURNITURE"), F.lit("Female"))
         .otherwise(F.lit("Male"))
         .alias("gender"),
@@ -219,6 +222,9 @@ def customers_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
 # and timestamps zero padded or not, the mix the reference's input files show.
 
 
+REFUND_TAILS = 20
+
+
 def money_text(amount: str, style: Column) -> Column:
     """``style`` 0: ``$1,234.50``, 1: ``1,234.50``, 2: ``1234.50``."""
     grouped = F.format_number(F.col(amount), 2)
@@ -235,7 +241,8 @@ def stamp_text(ts: str, padded: Column) -> Column:
 
 
 def _pipe(*cols: Column) -> Column:
-    return F.concat_ws("|", *[c.cast("string") for c in cols])
+    # a NULL is an empty field: concat_ws alone would leave it out and shift the rest
+    return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in cols])
 
 
 def _style_by_flag() -> Column:
@@ -247,8 +254,9 @@ def _style_by_flag() -> Column:
 
 
 def sales_lines(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFrame:
-    """Line-grain sales as text. ``dirty`` adds bad timestamps (urgent orders) and cuts
-    the last two fields of lines of partly shipped orders (status ``P``)."""
+    """Line-grain sales as text. ``dirty`` adds bad timestamps (urgent orders), quantities that
+    are no numbers (high priority) and empty amounts (seventh lines), and cuts the last two
+    fields of lines of partly shipped orders (status ``P``)."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
@@ -261,7 +269,12 @@ def sales_lines(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFr
         F.col("l_partkey"),
         stamp,
     ]
-    tail = [money_text("l_extendedprice", _style_by_flag()), F.col("l_quantity").cast("int")]
+    amount = money_text("l_extendedprice", _style_by_flag())
+    quantity = F.col("l_quantity").cast("int").cast("string")
+    if dirty:
+        amount = F.when(F.col("l_linenumber") == 7, "").otherwise(amount)
+        quantity = F.when(F.col("o_orderpriority") == "2-HIGH", "two").otherwise(quantity)
+    tail = [amount, quantity]
     full = _pipe(*head, *tail)
     if dirty:
         full = F.when(F.col("o_orderstatus") == "P", _pipe(*head)).otherwise(full)
@@ -269,22 +282,29 @@ def sales_lines(spark: SparkSession, sf_dir: str, dirty: bool = False) -> DataFr
 
 
 def refund_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refunds as text; one product in ``REFUND_TAILS`` has lines without amount and quantity,
+    another one lines with both empty."""
     li = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
     o = table(spark, sf_dir, "orders")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
-    return j.select(
-        _pipe(
-            _key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
-            F.col("l_orderkey"),
-            F.col("o_custkey"),
-            F.col("l_partkey"),
-            stamp_text("l_shipdate", F.col("l_linestatus") == "O"),
-            money_text(
-                "l_extendedprice", F.when(F.col("l_linestatus") == "O", 0).otherwise(2)
-            ),
-            F.col("l_quantity").cast("int"),
-        ).alias("value")
+    head = [
+        _key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
+        F.col("l_orderkey"),
+        F.col("o_custkey"),
+        F.col("l_partkey"),
+        stamp_text("l_shipdate", F.col("l_linestatus") == "O"),
+    ]
+    tail = [
+        money_text("l_extendedprice", F.when(F.col("l_linestatus") == "O", 0).otherwise(2)),
+        F.col("l_quantity").cast("int"),
+    ]
+    none = F.lit("")
+    line = (
+        F.when(F.col("l_partkey") % REFUND_TAILS == 1, _pipe(*head))
+        .when(F.col("l_partkey") % REFUND_TAILS == 2, _pipe(*head, none, none))
+        .otherwise(_pipe(*head, *tail))
     )
+    return j.select(line.alias("value"))
 
 
 def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,7 +322,10 @@ def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as text; every tenth has a blank first name."""
     c = customers(spark, sf_dir)
+    blank = F.when(F.col("customer_id") % 10 == 0, "").otherwise(F.col("customer_first_name"))
+    c = c.withColumn("customer_first_name", blank)
     return c.select(_pipe(*[F.col(n) for n in c.columns]).alias("value"))
 
 

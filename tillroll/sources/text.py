@@ -6,8 +6,8 @@ lines. It is a few narrow projections and one generator, all Column expressions
 whole-stage codegen: no RDD, no Python UDF, no shuffle.
 
 Differences from a plain ``String.split``: trailing empty fields are kept (limit -1), so
-``a|b||`` has four fields; a line with fewer fields than the spec is quarantined instead
-of failing the job.
+``a|b||`` has four fields; a line with fewer fields than the spec requires is quarantined
+instead of failing the job.
 """
 
 from __future__ import annotations
@@ -66,55 +66,64 @@ def parse(
     if mode not in ("quarantine", "failfast"):
         raise ValueError(f"unknown mode {mode!r}")
 
-    # Stage 1 splits each line once; stage 2 converts fields; stage 3 derives the reason
-    # from the converted values. Each stage references the previous one's columns more
-    # than once, so Catalyst keeps them as separate projections instead of re-evaluating
-    # the split or a timestamp parse per reference.
+    # Stage 1 splits each line once; stage 2 converts only what decides whether a line is
+    # good (timestamps and integers), stage 3 derives the reason.  Each stage references
+    # the previous one's columns more than once, so Catalyst keeps them as projections of
+    # their own instead of evaluating the split or a timestamp per reference.
     staged = lines.select("value", F.split(F.col("value"), r"\|", -1).alias(_PARTS))
     parts = F.col(_PARTS)
-    typed: list[Column] = []
-    checks: list[Column] = [F.when(F.coalesce(F.size(parts) < spec.arity, F.lit(True)), F.lit(SHORT_LINE))]
+    short = F.coalesce(F.size(parts) < spec.required, F.lit(True))
+    checks: list[Column] = [F.when(short, F.lit(SHORT_LINE))]
+    checked: list[Column] = []
     for i, (name, kind) in enumerate(spec.fields):
         raw = _field(parts, i)
-        if kind == "text":
-            typed.append(raw.alias(name))
-        elif kind == "money":
-            typed.append(P.money(raw, signed=signed_money).alias(name))
-        elif kind == "stamp":
-            typed.append(P.timestamp(raw).alias(name))
+        if kind == "stamp":
+            checked.append(P.timestamp(raw).alias(name))
             checks.append(F.when(F.col(name).isNull(), F.lit(BAD_TIMESTAMP)))
         elif kind == "int":
-            typed.append(P.integer(raw).alias(name))
-            bad_int = (F.length(raw) > 0) & F.col(name).isNull()
-            checks.append(F.when(bad_int, F.lit(BAD_INTEGER)))
-        else:
-            raise ValueError(f"unknown field kind {kind!r}")
-    converted = staged.select("value", _PARTS, *typed)
-    flat = converted.select(
-        "value", *[n for n, _ in spec.fields], F.coalesce(*checks).alias(REASON)
+            checked.append(P.integer(raw).alias(name))
+            checks.append(F.when((F.length(raw) > 0) & F.col(name).isNull(), F.lit(BAD_INTEGER)))
+    names = [c for c, kind in spec.fields if kind in ("stamp", "int")]
+    flagged = staged.select("value", _PARTS, *checked).select(
+        "value", _PARTS, *names, F.coalesce(*checks).alias(REASON)
     )
-    tagged = _fold_groups(flat, spec, keep=("value", REASON))
-    names = [f.name for f in spec.schema().fields]
 
     # Good and bad rows are emitted by a generator (0 or 1 row per line) rather than a
     # filter: a filter on the reason would be pushed below the projections and evaluate
-    # the whole parse a second time inside the predicate.
+    # the checks a second time inside the predicate.  The generator carries the split line
+    # and the checked fields; every other field is converted above it, so a query pays
+    # only for the fields it reads.
     ok = F.col(REASON).isNull()
-    row = F.array(F.struct(*names))
+    row = F.array(F.struct(_PARTS, *names))
+    rejected = F.array(F.struct("value", F.col(REASON).alias("reason")))
     if mode == "failfast":
         message = F.concat(F.col(REASON), F.lit(": "), F.col("value"))
-        good = tagged.select(F.inline(F.when(ok, row).otherwise(F.raise_error(message))))
-        bad = tagged.select(
-            F.inline(F.when(F.lit(False), F.array(F.struct("value", F.col(REASON).alias("reason")))))
-        )
+        passed = flagged.select(F.inline(F.when(ok, row).otherwise(F.raise_error(message))))
+        bad = flagged.select(F.inline(F.when(F.lit(False), rejected)))
     else:
-        good = tagged.select(F.inline(F.when(ok, row)))
-        bad = tagged.select(
-            F.inline(F.when(~ok, F.array(F.struct("value", F.col(REASON).alias("reason")))))
-        )
+        passed = flagged.select(F.inline(F.when(ok, row)))
+        bad = flagged.select(F.inline(F.when(~ok, rejected)))
+    good = _typed(passed, spec, (), signed_money)
+    tagged = _typed(flagged, spec, ("value", REASON), signed_money)
     return Parsed(good=good, bad=bad, tagged=tagged, mode=mode)
 
 
+def _typed(df: DataFrame, spec: TableSpec, keep: tuple[str, ...], signed_money: bool) -> DataFrame:
+    """The typed columns of ``spec`` from split lines with their checked fields."""
+    parts = F.col(_PARTS)
+    typed: list[Column] = []
+    for i, (name, kind) in enumerate(spec.fields):
+        if kind == "text":
+            typed.append(_field(parts, i).alias(name))
+        elif kind == "money":
+            typed.append(P.money(_field(parts, i), signed=signed_money).alias(name))
+        elif kind in ("stamp", "int"):
+            typed.append(F.col(name))
+        else:
+            raise ValueError(f"unknown field kind {kind!r}")
+    return _fold_groups(df.select(*keep, *typed), spec, keep)
+
+
 def _fold_groups(flat: DataFrame, spec: TableSpec, keep: tuple[str, ...]) -> DataFrame:
     if not spec.groups:
         return flat.select(*keep, *[n for n, _ in spec.fields])

@@ -13,9 +13,9 @@ import hashlib
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.functions.periods import PERIOD, month_key
+from tillroll.functions.periods import PERIOD
 from tillroll.session import checkpoint_dir
-from tillroll.sources.ingest import STATUS, tag_status
+from tillroll.sources.ingest import STATUS, tag_status, with_derived
 from tillroll.sources.schema import SPECS, TableSpec
 from tillroll.sources.text import Parsed, parse
 
@@ -33,6 +33,16 @@ def stream_table(
     return parse(reader.load(path), spec, mode=mode)
 
 
+def _refuse_batch_folder(spark: SparkSession, out_dir: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(out_dir)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    if "_spark_metadata" not in names and any(not n.startswith(".") for n in names):
+        raise ValueError(f"{out_dir} holds files that no stream wrote; choose another folder")
+
+
 def start_ingest(
     spark: SparkSession,
     parsed: Parsed,
@@ -44,9 +54,13 @@ def start_ingest(
 ) -> StreamingQuery:
     """Append parsed rows (ok and bad, partitioned by ``_status``) to ``out_dir``.
 
-    With ``out_dir = <warehouse>/<name>`` the result has the batch ingest's layout, so
-    ``tillroll.sources.ingest.load(spark, <warehouse>, <name>)`` reads it; ``by_month``
-    adds the ``_month`` partition for period pruning.
+    With ``out_dir = <warehouse>/<name>`` the result has the batch ingest's layout and
+    columns, so ``tillroll.sources.ingest.load(spark, <warehouse>, <name>)`` reads it;
+    ``by_month`` adds the ``_month`` partition for period pruning.
+
+    A folder that holds files of a batch ingest is refused: the file sink's log names the
+    only files that readers then see, so the batch's rows would vanish. Give streams a
+    folder of their own and union the two tables.
     """
     if name not in SPECS:
         raise ValueError(f"unknown table {name!r}")
@@ -54,11 +68,9 @@ def start_ingest(
         # stable for the same output (a restart resumes), distinct between outputs
         digest = hashlib.sha1(out_dir.rstrip("/").encode()).hexdigest()[:16]
         checkpoint_location = f"{checkpoint_dir(spark)}/tillroll-stream-{name}-{digest}"
-    rows = tag_status(parsed)
-    partitions = [STATUS]
-    if by_month and "timestamp" in rows.columns:
-        rows = rows.withColumn(PERIOD, month_key("timestamp"))
-        partitions.append(PERIOD)
+    _refuse_batch_folder(spark, out_dir)
+    rows = with_derived(tag_status(parsed), name, by_month)
+    partitions = [STATUS, *(c for c in (PERIOD,) if c in rows.columns)]
     writer = (
         rows.writeStream.format("parquet")
         .partitionBy(*partitions)
