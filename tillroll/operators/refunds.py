@@ -73,7 +73,11 @@ def net_sales(
     the same aggregate, without materialising the fanned-out rows.
     """
     month_sales = restrict(sales, "timestamp", *month_bounds(year, month))
-    per_tx = refunds_per_transaction(_scoped(refunds, year, refunds_since))
+    # only the month's transactions: their ids reach the refunds' side before its shuffle
+    # (broadcast, or a runtime filter, as their measured size allows)
+    ids = month_sales.select(F.col("transaction_id").alias("original_transaction_id"))
+    scoped = _scoped(refunds, year, refunds_since).join(ids, "original_transaction_id", "left_semi")
+    per_tx = refunds_per_transaction(scoped)
     joined = month_sales.join(per_tx, "transaction_id", "left")
     refunded = F.coalesce(F.col("refund_cents"), F.lit(0).cast(TOTAL))
     amount = cents("total_amount")

@@ -13,6 +13,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # a filtered side (one month of orders) of up to this size may filter the other side
+    # before its shuffle; the default of 10 MB rules that out on large tables
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
 }
 
 
