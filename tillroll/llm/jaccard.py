@@ -1,10 +1,11 @@
 """Documents joined by the Jaccard similarity of their word shingles.
 
 A document is the set of its distinct 5-word shingles.  Its *point* is a count vector: the
-shingles are hashed into ``GROUPS`` groups and counted per group.  The overlap of two sets
-is at most the sum of the coordinate minima of their points, and that of any two members of
-two tree nodes at most the sum of the minima of the nodes' greatest coordinates; an R-tree
-over points prunes with both.
+shingles are hashed into groups, about one per four shingles, and counted per group; halves
+of neighbouring groups add up to the coarser point of ``GROUPS`` groups that all documents
+have.  The overlap of two sets is at most the sum of the coordinate minima of their points,
+and that of any two members of two tree nodes at most the sum of the minima of the nodes'
+greatest coordinates; an R-tree over the coarse points prunes with both.
 
 One tree over all documents cannot prune (points of unrelated long texts are near each
 other), so documents are first blocked by necessary shingles: shingles are put in a common
@@ -19,6 +20,7 @@ bounds hold within it.
 3. Blocks that still hold several components are indexed: the points of their documents
    form an R-tree (a block of up to ``LEAF`` documents is one leaf), whose self-join gives
    the pairs across components that the bounds leave; these are verified too.
+   Before any verification, the fine points of a pair must leave enough overlap.
 4. The components of all links are found by star contraction.
 
 Verification compares the whole sets, one member's text at a time against its centre's;
@@ -90,26 +92,56 @@ def shingle_sets(words: Words, k: int = SHINGLE) -> Iterator[np.ndarray]:
             yield np.zeros(0, U64)
 
 
+def point_of(shingles: np.ndarray) -> np.ndarray:
+    """Counts per group of the leading hash bits; a power of two of groups."""
+    bits = min(16, max(GROUPS.bit_length() - 1, (len(shingles) // 4).bit_length()))
+    return np.bincount((shingles >> U64(64 - bits)).astype(np.int64), minlength=1 << bits)
+
+
+def folded(point: np.ndarray, groups: int) -> np.ndarray:
+    """The same counts in fewer groups."""
+    return point.reshape(groups, -1).sum(1)
+
+
+def packed_point(point: np.ndarray) -> bytes:
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32) if point.max() <= np.iinfo(k).max)
+    return bytes([np.dtype(kind).itemsize]) + point.astype(kind).tobytes()
+
+
+def unpacked_point(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, {1: np.uint8, 2: np.uint16, 4: np.uint32}[data[0]], offset=1).astype(np.int64)
+
+
+def may_link(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the points of two sets leave enough overlap."""
+    groups = min(len(a), len(b))
+    bound = np.minimum(folded(a, groups), folded(b, groups)).sum()
+    return bool(bound >= need(int(a.sum()), int(b.sum())))
+
+
 def _summaries(docs: DataFrame, k: int) -> DataFrame:
-    """(doc, n, h1, h2, point) of each document: size, two hashes of the set, point."""
+    """(doc, n, h1, h2, point, coarse) of each document: size, two hashes of the set, and
+    the fine and the coarse point."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "_text"):
-                n, h1, h2, points = [], [], [], []
+                n, h1, h2, points, coarse = [], [], [], [], []
                 for s in shingle_sets(find_words(part.column("_text"), ASCII_SPACE), k):
                     n.append(len(s))
                     h1.append(int(s.sum().astype(np.int64)))
                     h2.append(int(np.bitwise_xor.reduce(_mix(s ^ U64(0x5BD1E995)), initial=U64(0)).astype(np.int64)))
-                    groups = np.bincount((s >> U64(40)).astype(np.int64) % GROUPS, minlength=GROUPS)
-                    points.append(groups.astype(np.uint32).tobytes())
+                    fine = point_of(s)
+                    points.append(packed_point(fine))
+                    coarse.append(folded(fine, GROUPS).astype(np.uint32).tobytes())
                 yield pa.RecordBatch.from_pydict({
                     "doc": part.column("_row"), "n": pa.array(n, pa.int64()),
                     "h1": pa.array(h1, pa.int64()), "h2": pa.array(h2, pa.int64()),
-                    "point": pa.array(points, pa.binary()),
+                    "point": pa.array(points, pa.binary()), "coarse": pa.array(coarse, pa.binary()),
                 })
 
-    return map_arrow(docs, run, "doc long, n long, h1 long, h2 long, point binary")
+    ddl = "doc long, n long, h1 long, h2 long, point binary, coarse binary"
+    return map_arrow(docs, run, ddl)
 
 
 def _frequent(docs: DataFrame, size: int, k: int) -> np.ndarray:
@@ -199,6 +231,32 @@ def possible(n1, r1, d1, n2, r2, d2) -> np.ndarray:
     )
 
 
+def _small_pairs(key: np.ndarray, ends: np.ndarray, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of a block, for some ``rows``, in parts; ``ends``: of each row's block."""
+    for some in np.array_split(rows, max(1, len(rows) // 20_000)):
+        count = ends[some] - some - 1
+        i = np.repeat(some, count)
+        yield i, i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _block_ends(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row (sorted by key): the end and the size of its block."""
+    at = np.flatnonzero(np.diff(key, prepend=-1))
+    size = np.diff(np.append(at, len(key)))
+    return np.repeat(at + size, size), np.repeat(size, size)
+
+
+def _in_possible_pairs(key, n, rank, doc) -> np.ndarray:
+    """Rows that some other of their block may link with by length and position (in larger
+    blocks, all rows)."""
+    ends, size = _block_ends(key)
+    keep = size > LEAF
+    for i, j in _small_pairs(key, ends, np.flatnonzero(size <= LEAF)):
+        ok = possible(n[i], rank[i], doc[i], n[j], rank[j], doc[j])
+        keep[i[ok]] = keep[j[ok]] = True
+    return keep
+
+
 def _blocks(entries: DataFrame) -> DataFrame:
     """kind 0: star pairs (a, b); kind 1: the entries (key, a = doc, n, rank) of shared
     shingles."""
@@ -230,6 +288,8 @@ def _blocks(entries: DataFrame) -> DataFrame:
         ) & (e["doc"][centre] != e["doc"])
         pairs = np.unique(np.stack((e["doc"][centre][ok], e["doc"][ok]), axis=1), axis=0)
         zero = np.zeros(len(pairs), np.int64)
+        keep = _in_possible_pairs(key, e["n"], e["rank"], e["doc"])
+        key, e = key[keep], {name: v[keep] for name, v in e.items()}
         for kind, columns in ((0, (pairs[:, 0], pairs[:, 1], zero, zero, zero)),
                               (1, (e["doc"], e["doc"], key, e["n"], e["rank"]))):
             for i in range(0, len(columns[0]), 100_000):
@@ -312,29 +372,55 @@ def overlap_bound(points: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarra
 
 def _block_pairs(key, n, rank, doc, group, points) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Positions of the pairs across groups that all bounds leave; rows sorted by key."""
-    at = np.flatnonzero(np.diff(key, prepend=-1))
-    ends = np.append(at[1:], len(key))
+    ends, size = _block_ends(key)
 
     def checked(i, j):
         ok = possible(n[i], rank[i], doc[i], n[j], rank[j], doc[j]) & (doc[i] != doc[j])
         return i[ok], j[ok]
 
     # blocks of one leaf, all at once
-    small = np.repeat(ends - at <= LEAF, ends - at)
-    last = np.repeat(ends, ends - at)
-    rows = np.flatnonzero(small)
-    for some in np.array_split(rows, max(1, len(rows) // 20_000)):
-        count = last[some] - some - 1
-        i = np.repeat(some, count)
-        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count)
+    for i, j in _small_pairs(key, ends, np.flatnonzero(size <= LEAF)):
         keep = group[i] != group[j]
         i, j = checked(i[keep], j[keep])
         keep = overlap_bound(points, i, j) >= need(n[i], n[j])
         yield i[keep], j[keep]
-    for a, b in zip(at, ends):
+    a = 0
+    while a < len(key):
+        b = ends[a]
         if b - a > LEAF:
             for i, j in CountTree(points[a:b], n[a:b], group[a:b]).self_join():
                 yield checked(i + a, j + a)
+        a = b
+
+
+def _mixed(labelled: DataFrame) -> DataFrame:
+    """The entries (one per document and block) of blocks with several components."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("key", "doc", "n", "rank", "component")
+        held: dict[str, list] = {c: [] for c in names}
+        for batch in batches:
+            for c in names:
+                held[c].append(batch.column(c).to_numpy(zero_copy_only=False))
+        if not held["key"]:
+            return
+        e = {c: np.concatenate(v) for c, v in held.items()}
+        order = np.lexsort((e["doc"], e["key"]))
+        e = {c: v[order] for c, v in e.items()}
+        again = np.zeros(len(order), bool)
+        again[1:] = (e["key"][1:] == e["key"][:-1]) & (e["doc"][1:] == e["doc"][:-1])
+        e = {c: v[~again] for c, v in e.items()}
+        ends, size = _block_ends(e["key"])
+        at = np.unique(ends - size)
+        several = np.minimum.reduceat(e["component"], at) < np.maximum.reduceat(e["component"], at)
+        keep = np.repeat(several, size[at])
+        for i in range(0, int(keep.sum()), 100_000):
+            yield pa.RecordBatch.from_pydict({c: pa.array(e[c][keep][i : i + 100_000]) for c in names})
+
+    return map_arrow(
+        labelled.select("key", "doc", "n", "rank", "component"), run,
+        "key long, doc long, n int, rank int, component long",
+    )
 
 
 def _cross_pairs(mixed: DataFrame) -> DataFrame:
@@ -346,7 +432,7 @@ def _cross_pairs(mixed: DataFrame) -> DataFrame:
         for batch in batches:
             for c, held in columns.items():
                 held.append(batch.column(c).to_numpy(zero_copy_only=False))
-            points += batch.column("point").to_pylist()
+            points += batch.column("coarse").to_pylist()
         if not points:
             return
         key, n, rank, doc, group = (np.concatenate(v).astype(np.int64) for v in columns.values())
@@ -378,12 +464,12 @@ def _cross_pairs(mixed: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- verification
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, parts: int, k: int) -> DataFrame:
-    """The linked ones of some distinct pairs (a, b), by their whole sets."""
+def _compare(pairs: DataFrame, values: DataFrame, parts: int, decode, linked) -> DataFrame:
+    """The distinct pairs (a, b) for which ``linked(x, y)`` holds, x and y being what
+    ``decode`` makes of a batch of ``values`` (id, value).  A centre's value meets those of
+    its partners, which are split by a salt if they are many."""
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = docs.select("_row", "_text").join(
-        maybe_broadcast(wanted, wanted.count(), 16), F.col("_row") == F.col("id"), "left_semi"
-    )
+    held = values.join(maybe_broadcast(wanted, wanted.count(), 16), "id", "left_semi")
     fan = F.floor((F.col("members") - 1) / MEMBERS_PER_TASK)  # the greatest salt
     centres = pairs.groupBy("a").agg(F.count("*").alias("members")).select(
         "a", F.explode(F.sequence(F.lit(0), fan)).alias("salt"), fan.alias("fan")
@@ -391,44 +477,60 @@ def _verify(pairs: DataFrame, docs: DataFrame, parts: int, k: int) -> DataFrame:
     salts = pairs.join(
         centres.where("salt = 0").select(F.col("a").alias("c"), "fan"), F.col("a") == F.col("c")
     ).select("a", "b", F.pmod(F.xxhash64("b"), F.col("fan") + 1).alias("salt"))
-    members = salts.join(texts, F.col("b") == F.col("_row")).select("a", "salt", "b", "_text")
-    heads = centres.join(texts, F.col("a") == F.col("_row")).select(
-        "a", "salt", F.lit(None).cast("long").alias("b"), "_text"
+    members = salts.join(held, F.col("b") == F.col("id")).select("a", "salt", "b", "value")
+    heads = centres.join(held, F.col("a") == F.col("id")).select(
+        "a", "salt", F.lit(None).cast("long").alias("b"), "value"
     )
     rows = members.unionByName(heads).repartition(parts, "a", "salt").sortWithinPartitions(
         F.col("a"), F.col("salt"), F.col("b").asc_nulls_first()
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        centre, own = None, np.zeros(0, U64)
+        centre, own = None, None
         for batch in batches:
-            for part in chunks(batch, "_text"):
+            for part in chunks(batch, "value"):
                 left, right = [], []
-                sets = shingle_sets(find_words(part.column("_text"), ASCII_SPACE), k)
-                for a, b, s in zip(part.column("a").to_pylist(), part.column("b").to_pylist(), sets):
+                ids = zip(part.column("a").to_pylist(), part.column("b").to_pylist())
+                for (a, b), x in zip(ids, decode(part.column("value"))):
                     if b is None:
-                        centre, own = a, s
-                        continue
-                    if a != centre:
+                        centre, own = a, x
+                    elif a != centre:
                         raise RuntimeError("a member without its centre")
-                    common = len(np.intersect1d(own, s, assume_unique=True))
-                    if 100 * common >= 75 * (len(own) + len(s) - common):
+                    elif linked(own, x):
                         left.append(a)
                         right.append(b)
                 yield pa.RecordBatch.from_pydict({
-                    "u": pa.array(left, pa.int64()), "v": pa.array(right, pa.int64())
+                    "a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())
                 })
 
-    return map_arrow(rows.select("a", "b", "_text"), run, "u long, v long")
+    return map_arrow(rows.select("a", "b", "value"), run, "a long, b long")
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, summary: DataFrame, parts: int, k: int) -> DataFrame:
+    """The links (u, v) among distinct pairs (a, b): by fine points, then by whole sets."""
+
+    def points(column: pa.Array) -> Iterator[np.ndarray]:
+        return map(unpacked_point, column.to_pylist())
+
+    def sets(column: pa.Array) -> Iterator[np.ndarray]:
+        return shingle_sets(find_words(column, ASCII_SPACE), k)
+
+    def similar(x: np.ndarray, y: np.ndarray) -> bool:
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * common >= 75 * (len(x) + len(y) - common)
+
+    fine = summary.select(F.col("doc").alias("id"), F.col("point").alias("value"))
+    near = stored(_compare(pairs, fine, parts, points, may_link), "near")
+    texts = docs.select(F.col("_row").alias("id"), F.col("_text").alias("value"))
+    return _compare(near, texts, parts, sets, similar).toDF("u", "v")
 
 
 def _labels(docs: DataFrame, size: int, k: int) -> DataFrame:
     """(doc, n_shingles, label) per ``_row`` of ``docs``: label is the least row reachable
     by links."""
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, docs.select("_row", "_text")
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
-    texts = docs.select("_row", "_text")
-    summary = stored(_summaries(texts, k), "sets")
+    summary = stored(_summaries(docs, k), "sets")
     same = ["n", "h1", "h2"]
     classes = stored(
         summary.where("n > 0").groupBy(*same).agg(F.min("doc").alias("first")), "classes"
@@ -436,7 +538,7 @@ def _labels(docs: DataFrame, size: int, k: int) -> DataFrame:
     member = stored(
         summary.where("n > 0").select("doc", *same).join(classes, same).select("doc", "first"), "members"
     )
-    entries = _entries(texts, _frequent(texts, size, k), 8 * parts, k)
+    entries = _entries(docs, _frequent(docs, size, k), 8 * parts, k)
     blocks = stored(_blocks(entries.repartition(parts, "bucket")), "blocks")
 
     # first links: stars, between classes
@@ -447,24 +549,28 @@ def _labels(docs: DataFrame, size: int, k: int) -> DataFrame:
         .where("fa <> fb").select(F.least("fa", "fb").alias("a"), F.greatest("fa", "fb").alias("b")).distinct(),
         "stars",
     )
-    links = stored(_verify(stars, texts, parts, k), "links")
+    links = stored(_verify(stars, docs, summary, parts, k), "links")
     first = stored(components(links), "components")
 
     # blocks that hold several components, with the points of their documents
+    placed = (
+        member.join(first.select(F.col("node").alias("first"), "component"), "first", "left")
+        .select("doc", "first", F.coalesce("component", "first").alias("component"))
+        .where("doc <> first OR first <> component")
+    )
+    placed = stored(placed, "placed")
+    placed = maybe_broadcast(placed, placed.count(), 24)
     live = (
         blocks.where("kind = 1").select(F.col("a").alias("doc"), "key", "n", "rank")
-        .join(member, "doc").select("key", F.col("first").alias("doc"), "n", "rank").distinct()
-        .join(first.select(F.col("node").alias("doc"), "component"), "doc", "left")
-        .withColumn("component", F.coalesce("component", "doc"))
+        .join(placed, "doc", "left")
+        .select("key", F.coalesce("first", "doc").alias("doc"), "n", "rank",
+                F.coalesce("component", "doc").alias("component"))
     )
-    live = stored(live, "live")
-    several = live.groupBy("key").agg(
-        F.min("component").alias("lo"), F.max("component").alias("hi")
-    ).where("lo < hi").select("key")
-    points = summary.where("n > 0").select("doc", "point")
-    mixed = live.join(several, "key", "left_semi").join(points, "doc")
-    across = stored(_cross_pairs(mixed.repartition(parts, "key")).distinct(), "across")
-    more = _verify(across, texts, parts, k)
+    mixed = stored(_mixed(live.repartition(parts, "key")), "mixed")
+    points = summary.where("n > 0").select("doc", "coarse")
+    across = _cross_pairs(mixed.join(points, "doc").repartition(parts, "key"))
+    across = stored(across.distinct(), "across")
+    more = _verify(across, docs, summary, parts, k)
     labels = components(links.union(more))
 
     named = classes.join(labels, F.col("first") == F.col("node"), "left").select(
@@ -494,7 +600,7 @@ def representatives(
     """The rows of ``df`` that are the first of their component, in the order of ids."""
     text = F.col(f"`{text_col}`").cast("string").alias("_text")
     docs, _, size = keyed(df.select(*(F.col(f"`{c}`") for c in df.columns), text), id_col)
-    firsts = _labels(docs, size, k).where("doc = label").select("doc")
-    return docs.join(firsts, F.col("_row") == F.col("doc"), "left_semi").select(
+    firsts = _labels(docs, size, k).where("doc = label").select(F.col("doc").alias("_first_row"))
+    return docs.join(firsts, F.col("_row") == F.col("_first_row"), "left_semi").select(
         *(F.col(f"`{c}`") for c in df.columns)
     )
