@@ -46,11 +46,11 @@ from tillroll.llm.components import components
 from tillroll.llm.words import ASCII_SPACE, U64, Words, _mix, find_words
 
 SHINGLE = 5
-GROUPS = 64
+GROUPS = 256
 LEAF = 32
 FANOUT = 8
 PARTITION_BYTES = 64 << 20  # text bytes per shuffle partition
-SAMPLE_BYTES = 16 << 20  # of texts that show which shingles are frequent
+SAMPLE_BYTES = 64 << 20  # of texts that show which shingles are frequent
 FREQUENT = 64  # documents (estimated) with a frequent shingle
 MAX_FREQUENT = 1_000_000  # shingles in the table of frequent ones, a broadcast
 MEMBERS_PER_TASK = 256
@@ -133,7 +133,7 @@ def _summaries(docs: DataFrame, k: int) -> DataFrame:
                     h2.append(int(np.bitwise_xor.reduce(_mix(s ^ U64(0x5BD1E995)), initial=U64(0)).astype(np.int64)))
                     fine = point_of(s)
                     points.append(packed_point(fine))
-                    coarse.append(folded(fine, GROUPS).astype(np.uint32).tobytes())
+                    coarse.append(packed_point(folded(fine, GROUPS)))
                 yield pa.RecordBatch.from_pydict({
                     "doc": part.column("_row"), "n": pa.array(n, pa.int64()),
                     "h1": pa.array(h1, pa.int64()), "h2": pa.array(h2, pa.int64()),
@@ -160,7 +160,7 @@ def _frequent(docs: DataFrame, size: int, k: int) -> np.ndarray:
 
     counted = (
         map_arrow(sample, run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-        .where(F.col("n") > max(4, int(FREQUENT * share)))
+        .where(F.col("n") > max(3, int(FREQUENT * share)))
         .orderBy(F.desc("n"), "shingle").limit(MAX_FREQUENT)
     )
     found = counted.select("shingle").toArrow().column(0).to_numpy()
@@ -436,7 +436,7 @@ def _cross_pairs(mixed: DataFrame) -> DataFrame:
         if not points:
             return
         key, n, rank, doc, group = (np.concatenate(v).astype(np.int64) for v in columns.values())
-        point = np.frombuffer(b"".join(points), np.uint32).reshape(-1, GROUPS)
+        point = np.stack([unpacked_point(x).astype(np.uint32) for x in points])
         del points
         order = np.lexsort((doc, key))
         key, n, rank, doc, group, point = (x[order] for x in (key, n, rank, doc, group, point))
