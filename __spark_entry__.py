@@ -156,7 +156,7 @@ def q_second_best_customer_any_refund(spark, d):
 def q_second_best_customer_sql(spark, d):
     _views(spark, d, td.order_sales(spark, d))
     return S.nth_best_customer(
-        spark, YEAR, MONTH, RANK, since=None, fan_out=True, prefix=VIEW_PREFIX
+        spark, YEAR, MONTH, RANK, since=None, fan_out=True, prefix=VIEW_PREFIX, keep_rank=True
     )
 
 

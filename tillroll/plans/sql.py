@@ -95,7 +95,10 @@ def nth_best_customer(
     since: int | None = None,
     fan_out: bool = False,
     prefix: str = "",
+    keep_rank: bool = False,
 ) -> DataFrame:
+    """``keep_rank`` adds the column ``dense_rank`` (n in every row), as the reference's SQL
+    returns it."""
     p = _prefix(prefix)
     args = {"year": year, "month": month, "n": int(n)}
     if since is not None:
@@ -133,8 +136,8 @@ def nth_best_customer(
                  concat_ws(' ', c.customer_first_name, c.customer_last_name) AS customer_name
           FROM {p}customer c JOIN bounds b ON c.customer_id BETWEEN b.lo AND b.hi)
         SELECT ranked.customer_id, names.customer_name,
-               {_DOUBLE.format('ranked.net_total')} AS net_total,
-               CAST(:n AS INT) AS dense_rank
+               {_DOUBLE.format('ranked.net_total')} AS net_total
+               {", CAST(:n AS INT) AS dense_rank" if keep_rank else ""}
         FROM ranked JOIN names ON names.customer_id = ranked.customer_id
         """,
         args=args,
