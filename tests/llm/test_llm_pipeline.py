@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import subprocess
 import sys
 
+import duckdb
 import public_tokenizers
+import pytest
 import tiktoken
 
 import __spark_entry__ as driver
@@ -14,7 +17,9 @@ import corpus_pipeline as pipeline
 from tests_llm_brute import hits, linked, repeats  # noqa: E402
 
 from tillroll.llm import bpe
+from tillroll.llm import entry as llm_entry
 
+SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -75,6 +80,42 @@ def test_stages_take_empty_tables_and_further_columns(spark, scratch):
     assert 2 not in [r.doc_id for r in pipeline.decontaminated(spark, full, scratch).collect()]
 
 
+@pytest.mark.parametrize("name", [n for n in driver.oracle_sql() if n in llm_entry.QUERIES])
+def test_queries_equal_their_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SMALL}/{t}.parquet'")
+    df = driver.queries()[name](spark, SMALL)
+    cur = con.execute(driver.oracle_sql()[name])
+    columns = [d[0] for d in cur.description]
+    assert sorted(df.columns) == sorted(columns)
+    assert sorted(map(repr, map(tuple, df.select(*columns).collect()))) == sorted(map(repr, cur.fetchall()))
+
+
+def test_document_queries_equal_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    rows.sort()
+    items = [tuple(r) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").select("item_id", "text").collect()]
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    got = {r.doc_id: tuple(r)[1:] for r in llm_entry.op5_suffix(spark, SMALL).collect()}
+    want = repeats([(t or "").encode() for _, t in rows], 100)
+    assert got == {i: (n, cut, runs, sha(rest)) for (i, _), (n, cut, runs, rest) in zip(rows, want)}
+    got = {r.doc_id: tuple(r)[1:] for r in llm_entry.op7_jaccard(spark, SMALL).collect()}
+    assert got == linked(rows)
+    got = {r.doc_id: tuple(r)[1:] for r in llm_entry.op9_decontaminate(spark, SMALL).collect()}
+    assert got == {
+        i: (n, hit, len(ids), sha(",".join(sorted(map(str, ids))).encode()), hit > 0)
+        for i, (n, hit, ids) in hits(rows, items).items()
+    }
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("t", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = {r.doc_id: tuple(r)[1:] for r in llm_entry.op2_bpe(spark, SMALL).collect()}
+    for i, t in rows:
+        ids = library.encode_ordinary(t or "")
+        packed = b"".join(x.to_bytes(4, "little") for x in ids)
+        assert got[i] == (len(ids), sha(packed), sha((t or "").encode()))
+
+
 def test_registered_names():
     names = list(driver.queries())
     assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 11)]
