@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import map_arrow
 
-MEMO_ENTRIES = 1_000_000  # about 200 MB
+MEMO_ENTRIES = 400_000  # about 80 MB
 _MASK = (1 << 64) - 1
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillroll.session import checkpoint_dir
 
 # Arrow batches are cut to about this many text bytes before any numpy work
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 # a side is broadcast only when it was counted and its rows take less than this
 BROADCAST_BYTES = 32 << 20
 
