@@ -201,6 +201,48 @@ def test_every_template_names_itself(spark):
     assert all(k == name and abs(score - 1) < 1e-6 for k, (name, score) in got.items())
 
 
+HEADERS = {
+    "// SPDX-License-Identifier: MIT": "MIT",
+    "# SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+    "/* SPDX-License-Identifier: GPL-3.0-or-later */": "GPL-3.0",
+    "/* SPDX-License-Identifier: (GPL-2.0-only WITH Linux-syscall-note) OR Zlib OR X11 */": "GPL-2.0",
+    "# SPDX-License-Identifier: BSD-2-Clause": "BSD-2-Clause",
+    "# SPDX-License-Identifier: Zlib": None,
+    "Mozilla Public License Version 2.0": "MPL-2.0", "Mozilla Public License Version 1.1": "MPL-1.1",
+    "BSD 3-Clause License": "BSD-3-Clause", "BSD 2-Clause License": "BSD-2-Clause",
+    "# This file came with the tool of that name. Licensed under the MIT License. Ask its first "
+    "author, who wrote it long ago, about every other question that you may have.": "MIT",
+    "# This Source Code Form is subject to the terms of the Mozilla Public\n# License, v. 2.0. If a copy of "
+    "the MPL was not distributed with this\n# file, You can obtain one at http://mozilla.org/MPL/2.0/.": "MPL-2.0",
+    " * This program is free software: you can redistribute it and/or modify\n * it under the terms of the GNU "
+    "General Public License as published by\n * the Free Software Foundation, either version 3 of the License, "
+    "or\n * (at your option) any later version.": "GPL-3.0",
+    " * This program is free software; you can redistribute it and/or\n * modify it under the terms of the GNU "
+    "General Public License\n * as published by the Free Software Foundation; either version 2\n * of the "
+    "License, or (at your option) any later version.": "GPL-2.0",
+    "He lost his driver's license on the way to the sea, and nobody there asked for it.": None,
+}
+
+
+def test_headers_that_are_no_templates(spark):
+    rows = [(f"{i}/x.c", text) for i, text in enumerate(HEADERS)]
+    df = spark.createDataFrame(rows, "path string, text string")
+    got = {r.path: r.license_id for r in licenses.scan(df, licenses.templates(spark)).collect()}
+    assert {t: got[f"{i}/x.c"] for i, t in enumerate(HEADERS)} == HEADERS
+
+
+def test_whole_licence_files(spark):
+    rows = []
+    for name, text in licenses.texts():  # another holder, other line breaks, a part cut off
+        words = ("Copyright (c) 2031 Some Body and others\n\n" + text).split()
+        words = words[: len(words) * 9 // 10]
+        rows.append((f"{name}/LICENSE", "\n".join(" ".join(words[i : i + 9]) for i in range(0, len(words), 9))))
+    prose = " ".join(["the end of the license and of the rights to it, as any of them said,"] * 300)
+    df = spark.createDataFrame([*rows, ("prose/LICENSE", prose)], "path string, text string")
+    got = {r.path: r.license_id for r in licenses.scan(df, licenses.templates(spark)).collect()}
+    assert got == {p: p.split("/")[0] for p, _ in rows} | {"prose/LICENSE": None}
+
+
 def test_licence_plan_has_no_python(spark):
     df = spark.createDataFrame(FILES, "path string, text string")
     plan = licenses.scan(df, licenses.templates(spark))._jdf.queryExecution().toString()
