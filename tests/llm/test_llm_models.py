@@ -152,6 +152,12 @@ def test_pages_of_other_templates():
     )
 
 
+def test_elements_of_many_names():
+    layout = " ".join(f"col-{i}" for i in range(12))  # they sort before the name that tells
+    page = f'<div class="{layout} sidebar wide"><p>Buy all of it now.</p></div><div class="{layout}"><p>Text of it.</p></div>'
+    assert html.Model({}, {}).extract(page) == "Text of it."
+
+
 def test_odd_markup():
     m = html.Model({}, {})
     cases = {

@@ -108,7 +108,7 @@ def _keys(tag: str, attributes: str) -> tuple[str, ...]:
                 named[name.lower()] = (a or b or c).lower().strip()
     names = sorted({x for v in named.values() for x in v.split()})
     if names:
-        return (f"{tag}.{'.'.join(names)}", *(f"{tag}.{x}" for x in names))[: 1 + 8]
+        return (f"{tag}.{'.'.join(names)}", *(f"{tag}.{x}" for x in names))
     return (tag,) if tag in SECTIONS else ()
 
 
