@@ -181,6 +181,21 @@ def test_every_page_of_the_table(spark):
         assert r.text and "©" not in r.text and "\n\n" not in r.text
 
 
+def test_keys_beyond_the_broadcast_count_too(spark, monkeypatch):
+    side = '<div class="zz{0}"><p>buy {0} of these many fine things at once</p></div>'
+    rows = []
+    for i in range(40):  # two pages of each class, that only the learned counts tell from text
+        marked = PAGE.format(i).replace("<footer>", side.format(i // 2) + "<footer>")
+        rows += [(i, marked), (100 + i, f"<p>Some text of a page that goes on for long.</p>{side.format(i // 2)}")]
+    rows += [(200, None), (None, ""), (201, rows[1][1]), (201, rows[1][1])]
+    pages = spark.createDataFrame(rows, "page_id long, html string").repartition(3)
+    out = lambda: sorted(map(repr, html.extract(pages, html.fit(pages)).collect()))
+    want = out()
+    assert any("goes on" in r for r in want) and not any("many fine things" in r for r in want)
+    monkeypatch.setattr(html, "MAX_KEYS", 5)
+    assert out() == want
+
+
 def test_unusual_page_tables(spark):
     pages = spark.createDataFrame(
         [(1, None, None), (1, "u", "<p>x"), (None, "u", "<p>x")], "page_id long, url string, html string"

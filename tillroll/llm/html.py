@@ -10,8 +10,9 @@ menus, adverts or footers count against a region.  One linear scan finds the run
 greatest sum.  The text is that of the run's blocks with positive context.
 
 Contexts that no labelled page has fall back on names (``NOT_TEXT``), else on the enclosing
-context.  The learned table keeps contexts seen on ``MIN_PAGES`` pages and at most
-``MAX_KEYS`` of them, the most frequent (others fall back, so the broadcast is bounded).
+context.  The learned table keeps contexts and tags seen on ``MIN_PAGES`` pages.  The
+``MAX_KEYS`` most frequent of them are broadcast; the others, if any, are joined to the
+pages that have them, by key.
 
 Cases: a null page is empty; a page without a positive run gives empty text; malformed
 markup (unclosed or stray tags) is read as browsers do for the common cases; repeated rows
@@ -21,9 +22,9 @@ are extracted each.
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections import ChainMap, Counter
+from collections.abc import Iterator, Mapping
+from dataclasses import dataclass, field, replace
 from html import unescape
 from math import log
 
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_arrow
+from tillroll.llm.common import map_arrow, stored
 
 MIN_PAGES = 2
 MAX_KEYS = 50_000
@@ -247,10 +248,22 @@ def _named_off(context: Context | None) -> bool:
 
 @dataclass
 class Model:
-    words: dict[str, float]  # log odds of a context's words
-    tags: dict[str, float]  # scores of tags, all negative
+    words: Mapping[str, float]  # log odds of a context's words
+    tags: Mapping[str, float]  # scores of tags, all negative
     default_word: float = 2.0
     default_tag: float = -1.0
+    rare: DataFrame | None = None  # (kind, key, out, inside) of the learned keys not in these
+
+    def with_counts(self, counts: dict[tuple[str, str], tuple[int, int]]) -> Model:
+        """This model and what further counts say."""
+        more = model_from_counts(counts)
+        return replace(self, words=ChainMap(more.words, self.words), tags=ChainMap(more.tags, self.tags))
+
+    def unknown(self, html: str) -> set[tuple[str, str]]:
+        """(kind, key) of all that the page would look up and that is not in this model."""
+        _, tags = parse(html)
+        keys = {("tag", key) for key, _, _ in tags if key not in self.tags}
+        return keys | {("word", k) for _, _, c in tags for k in c.keys if k not in self.words}
 
     def context_score(self, context: Context | None, memo: dict[int, float]) -> float:
         """Score of a word below ``context``: what was learned for its keys, else its
@@ -342,34 +355,83 @@ def fit(pages: DataFrame, html_col: str = "html") -> Model:
         pages.select(F.col(f"`{html_col}`").cast("string")), run,
         "kind string, key string, inside boolean, v long, pages long",
     )
-    kept = (
+    kept = stored(
         partial.groupBy("kind", "key")
         .agg(
             F.sum(F.when(F.col("inside"), F.lit(0)).otherwise(F.col("v"))).alias("out"),
             F.sum(F.when(F.col("inside"), F.col("v")).otherwise(F.lit(0))).alias("inside"),
             F.sum("pages").alias("pages"),
         )
-        .where(F.col("pages") >= MIN_PAGES)
-        .orderBy(F.desc("pages"), "kind", "key").limit(MAX_KEYS)
+        .where(F.col("pages") >= MIN_PAGES),
+        "keys",
     )
-    return model_from_counts({(r.kind, r.key): (r.out, r.inside) for r in kept.collect()})
+    order = F.struct((-F.col("pages")).alias("p"), "kind", "key")
+    top = kept.orderBy(order).limit(MAX_KEYS + 1).collect()
+    model = model_from_counts({(r.kind, r.key): (r.out, r.inside) for r in top[:MAX_KEYS]})
+    if len(top) > MAX_KEYS:
+        first = top[MAX_KEYS]
+        beyond = F.struct(F.lit(-first.pages).cast("long").alias("p"), F.lit(first.kind).alias("kind"),
+                          F.lit(first.key).alias("key"))
+        model.rare = kept.where(order >= beyond).select("kind", "key", "out", "inside")
+    return model
+
+
+def _with_rare(rows: DataFrame, model: Model, shared) -> DataFrame:
+    """``rows`` and ``_found``: the rare keys that the page has, with their counts.  Pages
+    with equal html share them.  A frequent key is in the broadcast model and no join key."""
+    rows = rows.withColumn("_page", F.sha2(F.col("_html").cast("binary"), 256))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = {
+                    (page, *key) for page, html in zip(*(c.to_pylist() for c in part.columns))
+                    for key in shared.value.unknown(html)
+                }
+                columns = list(zip(*found)) or [()] * 3
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.string()) for c in columns], ["_page", "kind", "key"]
+                )
+
+    keys = map_arrow(
+        rows.where("_html IS NOT NULL").select("_page", "_html"), run, "_page string, kind string, key string"
+    )
+    found = (
+        keys.distinct().join(model.rare, ["kind", "key"]).groupBy("_page")
+        .agg(F.collect_list(F.struct("kind", "key", "out", "inside")).alias("_found"))
+    )
+    return rows.join(found, "_page", "left").drop("_page")
 
 
 def extract(pages: DataFrame, model: Model, html_col: str = "html") -> DataFrame:
     """``pages`` without the html plus ``text`` and ``n_chars`` (code points)."""
-    shared = pages.sparkSession.sparkContext.broadcast(model)
+    shared = pages.sparkSession.sparkContext.broadcast(replace(model, rare=None))
     keep = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
     rows = pages.select(
         *(F.col(f"`{c}`") for c in keep), F.col(f"`{html_col}`").cast("string").alias("_html")
     )
+    rare = model.rare is not None
+    if rare:
+        rows = _with_rare(rows, model, shared).select(*(f"`{c}`" for c in keep), "_found", "_html")
+
+    def text(html: str | None, found: list[dict] | None) -> str:
+        model = shared.value
+        if found:
+            model = model.with_counts({(f["kind"], f["key"]): (f["out"], f["inside"]) for f in found})
+        return model.extract(html)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             html = batch.column(batch.num_columns - 1)
             for at in range(0, batch.num_rows, 256):
-                texts = [shared.value.extract(h.as_py()) for h in html.slice(at, 256)]
+                found = batch.column(len(keep)).slice(at, 256) if rare else None
+                texts = [
+                    text(h.as_py(), found[i].as_py() if rare else None)
+                    for i, h in enumerate(html.slice(at, 256))
+                ]
                 yield pa.RecordBatch.from_arrays([
-                    *(c.slice(at, 256) for c in batch.columns[:-1]), pa.array(texts, pa.string()),
+                    *(c.slice(at, 256) for c in batch.columns[: len(keep)]), pa.array(texts, pa.string()),
                     pa.array([len(t) for t in texts], pa.int64()),
                 ], [*keep, "text", "n_chars"])
 
