@@ -109,6 +109,16 @@ def test_passages_by_the_route_for_frequent_seeds(spark, monkeypatch):
     assert result(suffix_dedup.remove_repeats(df, length=16, seed=5)) == want
 
 
+def test_copies_of_one_passage_are_spread_over_buckets(spark):
+    passage = "".join(random.Random(1).choices("abcdefghij", k=600))
+    docs = spark.createDataFrame([(i, f"{i} own {passage} {i}") for i in range(300)], "_row long, _text string")
+    rows = suffix_dedup._entries(docs.coalesce(1), 100, 20, 64, np.zeros(0, np.uint64)).where("kind = 0").collect()
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r.bucket] += len(np.frombuffer(r.doc, np.int64))
+    assert sum(sizes.values()) >= 299 and max(sizes.values()) < sum(sizes.values()) / 8
+
+
 def test_passages_of_rows_with_null_and_equal_ids(spark):
     rng = random.Random(0)
     p = "".join(rng.choice("abcdefgh") for _ in range(150))

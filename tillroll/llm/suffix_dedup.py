@@ -34,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -150,8 +151,9 @@ def _packed(bucket: np.ndarray, kind: int, e: dict[str, np.ndarray], by: np.ndar
 
 
 def _entries(docs: DataFrame, length: int, seed: int, buckets: int, hot: np.ndarray) -> DataFrame:
-    """Runs as packed entries: kind 0, to be removed; kind 1, the first of their class in
-    their chunk."""
+    """Runs as packed entries: kind 0, to be removed, by buckets of documents (nothing is
+    left to compare, and a passage may have any number of copies); kind 1, the first of
+    their class in their chunk, by buckets of seeds."""
     shared = docs.sparkSession.sparkContext.broadcast(hot)  # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +181,8 @@ def _entries(docs: DataFrame, length: int, seed: int, buckets: int, hot: np.ndar
                 }
                 e, lead = _sorted_classes(e)
                 copies_ = {k: v[~lead] for k, v in e.items()}
-                yield _packed((copies_["seed"] % U64(buckets)).astype(np.int64), 0, copies_)
+                own = _mix(copies_["doc"].astype(U64))
+                yield _packed((own % U64(buckets)).astype(np.int64), 0, copies_)
                 e = {k: v[lead] for k, v in e.items()}
                 yield _packed((e["seed"] % U64(buckets)).astype(np.int64), 1, e)
 
@@ -202,23 +205,30 @@ def _unpack(batches: Iterator[pa.RecordBatch], names) -> tuple[np.ndarray, dict[
 def _resolve(entries: DataFrame) -> DataFrame:
     """(kind, seed, doc, start, n): kind 0, removed; kind 1, to be compared by bytes."""
 
+    def rows(kind: int, part: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(part["n"]), 100_000):
+            some = {x: v[at : at + 100_000] for x, v in part.items()}
+            yield pa.RecordBatch.from_pydict({
+                "kind": pa.array(np.full(len(some["n"]), kind, np.int32)),
+                "seed": pa.array(some["seed"].view(np.int64)),
+                "doc": pa.array(some["doc"]), "start": pa.array(some["start"]),
+                "n": pa.array(some["n"]),
+            })
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind, e = _unpack(batches, _ENTRY)
-        gone = {k: v[kind == 0] for k, v in e.items()}
-        e, lead = _sorted_classes({k: v[kind == 1] for k, v in e.items()})
+        held = []
+        for batch in batches:  # what is decided passes through, batch by batch
+            decided = pc.equal(batch.column("kind"), 0)
+            _, gone = _unpack(iter([batch.filter(decided)]), _ENTRY)
+            yield from rows(0, gone)
+            held.append(batch.filter(pc.invert(decided)))
+        _, e = _unpack(iter(held), _ENTRY)
+        e, lead = _sorted_classes(e)
         group = np.cumsum(np.concatenate(([True], e["seed"][1:] != e["seed"][:-1]))) - 1 \
             if len(lead) else np.zeros(0, np.int64)
         several = np.bincount(group, weights=lead, minlength=1)[group] > 1
-        for k, part in ((0, gone), (0, {x: v[~lead] for x, v in e.items()}),
-                        (1, {x: v[lead & several] for x, v in e.items()})):
-            for at in range(0, len(part["n"]), 100_000):
-                some = {x: v[at : at + 100_000] for x, v in part.items()}
-                yield pa.RecordBatch.from_pydict({
-                    "kind": pa.array(np.full(len(some["n"]), k, np.int32)),
-                    "seed": pa.array(some["seed"].view(np.int64)),
-                    "doc": pa.array(some["doc"]), "start": pa.array(some["start"]),
-                    "n": pa.array(some["n"]),
-                })
+        yield from rows(0, {x: v[~lead] for x, v in e.items()})
+        yield from rows(1, {x: v[lead & several] for x, v in e.items()})
 
     return map_arrow(entries, run, "kind int, seed long, doc long, start int, n int")
 
