@@ -287,6 +287,17 @@ def test_top_k_of_repeated_rows_and_empty_tables(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") == 0).collect() == []
 
 
+def test_top_k_of_many_query_blocks(spark):
+    n = 2060  # a block per query: block numbers start with the partition, up to 2,059 here
+    rows = [(i, [float(i % 7), float(i % 5)]) for i in range(n)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(df, F.lit(True), k=1, queries_per_block=1).collect()
+    assert len(got) == n and {r.query_id for r in got} == set(range(n))
+    best = {i: min((-64 * 64 * (a * (j % 7) + b * (j % 5)), j) for j in range(35 * 2) if j != i)
+            for i, (a, b) in rows}
+    assert {r.query_id: (-r.score, r.vec_id) for r in got} == best
+
+
 def test_block_reads_few_exact_vectors():
     rng = np.random.default_rng(5)
     exact = rng.integers(-20, 20, (5000, 32)).astype(np.int16)

@@ -196,14 +196,14 @@ def top_k(
                 at = np.repeat([j for j, _, _ in found], sizes).astype(np.int64)
                 empty = [np.zeros(0, np.int64)]
                 yield pa.RecordBatch.from_pydict({
-                    "query": pa.array(at + (q_block << 20)),
+                    "q_block": pa.array(np.full(len(at), q_block, np.int64)), "query": pa.array(at),
                     "query_id": pa.array(q_ids[at]),
                     "vec_id": pa.array(np.concatenate([x for _, x, _ in found] or empty)),
                     "score": pa.array(np.concatenate([x for _, _, x in found] or empty)),
                 })
 
-    found = map_arrow(pairs, run, "query long, query_id long, vec_id long, score long")
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    found = map_arrow(pairs, run, "q_block long, query long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("q_block", "query").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
