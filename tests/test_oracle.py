@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001, SF0001
+from retail_support import SF001, SF0001
 
 TABLES = ("region nation customer supplier part orders lineitem").split()
 

@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import lines_df
+from retail_support import lines_df
 from tillroll.functions import parse as P
 from tillroll.sources.schema import CUSTOMER_EXTENDED, REFUND, SALES
 from tillroll.sources.text import flatten_struct, parse

@@ -8,7 +8,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF001
+from retail_support import SF001
 from tillroll.plans.inspect import plan_text, pushed_filters, uses_python
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from conftest import lines_df
+from retail_support import lines_df
 from tillroll.functions import clean as C
 from tillroll.operators.quality import clean_customers_extended, dq_report
 from tillroll.sources.schema import CUSTOMER_EXTENDED, SALES

@@ -8,7 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import lines_df
+from retail_support import lines_df
 from tillroll import report
 from tillroll.functions import parse as P
 from tillroll.functions.clean import US_STATES

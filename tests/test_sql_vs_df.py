@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import SF001
+from retail_support import SF001
 from fixtures import frames
 from tillroll.operators import address, distribution, ranking, refunds, repeats, unsold
 from tillroll.plans import sql as S
