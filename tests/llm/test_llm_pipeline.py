@@ -14,7 +14,7 @@ import tiktoken
 
 import __spark_entry__ as driver
 import corpus_pipeline as pipeline
-from tests_llm_brute import hits, linked, repeats  # noqa: E402
+from llm_brute import hits, linked, repeats  # noqa: E402
 
 from tillroll.llm import bpe
 from tillroll.llm import entry as llm_entry
