@@ -6,6 +6,7 @@ equals working on code points.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -85,16 +86,52 @@ class Words:
         return _mix(out), np.arange(k, n + 1) <= last
 
 
-def find_words(column: pa.Array, inside: np.ndarray) -> Words:
-    raw, bounds = text_bytes(column)
-    data = LOWER[raw]
+def word_edges(data: np.ndarray, bounds: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, end) offsets of the words of all texts; no word goes across a bound."""
     word = inside[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[bounds] = True  # a text starts or ends here
     before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
     before[1:], after[:-1] = word[:-1], word[1:]
     start = np.flatnonzero(word & (~before | edge[:-1]))
-    end = np.flatnonzero(word & (~after | edge[1:])) + 1
+    return start, np.flatnonzero(word & (~after | edge[1:])) + 1
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     sums = prefix_hash(BYTE_HASH[data])
-    hashes = (sums[end] - sums[start]) * powers(INVERSE, len(data) + 1)[start]
-    return Words(data, start, end, np.searchsorted(start, bounds), _mix(hashes))
+    return _mix((sums[end] - sums[start]) * powers(INVERSE, len(data) + 1)[start])
+
+
+def find_words(column: pa.Array, inside: np.ndarray) -> Words:
+    raw, bounds = text_bytes(column)
+    data = LOWER[raw]
+    start, end = word_edges(data, bounds, inside)
+    return Words(data, start, end, np.searchsorted(start, bounds), word_hashes(data, start, end))
+
+
+def blocks(
+    column: pa.Array, inside: np.ndarray, limit: int = 1 << 20
+) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, rows, bytes, bounds): runs of texts of about ``limit`` bytes.  A longer
+    text comes alone and in parts that end before a separator (rows is 0 for all but its
+    last part), so that hashing one takes bounded memory."""
+    raw, bounds = text_bytes(column)
+    sizes = np.diff(bounds)
+    at = 0
+    while at < len(sizes):
+        if sizes[at] > limit:
+            a, b = int(bounds[at]), int(bounds[at + 1])
+            while a < b:
+                cut = min(a + limit, b)
+                while cut < b and inside[raw[cut]]:
+                    outside = np.flatnonzero(~inside[raw[cut : cut + limit]])
+                    cut = min(b, cut + (int(outside[0]) if len(outside) else limit))
+                yield at, int(cut == b), raw[a:cut], np.array([0, cut - a])
+                a = cut
+            at += 1
+            continue
+        to = at + 1
+        while to < len(sizes) and bounds[to + 1] - bounds[at] <= limit:
+            to += 1
+        yield at, to - at, raw[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at]
+        at = to
