@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, html, jaccard, langid, licenses, quality, substring
-from tillroll.llm import suffix_dedup, topk, warc
+from tillroll.llm import bpe, decontaminate, html, jaccard, langid, licenses
+from tillroll.llm import quality, resample, substring, suffix_dedup, topk, warc
 from tillroll.llm.common import stored, table, work_dir
 
 
@@ -100,6 +100,12 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 20 == 0)
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = resample.resample(docs, table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_windows(docs, columns=("n_words", "n_removed", "kept_sha256"))
@@ -116,6 +122,7 @@ QUERIES = {
     "op8_html": op8_html,
     "op9_decontaminate": op9_decontaminate,
     "op10_topk": op10_topk,
+    "op11_resample": op11_resample,
     "op13_substring": op13_substring,
 }
 
