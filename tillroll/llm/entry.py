@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm import bpe, decontaminate, html, jaccard, langid, licenses
+from tillroll.llm import bpe, crosstoken, decontaminate, html, jaccard, langid, licenses
 from tillroll.llm import quality, resample, substring, suffix_dedup, topk, warc
 from tillroll.llm.common import stored, table, work_dir
 
@@ -106,6 +106,18 @@ def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_crosstoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as files
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = crosstoken.align(
+        docs, files.path("byte_bpe_50k.json"), files.path("piece_bpe_32k.model"), files.PATTERN
+    )
+    return aligned.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 def op13_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_windows(docs, columns=("n_words", "n_removed", "kept_sha256"))
@@ -123,6 +135,7 @@ QUERIES = {
     "op9_decontaminate": op9_decontaminate,
     "op10_topk": op10_topk,
     "op11_resample": op11_resample,
+    "op12_crosstoken": op12_crosstoken,
     "op13_substring": op13_substring,
 }
 
