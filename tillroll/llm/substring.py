@@ -39,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -63,7 +64,11 @@ _INVERSES = tuple(pow(b, -1, 1 << 64) for b in _BASES)
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _ENTRY = (("key", np.uint64), ("span", np.uint64), ("n", np.int32), ("doc", np.int64),
           ("start", np.int32), ("many", np.uint8))
-_ENTRIES = "bucket int, " + ", ".join(f"{k} binary" for k, _ in _ENTRY) + ", owner long, gone binary"
+_SPAN = ("n", "doc", "start")
+# packed arrays, one row per bucket; kind 0: decided (only documents, starts and lengths, by
+# buckets of documents), kind 1: to be grouped, by buckets of keys
+_ENTRIES = "bucket int, kind int, " + ", ".join(f"{k} binary" for k, _ in _ENTRY)
+_FOUND = "bucket int, kind int, " + ", ".join(f"{k} binary" for k in _SPAN)
 
 
 def _sequences(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -240,21 +245,42 @@ def build_sketch(texts: DataFrame, size: int, parts: int, window: int, gram: int
 # ------------------------------------------------------------------------ exact grouping
 
 
-def _joined_spans(doc: np.ndarray, start: np.ndarray, n: np.ndarray):
-    """(docs, packed): the windows of each document as maximal runs, int32 (start, n) pairs."""
+def _joined_spans(doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+    """The windows of each document as maximal runs, in the order of documents."""
+    if not len(doc):
+        return {"doc": doc, "start": start.astype(np.int32), "n": n.astype(np.int32)}
     order = np.lexsort((start, doc))
-    doc, start, end = doc[order], start[order].astype(np.int64), (start[order] + n[order]).astype(np.int64)
-    base = np.cumsum(np.concatenate(([0], (doc[1:] != doc[:-1]).astype(np.int64))))
+    doc, start, n = doc[order], start[order].astype(np.int64), n[order]
+    base = np.cumsum(np.concatenate(([0], doc[1:] != doc[:-1])))
     far = base << 40  # documents side by side on one axis
-    reach = np.maximum.accumulate(far + end)
+    reach = np.maximum.accumulate(far + start + n)
     new = np.ones(len(doc), bool)
     new[1:] = far[1:] + start[1:] > reach[:-1]
     lead = np.flatnonzero(new)
     last = np.append(lead[1:], len(doc)) - 1
-    pairs = np.stack((start[lead], reach[last] - far[last] - start[lead]), 1).astype(np.int32)
-    cut = np.flatnonzero(np.diff(base[lead], prepend=-1))
-    ends = np.append(cut[1:], len(lead))
-    return doc[lead][cut], [pairs[a:b].tobytes() for a, b in zip(cut, ends)]
+    return {
+        "doc": doc[lead], "start": start[lead].astype(np.int32),
+        "n": (reach[last] - far[last] - start[lead]).astype(np.int32),
+    }
+
+
+def _packed(e: dict[str, np.ndarray], by: np.ndarray, buckets: int, kind: int, names) -> pa.RecordBatch:
+    """One row per bucket of ``by``; the fields that ``e`` lacks are empty."""
+    bucket = (by % U64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    cut = np.flatnonzero(np.diff(bucket, prepend=-1))
+    ends = np.append(cut[1:], len(bucket))
+    columns = {"bucket": pa.array(bucket[cut]), "kind": pa.array(np.full(len(cut), kind, np.int32))}
+    for k in names:
+        own = e[k][order] if k in e else None
+        columns[k] = pa.array([b"" if own is None else own[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary())
+    return pa.RecordBatch.from_pydict(columns)
+
+
+def _spans_by_doc(e: dict[str, np.ndarray], buckets: int, kind: int, names) -> pa.RecordBatch:
+    joined = _joined_spans(e["doc"], e["start"], e["n"])
+    return _packed(joined, _mix(joined["doc"].astype(U64)), buckets, kind, names)
 
 
 def _classes(e: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
@@ -293,29 +319,9 @@ class Pool:
         self.parts, self.size = [], 0
         e, lead, several = _classes(e)
         e["many"] = several.astype(np.uint8)
-        yield from self._decided({k: v[several] for k, v in e.items()})
-        sent = {k: v[lead] for k, v in e.items()}
-        bucket = (sent["key"] % U64(self.buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        bucket, sent = bucket[order], {k: v[order] for k, v in sent.items()}
-        cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-        ends = np.append(cut[1:], len(bucket))
-        yield pa.RecordBatch.from_pydict({
-            "bucket": pa.array(bucket[cut].astype(np.int32)),
-            **{k: pa.array([v[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary()) for k, v in sent.items()},
-            "owner": pa.nulls(len(cut), pa.int64()), "gone": pa.nulls(len(cut), pa.binary()),
-        })
-
-    def _decided(self, e: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if not len(e["n"]):
-            return
-        docs, gone = _joined_spans(e["doc"], e["start"], e["n"])
-        rows = len(docs)
-        yield pa.RecordBatch.from_pydict({
-            "bucket": pa.array((_mix(docs.astype(U64)) % U64(self.buckets)).astype(np.int32)),
-            **{k: pa.nulls(rows, pa.binary()) for k, _ in _ENTRY},
-            "owner": pa.array(docs), "gone": pa.array(gone, pa.binary()),
-        })
+        names = [k for k, _ in _ENTRY]
+        yield _spans_by_doc({k: v[several] for k, v in e.items()}, self.buckets, 0, names)
+        yield _packed({k: v[lead] for k, v in e.items()}, e["key"][lead], self.buckets, 1, names)
 
 
 def _run_entries(texts: DataFrame, sketch: Sketch, buckets: int, window: int, gram: int) -> DataFrame:
@@ -354,49 +360,59 @@ def _windows(pool: Pool, runs: Runs, at, n, rows, row, first) -> Iterator[pa.Rec
         )
 
 
-def _resolve(entries: DataFrame) -> DataFrame:
-    """(owner, gone, open): windows of a document that are repeated, and runs of which
+def _resolve(entries: DataFrame, buckets: int) -> DataFrame:
+    """Packed windows by buckets of documents: kind 0, repeated; kind 1, runs of which
     single windows may be."""
 
-    def rows(e: dict[str, np.ndarray], name: str) -> pa.RecordBatch:
-        docs, spans = _joined_spans(e["doc"], e["start"], e["n"])
-        return _found(docs, spans, name)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {k: [] for k, _ in _ENTRY}
         for batch in batches:
-            own = batch.column("owner")
-            decided = batch.filter(own.is_valid())
-            if decided.num_rows:
-                yield _found(decided.column("owner"), decided.column("gone"), "gone")
-            rest = batch.filter(own.is_null())
+            decided = pc.equal(batch.column("kind"), 0)
+            yield batch.filter(decided).select(["bucket", "kind", *_SPAN])  # passes through
+            rest = batch.filter(pc.invert(decided))
             for k, t in _ENTRY:
                 held[k] += [np.frombuffer(x, t) for x in rest.column(k).to_pylist()]
         if not held["n"]:
             return
         e, lead, several = _classes({k: np.concatenate(held.pop(k)) for k, _ in _ENTRY})
         gone = several & (e["many"] == 0)  # the others were decided in their task
-        if gone.any():
-            yield rows({k: v[gone] for k, v in e.items()}, "gone")
-        group = np.cumsum(np.concatenate(([0], (e["key"][1:] != e["key"][:-1]).astype(np.int64))))
+        yield _spans_by_doc({k: e[k][gone] for k in _SPAN}, buckets, 0, _SPAN)
+        group = np.cumsum(np.concatenate(([0], e["key"][1:] != e["key"][:-1])))
         kinds = np.bincount(group, weights=lead)[group]
         open_ = lead & (kinds > 1)
-        if open_.any():
-            yield rows({k: v[open_] for k, v in e.items()}, "open")
+        yield _spans_by_doc({k: e[k][open_] for k in _SPAN}, buckets, 1, _SPAN)
+
+    return map_arrow(entries, run, _FOUND)
 
-    return map_arrow(entries, run, "owner long, gone binary, open binary")
 
+def _by_document(found: DataFrame, parts: int) -> DataFrame:
+    """(owner, spans): one row per document, its windows packed as int32 (start, n) pairs."""
+    types = dict(_ENTRY)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {k: [] for k in _SPAN}
+        for batch in batches:
+            for k in _SPAN:
+                held[k] += [np.frombuffer(x, types[k]) for x in batch.column(k).to_pylist()]
+        if not held["n"]:
+            return
+        e = _joined_spans(*(np.concatenate(held[k]) for k in ("doc", "start", "n")))
+        pairs = np.stack((e["start"], e["n"]), 1)
+        cut = np.flatnonzero(np.concatenate(([True], e["doc"][1:] != e["doc"][:-1])))
+        ends = np.append(cut[1:], len(pairs))
+        for at in range(0, len(cut), 20_000):
+            yield pa.RecordBatch.from_pydict({
+                "owner": pa.array(e["doc"][cut[at : at + 20_000]]),
+                "spans": pa.array([
+                    pairs[a:b].tobytes() for a, b in zip(cut[at : at + 20_000], ends[at : at + 20_000])
+                ], pa.binary()),
+            })
 
-def _found(docs, spans, name: str) -> pa.RecordBatch:
-    docs = docs if isinstance(docs, pa.Array) else pa.array(docs)
-    spans = spans if isinstance(spans, pa.Array) else pa.array(spans, pa.binary())
-    none = pa.nulls(len(docs), pa.binary())
-    both = {"gone": spans, "open": none} if name == "gone" else {"gone": none, "open": spans}
-    return pa.RecordBatch.from_pydict({"owner": docs, **both})
+    return map_arrow(found.repartition(parts, "bucket"), run, "owner long, spans binary")
 
 
 def _single_windows(joined: DataFrame, buckets: int, window: int) -> DataFrame:
-    """Entries of the windows of open runs: (row, text, list of packed spans)."""
+    """Entries of the windows of open runs: (row, text, packed spans)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool = Pool(buckets)
@@ -405,7 +421,7 @@ def _single_windows(joined: DataFrame, buckets: int, window: int) -> DataFrame:
             lists = batch.column(2).to_pylist()
             for at, count, codes, first in _sequences(batch, 1):
                 pairs = [
-                    np.frombuffer(b"".join(lists[at + i]), np.int32).reshape(-1, 2).astype(np.int64)
+                    np.frombuffer(lists[at + i], np.int32).reshape(-1, 2).astype(np.int64)
                     + np.array([first[i], 0])
                     for i in range(count)
                 ]
@@ -464,13 +480,12 @@ def remove_windows(
     texts = docs.select("r", "t")
     sketch = build_sketch(texts, size, parts, window, gram)
     entries = _run_entries(texts, sketch, parts, window, gram)
-    found = stored(_resolve(entries.repartition(parts, "bucket")), "windows")
+    found = stored(_resolve(entries.repartition(parts, "bucket"), parts), "windows")
     # joins on a number that is never null leave the texts as they are: one shuffle for both
-    open_ = found.where("open IS NOT NULL").groupBy("owner").agg(F.collect_list("open").alias("spans"))
-    joined = docs.join(open_, F.col("r") == F.col("owner")).select("r", "t", "spans")
-    compared = _resolve(_single_windows(joined, parts, window).repartition(parts, "bucket"))
-    gone = found.select("owner", "gone").union(compared.select("owner", "gone")).where("gone IS NOT NULL")
-    gone = gone.groupBy("owner").agg(F.collect_list("gone").alias("spans"))
+    joined = docs.join(_by_document(found.where("kind = 1"), parts), F.col("r") == F.col("owner"))
+    singles = _single_windows(joined.select("r", "t", "spans"), parts, window)
+    compared = _resolve(singles.repartition(parts, "bucket"), parts)
+    gone = _by_document(found.union(compared).where("kind = 0"), parts)
     others = [f"c{i}" for i in range(len(keep))]
     final = docs.join(gone, F.col("r") == F.col("owner"), "left").select(*others, "t", "spans")
 
@@ -493,7 +508,7 @@ def _apply(texts: pa.Array, lists: list, window: int, columns: tuple[str, ...])
     delta = np.zeros(len(start) + 1, np.int64)
     for i, spans in enumerate(lists):
         if spans:
-            pairs = np.frombuffer(b"".join(spans), np.int32).reshape(-1, 2).astype(np.int64)
+            pairs = np.frombuffer(spans, np.int32).reshape(-1, 2).astype(np.int64)
             np.add.at(delta, first[i] + pairs[:, 0], 1)
             np.add.at(delta, first[i] + pairs[:, 0] + pairs[:, 1] - 1 + window, -1)
     gone = np.cumsum(delta[:-1]) > 0
