@@ -36,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import accumulate
@@ -61,6 +62,8 @@ _DOUBTFUL = re.compile(rf"[{_SPACE}] ")
 def shared_cuts(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """(tokens of a, tokens of b) up to each shared cut, in order; ``a`` and ``b`` are the
     ascending ends of the tokens, whose last ones are equal."""
+    if len(a) == 1 or len(b) == 1:
+        return [(len(a), len(b))]
     out = []
     # tokens [.., a_hi) and [b_lo, b_hi); ends of a that may be cuts: [from, to)
     stack = [(len(a), 0, len(b), 0, len(a) - 1)]
@@ -131,7 +134,8 @@ def _merge_ranks(spec: dict) -> dict[bytes, int] | None:
         and all(c in letters for t in vocab for c in t)
         and len({*made, *(vocab[c] for c in letters if c in vocab)}) == len(vocab)
     )
-    return {bytes(letters[c] for c in t): i for t, i in vocab.items()} if same else None
+    ranks = {bytes(letters[c] for c in t): i for t, i in vocab.items()} if same else {}
+    return ranks if all(bytes([b]) in ranks for b in range(256)) else None
 
 
 class Aligner:
@@ -155,12 +159,16 @@ class Aligner:
         letters = _byte_alphabet()
         self.bytes_a = {i: bytes(letters.get(c, 0) for c in t) for t, i in spec["model"]["vocab"].items()}
         self.bytes_a |= {t["id"]: t["content"].encode() for t in spec.get("added_tokens", [])}
+        self.exact_a = bool(ranks)  # ranks with all bytes give every text back
+        self.size_a = [len(self.bytes_a.get(i, b"")) for i in range(max(self.bytes_a) + 1)]
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model_b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [
             bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace(_BLANK, " ").encode()
             for i, p in enumerate(pieces)
         ]
+        self.size_b = list(map(len, self.bytes_b))
+        self.shown_id = list(map(str, range(max(*self.bytes_a, len(pieces)) + 1)))
         self.by_parts = not any(re.search(f"[^{_BLANK}]{_BLANK}", p) for p in pieces)
         self.blank = self.b.piece_to_id(_BLANK)
         self.wide = max(*self.bytes_a, len(pieces)) >= 1 << 16
@@ -169,11 +177,10 @@ class Aligner:
 
     def _clear(self) -> None:
         self.memo.clear()
-        # n_a, n_b, n_groups, same bytes, first link of each part
-        self.table = np.zeros((1 << 12, 5), np.int64)
+        self.table = array("q")  # n_a, n_b, n_groups, same bytes, first link of each part
+        self.codes = array("q")  # links of all parts
         self.shown: list[bytes] = []
-        self.codes = np.zeros(1 << 14, np.int64 if self.wide else np.uint32)
-        self.used = self.size = 0
+        self.size = 0
 
     def parts(self, text: str) -> list[str]:
         """Parts of a blank and ``text``, each without its first blank."""
@@ -182,34 +189,31 @@ class Aligner:
         return _CUT.split(text) if _DOUBTFUL.search(" " + text) else text.split(" ")
 
     def _add(self, part: str, ids_b: list[int]) -> None:
-        ids_a = self.encode_a(" " + part)
-        raw_a, raw_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        whole = (" " + part).encode()
-        number = self.memo[part] = len(self.shown)
-        if number == len(self.table):
-            self.table = np.concatenate((self.table, np.zeros_like(self.table)))
-        if b"".join(raw_a) != whole or b"".join(raw_b) != whole:
-            self.table[number] = 0, 0, 0, 0, self.used
+        text = " " + part
+        ids_a = self.encode_a(text)
+        whole = text.encode()
+        self.memo[part] = len(self.shown)
+        if b"".join([self.bytes_b[i] for i in ids_b]) != whole or not (
+            self.exact_a or b"".join([self.bytes_a[i] for i in ids_a]) == whole
+        ):
+            self.table.extend((0, 0, 0, 0, len(self.codes)))
             self.shown.append(b"")
             return
-        ends_a, ends_b = list(accumulate(map(len, raw_a))), list(accumulate(map(len, raw_b)))
+        ends_a = list(accumulate([self.size_a[i] for i in ids_a]))
+        ends_b = list(accumulate([self.size_b[i] for i in ids_b]))
         cuts = shared_cuts(ends_a, ends_b)
-        shown = []
-        i = j = 0
+        self.table.extend((len(ids_a), len(ids_b), len(cuts), 1, len(self.codes)))
+        bits = 32 if self.wide else 16
+        self.codes.extend([ids_a[i] << bits | ids_b[j] for i, j in links(ends_a, ends_b, cuts)])
+        name, shown, i, j = self.shown_id, [], 0, 0
         for p, q in cuts:
-            shown.append(",".join(map(str, ids_a[i:p])) + "|" + ",".join(map(str, ids_b[j:q])))
+            left = name[ids_a[i]] if p == i + 1 else ",".join([name[x] for x in ids_a[i:p]])
+            right = name[ids_b[j]] if q == j + 1 else ",".join([name[x] for x in ids_b[j:q]])
+            shown.append(f"{left}|{right}")
             i, j = p, q
-        bits = 32 if self.wide else 16
-        pairs = [ids_a[i] << bits | ids_b[j] for i, j in links(ends_a, ends_b, cuts)]
-        self.table[number] = len(ids_a), len(ids_b), len(cuts), 1, self.used
-        text = ";".join(shown).encode()
-        self.shown.append(text)
-        end = self.used + len(pairs)
-        while end > len(self.codes):
-            self.codes = np.concatenate((self.codes, np.zeros_like(self.codes)))
-        self.codes[self.used : end] = pairs
-        self.used = end
-        self.size += len(text) + 8 * len(pairs) + len(whole) + 250
+        packed = ";".join(shown).encode()
+        self.shown.append(packed)
+        self.size += len(packed) + 8 * (len(ids_a) + len(ids_b)) + len(whole) + 250
 
     def look_up(self, texts: list[str | None]) -> list[list[int]]:
         """Numbers of the parts of each text (none for null and empty ones)."""
@@ -247,7 +251,7 @@ def _aligned(aligner: Aligner, texts: pa.Array, groups: bool) -> list[pa.Array]:
     sizes = np.array([len(x) for x in numbers], np.int64)
     flat = np.fromiter((i for x in numbers for i in x), np.int64, sizes.sum())
     row = np.repeat(np.arange(rows), sizes)
-    table = aligner.table[flat]
+    table = np.frombuffer(aligner.table, np.int64).reshape(-1, 5)[flat]
     same = np.ones(rows, bool)
     same[row[table[:, 3] == 0]] = False
     own = same[row]
@@ -257,7 +261,8 @@ def _aligned(aligner: Aligner, texts: pa.Array, groups: bool) -> list[pa.Array]:
     shown = [b";".join([aligner.shown[i] for i in x]) if ok else b"" for x, ok in zip(numbers, same)]
     n = table[:, 0] + table[:, 1] - table[:, 2]  # links of each part
     at = np.repeat(table[:, 4], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    codes, owner = aligner.codes[at], np.repeat(row, n)
+    codes = np.frombuffer(aligner.codes, np.int64)[at].astype(np.int64 if aligner.wide else np.uint32)
+    owner = np.repeat(row, n)
     order = np.lexsort((codes, owner))
     codes, owner = codes[order], owner[order]
     lead = np.ones(len(codes), bool)
