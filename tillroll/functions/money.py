@@ -34,15 +34,23 @@ def cents_sql(c: str) -> str:
     )
 
 
+def sum_sql(c: str, kind: str = TOTAL) -> str:
+    """SQL text, an aggregate: the sum of ``c`` as ``kind``; NULL for no input, an error on
+    overflow in whatever ANSI mode."""
+    return (
+        f"CASE WHEN count({c}) > 0 AND try_cast(try_sum({c}) AS {kind}) IS NULL "
+        f"THEN CAST(raise_error('{OVERFLOW}') AS {kind}) ELSE try_cast(try_sum({c}) AS {kind}) END"
+    )
+
+
 def total_sql(c: str) -> str:
     """SQL text, an aggregate: the exact sum of money ``c`` in cents, NULL for no input."""
     whole = f"floor({c} * 100 + 0.5D)"
     is_whole = f"(abs({c}) <= {LIMIT:.0f} AND {whole} / 100 = {c})"
+    plain = sum_sql(f"CASE WHEN {is_whole} THEN CAST({whole} AS BIGINT) END")
+    rest = sum_sql(f"CASE WHEN NOT {is_whole} THEN {cents_sql(c)} END")
     return (
-        f"CASE WHEN count({c}) > 0 THEN CAST("
-        f"coalesce(CAST(sum(CASE WHEN {is_whole} THEN CAST({whole} AS BIGINT) END) AS {TOTAL}), 0) "
-        f"+ coalesce(CAST(sum(CASE WHEN NOT {is_whole} THEN {cents_sql(c)} END) AS {TOTAL}), 0) "
-        f"AS {TOTAL}) END"
+        f"CASE WHEN count({c}) > 0 THEN CAST(coalesce({plain}, 0) + coalesce({rest}, 0) AS {TOTAL}) END"
     )
 
 

@@ -18,7 +18,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.functions.money import TOTAL, cents_sql, total_sql
+from tillroll.functions.money import TOTAL, cents_sql, sum_sql, total_sql
 
 # exact cents back to a double amount
 _DOUBLE = f"CAST(CAST({{}} AS {TOTAL}) / 100 AS DOUBLE)"
@@ -52,7 +52,7 @@ def sales_distribution(
         WITH per_product AS (
           SELECT product_id, {total_sql("total_amount")} AS amount
           FROM {p}sales GROUP BY product_id)
-        SELECT p.product_name, p.product_type, {_DOUBLE.format('sum(s.amount)')} AS total_sales
+        SELECT p.product_name, p.product_type, {_DOUBLE.format(sum_sql('s.amount'))} AS total_sales
         FROM {p}product p {join} per_product s ON s.product_id = p.product_id
         GROUP BY p.product_name, p.product_type
         ORDER BY total_sales DESC NULLS LAST, product_name, product_type
@@ -106,21 +106,25 @@ def nth_best_customer(
     amount = cents_sql("s.total_amount")
     if fan_out:
         amount = f"CAST({amount} * greatest(coalesce(r.n_refunds, 1L), 1L) AS {TOTAL})"
+    # only refunds of the month's transactions are aggregated and shuffled
+    month = """timestamp >= make_timestamp_ntz(:year, :month, 1, 0, 0, 0)
+            AND timestamp < make_timestamp_ntz(:year, :month, 1, 0, 0, 0) + INTERVAL 1 MONTH"""
+    net = sum_sql(f"CAST({amount} - coalesce(r.refund_total, 0) AS {TOTAL})")
     return spark.sql(
         f"""
-        WITH per_tx AS (
+        WITH month_sales AS (SELECT * FROM {p}sales WHERE {month}),
+        per_tx AS (
           SELECT original_transaction_id AS transaction_id,
                  {total_sql("refund_amount")} AS refund_total,
                  count(*) AS n_refunds
-          FROM {p}refund {_refund_scope(since)}
+          FROM (SELECT * FROM {p}refund {_refund_scope(since)}) r
+          LEFT SEMI JOIN month_sales m ON r.original_transaction_id = m.transaction_id
           GROUP BY original_transaction_id),
         net AS (
           SELECT s.customer_id,
-                 CAST(sum(CAST({amount} - coalesce(r.refund_total, 0) AS {TOTAL})) AS {TOTAL}) AS net_total
-          FROM {p}sales s LEFT JOIN per_tx r ON s.transaction_id = r.transaction_id
-          WHERE s.timestamp >= make_timestamp_ntz(:year, :month, 1, 0, 0, 0)
-            AND s.timestamp < make_timestamp_ntz(:year, :month, 1, 0, 0, 0) + INTERVAL 1 MONTH
-            AND s.customer_id IS NOT NULL
+                 {net} AS net_total
+          FROM month_sales s LEFT JOIN per_tx r ON s.transaction_id = r.transaction_id
+          WHERE s.customer_id IS NOT NULL
           GROUP BY s.customer_id),
         nth AS (
           SELECT min(net_total) AS value FROM (
@@ -169,6 +173,35 @@ def repeat_purchases(spark: SparkSession, min_count: int = 2, prefix: str = "")
     )
 
 
+def consecutive_purchases(
+    spark: SparkSession, min_days: int = 2, gap_days: int = 1, prefix: str = ""
+) -> DataFrame:
+    """The streaks of ``operators.repeats.consecutive_purchases``."""
+    p = _prefix(prefix)
+    return spark.sql(
+        f"""
+        WITH days AS (
+          SELECT customer_id, product_id, to_date(timestamp) AS sale_day, count(*) AS n
+          FROM {p}sales
+          WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND timestamp IS NOT NULL
+          GROUP BY customer_id, product_id, to_date(timestamp)),
+        starts AS (
+          SELECT *, CASE WHEN datediff(sale_day, lag(sale_day) OVER w) <= :gap_days
+                         THEN 0 ELSE 1 END AS is_start
+          FROM days WINDOW w AS (PARTITION BY customer_id, product_id ORDER BY sale_day)),
+        islands AS (
+          SELECT *, sum(is_start) OVER (
+                   PARTITION BY customer_id, product_id ORDER BY sale_day
+                   ROWS UNBOUNDED PRECEDING) AS island
+          FROM starts)
+        SELECT customer_id, product_id, min(sale_day) AS first_day, max(sale_day) AS last_day,
+               count(*) AS n_days, sum(n) AS n_purchases
+        FROM islands GROUP BY customer_id, product_id, island HAVING n_days >= :min_days
+        """,
+        args={"min_days": min_days, "gap_days": gap_days},
+    )
+
+
 def customers_at_address(spark: SparkSession, street: str, prefix: str = "") -> DataFrame:
     p = _prefix(prefix)
     return spark.sql(
