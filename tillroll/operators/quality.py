@@ -7,7 +7,7 @@ on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.functions import clean as C
@@ -67,18 +67,23 @@ def _text_checks(name: str, raw: Column) -> list[tuple[str, Column]]:
     return []
 
 
+def _counts(checks: list[tuple[str, str, Column]]) -> list[Column]:
+    return [
+        F.count_if(F.coalesce(cond, F.lit(False))).alias(f"c{i}")
+        for i, (_, _, cond) in enumerate(checks)
+    ]
+
+
+def _split(lines: DataFrame) -> DataFrame:
+    return lines.select("value", F.split(F.col("value"), r"\|", -1).alias("_parts"))
+
+
 def dq_report(lines: DataFrame, spec: TableSpec | str) -> DataFrame:
     """(table_name, field, check_name, n) for every check of every field of ``spec``."""
     if isinstance(spec, str):
         spec = SPECS[spec]
     checks = _checks(spec)
-    staged = lines.select(F.split(F.col("value"), r"\|", -1).alias("_parts"))
-    counts = staged.agg(
-        *[
-            F.count_if(F.coalesce(cond, F.lit(False))).alias(f"c{i}")
-            for i, (_, _, cond) in enumerate(checks)
-        ]
-    )
+    counts = _split(lines).agg(*_counts(checks))
     rows = [
         F.struct(
             F.lit(field).alias("field"),
@@ -92,6 +97,62 @@ def dq_report(lines: DataFrame, spec: TableSpec | str) -> DataFrame:
     )
 
 
+def observe_checks(lines: DataFrame, spec: TableSpec | str) -> tuple[DataFrame, Observation]:
+    """The lines, split, and an observation that counts the checks of ``dq_report`` while
+    another job (the ingest's write) reads them: no pass of its own.  ``parse`` takes the
+    split lines as they are.
+
+    An observation is the sum of the tasks that ended, so it is exact for a job without a
+    shuffle above it, as ``sources.batches`` writes; if executors are lost, tasks that are run
+    again below a shuffle may count twice.
+    """
+    if isinstance(spec, str):
+        spec = SPECS[spec]
+    seen = Observation(f"checks of {spec.name}")
+    return _split(lines).observe(seen, *_counts(_checks(spec))), seen
+
+
+def observed_report(spark: SparkSession, spec: TableSpec | str, seen: Observation) -> DataFrame:
+    """The report of ``observe_checks``, as ``dq_report`` gives it; waits for the job."""
+    if isinstance(spec, str):
+        spec = SPECS[spec]
+    found = seen.get
+    rows = [
+        (spec.name, field, check, found[f"c{i}"])
+        for i, (field, check, _) in enumerate(_checks(spec))
+    ]
+    return spark.createDataFrame(rows, "table_name string, field string, check_name string, n long")
+
+
+def state_codes_from(
+    customers_extended: DataFrame, lookup: DataFrame, broadcast_bytes: int = 8 << 20
+) -> DataFrame:
+    """``customers_extended`` with the states of its addresses replaced by their codes in a
+    table (name, code); same schema.
+
+    Names match whatever their case.  A state that the table lacks is kept in upper case, a
+    null stays null; of several codes of one name the least counts, rows with a null are
+    ignored.  The table is counted first: up to ``broadcast_bytes`` it is broadcast, beyond
+    that the planner joins by shuffle, where adaptive execution splits a state that very many
+    customers have.
+    """
+    codes = (
+        lookup.select(F.upper("name").alias("_name"), F.col("code").alias("_code"))
+        .dropna().groupBy("_name").agg(F.min("_code").alias("_code"))
+    )
+    size = codes.agg(F.sum(F.octet_length("_name") + F.octet_length("_code") + 64)).first()[0] or 0
+    out = customers_extended
+    for name in [c for c in out.columns if c.endswith("_address") and c not in CONTACTS]:
+        own = codes.select(F.col("_name").alias(f"{name}_name"), F.col("_code").alias(f"{name}_code"))
+        own = F.broadcast(own) if size <= broadcast_bytes else own
+        state = F.upper(F.col(name)["state"])
+        out = out.join(own, state == F.col(f"{name}_name"), "left").withColumn(
+            name,
+            F.col(name).withField("state", F.coalesce(F.col(f"{name}_code"), state)),
+        )
+    return out.select(*customers_extended.columns)
+
+
 def clean_customers_extended(customers_extended: DataFrame) -> DataFrame:
     """Upper-case streets with one suffix spelling, two-letter states, and ``invalid``
     for malformed contact ids. Same schema as the input."""

@@ -8,8 +8,9 @@ main program does; write the answers in full, or print them.
 ``--out`` writes every answer in full, as Parquet in ``<dir>/<number>``.  Printing is a
 preview of ``--rows`` rows per answer (25 if there is no ``--out``) that says when it is cut.
 Bad lines of text files fail the run, as in the reference; ``--quarantine`` leaves them out.
-Tables parsed from text that several questions read are kept (on disk where memory ends)
-while the answers run, so each file is parsed once.
+Tables parsed from text that several questions read are written once below
+``spark.checkpoint.dir`` while the answers run and removed afterwards, so each file is
+parsed once, whatever executors are lost.
 
 With ``--ingested`` the tables come from a folder written by
 ``tillroll.sources.ingest.ingest`` (parsed once, partition-pruned) instead of the text;
@@ -22,7 +23,6 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.functions.periods import year_bounds
@@ -38,6 +38,7 @@ from tillroll.operators import (
 from tillroll.session import tune
 from tillroll.sources.ingest import BUCKET_KEYS, load, load_bucketed, load_text_tables
 from tillroll.sources.schema import FILE_NAMES
+from tillroll.sources.shared import shared_copy
 
 
 PREVIEW = 25
@@ -114,20 +115,18 @@ def main(argv: list[str] | None = None) -> None:
     year_bounds(args.year)  # validates the year early
     # from text, what several questions read is parsed once; ingested tables are Parquet
     kept = [] if args.ingested else [n for n in SHARED if args.bucketed_prefix is None or n not in BUCKET_KEYS]
-    for name in kept:
-        tables[name] = tables[name].persist(StorageLevel.MEMORY_AND_DISK)
     rows = args.rows if args.rows is not None or args.out else PREVIEW
-    found = answers(
-        tables,
-        args.year,
-        args.month,
-        args.rank,
-        args.min_repeats,
-        args.street,
-        fan_out=args.fan_out,
-        any_refund=args.any_refund,
-    )
-    try:
+    with shared_copy(spark, tables, tuple(kept)) as shared:
+        found = answers(
+            shared,
+            args.year,
+            args.month,
+            args.rank,
+            args.min_repeats,
+            args.street,
+            fan_out=args.fan_out,
+            any_refund=args.any_refund,
+        )
         for title, df in found.items():
             print(title)
             if args.out:
@@ -136,9 +135,6 @@ def main(argv: list[str] | None = None) -> None:
                 print(f"written to {path}")
             if rows is not None:
                 _preview(df, rows)
-    finally:
-        for name in kept:
-            tables[name].unpersist()
 
 
 def _preview(df: DataFrame, rows: int) -> None:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution re-plans at every shuffle boundary from measured sizes: it coalesces
@@ -61,3 +64,27 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         raise RuntimeError("spark.checkpoint.dir is not set and no fallback was given")
     sc.setCheckpointDir(fallback)
     return fallback.rstrip("/")
+
+
+def scratch_dir(spark: SparkSession, label: str) -> str:
+    """A new folder name below the shared checkpoint folder.  Only a session on one machine
+    may leave ``spark.checkpoint.dir`` unset; it then gets a temporary folder."""
+    master = spark.sparkContext.master
+    one_machine = master.startswith("local") and not master.startswith("local-cluster")
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+    fallback = tempfile.mkdtemp(prefix="tillroll-") if one_machine and unset else None
+    return f"{checkpoint_dir(spark, fallback)}/tillroll-{label}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of any file system that the session reaches; False if there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(target) and files.delete(target, True)
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, sorted."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return sorted(s.getPath().toString() for s in found or [])

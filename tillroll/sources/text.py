@@ -55,7 +55,8 @@ def parse(
     mode: str = "quarantine",
     signed_money: bool = False,
 ) -> Parsed:
-    """Parse ``lines.value`` into the typed table ``spec``.
+    """Parse ``lines.value`` into the typed table ``spec`` (lines that are split already, by
+    ``operators.quality.observe_checks``, are not split again).
 
     mode ``quarantine``: bad lines go to ``Parsed.bad`` with a reason.
     mode ``failfast``: the first bad line fails the job when an action reaches it, as the
@@ -70,7 +71,8 @@ def parse(
     # good (timestamps and integers), stage 3 derives the reason.  Each stage references
     # the previous one's columns more than once, so Catalyst keeps them as projections of
     # their own instead of evaluating the split or a timestamp per reference.
-    staged = lines.select("value", F.split(F.col("value"), r"\|", -1).alias(_PARTS))
+    split = F.col(_PARTS) if _PARTS in lines.columns else F.split(F.col("value"), r"\|", -1).alias(_PARTS)
+    staged = lines.select("value", split)
     parts = F.col(_PARTS)
     short = F.coalesce(F.size(parts) < spec.required, F.lit(True))
     checks: list[Column] = [F.when(short, F.lit(SHORT_LINE))]
