@@ -28,9 +28,12 @@ from pyspark.sql import functions as F  # noqa: E402
 from tillroll.functions.clean import US_STATES
 from tillroll.functions.money import as_double
 from tillroll.functions.periods import month_bounds, restrict
-from tillroll.operators import address, distribution, quality, ranking, refunds
+from tillroll.operators import address, distribution, maintained, quality, ranking, refunds
 from tillroll.operators import repeats, unsold
 from tillroll.plans import sql as S
+from tillroll.plans import text_sql
+from tillroll.session import scratch_dir
+from tillroll.sources import batches
 from tillroll.sources import testdata as td
 from tillroll.sources.schema import CUSTOMER_EXTENDED, SPECS
 from tillroll.sources.text import flatten_struct, parse
@@ -51,6 +54,7 @@ YEAR = 1997
 MONTH = 5
 RANK = 2
 MIN_REPEATS = 2
+STREAK_GAP = 60  # days between the purchases of a streak
 TOP = 25
 STREET = "42 Furniture blvd"
 
@@ -189,6 +193,44 @@ def q_repeat_purchases_sql(spark, d):
     return S.repeat_purchases(spark, MIN_REPEATS, prefix=VIEW_PREFIX)
 
 
+def q_consecutive_purchases(spark, d):
+    return repeats.consecutive_purchases(td.line_sales(spark, d), MIN_REPEATS)
+
+
+def q_purchase_streaks(spark, d):
+    return repeats.consecutive_purchases(td.line_sales(spark, d), MIN_REPEATS, STREAK_GAP)
+
+
+def q_purchase_streaks_sql(spark, d):
+    _views(spark, d, td.line_sales(spark, d))
+    return S.consecutive_purchases(spark, MIN_REPEATS, STREAK_GAP, prefix=VIEW_PREFIX)
+
+
+def _maintained(spark, sales, back):
+    """State of the totals after three batches by time, as they would arrive: the refunds of
+    a sale may come with a later batch, or with an earlier one."""
+    state, ts = scratch_dir(spark, "totals"), F.year("timestamp")
+    batch = F.when(ts < 1995, "a").when(ts < YEAR, "b").otherwise("c").alias(batches.BATCH)
+    sales, back = sales.select("*", batch), back.select("*", batch)
+    for key in "abc":
+        so_far = F.col(batches.BATCH) <= key
+        maintained.update_totals(state, key, sales.filter(so_far), back.filter(so_far))
+    return state
+
+
+def q_net_sales_maintained(spark, d):
+    sales = td.order_sales(spark, d).withColumn("product_id", F.lit(None).cast("string"))
+    state = _maintained(spark, sales, td.refunds(spark, d))
+    net = maintained.maintained_net_per_customer(spark, state, YEAR, MONTH)
+    return net.select(F.col("customer_id").cast("long"), as_double("net_cents").alias("net_total"))
+
+
+def q_sales_distribution_maintained(spark, d):
+    back = td.refunds(spark, d).withColumn("original_transaction_id", F.col("refund_id"))
+    state = _maintained(spark, td.line_sales(spark, d), back)
+    return maintained.maintained_sales_distribution(spark, state, td.products(spark, d))
+
+
 def q_customers_at_address(spark, d):
     return _flat_ce(address.customers_at_address(td.customers_extended(spark, d), STREET))
 
@@ -218,6 +260,32 @@ def q_parse_customer_extended_lines(spark, d):
     return _flat_ce(parse(td.customer_extended_lines(spark, d), CUSTOMER_EXTENDED).good)
 
 
+def _parse_by_sql(name):
+    def query(spark, d):
+        lines = getattr(td, f"{name}_lines")(spark, d)
+        good = text_sql.parse_lines(spark, lines, name, VIEW_PREFIX)
+        return _flat_ce(good) if name == "customer_extended" else good
+
+    return query
+
+
+def q_quarantined_lines_sql(spark, d):
+    lines = td.sales_lines(spark, d, dirty=True)
+    bad = text_sql.quarantined_lines(spark, lines, "sales", VIEW_PREFIX)
+    return bad.select(F.substring_index("value", "|", 1).alias("transaction_id"), "reason")
+
+
+def _ingest_dq(name):
+    """The report that the ingest of a batch gives from its own pass over the lines."""
+
+    def query(spark, d):
+        dirty = {"dirty": True} if name == "sales" else {}
+        lines = getattr(td, f"{name}_lines")(spark, d, **dirty)
+        return batches.ingest_lines(lines, name, scratch_dir(spark, "batch"), "all")
+
+    return query
+
+
 def q_quarantined_lines(spark, d):
     bad = parse(td.sales_lines(spark, d, dirty=True), "sales").bad
     return bad.select(
@@ -269,6 +337,17 @@ def q_clean_state_codes(spark, d):
     )
 
 
+def q_clean_state_codes_from_table(spark, d):
+    lookup = spark.createDataFrame(list(US_STATES), "name string, code string")
+    c = quality.state_codes_from(td.customers_extended(spark, d), lookup)
+    return c.select(
+        "id",
+        F.col("current_address.state").alias("current_state"),
+        F.col("permanent_address.state").alias("permanent_state"),
+        F.col("office_address.state").alias("office_state"),
+    )
+
+
 def q_flag_invalid_contacts(spark, d):
     c = _clean_ce(spark, d)
     return c.select(
@@ -316,6 +395,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_addresses": q_clean_addresses,
     "clean_state_codes": q_clean_state_codes,
     "flag_invalid_contacts": q_flag_invalid_contacts,
+    "consecutive_purchases": q_consecutive_purchases,
+    "purchase_streaks": q_purchase_streaks,
+    "purchase_streaks_sql": q_purchase_streaks_sql,
+    "net_sales_maintained": q_net_sales_maintained,
+    "sales_distribution_maintained": q_sales_distribution_maintained,
+    **{f"parse_{name}_lines_sql": _parse_by_sql(name) for name in SPECS},
+    "quarantined_lines_sql": q_quarantined_lines_sql,
+    **{f"ingest_dq_{name}": _ingest_dq(name) for name in SPECS},
+    "clean_state_codes_from_table": q_clean_state_codes_from_table,
 }
 
 
@@ -462,6 +550,22 @@ HAVING count(*) >= {MIN_REPEATS}"""
 _REPEATS = f"""SELECT count(*) AS n_groups, count(DISTINCT customer_id) AS n_users
 FROM ({_GROUPS}) g"""
 
+def _streaks(gap: int) -> str:
+    return f"""WITH days AS (
+  SELECT o_custkey AS customer_id, l_partkey AS product_id, CAST(o_orderdate AS DATE) AS sale_day,
+         count(*) AS n
+  FROM {_LINES} GROUP BY ALL),
+marked AS (
+  SELECT *, sum(CASE WHEN is_next THEN 0 ELSE 1 END) OVER (
+           PARTITION BY customer_id, product_id ORDER BY sale_day ROWS UNBOUNDED PRECEDING) AS island
+  FROM (SELECT *, coalesce(sale_day - lag(sale_day) OVER (
+                    PARTITION BY customer_id, product_id ORDER BY sale_day) <= {gap}, false) AS is_next
+        FROM days))
+SELECT customer_id, product_id, min(sale_day) AS first_day, max(sale_day) AS last_day,
+       count(*) AS n_days, CAST(sum(n) AS BIGINT) AS n_purchases
+FROM marked GROUP BY customer_id, product_id, island HAVING count(*) >= {MIN_REPEATS}"""
+
+
 _AT_ADDRESS = f"""WITH {_ce_cte()}
 SELECT * FROM ce WHERE upper(current_street_address) = upper('{STREET}')"""
 
@@ -702,7 +806,17 @@ ORDER BY total_amount DESC, product_name, product_type LIMIT {TOP}"""
         "clean_addresses": _CLEAN_ADDRESSES,
         "clean_state_codes": _CLEAN_STATES,
         "flag_invalid_contacts": _CONTACTS,
+        "consecutive_purchases": _streaks(1),
+        "purchase_streaks": _streaks(STREAK_GAP),
+        "purchase_streaks_sql": _streaks(STREAK_GAP),
+        "net_sales_maintained": per_customer,
+        "sales_distribution_maintained": _DISTRIBUTION,
+        "clean_state_codes_from_table": _CLEAN_STATES,
     }
+    # the same parse and the same report, by SQL functions and by the ingest's own pass
+    out |= {f"parse_{name}_lines_sql": out[f"parse_{name}_lines"] for name in SPECS}
+    out["quarantined_lines_sql"] = out["quarantined_lines"]
+    out |= {f"ingest_dq_{name}": out[f"dq_report_{name}"] for name in SPECS}
     if llm_entry is not None:
         out |= llm_entry.ORACLE_SQL
         if corpus_pipeline.ORACLE_SQL is not None:
