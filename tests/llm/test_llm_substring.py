@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 
 import __spark_entry__ as driver
-from tillroll.llm import substring
+from tillroll.llm import sketch, substring
 from tillroll.llm.words import ASCII_SPACE, blocks, find_words
 
 SCHEMA = "doc_id long, text string"
@@ -74,12 +74,12 @@ def test_windows_equal_the_definition(spark, window, gram, seed, vocabulary):
 
 def test_a_full_sketch_and_frequent_anchors_change_nothing(spark, monkeypatch):
     texts = corpus(5, "a b c d e f".split())
-    monkeypatch.setattr(substring, "MAX_CELLS", 8)
-    monkeypatch.setattr(substring, "BLOCK", 8)
+    monkeypatch.setattr(sketch, "MAX_CELLS", 8)
+    monkeypatch.setattr(sketch, "BLOCK", 8)
     checked(spark, texts, 7, gram=3)
-    monkeypatch.setattr(substring, "MAX_CELLS", 1 << 16)
-    monkeypatch.setattr(substring, "BLOCK", 1 << 12)
-    monkeypatch.setattr(substring, "HOT", 5)
+    monkeypatch.setattr(sketch, "MAX_CELLS", 1 << 16)
+    monkeypatch.setattr(sketch, "BLOCK", 1 << 12)
+    monkeypatch.setattr(sketch, "HOT", 5)
     monkeypatch.setattr(substring, "POOL", 64)
     checked(spark, texts, 7, gram=3)
 
@@ -91,7 +91,7 @@ def test_a_common_line_in_varying_surroundings(spark, monkeypatch):
         " ".join([f"w{rng.random()}" for _ in range(20)] + line + [f"v{rng.random()}" for _ in range(20)])
         for _ in range(300)
     ]
-    monkeypatch.setattr(substring, "HOT", 50)
+    monkeypatch.setattr(sketch, "HOT", 50)
     checked(spark, texts + texts[:3], 12, gram=6)
 
 

@@ -12,6 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.session import checkpoint_dir
 
@@ -89,6 +90,31 @@ def keyed(docs: DataFrame, id_col: str) -> tuple[DataFrame, int, int]:
     return stored(ordered.withColumn("_row", F.monotonically_increasing_id()), "rows"), rows, size
 
 
+def numbered(
+    df: DataFrame, id_col: str, text_col: str, keep: list[str], ordered: bool = False
+) -> tuple[DataFrame, int]:
+    """(r: row number, t: text, the columns of ``keep`` as c0, c1, ..., so that no name of the
+    caller clashes) and the bytes of all texts.  Whole ids that are unique are the numbers
+    themselves; else rows are numbered, ``ordered`` by (id, nulls last, text) if asked for."""
+    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)]
+    text = F.col(f"`{text_col}`").cast("string").alias("t")
+    ids = F.col(f"`{id_col}`")
+    if isinstance(df.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        rows, known, distinct, size = df.select(ids.alias("i"), text).agg(
+            F.count("*"), F.count("i"), F.countDistinct("i"), F.sum(F.octet_length("t")),
+        ).first()
+        if rows == known == distinct:
+            # coalesce: never null, which keeps all joins on one exchange of the texts
+            return df.select(F.coalesce(ids.cast("long"), F.lit(0)).alias("r"), text, *others), size or 0
+    rows = df.select(ids.alias("i"), text, *others)
+    if ordered:
+        rows = rows.orderBy(F.col("i").asc_nulls_last(), "t")
+    columns = [f"c{i}" for i in range(len(keep))]
+    rows = stored(rows.select(F.monotonically_increasing_id().alias("r"), "t", *columns), "rows")
+    size = rows.agg(F.sum(F.octet_length("t"))).first()[0]
+    return rows.withColumn("r", F.coalesce("r", F.lit(0))), size or 0
+
+
 def chunks(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose ``column`` holds about ``limit`` bytes (a longer
     single value stays whole)."""

@@ -8,7 +8,7 @@ sequence also starts anywhere else (another document, or another place of the sa
    are not zero; partition sketches are added up cell by cell.  The least cell of an anchor
    is at least the number of its runs, and so at least the count of each of its windows:
    a window whose estimate is 1 cannot be repeated.  The sketch's flags (one bit a cell) are
-   broadcast; their size grows with the text up to ``MAX_CELLS`` and is bounded there.
+   broadcast; their size grows with the text up to a bound.
 2. *Exact grouping.*  A second pass takes only runs whose estimate is 2 or more.  Equal runs
    (anchor hash, hash of all their words, length) are grouped: all windows of a run that has
    an equal one are repeated.  Each task groups its own runs first and sends one
@@ -42,29 +42,25 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tillroll.llm.common import chunks, map_arrow, stored
+from tillroll.llm.common import chunks, map_arrow, numbered, stored
+from tillroll.llm.sketch import Sketch, build_sketch
+from tillroll.llm.spans import SPAN, by_document, packed, packed_by_doc
 from tillroll.llm.words import (
     ASCII_SPACE, U64, _mix, blocks, powers, prefix_hash, text_bytes, word_edges, word_hashes,
 )
 
 WINDOW = 35
 GRAM = 20
-ROWS = 2
-BLOCK = 1 << 18  # cells that are added up at once
-MAX_CELLS = 1 << 28  # of a sketch row: 32 MB of flags
 BYTES_PER_RUN = 50  # of text, about; sizes the sketch
-HOT = 10_000  # an anchor of more (estimated) runs goes window by window
 POOL = 400_000  # entries grouped at once in a task
 PARTITION_BYTES = 64 << 20  # text bytes per shuffle partition
 
 _BASES = (0xA0761D6478BD642F | 1, 0xE7037ED1A0B428DB | 1)
 _INVERSES = tuple(pow(b, -1, 1 << 64) for b in _BASES)
-_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _ENTRY = (("key", np.uint64), ("span", np.uint64), ("n", np.int32), ("doc", np.int64),
           ("start", np.int32), ("many", np.uint8))
-_SPAN = ("n", "doc", "start")
+_SPAN = [k for k, _ in SPAN]
 # packed arrays, one row per bucket; kind 0: decided (only documents, starts and lengths, by
 # buckets of documents), kind 1: to be grouped, by buckets of keys
 _ENTRIES = "bucket int, kind int, " + ", ".join(f"{k} binary" for k, _ in _ENTRY)
@@ -128,161 +124,9 @@ def _steps(n: np.ndarray) -> np.ndarray:
     return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
-# ------------------------------------------------------------------------------ sketch
-
-
-class Sketch:
-    """Flags of a merged sketch: which cells count 2 or more, and which are frequent."""
-
-    def __init__(self, cells: int):
-        self.cells = cells
-        self.flags = [np.zeros(-(-cells // 8), np.uint8) for _ in range(ROWS)]
-        self.hot = [np.zeros(0, np.uint32) for _ in range(ROWS)]
-
-    @staticmethod
-    def cell(keys: np.ndarray, row: int, cells: int) -> np.ndarray:
-        return (_mix(keys * U64(_SEEDS[row]) + U64(row)) & U64(cells - 1)).astype(np.int64)
-
-    def repeated(self, keys: np.ndarray) -> np.ndarray:
-        out = np.ones(len(keys), bool)
-        for row, flags in enumerate(self.flags):
-            at = self.cell(keys, row, self.cells)
-            out &= (flags[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-        return out
-
-    def frequent(self, keys: np.ndarray) -> np.ndarray:
-        out = np.ones(len(keys), bool)
-        for row, hot in enumerate(self.hot):
-            out &= np.isin(self.cell(keys, row, self.cells).astype(np.uint32), hot)
-        return out
-
-
-def build_sketch(texts: DataFrame, size: int, parts: int, window: int, gram: int) -> Sketch:
-    """The merged sketch of the anchors of all texts (of ``size`` bytes in all)."""
-    runs = max(1, size // BYTES_PER_RUN)
-    cells = min(MAX_CELLS, max(BLOCK, 1 << (4 * runs - 1).bit_length()))
-    hot = max(HOT, 16 * runs // cells)
-    per_row = cells // BLOCK
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            keys, times = np.unique(np.concatenate(held), return_counts=True)
-            for row in range(ROWS):
-                at = Sketch.cell(keys, row, cells)
-                order = np.argsort(at, kind="stable")
-                at, n = at[order], times[order]
-                new = np.flatnonzero(np.diff(at, prepend=-1))  # keys of one cell
-                at, n = at[new], np.minimum(np.add.reduceat(n, new), 1 << 31).astype(np.uint32)
-                block = at // BLOCK
-                cut = np.flatnonzero(np.diff(block, prepend=-1))
-                ends = np.append(cut[1:], len(at))
-                inner = (at % BLOCK).astype(np.uint32)
-                yield pa.RecordBatch.from_pydict({
-                    "slot": pa.array((row * per_row + block[cut]).astype(np.int32)),
-                    "cells": pa.array([inner[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary()),
-                    "times": pa.array([
-                        None if (n[a:b] == 1).all() else n[a:b].tobytes() for a, b in zip(cut, ends)
-                    ], pa.binary()),
-                })
-
-        for batch in batches:
-            for _, _, codes, first in _sequences(batch, 1):
-                keys = Runs(codes, first, window, gram).key
-                held.append(keys)
-                size += len(keys)
-                if size > 4 * POOL:
-                    yield from flush()
-                    held, size = [], 0
-        if size:
-            yield from flush()
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slot, total = None, np.zeros(BLOCK, np.int64)
-
-        def done() -> pa.RecordBatch:
-            again = total >= 2
-            some = np.flatnonzero(again).astype(np.uint32)
-            dense = len(some) * 32 > BLOCK
-            return pa.RecordBatch.from_pydict({
-                "slot": pa.array([slot], pa.int32()), "dense": pa.array([dense]),
-                "flags": pa.array([(np.packbits(again) if dense else some).tobytes()], pa.binary()),
-                "hot": pa.array([np.flatnonzero(total >= hot).astype(np.uint32).tobytes()], pa.binary()),
-            })
-
-        for batch in batches:
-            for s, c, t in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if s != slot:
-                    if slot is not None:
-                        yield done()
-                    slot, total[:] = s, 0
-                at = np.frombuffer(c, np.uint32)
-                total[at] += 1 if t is None else np.frombuffer(t, np.uint32)  # cells differ
-        if slot is not None:
-            yield done()
-
-    partial = map_arrow(texts, count, "slot int, cells binary, times binary")
-    sorted_ = partial.repartition(min(parts, ROWS * per_row), "slot").sortWithinPartitions("slot")
-    merged = map_arrow(sorted_, merge, "slot int, dense boolean, flags binary, hot binary")
-    sketch, frequent = Sketch(cells), [[] for _ in range(ROWS)]
-    table = merged.toArrow()  # at most ROWS * MAX_CELLS bits of flags, and as many again
-    for slot, dense, flags, often in zip(*(table.column(i) for i in range(4))):
-        row, block = divmod(slot.as_py(), per_row)
-        part = sketch.flags[row][block * BLOCK // 8 : (block + 1) * BLOCK // 8]
-        if dense.as_py():
-            part[:] = np.frombuffer(flags.as_py(), np.uint8)
-        else:
-            again = np.zeros(BLOCK, bool)
-            again[np.frombuffer(flags.as_py(), np.uint32)] = True
-            part[:] = np.packbits(again)
-        frequent[row].append(np.frombuffer(often.as_py(), np.uint32) + np.uint32(block * BLOCK))
-    sketch.hot = [np.concatenate(x) if x else np.zeros(0, np.uint32) for x in frequent]
-    return sketch
-
-
 # ------------------------------------------------------------------------ exact grouping
 
 
-def _joined_spans(doc: np.ndarray, start: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
-    """The windows of each document as maximal runs, in the order of documents."""
-    if not len(doc):
-        return {"doc": doc, "start": start.astype(np.int32), "n": n.astype(np.int32)}
-    order = np.lexsort((start, doc))
-    doc, start, n = doc[order], start[order].astype(np.int64), n[order]
-    base = np.cumsum(np.concatenate(([0], doc[1:] != doc[:-1])))
-    far = base << 40  # documents side by side on one axis
-    reach = np.maximum.accumulate(far + start + n)
-    new = np.ones(len(doc), bool)
-    new[1:] = far[1:] + start[1:] > reach[:-1]
-    lead = np.flatnonzero(new)
-    last = np.append(lead[1:], len(doc)) - 1
-    return {
-        "doc": doc[lead], "start": start[lead].astype(np.int32),
-        "n": (reach[last] - far[last] - start[lead]).astype(np.int32),
-    }
-
-
-def _packed(e: dict[str, np.ndarray], by: np.ndarray, buckets: int, kind: int, names) -> pa.RecordBatch:
-    """One row per bucket of ``by``; the fields that ``e`` lacks are empty."""
-    bucket = (by % U64(buckets)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
-    cut = np.flatnonzero(np.diff(bucket, prepend=-1))
-    ends = np.append(cut[1:], len(bucket))
-    columns = {"bucket": pa.array(bucket[cut]), "kind": pa.array(np.full(len(cut), kind, np.int32))}
-    for k in names:
-        own = e[k][order] if k in e else None
-        columns[k] = pa.array([b"" if own is None else own[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary())
-    return pa.RecordBatch.from_pydict(columns)
-
-
-def _spans_by_doc(e: dict[str, np.ndarray], buckets: int, kind: int, names) -> pa.RecordBatch:
-    joined = _joined_spans(e["doc"], e["start"], e["n"])
-    return _packed(joined, _mix(joined["doc"].astype(U64)), buckets, kind, names)
-
-
 def _classes(e: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
     """Entries in the order of their class; which are its first; which class is repeated."""
     order = np.lexsort((e["start"], e["doc"], e["n"], e["span"], e["key"]))
@@ -320,8 +164,8 @@ class Pool:
         e, lead, several = _classes(e)
         e["many"] = several.astype(np.uint8)
         names = [k for k, _ in _ENTRY]
-        yield _spans_by_doc({k: v[several] for k, v in e.items()}, self.buckets, 0, names)
-        yield _packed({k: v[lead] for k, v in e.items()}, e["key"][lead], self.buckets, 1, names)
+        yield packed_by_doc({k: v[several] for k, v in e.items()}, self.buckets, 0, names)
+        yield packed({k: v[lead] for k, v in e.items()}, e["key"][lead], self.buckets, 1, names)
 
 
 def _run_entries(texts: DataFrame, sketch: Sketch, buckets: int, window: int, gram: int) -> DataFrame:
@@ -376,41 +220,15 @@ def _resolve(entries: DataFrame, buckets: int) -> DataFrame:
             return
         e, lead, several = _classes({k: np.concatenate(held.pop(k)) for k, _ in _ENTRY})
         gone = several & (e["many"] == 0)  # the others were decided in their task
-        yield _spans_by_doc({k: e[k][gone] for k in _SPAN}, buckets, 0, _SPAN)
+        yield packed_by_doc({k: e[k][gone] for k in _SPAN}, buckets, 0, _SPAN)
         group = np.cumsum(np.concatenate(([0], e["key"][1:] != e["key"][:-1])))
         kinds = np.bincount(group, weights=lead)[group]
         open_ = lead & (kinds > 1)
-        yield _spans_by_doc({k: e[k][open_] for k in _SPAN}, buckets, 1, _SPAN)
+        yield packed_by_doc({k: e[k][open_] for k in _SPAN}, buckets, 1, _SPAN)
 
     return map_arrow(entries, run, _FOUND)
 
 
-def _by_document(found: DataFrame, parts: int) -> DataFrame:
-    """(owner, spans): one row per document, its windows packed as int32 (start, n) pairs."""
-    types = dict(_ENTRY)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list] = {k: [] for k in _SPAN}
-        for batch in batches:
-            for k in _SPAN:
-                held[k] += [np.frombuffer(x, types[k]) for x in batch.column(k).to_pylist()]
-        if not held["n"]:
-            return
-        e = _joined_spans(*(np.concatenate(held[k]) for k in ("doc", "start", "n")))
-        pairs = np.stack((e["start"], e["n"]), 1)
-        cut = np.flatnonzero(np.concatenate(([True], e["doc"][1:] != e["doc"][:-1])))
-        ends = np.append(cut[1:], len(pairs))
-        for at in range(0, len(cut), 20_000):
-            yield pa.RecordBatch.from_pydict({
-                "owner": pa.array(e["doc"][cut[at : at + 20_000]]),
-                "spans": pa.array([
-                    pairs[a:b].tobytes() for a, b in zip(cut[at : at + 20_000], ends[at : at + 20_000])
-                ], pa.binary()),
-            })
-
-    return map_arrow(found.repartition(parts, "bucket"), run, "owner long, spans binary")
-
-
 def _single_windows(joined: DataFrame, buckets: int, window: int) -> DataFrame:
     """Entries of the windows of open runs: (row, text, packed spans)."""
 
@@ -447,24 +265,6 @@ _ADDED = {
 }
 
 
-def _numbered(df: DataFrame, id_col: str, text_col: str, keep: list[str]) -> tuple[DataFrame, int]:
-    """(row number, text, other columns as c0, c1, ...) and the bytes of all texts.  Whole
-    ids that are unique are the numbers themselves."""
-    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)]
-    text = F.col(f"`{text_col}`").cast("string").alias("t")
-    ids = F.col(f"`{id_col}`")
-    if isinstance(df.schema[id_col].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
-        rows, known, distinct, size = df.select(ids.alias("i"), text).agg(
-            F.count("*"), F.count("i"), F.countDistinct("i"), F.sum(F.octet_length("t")),
-        ).first()
-        if rows == known == distinct:
-            # coalesce: never null, which keeps all joins on one exchange of the texts
-            return df.select(F.coalesce(ids.cast("long"), F.lit(0)).alias("r"), text, *others), size or 0
-    numbered = stored(df.select(F.monotonically_increasing_id().alias("r"), text, *others), "rows")
-    size = numbered.agg(F.sum(F.octet_length("t"))).first()[0]
-    return numbered.withColumn("r", F.coalesce("r", F.lit(0))), size or 0
-
-
 def remove_windows(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
     gram: int | None = None, columns: tuple[str, ...] = ("n_words", "n_removed", "removed", "kept"),
@@ -475,17 +275,22 @@ def remove_windows(
     gram = max(1, min(window, GRAM if gram is None else gram))
     keep = [c for c in df.columns if c != text_col and c not in columns]
     spark = df.sparkSession
-    docs, size = _numbered(df, id_col, text_col, keep)
+    docs, size = numbered(df, id_col, text_col, keep)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
     texts = docs.select("r", "t")
-    sketch = build_sketch(texts, size, parts, window, gram)
+
+    def keys_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for _, _, codes, first in _sequences(batch, 1):
+            yield Runs(codes, first, window, gram).key
+
+    sketch = build_sketch(texts, keys_of, size // BYTES_PER_RUN, parts)
     entries = _run_entries(texts, sketch, parts, window, gram)
     found = stored(_resolve(entries.repartition(parts, "bucket"), parts), "windows")
     # joins on a number that is never null leave the texts as they are: one shuffle for both
-    joined = docs.join(_by_document(found.where("kind = 1"), parts), F.col("r") == F.col("owner"))
+    joined = docs.join(by_document(found.where("kind = 1"), parts), F.col("r") == F.col("owner"))
     singles = _single_windows(joined.select("r", "t", "spans"), parts, window)
     compared = _resolve(singles.repartition(parts, "bucket"), parts)
-    gone = _by_document(found.union(compared).where("kind = 0"), parts)
+    gone = by_document(found.union(compared).where("kind = 0"), parts)
     others = [f"c{i}" for i in range(len(keep))]
     final = docs.join(gone, F.col("r") == F.col("owner"), "left").select(*others, "t", "spans")
 
