@@ -12,7 +12,7 @@ import pytest
 
 from llm_brute import hits, linked, lower, repeats
 
-from tillroll.llm import decontaminate, jaccard, suffix_dedup
+from tillroll.llm import decontaminate, jaccard, sketch, suffix_dedup
 from tillroll.llm.components import components
 from tillroll.llm.words import ALPHANUMERIC, ASCII_SPACE, find_words
 
@@ -85,19 +85,57 @@ def test_passages_equal_the_definition(spark, monkeypatch, length, seed, alphabe
 def test_passages_by_the_route_for_frequent_seeds(spark, monkeypatch):
     texts = passage_texts(7, "abcd")
     df = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(3)
-    monkeypatch.setattr(suffix_dedup, "HOT", 1)
+    monkeypatch.setattr(sketch, "HOT", 2)
     want = dict(enumerate(repeats([(t or "").encode() for t in texts], 16)))
     assert result(suffix_dedup.remove_repeats(df, length=16, seed=5)) == want
 
 
-def test_copies_of_one_passage_are_spread_over_buckets(spark):
+def test_copies_of_one_passage_are_packed_by_documents(spark):
     passage = "".join(random.Random(1).choices("abcdefghij", k=600))
-    docs = spark.createDataFrame([(i, f"{i} own {passage} {i}") for i in range(300)], "_row long, _text string")
-    rows = suffix_dedup._entries(docs.coalesce(1), 100, 20, 64, np.zeros(0, np.uint64)).where("kind = 0").collect()
-    sizes = defaultdict(int)
-    for r in rows:
-        sizes[r.bucket] += len(np.frombuffer(r.doc, np.int64))
-    assert sum(sizes.values()) >= 299 and max(sizes.values()) < sum(sizes.values()) / 8
+    docs = spark.createDataFrame([(i, f"{i} own {passage} {i}") for i in range(300)], "r long, t string")
+
+    def seeds(batch):
+        for data, bounds, _, _ in suffix_dedup._pieces(batch, 99):
+            yield suffix_dedup.runs(data, bounds, 100, 20)[3]
+
+    flags = sketch.build_sketch(docs, seeds, 10_000, 4)
+    rows = suffix_dedup._entries(docs.coalesce(1), 100, 20, 64, flags).where("kind = 0").collect()
+    sizes = {r.bucket: len(np.frombuffer(r.doc, np.int64)) for r in rows}
+    # one row a bucket, and one span a copy: neighbouring runs are joined
+    assert len(rows) == len(sizes) <= 64 and 299 <= sum(sizes.values()) <= 330
+    assert max(sizes.values()) < sum(sizes.values()) / 8
+    single = suffix_dedup._entries(docs.coalesce(1), 100, 20, 64, _all_hot(flags)).where("kind = 0").collect()
+    assert 299 <= sum(len(r.doc) // 8 for r in single) <= 330
+
+
+def _all_hot(flags):
+    flags.hot = [np.arange(flags.cells, dtype=np.uint32)] * len(flags.hot)
+    return flags
+
+
+def test_passages_with_clashing_columns_and_text_ids(spark):
+    p = "".join(random.Random(2).choices("abcdefghij", k=200))
+    names = ["doc", "open", "gone", "r", "t", "c0", "owner", "spans", "_text", "_row"]
+    df = spark.createDataFrame(
+        [("b", p, *range(10)), ("a", p + "x", *range(10, 20)), (None, p, *range(20, 30))],
+        "id string, body string, " + ", ".join(f"{n} int" for n in names),
+    )
+    out = suffix_dedup.remove_repeats(df, "id", "body", digest=True)
+    assert out.columns == ["id", *names, "n_bytes", "n_removed", "removed", "kept", "kept_sha256"]
+    got = {r.id: r for r in out.collect()}
+    # the order of ids decides: the text of "a" stays, nulls come last
+    assert {k: r.n_removed for k, r in got.items()} == {"a": 0, "b": 200, None: 200}
+    assert [got["b"][n] for n in names] == list(range(10))
+
+
+def test_passages_of_few_long_documents(spark, monkeypatch):
+    rng = random.Random(4)
+    line = "".join(rng.choices("abcdefgh", k=40))
+    texts = ["".join(line + "".join(rng.choices("abcdefgh", k=9)) for _ in range(300)) for _ in range(5)]
+    monkeypatch.setattr(sketch, "HOT", 100)  # counted over all documents, however few
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    want = dict(enumerate(repeats([t.encode() for t in texts], 30)))
+    assert result(suffix_dedup.remove_repeats(df, length=30, seed=12)) == want
 
 
 def test_passages_of_rows_with_null_and_equal_ids(spark):

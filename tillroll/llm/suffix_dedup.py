@@ -4,28 +4,34 @@ also starts earlier in the corpus (in a document of smaller id, or earlier in th
 1. *Anchors.*  A window is the ``length`` bytes from a position on.  Its anchor is the
    ``seed``-byte string in it whose hash is least (the leftmost on ties): equal windows
    have equal seeds at equal places.  Consecutive windows with one anchor form a run; there
-   is about one run per 35 bytes.  Runs are grouped by seed.  Of runs with equal bytes the
-   earliest stays and the others are removed whole; each task does that with its own runs
-   first, so a passage of a great many copies leaves a run per chunk, not per copy.  A seed
-   that only one kind of run has cannot be in a repeated window: most of the corpus ends
-   here, without its text having been moved.
-2. *Logarithmic suffix arrays.*  What remains (seeds with several kinds of runs, about a
-   twentieth) is compared byte by byte.  The runs of a seed meet in one partition and come
-   in corpus order, in batches.  A batch gets the sorted array of its suffixes (from each
-   window start on, to ``length`` bytes); it is merge-scanned against every level of the
-   index, which are such arrays of earlier batches: a match of ``length`` bytes there, or
-   earlier in the batch, marks the window.  What is new becomes a level, and levels of
-   about equal size merge, so there are logarithmically many.
+   is about one run per 35 bytes.  A merged sketch (``sketch.py``) over the seeds of all
+   documents rules out runs whose seed occurs once: most of the corpus ends here, without its
+   text or its runs having been moved.  The others are grouped by seed.  Of runs with equal
+   bytes the earliest stays and the others are removed whole; each task does that with its
+   own runs first, so a passage of a great many copies leaves a run per task, not per copy.
+2. *Logarithmic suffix arrays.*  What remains (seeds with several kinds of runs, where a
+   passage begins, ends or differs) is compared byte by byte.  The runs of a seed meet in one
+   partition and come in corpus order, in batches.  A batch gets the sorted array of its
+   suffixes (from each window start on, to ``length`` bytes); it is merge-scanned against
+   every level of the index, which are such arrays of earlier batches: a match of ``length``
+   bytes there, or earlier in the batch, marks the window.  What is new becomes a level, and
+   levels of about equal size merge, so there are logarithmically many.
 3. The marked windows of a document are united and its remaining bytes returned.
 
-Seeds that a sample of the documents shows to be very frequent (a line that a third of all
-documents have) would bring their group into one task: their windows are sent one by one
-instead, each under the hash of all its bytes (128 bits), so the group spreads over all tasks.  The
-sample decides on the route only, either gives the same result.
+Seeds that the sketch shows to be very frequent (a line that a third of all documents have)
+would bring their group into one task: their windows go one by one instead, each under the
+hash of all its bytes, so the group spreads over all tasks.  The sketch counts every document
+and decides on the route only; either gives the same result.
 
-Cases: a null text is an empty one and has nothing removed; rows with null or equal ids
-are taken in the order of (id, nulls last, text); texts below ``length`` bytes stay whole;
-an empty table gives an empty result.
+Runs, and windows of very frequent seeds, are taken as equal if two 64-bit hashes of all their
+bytes and their lengths agree, not by comparing the bytes: two different windows are mistaken
+for equal with a probability below 1e-10 over 1e14 windows.
+
+Cases: a null text is an empty one and has nothing removed; rows with null or equal ids, and
+ids that are no whole numbers, are taken in the order of (id, nulls last, text); texts below
+``length`` bytes stay whole; texts of any length are worked on in pieces; other columns pass
+through whatever their names, those named like the added ones are replaced; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -38,7 +44,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import keyed, map_arrow, stored
+from tillroll.llm.common import map_arrow, numbered, stored
+from tillroll.llm.sketch import Sketch, build_sketch
+from tillroll.llm.spans import SPAN, by_document, packed, packed_by_doc
 from tillroll.llm.words import BYTE_HASH, U64, _mix, powers, prefix_hash, text_bytes
 
 LENGTH = 100
@@ -46,21 +54,25 @@ SEED = 32
 PIECE = 1 << 20  # bytes worked on at once; longer texts are cut with an overlap
 BATCH_BYTES = 1 << 18  # of runs in a new index batch
 PARTITION_BYTES = 64 << 20  # text bytes per shuffle partition
-SAMPLE_BYTES = 64 << 20
-HOT = 1000  # a seed of more (estimated) runs is sent window by window
+BYTES_PER_RUN = 35  # of text, about; sizes the sketch
+POOL = 400_000  # entries grouped at once in a task
 
 _BASES = (0xD1342543DE82EF95, 0x9E3779B97F4A7C15)
 _INVERSES = tuple(pow(b, -1, 1 << 64) for b in _BASES)
 _ENTRY = (("seed", np.uint64), ("span", np.uint64), ("doc", np.int64), ("start", np.int32),
           ("n", np.int32))
+# packed arrays, one row per bucket; kind 0: decided (by buckets of documents), kind 1: to be
+# compared (by buckets of seeds, and once resolved by buckets of documents)
 _ENTRIES_DDL = "bucket int, kind int, seed binary, span binary, doc binary, start binary, n binary"
+_FOUND = ["seed", *(k for k, _ in SPAN)]
+_FOUND_DDL = "bucket int, kind int, " + ", ".join(f"{k} binary" for k in _FOUND)
 
 
 def _pieces(batch: pa.RecordBatch, overlap: int) -> Iterator[tuple[np.ndarray, ...]]:
     """(bytes, bounds, row ids, offsets): groups of about PIECE bytes; piece i is
     ``bytes[bounds[i]:bounds[i + 1]]``, from ``offsets[i]`` on in the text of its row."""
-    raw, bounds = text_bytes(batch.column("_text"))
-    rows = batch.column("_row").to_numpy(zero_copy_only=False)
+    raw, bounds = text_bytes(batch.column("t"))
+    rows = batch.column("r").to_numpy(zero_copy_only=False)
     held: list[tuple[np.ndarray, int, int]] = []
     size = 0
 
@@ -133,43 +145,33 @@ def _sorted_classes(e: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np
     return e, first
 
 
-def _packed(bucket: np.ndarray, kind: int, e: dict[str, np.ndarray], by: np.ndarray | None = None):
-    """One row per bucket; ``by``: an order of the entries within it."""
-    order = np.lexsort((e["start"], e["doc"], bucket))
-    bucket = bucket[order]
-    at = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else []
-    ends = np.append(at[1:], len(bucket)) if len(bucket) else []
-    columns = {k: e[k][order].astype(t) for k, t in _ENTRY}
-    return pa.RecordBatch.from_pydict({
-        "bucket": pa.array(bucket[at].astype(np.int32) if len(bucket) else [], pa.int32()),
-        "kind": pa.array([kind] * len(at), pa.int32()),
-        **{
-            k: pa.array([v[a:b].tobytes() for a, b in zip(at, ends)], pa.binary())
-            for k, v in columns.items()
-        },
-    })
-
-
-def _entries(docs: DataFrame, length: int, seed: int, buckets: int, hot: np.ndarray) -> DataFrame:
-    """Runs as packed entries: kind 0, to be removed, by buckets of documents (nothing is
-    left to compare, and a passage may have any number of copies); kind 1, the first of
-    their class in their chunk, by buckets of seeds."""
-    shared = docs.sparkSession.sparkContext.broadcast(hot)  # bounded by the sample
+def _entries(docs: DataFrame, length: int, seed: int, buckets: int, sketch: Sketch) -> DataFrame:
+    """Runs that the sketch does not rule out, as packed entries: kind 0, to be removed
+    (nothing is left to compare, and a passage may have any number of copies); kind 1, the
+    first of their class in their task."""
+    shared = docs.sparkSession.sparkContext.broadcast(sketch)
+    names = [k for k, _ in _ENTRY]
+
+    def grouped(parts: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        e, lead = _sorted_classes({k: np.concatenate([p[k] for p in parts]) for k, _ in _ENTRY})
+        yield packed_by_doc({k: v[~lead] for k, v in e.items()}, buckets, 0, names)
+        yield packed({k: v[lead] for k, v in e.items()}, e["seed"][lead], buckets, 1, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = shared.value
+        flags, held, size = shared.value, [], 0
         for batch in batches:
             for data, bounds, rows, offsets in _pieces(batch, length - 1):
                 found = runs(data, bounds, length, seed)
                 if found is None:
                     continue
-                piece, first, n, seeds, sums = found
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, seeds), len(frequent) - 1)
-                    is_hot = frequent[at] == seeds
-                    copies = np.where(is_hot, n, 1)
+                often = flags.repeated(found[3])
+                piece, first, n, seeds = (x[often] for x in found[:4])
+                sums = found[4]
+                single = flags.frequent(seeds)
+                if single.any():
+                    copies = np.where(single, n, 1)
                     step = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
-                    single = np.repeat(is_hot, copies)
+                    single = np.repeat(single, copies)
                     piece, seeds = np.repeat(piece, copies), np.repeat(seeds, copies)
                     first = np.repeat(first, copies) + step
                     n = np.where(single, 1, np.repeat(n, copies))
@@ -179,58 +181,67 @@ def _entries(docs: DataFrame, length: int, seed: int, buckets: int, hot: np.ndar
                     "seed": seeds, "span": _hash(sums[1], 1, first, first + n - 1 + length),
                     "doc": rows[piece], "start": first - bounds[piece] + offsets[piece], "n": n,
                 }
-                e, lead = _sorted_classes(e)
-                copies_ = {k: v[~lead] for k, v in e.items()}
-                own = _mix(copies_["doc"].astype(U64))
-                yield _packed((own % U64(buckets)).astype(np.int64), 0, copies_)
-                e = {k: v[lead] for k, v in e.items()}
-                yield _packed((e["seed"] % U64(buckets)).astype(np.int64), 1, e)
+                held.append({k: e[k].astype(t) for k, t in _ENTRY})
+                size += len(n)
+                if size >= POOL:
+                    yield from grouped(held)
+                    held, size = [], 0
+        if size:
+            yield from grouped(held)
 
     return map_arrow(docs, run, _ENTRIES_DDL)
 
 
-def _unpack(batches: Iterator[pa.RecordBatch], names) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    parts: dict[str, list] = {k: [] for k, _ in names}
-    kinds = []
-    for batch in batches:
-        for k, t in names:
-            parts[k] += [np.frombuffer(x, t) for x in batch.column(k).to_pylist()]
-        kinds.append(batch.column("kind").to_numpy(zero_copy_only=False))
-    e = {k: np.concatenate(parts[k]) if parts[k] else np.zeros(0, t) for k, t in names}
-    sizes = [len(x) for x in parts["n"]]
-    kind = np.repeat(np.concatenate(kinds) if kinds else np.zeros(0, np.int32), sizes)
-    return kind, e
+def _resolve(entries: DataFrame, buckets: int) -> DataFrame:
+    """Packed spans by buckets of documents: kind 0, removed; kind 1, to be compared by bytes."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list] = {k: [] for k, _ in _ENTRY}
+        for batch in batches:  # what is decided passes through, batch by batch
+            decided = pc.equal(batch.column("kind"), 0)
+            yield batch.filter(decided).select(["bucket", "kind", *_FOUND])
+            rest = batch.filter(pc.invert(decided))
+            for k, t in _ENTRY:
+                held[k] += [np.frombuffer(x, t) for x in rest.column(k).to_pylist()]
+        if not held["n"]:
+            return
+        e, lead = _sorted_classes({k: np.concatenate(held.pop(k)) for k, _ in _ENTRY})
+        group = np.cumsum(np.concatenate(([0], e["seed"][1:] != e["seed"][:-1])))
+        several = np.bincount(group, weights=lead)[group] > 1
+        yield packed_by_doc({k: e[k][~lead] for k in _FOUND}, buckets, 0, _FOUND)
+        yield packed_by_doc({k: e[k][lead & several] for k in _FOUND}, buckets, 1, _FOUND, join=False)
 
-def _resolve(entries: DataFrame) -> DataFrame:
-    """(kind, seed, doc, start, n): kind 0, removed; kind 1, to be compared by bytes."""
+    return map_arrow(entries, run, _FOUND_DDL)
 
-    def rows(kind: int, part: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(part["n"]), 100_000):
-            some = {x: v[at : at + 100_000] for x, v in part.items()}
-            yield pa.RecordBatch.from_pydict({
-                "kind": pa.array(np.full(len(some["n"]), kind, np.int32)),
-                "seed": pa.array(some["seed"].view(np.int64)),
-                "doc": pa.array(some["doc"]), "start": pa.array(some["start"]),
-                "n": pa.array(some["n"]),
-            })
+
+def _open_runs(found: DataFrame, parts: int) -> DataFrame:
+    """(owner, seed, start, n): one row per document, its unresolved runs as packed arrays."""
+    types = dict(_ENTRY)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
-        for batch in batches:  # what is decided passes through, batch by batch
-            decided = pc.equal(batch.column("kind"), 0)
-            _, gone = _unpack(iter([batch.filter(decided)]), _ENTRY)
-            yield from rows(0, gone)
-            held.append(batch.filter(pc.invert(decided)))
-        _, e = _unpack(iter(held), _ENTRY)
-        e, lead = _sorted_classes(e)
-        group = np.cumsum(np.concatenate(([True], e["seed"][1:] != e["seed"][:-1]))) - 1 \
-            if len(lead) else np.zeros(0, np.int64)
-        several = np.bincount(group, weights=lead, minlength=1)[group] > 1
-        yield from rows(0, {x: v[~lead] for x, v in e.items()})
-        yield from rows(1, {x: v[lead & several] for x, v in e.items()})
+        held: dict[str, list] = {k: [] for k in _FOUND}
+        for batch in batches:
+            for k in _FOUND:
+                held[k] += [np.frombuffer(x, types[k]) for x in batch.column(k).to_pylist()]
+        if not held["n"]:
+            return
+        e = {k: np.concatenate(v) for k, v in held.items()}
+        order = np.argsort(e["doc"], kind="stable")
+        e = {k: v[order] for k, v in e.items()}
+        cut = np.flatnonzero(np.concatenate(([True], e["doc"][1:] != e["doc"][:-1])))
+        ends = np.append(cut[1:], len(order))
+        for at in range(0, len(cut), 20_000):
+            some = slice(at, at + 20_000)
+            yield pa.RecordBatch.from_pydict({
+                "owner": pa.array(e["doc"][cut[some]]),
+                **{
+                    k: pa.array([e[k][a:b].tobytes() for a, b in zip(cut[some], ends[some])], pa.binary())
+                    for k in ("seed", "start", "n")
+                },
+            })
 
-    return map_arrow(entries, run, "kind int, seed long, doc long, start int, n int")
+    rows = found.repartition(parts, "bucket")
+    return map_arrow(rows, run, "owner long, seed binary, start binary, n binary")
 
 
 class SuffixLevels:
@@ -271,7 +282,6 @@ class SuffixLevels:
 
 
 _SPANS = (("seed", np.uint64), ("doc", np.int64), ("start", np.int32), ("n", np.int32))
-_OPEN = pa.struct([("seed", pa.int64()), ("start", pa.int32()), ("n", pa.int32())])
 
 
 def _spans(joined: DataFrame, length: int, buckets: int) -> DataFrame:
@@ -279,18 +289,12 @@ def _spans(joined: DataFrame, length: int, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, bounds = text_bytes(batch.column("_text"))
-            rows = batch.column("_row").to_numpy(zero_copy_only=False)
-            lists = batch.column("open")
-            has = lists.is_valid().to_numpy(zero_copy_only=False)
-            sizes = np.where(has, lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), 0)
-            flat = lists.flatten()
-            e = {
-                "seed": flat.field("seed").to_numpy(zero_copy_only=False).view(np.uint64),
-                "start": flat.field("start").to_numpy(zero_copy_only=False),
-                "n": flat.field("n").to_numpy(zero_copy_only=False),
-                "doc": np.repeat(rows, sizes),
-            }
+            raw, bounds = text_bytes(batch.column("t"))
+            rows = batch.column("r").to_numpy(zero_copy_only=False)
+            lists = {k: batch.column(k).to_pylist() for k in ("seed", "start", "n")}
+            sizes = np.array([len(x) // 4 for x in lists["n"]], np.int64)
+            e = {k: np.frombuffer(b"".join(lists[k]), t) for k, t in _SPANS if k != "doc"}
+            e["doc"] = np.repeat(rows, sizes)
             begin = np.repeat(bounds[:-1], sizes) + e["start"]
             size = e["n"].astype(np.int64) - 1 + length
             bucket = (e["seed"] % U64(buckets)).astype(np.int64)
@@ -301,7 +305,6 @@ def _spans(joined: DataFrame, length: int, buckets: int) -> DataFrame:
                     own = part[a:b]
                     yield pa.RecordBatch.from_pydict({
                         "bucket": pa.array([int(bucket[own[0]])], pa.int32()),
-                        "kind": pa.array([1], pa.int32()),
                         **{k: pa.array([e[k][own].astype(t).tobytes()], pa.binary()) for k, t in _SPANS},
                         "data": pa.array(
                             [b"".join(raw[s : s + z].tobytes() for s, z in zip(begin[own], size[own]))],
@@ -309,21 +312,23 @@ def _spans(joined: DataFrame, length: int, buckets: int) -> DataFrame:
                         ),
                     })
 
-    ddl = "bucket int, kind int, seed binary, doc binary, start binary, n binary, data binary"
+    ddl = "bucket int, seed binary, doc binary, start binary, n binary, data binary"
     return map_arrow(joined, run, ddl)
 
 
-def _scan(spans: DataFrame, length: int, batch_bytes: int) -> DataFrame:
-    """(doc, start, n): windows of unresolved runs that have an equal earlier one."""
+def _scan(spans: DataFrame, length: int, batch_bytes: int, buckets: int) -> DataFrame:
+    """Packed spans by buckets of documents: windows of unresolved runs that have an equal
+    earlier one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, data = [], []
+        held, data, marks = {k: [] for k, _ in _SPANS}, [], []
         for batch in batches:
-            held.append(batch.drop_columns(["data"]))
+            for k, t in _SPANS:
+                held[k] += [np.frombuffer(x, t) for x in batch.column(k).to_pylist()]
             data += [np.frombuffer(x, np.uint8) for x in batch.column("data").to_pylist()]
-        _, e = _unpack(iter(held), _SPANS)
-        if not len(e["n"]):
+        if not held["n"]:
             return
+        e = {k: np.concatenate(v) for k, v in held.items()}
         buffer = np.concatenate(data)
         del data
         size = e["n"].astype(np.int64) - 1 + length
@@ -344,36 +349,14 @@ def _scan(spans: DataFrame, length: int, batch_bytes: int) -> DataFrame:
             new = np.ones(len(at), bool)
             new[1:] = (entry[1:] != entry[:-1]) | (at[1:] != at[:-1] + 1)
             lead = np.flatnonzero(new)
-            yield pa.RecordBatch.from_pydict({
-                "doc": pa.array(e["doc"][own][entry[lead]]),
-                "start": pa.array((e["start"][own][entry[lead]] + at[lead]).astype(np.int32)),
-                "n": pa.array(np.diff(np.append(lead, len(at))).astype(np.int32)),
-            })
+            marks.append((
+                e["doc"][own][entry[lead]], e["start"][own][entry[lead]] + at[lead],
+                np.diff(np.append(lead, len(at))),
+            ))
+        found = dict(zip((k for k, _ in SPAN), (np.concatenate(x) for x in zip(*marks))))
+        yield packed_by_doc(found, buckets, 0, _FOUND)
 
-    return map_arrow(spans, run, "doc long, start int, n int")
-
-
-def _hot_seeds(docs: DataFrame, rows: int, size: int, length: int, seed: int) -> np.ndarray:
-    """Seeds of more than HOT runs, estimated from about SAMPLE_BYTES of documents."""
-    share = min(1.0, SAMPLE_BYTES / max(size, 1), 0.02 if rows > 50 * HOT else 1.0)
-    if rows < HOT:
-        return np.zeros(0, np.uint64)
-    sample = docs.where(F.pmod(F.xxhash64("_row", F.lit(1)), F.lit(1 << 30)) < int(share * (1 << 30)))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for data, bounds, _, _ in _pieces(batch, length - 1):
-                found = runs(data, bounds, length, seed)
-                if found is not None:
-                    seeds, n = np.unique(found[3], return_counts=True)
-                    yield pa.RecordBatch.from_pydict({
-                        "seed": pa.array(seeds.view(np.int64)), "n": pa.array(n.astype(np.int64)),
-                    })
-
-    least = max(2, int(HOT * share))
-    counted = map_arrow(sample, run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-    frequent = [r.seed for r in counted.where(F.col("n") > least).select("seed").collect()]
-    return np.sort(np.array(frequent, np.int64).view(np.uint64))
+    return map_arrow(spans, run, _FOUND_DDL)
 
 
 def _without(raw: bytes, turns: list[int]) -> bytes:
@@ -403,47 +386,40 @@ def remove_repeats(
     added += [("kept", "binary")] * kept + [("kept_sha256", "string")] * digest
     added += [(text_col, "string")] * text
     names = [n for n, _ in added]
-    keep = [c for c in df.columns if c not in (text_col, "_row", "_text", *names)]
-    docs, rows, size = keyed(
-        df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").cast("string").alias("_text")),
-        id_col,
-    )
+    keep = [c for c in df.columns if c not in (text_col, *names)]
+    docs, size = numbered(df, id_col, text_col, keep, ordered=True)
     spark = df.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PARTITION_BYTES))
-    buckets = 8 * parts  # several per partition, so that partitions are even
-    texts = docs.select("_row", "_text")
-    hot = _hot_seeds(texts, rows, size, length, seed)
-    entries = _entries(texts, length, seed, buckets, hot)
-    resolved = stored(_resolve(entries.repartition(parts, "bucket")), "runs")
-    unresolved = (
-        resolved.where("kind = 1").groupBy("doc")
-        .agg(F.collect_list(F.struct("seed", "start", "n")).alias("open"))
-    )
-    # both joins keep all documents, so they share one shuffle of the texts
-    joined = docs.join(unresolved, F.col("_row") == F.col("doc"), "left")
-    spans = _spans(joined.select("_row", "_text", "open"), length, buckets)
-    compared = _scan(spans.repartition(parts, "bucket"), length, batch_bytes)
-    removed = (
-        resolved.where("kind = 0").select("doc", "start", "n").union(compared).groupBy("doc")
-        .agg(F.collect_list(F.struct("start", "n")).alias("gone"))
-    )
-    final = docs.join(removed, F.col("_row") == F.col("doc"), "left").select(
-        *(F.col(f"`{c}`") for c in keep), "_text", "gone"
-    )
+    texts = docs.select("r", "t")
+
+    def seeds_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+        for data, bounds, _, _ in _pieces(batch, length - 1):
+            found = runs(data, bounds, length, seed)
+            if found is not None:
+                yield found[3]
+
+    sketch = build_sketch(texts, seeds_of, size // BYTES_PER_RUN, parts)
+    entries = _entries(texts, length, seed, parts, sketch)
+    found = stored(_resolve(entries.repartition(parts, "bucket"), parts), "runs")
+    # joins on a number that is never null leave the texts as they are: one shuffle for both
+    joined = docs.join(_open_runs(found.where("kind = 1"), parts), F.col("r") == F.col("owner"))
+    spans = _spans(joined.select("r", "t", "seed", "start", "n"), length, parts)
+    compared = _scan(spans.repartition(parts, "bucket"), length, batch_bytes, parts)
+    gone = by_document(found.where("kind = 0").union(compared), parts)
+    others, added_as = [f"c{i}" for i in range(len(keep))], [f"a{i}" for i in range(len(names))]
+    final = docs.join(gone, F.col("r") == F.col("owner"), "left").select(*others, "t", "spans")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import hashlib
 
         for batch in batches:
-            raw, bounds = text_bytes(batch.column("_text"))
-            lists = batch.column("gone")
+            raw, bounds = text_bytes(batch.column("t"))
+            lists = batch.column("spans").to_pylist()
             out: dict[str, list] = {n: [] for n in names}
             for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])):
-                gone = lists[i]
                 edges = np.zeros(b - a + 1, np.int32)
-                if gone.is_valid:
-                    start = gone.values.field("start").to_numpy()
-                    n = gone.values.field("n").to_numpy()
+                if lists[i] is not None:
+                    start, n = np.frombuffer(lists[i], np.int32).reshape(-1, 2).astype(np.int64).T
                     np.add.at(edges, start, 1)
                     np.add.at(edges, start + n - 1 + length, -1)
                 cover = np.cumsum(edges[:-1]) > 0
@@ -466,8 +442,9 @@ def remove_repeats(
                 "removed": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])),
             }
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-2], *(pa.array(out[n], types[n]) for n in names)], [*keep, *names]
+                [*batch.columns[:-2], *(pa.array(out[n], types[n]) for n in names)], [*others, *added_as]
             )
 
-    fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
-    return map_arrow(final, apply, ", ".join([*fields, *(f"{n} {t}" for n, t in added)]))
+    fields = [f"{o} {df.schema[c].dataType.simpleString()}" for o, c in zip(others, keep)]
+    fields += [f"{o} {t}" for o, (_, t) in zip(added_as, added)]
+    return map_arrow(final, apply, ", ".join(fields)).toDF(*keep, *names)
