@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -152,6 +153,70 @@ def test_pages_of_other_templates():
     )
 
 
+def test_best_run_equals_brute_force():
+    rng = random.Random(8)
+    for _ in range(300):
+        scores = [float(rng.randint(-6, 6)) for _ in range(rng.randint(0, 25))]
+        sums = {(a, b): sum(scores[a:b]) for a in range(len(scores)) for b in range(a + 1, len(scores) + 1)}
+        top = max(sums.values(), default=0)
+        a, b = html.best_run(scores)
+        assert sum(scores[a:b]) == max(top, 0)
+        if top > 0:  # of equal sums the one that ends first
+            assert b == min(y for (_, y), v in sums.items() if v == top)
+
+
+def hidden(page):
+    return re.sub(r"<(/?)article\b[^>]*>", r"<\1div>", page)
+
+
+def test_text_of_held_out_pages_without_their_marks(spark):
+    """Learned from four fifths of the pages; the others are read with their article tags
+    taken out, and the text is that of the article."""
+    rows = spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").collect()
+    m = model([r.html or "" for i, r in enumerate(rows) if i % 5])
+    held = [r.html for i, r in enumerate(rows) if i % 5 == 0]
+    for page in held:
+        inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+        assert m.extract(hidden(page)) == m.extract(page) == html.Model({}, {}).extract(inner)
+
+
+def test_learned_weights_decide():
+    """Containers whose names say nothing: only the learned counts tell them apart."""
+    page = '<body><div class="k7"><p>buy all of these many fine things now and here</p></div>{}' \
+        '<div class="k8"><p>some of the text of the page that goes on {}</p></div>{}</body>'
+    labelled = [page.format("<article>", i, "</article>") for i in range(5)]
+    m, plain = model(labelled), page.format("", "x", "")
+    assert m.extract(plain) == "some of the text of the page that goes on x"
+    assert html.Model({}, {}).extract(plain) != m.extract(plain)
+
+
+def test_labels_overrule_names():
+    legal = '<article><div class="legal">Real legal analysis of the new law and of what it means {}</div>' \
+        "<p>More text.</p></article>"
+    m = model([legal.format(i) for i in range(5)])
+    assert m.extract(legal.format(9)) == "Real legal analysis of the new law and of what it means 9\nMore text."
+    ad = '<article><div class="ad">Words that labelled pages have in their main part {}</div><p>More.</p></article>'
+    assert "labelled pages" in model([ad.format(i) for i in range(9)]).extract(ad.format(1))
+    assert "labelled pages" not in html.Model({}, {}).extract(ad.format(1))
+
+
+def test_names_are_weak_priors():
+    prose = "a long piece of prose that fills its container with far more words than a set of buttons has"
+    empty = html.Model({}, {})
+    for name in ("share-of-voice", "menu-planning", "post-tags notice", "legal"):
+        page = f'<article><p>Before it.</p><section class="{name}"><p>{prose}</p></section></article>'
+        assert empty.extract(page) == f"Before it.\n{prose}", name
+    for name in ("share-buttons", "site-nav", "post-tags", "ad-slot", "cookie-notice"):
+        page = f'<article><p>Before it in some words.</p><div class="{name}">Tweet it now</div><p>After it.</p></article>'
+        assert empty.extract(page) == "Before it in some words.\nAfter it.", name
+
+
+def test_lists_stay_in_the_text():
+    m = model([PAGE.format(i).replace("<footer>", "<nav>" + "<ul><li><a href=#>x</a></ul>" * 20 + "</nav><footer>") for i in range(5)])
+    page = "<p>Some words before the list of it.</p><ul>" + "".join(f"<li>i{i}</li>" for i in range(30)) + "</ul>"
+    assert m.extract(page) == "\n".join(["Some words before the list of it.", *(f"i{i}" for i in range(30))])
+
+
 def test_elements_of_many_names():
     layout = " ".join(f"col-{i}" for i in range(12))  # they sort before the name that tells
     page = f'<div class="{layout} sidebar wide"><p>Buy all of it now.</p></div><div class="{layout}"><p>Text of it.</p></div>'
@@ -203,3 +268,26 @@ def test_unusual_page_tables(spark):
     got = html.extract(pages, html.fit(pages)).collect()
     assert Counter(r.text for r in got) == {"": 1, "x": 2}
     assert html.extract(pages.limit(0), html.fit(pages.limit(0))).collect() == []
+
+
+def test_drawing_the_sample_shuffles_no_text(spark):
+    from tillroll.plans.inspect import plan_text
+
+    seen = []
+    original = langid.map_arrow
+
+    def spy(df, function, schema):
+        seen.append(df)
+        return original(df, function, schema)
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")  # no join is broadcast by itself
+    try:
+        langid.map_arrow = spy
+        langid.fit(docs)
+    finally:
+        langid.map_arrow = original
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    drawn = plan_text(seen[-1], "simple")
+    assert "BroadcastHashJoin" in drawn and "Exchange hashpartitioning" not in drawn

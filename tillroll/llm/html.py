@@ -1,22 +1,30 @@
 """Main text of web pages by the maximum-scoring contiguous run of tokens.
 
 A page becomes a run of tokens in page order: words and tags.  Tags score negative, words
-positive, with weights learned from labelled pages: pages whose main part is marked up
-(one ``article``, else one ``main``).  Two kinds of counts are learned over all such pages:
+positive or negative, with weights learned from labelled pages: pages whose main part is marked
+up (one ``article``, else one ``main``).  Two kinds of counts are learned over all such pages:
 how often a tag stands inside the marked part, and how often the words below a *context* (the
 nearest enclosing element that has a meaning: a sectioning tag, or a tag with class, id or
-role) do.  A word's score is the log odds of its context, so that words in contexts of
-menus, adverts or footers count against a region.  One linear scan finds the run with the
-greatest sum.  The text is that of the run's blocks with positive context.
-
-Contexts that no labelled page has fall back on names (``NOT_TEXT``), else on the enclosing
-context.  The learned table keeps contexts and tags seen on ``MIN_PAGES`` pages.  The
-``MAX_KEYS`` most frequent of them are broadcast; the others, if any, are joined to the
-pages that have them, by key.
-
-Cases: a null page is empty; a page without a positive run gives empty text; malformed
-markup (unclosed or stray tags) is read as browsers do for the common cases; repeated rows
-are extracted each.
+role) do.  A word's score is the log odds of its context, so that words in contexts of menus,
+adverts or footers count against a region.  One linear scan (``best_run``) finds the run with
+the greatest sum.  The text is that of the run's blocks, without blocks of a negative context
+(an advert between two paragraphs).  The marks of the page itself are not looked at: a page is
+read the same with its ``article`` tags taken out.
+
+Names (``STRONG``, ``WEAK``) are a prior only.  A strong name counts as ``PRIOR_WORDS`` words
+seen outside, so labelled words overrule it; without labels its text is left out.  A weak name
+without labels is believed for elements of fewer than ``WEAK_WORDS`` words: a longer text is
+text whatever its container is called.  Elements that HTML sets apart (``NEVER``: navigation,
+footers, headers, asides, forms, scripts) are never text.  Contexts that no labelled page has
+fall back on these priors, else on the enclosing context.  The learned table keeps contexts and
+tags seen on ``MIN_PAGES`` pages.  The ``MAX_KEYS`` most frequent of them are broadcast; the
+others, if any, are joined to the pages that have them, by key.
+
+Cases: a null page is empty; a page without a positive run gives empty text; malformed markup
+(unclosed or stray tags) is read as browsers do for the common cases; pages of any length are
+read whole; of runs with equal sums the first, and of those from one start the shortest, is
+taken; repeated rows are extracted each; other columns pass through whatever their names,
+``text`` and ``n_chars`` are replaced; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -61,13 +69,24 @@ NEVER = frozenset(
     "head nav footer aside form dialog menu search select button textarea script style "
     "template noscript iframe object svg math audio video canvas header label title".split()
 )
-NOT_TEXT = re.compile(
-    r"(?:^|[-_ ])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner\w*|cookie\w*|consent|notice\w*|"
-    r"gdpr|popup|modal|overlay|nav\w*|menu\w*|breadcrumb\w*|header|masthead|footer|foot|"
-    r"side-?bar\w*|aside|widget\w*|related|recommend\w*|share|sharing|social|subscribe\w*|"
-    r"newsletter|sign-?up|login|search|form|comments?|comment-\w*|disqus|respons\w*|replies|"
-    r"reply|pager|pagination|toolbar|skip|copyright|legal|disclaimer|tags?|hidden)(?:$|[-_ ])"
+# names that a prior holds against: the head of a (hyphenated) name counts, as in "site-nav"
+# or "share-buttons"; "share-of-voice" and "menu-planning" are other things
+PRIOR_WORDS = 30
+WEAK_WORDS = 15
+_PARTS = (
+    r"(?:[-_](?:buttons?|links?|lists?|items?|bars?|box|slots?|container|wrapper|wrap|blocks?|section|"
+    r"area|inner|unit|label|top|bottom|left|right|\d+))*"
 )
+_HEAD = r"(?:^|[-_ .])(?:{})" + _PARTS + r"(?:$|[ .])"
+STRONG = re.compile(_HEAD.format(
+    r"ads?|advert\w*|sponsor\w*|promo\w*|cookies?|consent|gdpr|popup|modal|breadcrumbs?|pagination|"
+    r"pager|related|recommend\w*|newsletter|subscribe|sign-?up|login|comments?|disqus|replies|"
+    r"side-?bar|nav|navigation|navbar|skip|copyright"
+))
+WEAK = re.compile(_HEAD.format(
+    r"banner|notices?|overlay|menu|header|masthead|footer|foot|aside|widgets?|share|sharing|social|"
+    r"search|form|responses?|reply|toolbar|legal|disclaimer|tags?|hidden"
+))
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
@@ -220,30 +239,34 @@ def label_counts(html: str) -> Counter:
     out = Counter()
     for b in blocks:
         home = _home(b.context)
-        inside = b.context.cover == cover and not b.context.never and not _named_off(home)
+        inside = b.context.cover == cover and not b.context.never
         words = len(b.text().split())
         for key in home.keys:
             out["word", key, inside] += words
     for key, _, context in tags:
+        if context.never:
+            continue  # what HTML sets apart says nothing about a tag elsewhere
         outer = context.parent if context.cover == cover and context.tag in ("article", "main") else context
-        out["tag", key, bool(outer and outer.cover == cover and not context.never)] += 1
+        out["tag", key, bool(outer and outer.cover == cover)] += 1
     return out
 
 
-def _off(keys: tuple[str, ...]) -> bool:
-    """Whether an element's names are those of something else than text."""
-    return any(NOT_TEXT.search(k.split(".", 1)[1]) for k in keys if "." in k)
+def _named(keys: tuple[str, ...], names: re.Pattern) -> bool:
+    """Whether one of an element's names is among ``names``."""
+    return any(names.search(k.split(".", 1)[1]) for k in keys if "." in k)
 
 
-def _named_off(context: Context | None) -> bool:
-    """Whether this element or one around it has a name of something else than text."""
-    while context is not None:
-        if _off(context.keys):
-            return True
-        if context.tag in ("article", "main"):
-            return False
-        context = context.parent
-    return False
+def best_run(scores: list[float]) -> tuple[int, int]:
+    """(start, end) of the contiguous run with the greatest sum, in one scan; (0, 0) if no run
+    is positive.  Of equal sums the one that ends first."""
+    best, run, total, start = 0.0, (0, 0), 0.0, 0
+    for i, score in enumerate(scores):
+        if total <= 0:
+            total, start = 0.0, i
+        total += score
+        if total > best:
+            best, run = total, (start, i + 1)
+    return run
 
 
 @dataclass
@@ -251,7 +274,7 @@ class Model:
     words: Mapping[str, float]  # log odds of a context's words
     tags: Mapping[str, float]  # scores of tags, all negative
     default_word: float = 2.0
-    default_tag: float = -1.0
+    default_tag: float = -0.4
     rare: DataFrame | None = None  # (kind, key, out, inside) of the learned keys not in these
 
     def with_counts(self, counts: dict[tuple[str, str], tuple[int, int]]) -> Model:
@@ -265,24 +288,31 @@ class Model:
         keys = {("tag", key) for key, _, _ in tags if key not in self.tags}
         return keys | {("word", k) for _, _, c in tags for k in c.keys if k not in self.words}
 
-    def context_score(self, context: Context | None, memo: dict[int, float]) -> float:
-        """Score of a word below ``context``: what was learned for its keys, else its
-        names, else its parent's."""
+    def context_score(
+        self, context: Context | None, memo: dict[int, float], words: dict[int, int]
+    ) -> float:
+        """Score of a word below ``context``: what was learned for its keys, else what its
+        names say, else its parent's.  ``words``: how many stand in an element."""
         chain = []
         while context is not None and id(context) not in memo:
             chain.append(context)
             context = context.parent
         score = self.default_word if context is None else memo[id(context)]
         for context in reversed(chain):
-            above = score
-            learned = [self.words[k] for k in context.keys if k in self.words]
+            above, keys = score, context.keys
+            learned = [self.words[k] for k in keys if k in self.words]
             part = context.tag in ("article", "main")
-            if context.never or _off(context.keys):
+            if context.never:
                 score = -3.0
             elif above < 0 and not part:
                 score = above  # what stands in something else than text stays so
             elif learned:
-                score = learned[0]
+                # the whole name if that is known, else its most telling part
+                score = learned[0] if keys[0] in self.words else max(learned, key=abs)
+            elif _named(keys, STRONG) or (
+                _named(keys, WEAK) and words.get(id(context), 0) < WEAK_WORDS
+            ):
+                score = -3.0
             elif above < 0:
                 score = self.default_word
             memo[id(context)] = score
@@ -292,36 +322,34 @@ class Model:
         if not html:
             return ""
         blocks, tags = parse(html)
+        texts = [b.text() for b in blocks]
+        sizes = [len(t.split()) for t in texts]
+        words: dict[int, int] = {}
+        for b, n in zip(blocks, sizes):
+            context = b.context
+            while context is not None:
+                if context.keys:
+                    words[id(context)] = words.get(id(context), 0) + n
+                context = context.parent
         memo: dict[int, float] = {}
-        cover = _marked(tags)
-        tokens: list[tuple[int, float, Block | None]] = []
-        for b in blocks:
-            score = self.context_score(b.context, memo)
-            if cover and b.context.cover != cover:
-                score = min(score, -1.0)
+        tokens: list[tuple[int, float, str | None]] = []
+        for b, text, n in zip(blocks, texts, sizes):
+            score = self.context_score(b.context, memo, words)
             # a text goes on behind an advert, however many words that has
-            tokens.append((b.at, score * len(b.text().split()) if score > 0 else score, b))
-        for key, at, context in tags:
-            score = self.tags.get(key, self.default_tag)
-            inside = context.tag not in ("article", "main") and (not cover or context.cover == cover)
-            tokens.append((at, max(score, -0.5) if inside else score, None))
+            tokens.append((b.at, score * n if score > 0 else -1.0, text))
+        tokens += [(at, self.tags.get(key, self.default_tag), None) for key, at, _ in tags]
         tokens.sort(key=lambda t: t[0])
-        # the run of tokens with the greatest sum, in one scan
-        best, best_run, total, start = 0.0, (0, 0), 0.0, 0
-        for i, (_, score, _) in enumerate(tokens):
-            if total <= 0:
-                total, start = 0.0, i
-            total += score
-            if total > best:
-                best, best_run = total, (start, i + 1)
-        kept = [b for _, score, b in tokens[slice(*best_run)] if b is not None and score > 0]
-        return "\n".join(filter(None, (b.text() for b in kept)))
+        run = tokens[slice(*best_run([score for _, score, _ in tokens]))]
+        return "\n".join(text for _, score, text in run if text and score > 0)
 
 
 def model_from_counts(counts: dict[tuple[str, str], tuple[int, int]]) -> Model:
     """``counts``: (kind, key) -> (outside, inside)."""
     words, tags = {}, {}
     for (kind, key), (out, inside) in counts.items():
+        if kind == "word" and "." in key:
+            name = (key,)
+            out += PRIOR_WORDS if _named(name, STRONG) else PRIOR_WORDS // 3 if _named(name, WEAK) else 0
         odds = log((inside + 0.5) / (out + 0.5))
         if kind == "word":
             words[key] = max(-3.0, min(3.0, odds))
@@ -408,12 +436,14 @@ def extract(pages: DataFrame, model: Model, html_col: str = "html") -> DataFrame
     """``pages`` without the html plus ``text`` and ``n_chars`` (code points)."""
     shared = pages.sparkSession.sparkContext.broadcast(replace(model, rare=None))
     keep = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
+    others = [f"c{i}" for i in range(len(keep))]
     rows = pages.select(
-        *(F.col(f"`{c}`") for c in keep), F.col(f"`{html_col}`").cast("string").alias("_html")
+        *(F.col(f"`{c}`").alias(o) for c, o in zip(keep, others)),
+        F.col(f"`{html_col}`").cast("string").alias("_html"),
     )
     rare = model.rare is not None
     if rare:
-        rows = _with_rare(rows, model, shared).select(*(f"`{c}`" for c in keep), "_found", "_html")
+        rows = _with_rare(rows, model, shared).select(*others, "_found", "_html")
 
     def text(html: str | None, found: list[dict] | None) -> str:
         model = shared.value
@@ -433,7 +463,8 @@ def extract(pages: DataFrame, model: Model, html_col: str = "html") -> DataFrame
                 yield pa.RecordBatch.from_arrays([
                     *(c.slice(at, 256) for c in batch.columns[: len(keep)]), pa.array(texts, pa.string()),
                     pa.array([len(t) for t in texts], pa.int64()),
-                ], [*keep, "text", "n_chars"])
+                ], [*others, "text", "n_chars"])
 
-    fields = [f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep]
-    return map_arrow(rows, run, ", ".join([*fields, "text string", "n_chars long"]))
+    fields = [f"{o} {pages.schema[c].dataType.simpleString()}" for c, o in zip(keep, others)]
+    found = map_arrow(rows, run, ", ".join([*fields, "text string", "n_chars long"]))
+    return found.toDF(*keep, "text", "n_chars")
