@@ -1,0 +1,45 @@
+"""Scores near and beyond 64 bits: exact or an error, never wrapped."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.llm import topk
+
+SCHEMA = "vec_id long, embedding array<double>"
+
+
+def found(spark, rows, scale=1.0, k=3):
+    df = spark.createDataFrame(rows, SCHEMA)
+    return {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") == 0, k=k, scale=scale).collect()}
+
+
+def test_large_products_are_exact(spark):
+    big = 2.0**30
+    rows = [(0, [big, big, -1.0]), (1, [big, big, 0.0]), (2, [big, -big, 5.0]), (3, [big, big, 1.0])]
+    assert found(spark, rows) == {(0, 1): (1, 2**61), (0, 2): (3, 2**61 - 1), (0, 3): (2, -5)}
+
+
+@pytest.mark.parametrize("power", [55, 60, 70])
+def test_what_does_not_fit_fails(spark, power):
+    x = 2.0**power
+    with pytest.raises(Exception, match="64 bits"):
+        found(spark, [(0, [x] * 4), (1, [x] * 4)])
+
+
+def test_infinite_by_the_scale_is_no_missing_value(spark):
+    with pytest.raises(Exception, match="64 bits"):
+        found(spark, [(0, [1.0]), (1, [1e308])], scale=64.0)
+    rows = [(0, [1.0]), (1, [float("inf")]), (2, [None]), (3, None), (4, [2.0])]
+    assert found(spark, rows) == {(0, 1): (4, 2)}
+
+
+def test_wide_blocks_equal_plain_ones():
+    rng = np.random.default_rng(3)
+    q, v = rng.integers(-50, 50, (6, 5)), rng.integers(-50, 50, (40, 5))
+    q_ids, ids = np.arange(6), np.arange(40)
+    plain = list(topk.block_top_k(q_ids, q, ids, np.floor_divide(v, 4), v, 4, 7))
+    wide = list(topk._wide_top_k(q_ids, q, ids, v, 7))
+    assert [(i, a.tolist(), s.tolist()) for i, a, s in plain] == [(i, a.tolist(), s.tolist()) for i, a, s in wide]

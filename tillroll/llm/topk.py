@@ -12,10 +12,12 @@ best; the k best of those are the answer.
 Every query block meets every vector block once (an equi-join on the vector block number);
 blocks have fixed sizes, so memory does not grow with the table.
 
-Cases: vectors that are null or hold null, NaN or infinite components, or components whose
-integer does not fit 62 bits, and rows with a null id take no part; vectors of another
-length than the query are no candidates of it; repeated rows are candidates each; a query
-row's own id is never its candidate; fewer than k candidates give all.
+Cases: vectors that are null or hold null, NaN or infinite components, and rows with a null id
+take no part; a component or a score that does not fit 64 bits fails the job, it never wraps
+(products that may come near are made with Python's integers, without the approximations);
+vectors of another length than the query are no candidates of it; repeated rows are candidates
+each; a query row's own id is never its candidate; fewer than k candidates give all; of equal
+scores the smaller id comes first; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -42,15 +44,15 @@ def _integers(column: pa.Array, scale: float) -> tuple[np.ndarray, list[np.ndarr
     rows, out = [], []
     offsets, values = column.offsets.to_numpy(), column.values
     x = values.cast(pa.float64()).to_numpy(zero_copy_only=False)  # nulls become NaN
-    x = np.floor(scale * x)
-    good = np.isfinite(x) & (np.abs(x) < 2.0**62)
-    ok = column.is_valid().to_numpy(zero_copy_only=False)
-    for i in range(len(column)):
-        a, b = offsets[i], offsets[i + 1]
-        if ok[i] and good[a:b].all():
-            rows.append(i)
-            out.append(x[a:b].astype(np.int64))
-    return np.array(rows, np.int64), out
+    with np.errstate(over="ignore"):  # a finite component may grow infinite by the scale
+        scaled = np.floor(scale * x)
+    bad = np.concatenate(([0], np.cumsum(~np.isfinite(x))))
+    ok = column.is_valid().to_numpy(zero_copy_only=False) & (bad[offsets[1:]] == bad[offsets[:-1]])
+    rows = np.flatnonzero(ok)
+    out = [scaled[a:b] for a, b in zip(offsets[rows].tolist(), offsets[rows + 1].tolist())]
+    if any(len(v) and np.abs(v).max() >= 2.0**63 for v in out):
+        raise OverflowError("an embedding component does not fit 64 bits")
+    return rows, [v.astype(np.int64) for v in out]
 
 
 def _pack(df: DataFrame, scale: float, per_block: int, cell: int) -> DataFrame:
@@ -105,18 +107,41 @@ def _dot(q: np.ndarray, v: np.ndarray) -> np.ndarray:
     """Exact integer products (float64 BLAS while they fit, else int64)."""
     if not (q.size and v.size):
         return np.zeros((len(q), len(v)), np.int64)
-    top = float(np.abs(q).max()) * float(np.abs(v).max()) * q.shape[1]
-    if top < 2**53:
+    if _top(q, v) < 2**53:
         return (q.astype(np.float64) @ v.astype(np.float64).T).astype(np.int64)
     return q.astype(np.int64) @ v.astype(np.int64).T
 
 
+def _top(q: np.ndarray, v: np.ndarray) -> float:
+    """No product of these rows, nor a partial sum of one, is larger in size."""
+    if not (q.size and v.size):
+        return 0.0
+    return float(np.abs(q.astype(float)).max()) * float(np.abs(v.astype(float)).max()) * q.shape[1]
+
+
+def _wide_top_k(
+    q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, exact: np.ndarray, k: int
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """``block_top_k`` by exact integers of any size; an error if a score fits no long."""
+    scores = q.astype(object) @ exact.astype(object).T
+    for i in range(len(q)):
+        others = np.flatnonzero(ids != q_ids[i])
+        own = scores[i, others].tolist()
+        if any(not -(1 << 63) < s < 1 << 63 for s in own):
+            raise OverflowError("a score does not fit 64 bits")
+        if own:
+            yield i, *_best(ids[others], np.array(own, np.int64), k)
+
+
 def block_top_k(
     q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, cells: np.ndarray, exact: np.ndarray,
     cell: int, k: int,
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(query, ids, scores) of each query's k best in a block, by bounds then exact reads."""
     q = q.astype(np.int64)
+    if _top(q, exact) >= 2.0**62:
+        yield from _wide_top_k(q_ids, q, ids, exact, k)
+        return
     upper = _dot(q, cells) * cell + ((cell - 1) * np.maximum(q, 0).sum(1))[:, None]
     lowest = -np.iinfo(np.int64).max  # can be negated
     for i in range(len(q)):
