@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import chunks, map_arrow
+from tillroll.llm.common import chunks, map_arrow, maybe_broadcast
 from tillroll.llm.words import U64, _mix
 
 BUCKETS = 1 << 14
@@ -201,7 +201,8 @@ def fit(
     )
     draw = F.xxhash64("_text", "_lang")
     chosen = (
-        train.join(share, F.col("_lang") == F.col("_l"))
+        # the counted languages, a few rows: the texts are not shuffled for a draw
+        train.join(maybe_broadcast(share, len(sizes), 64), F.col("_lang") == F.col("_l"))
         .where(F.pmod(draw, F.lit(1 << 30)) < F.col("share") * (1 << 30))
         .withColumn("_draw", F.xxhash64(draw, F.lit(1)))
     )
