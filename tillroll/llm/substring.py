@@ -286,12 +286,13 @@ def remove_windows(
     sketch = build_sketch(texts, keys_of, size // BYTES_PER_RUN, parts)
     entries = _run_entries(texts, sketch, parts, window, gram)
     found = stored(_resolve(entries.repartition(parts, "bucket"), parts), "windows")
-    # joins on a number that is never null leave the texts as they are: one shuffle for both
+    # both joins take the same columns of the documents, by a number that is never null: they
+    # share one shuffle of the texts
+    others = [f"c{i}" for i in range(len(keep))]
     joined = docs.join(by_document(found.where("kind = 1"), parts), F.col("r") == F.col("owner"))
-    singles = _single_windows(joined.select("r", "t", "spans"), parts, window)
+    singles = _single_windows(joined.select("r", "t", "spans", *others), parts, window)
     compared = _resolve(singles.repartition(parts, "bucket"), parts)
     gone = by_document(found.union(compared).where("kind = 0"), parts)
-    others = [f"c{i}" for i in range(len(keep))]
     final = docs.join(gone, F.col("r") == F.col("owner"), "left").select(*others, "t", "spans")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

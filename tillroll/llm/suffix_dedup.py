@@ -401,12 +401,13 @@ def remove_repeats(
     sketch = build_sketch(texts, seeds_of, size // BYTES_PER_RUN, parts)
     entries = _entries(texts, length, seed, parts, sketch)
     found = stored(_resolve(entries.repartition(parts, "bucket"), parts), "runs")
-    # joins on a number that is never null leave the texts as they are: one shuffle for both
+    # both joins take the same columns of the documents, by a number that is never null: they
+    # share one shuffle of the texts
+    others, added_as = [f"c{i}" for i in range(len(keep))], [f"a{i}" for i in range(len(names))]
     joined = docs.join(_open_runs(found.where("kind = 1"), parts), F.col("r") == F.col("owner"))
-    spans = _spans(joined.select("r", "t", "seed", "start", "n"), length, parts)
+    spans = _spans(joined.select("r", "t", "seed", "start", "n", *others), length, parts)
     compared = _scan(spans.repartition(parts, "bucket"), length, batch_bytes, parts)
     gone = by_document(found.where("kind = 0").union(compared), parts)
-    others, added_as = [f"c{i}" for i in range(len(keep))], [f"a{i}" for i in range(len(names))]
     final = docs.join(gone, F.col("r") == F.col("owner"), "left").select(*others, "t", "spans")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
