@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
@@ -51,6 +53,27 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _release() -> None:
+    """Give the memory that a task has freed back to the system.  Python workers are kept for
+    later tasks, and their allocators would keep it too, beside that of other workers."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def _released(function: Callable) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            _release()
+
+    return run
+
+
 _shipped: set[str] = set()
 
 
@@ -68,7 +91,7 @@ def map_arrow(df: DataFrame, function: Callable, schema: str) -> DataFrame:
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
         sc.addPyFile(path)
         _shipped.add(sc.applicationId)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(_released(function), schema)
 
 
 def maybe_broadcast(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
