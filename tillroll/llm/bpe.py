@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_arrow
+from tillroll.llm.common import map_arrow, worker_cache
 
 MEMO_ENTRIES = 400_000  # about 80 MB
 _MASK = (1 << 64) - 1
@@ -207,7 +207,7 @@ def _parts(path: str) -> tuple[dict[bytes, int], PerfectHash]:
     return ranks, PerfectHash(list(ranks))
 
 
-_CODECS: dict[tuple, Codec] = {}
+_CODECS: dict[tuple, Codec] = worker_cache(__name__)
 
 
 def _codec(key: tuple, shared, pattern: str) -> Codec:

@@ -64,8 +64,21 @@ def _release() -> None:
         pass
 
 
+_CACHES: dict[str, dict] = {}
+
+
+def worker_cache(owner: str) -> dict:
+    """What a Python worker keeps across the tasks of the module ``owner``; it is emptied when
+    the worker gets a task of another one."""
+    return _CACHES.setdefault(owner, {})
+
+
 def _released(function: Callable) -> Callable:
+    owner = function.__module__
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for other in _CACHES.keys() - {owner}:
+            _CACHES[other].clear()
         try:
             yield from function(batches)
         finally:

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import chunks, map_arrow, stored
+from tillroll.llm.common import chunks, map_arrow, stored, worker_cache
 
 MEMO_PARTS = 250_000
 MEMO_BYTES = 96 << 20  # of aligned parts that are kept
@@ -230,7 +230,7 @@ class Aligner:
         return [[memo[p] for p in x] for x in cut]
 
 
-_ALIGNERS: dict[str, Aligner] = {}
+_ALIGNERS: dict[str, Aligner] = worker_cache(__name__)
 
 
 def _aligner(key: str, shared) -> Aligner:

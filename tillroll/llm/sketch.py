@@ -23,7 +23,7 @@ ROWS = 2
 BLOCK = 1 << 18  # cells that are added up at once
 MAX_CELLS = 1 << 28  # of a row: 32 MB of flags
 HOT = 10_000  # a key of more occurrences (estimated) is frequent
-KEYS = 1_600_000  # counted at once in a task
+KEYS = 800_000  # counted at once in a task
 
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 

@@ -51,7 +51,7 @@ from tillroll.llm.words import BYTE_HASH, U64, _mix, powers, prefix_hash, text_b
 
 LENGTH = 100
 SEED = 32
-PIECE = 1 << 20  # bytes worked on at once; longer texts are cut with an overlap
+PIECE = 1 << 19  # bytes worked on at once; longer texts are cut with an overlap
 BATCH_BYTES = 1 << 18  # of runs in a new index batch
 PARTITION_BYTES = 64 << 20  # text bytes per shuffle partition
 BYTES_PER_RUN = 35  # of text, about; sizes the sketch
