@@ -27,14 +27,15 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tillroll.functions.clean import US_STATES
 from tillroll.functions.money import as_double
-from tillroll.functions.periods import month_bounds, restrict
+from tillroll.functions.periods import PERIOD, month_bounds, month_key, restrict
 from tillroll.operators import address, distribution, maintained, quality, ranking, refunds
 from tillroll.operators import repeats, unsold
 from tillroll.plans import sql as S
 from tillroll.plans import text_sql
 from tillroll.session import scratch_dir
-from tillroll.sources import batches
+from tillroll.sources import batches, statistics
 from tillroll.sources import testdata as td
+from tillroll.sources.ingest import STATUS
 from tillroll.sources.schema import CUSTOMER_EXTENDED, SPECS
 from tillroll.sources.text import flatten_struct, parse
 
@@ -225,6 +226,22 @@ def q_net_sales_maintained(spark, d):
     return net.select(F.col("customer_id").cast("long"), as_double("net_cents").alias("net_total"))
 
 
+def q_net_sales_registered(spark, d):
+    """Sales and refunds by month in the catalog, with statistics: the month's folder is
+    chosen, and its ids may filter the refunds, while the query is planned."""
+    base = scratch_dir(spark, "registered")
+    prefix = f"{VIEW_PREFIX}{base.rsplit('-', 1)[1]}_"
+    for name, rows in (("sales", td.order_sales(spark, d)), ("refund", td.refunds(spark, d))):
+        missing = [f for f in SPECS[name].schema().fields if f.name not in rows.columns]
+        nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in missing]
+        months = rows.select("*", *nulls, F.lit("ok").alias(STATUS), month_key("timestamp").alias(PERIOD))
+        months.hint("rebalance", PERIOD).write.partitionBy(STATUS, PERIOD).parquet(f"{base}/{name}")
+    statistics.register(spark, base, table_prefix=prefix)
+    sales, back = (statistics.load_registered(spark, n, prefix) for n in ("sales", "refund"))
+    net = refunds.net_sales_per_customer(sales, back, YEAR, MONTH)
+    return net.select("customer_id", as_double("net_cents").alias("net_total"))
+
+
 def q_sales_distribution_maintained(spark, d):
     back = td.refunds(spark, d).withColumn("original_transaction_id", F.col("refund_id"))
     state = _maintained(spark, td.line_sales(spark, d), back)
@@ -399,6 +416,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "purchase_streaks": q_purchase_streaks,
     "purchase_streaks_sql": q_purchase_streaks_sql,
     "net_sales_maintained": q_net_sales_maintained,
+    "net_sales_registered": q_net_sales_registered,
     "sales_distribution_maintained": q_sales_distribution_maintained,
     **{f"parse_{name}_lines_sql": _parse_by_sql(name) for name in SPECS},
     "quarantined_lines_sql": q_quarantined_lines_sql,
@@ -810,6 +828,7 @@ ORDER BY total_amount DESC, product_name, product_type LIMIT {TOP}"""
         "purchase_streaks": _streaks(STREAK_GAP),
         "purchase_streaks_sql": _streaks(STREAK_GAP),
         "net_sales_maintained": per_customer,
+        "net_sales_registered": per_customer,
         "sales_distribution_maintained": _DISTRIBUTION,
         "clean_state_codes_from_table": _CLEAN_STATES,
     }

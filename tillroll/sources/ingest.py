@@ -113,9 +113,12 @@ def ingest(
 
 
 def load_bucketed(spark: SparkSession, name: str, table_prefix: str = "") -> DataFrame:
-    """Good rows of a table written by ``ingest(buckets=N)``, keeping its bucketing."""
+    """Good rows of a catalog table written by ``ingest(buckets=N)``, keeping its bucketing,
+    or registered by ``sources.statistics``, keeping ``_month``."""
+    table = spark.table(f"{table_prefix}{name}")
     cols = [f.name for f in SPECS[name].schema().fields]
-    return spark.table(f"{table_prefix}{name}").filter(F.col(STATUS) == "ok").select(*cols)
+    cols += [c for c in (PERIOD, STREET_KEY) if c in table.columns]
+    return table.filter(F.col(STATUS) == "ok").select(*cols)
 
 
 def load(spark: SparkSession, out_dir: str, name: str) -> DataFrame:
@@ -159,11 +162,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--by-month", action="store_true", help="partition timestamped tables by _month")
     ap.add_argument("--buckets", type=int, default=None, help="bucket sales/refund by transaction id")
     ap.add_argument("--table-prefix", default="", help="catalog name prefix for bucketed tables")
+    ap.add_argument(
+        "--register", action="store_true",
+        help="enter sales and refund in the catalog under the prefix, with statistics",
+    )
     ap.add_argument("--failfast", action="store_true", help="fail on the first bad line")
     ap.add_argument("--signed-money", action="store_true", help="keep '-5' / '(5)' negative")
     args = ap.parse_args(argv)
+    if args.register and args.buckets:
+        ap.error("--buckets enters its tables in the catalog itself")
 
     from tillroll.session import tune
+    from tillroll.sources.statistics import register
 
     spark = tune(SparkSession.builder.appName("tillroll-ingest").getOrCreate())
     written = ingest(
@@ -176,6 +186,8 @@ def main(argv: list[str] | None = None) -> None:
         by_month=args.by_month,
         signed_money=args.signed_money,
     )
+    if args.register:
+        register(spark, args.out_dir, table_prefix=args.table_prefix)
     for name, path in written.items():
         print(f"{name}: {path}")
 
