@@ -238,11 +238,55 @@ def test_tree_leaves_exactly_what_the_bound_leaves():
         jaccard.overlap_bound(points, i, j) >= jaccard.need(n[i], n[j])
     ) & (4 * np.minimum(n[i], n[j]) >= 3 * np.maximum(n[i], n[j]))
     want = set(zip(i[keep].tolist(), j[keep].tolist()))
-    tree = jaccard.CountTree(points, n, group)
+    tree = jaccard.CountTree(points, n, group, np.ones(500, bool), np.ones(500, bool))
     got = {(min(a, b), max(a, b)) for x, y in tree.self_join() for a, b in zip(x.tolist(), y.tolist())}
     assert want <= got
     assert {p for p in got if 4 * min(n[list(p)]) >= 3 * max(n[list(p)])} == want
 
+    lead, probe = rng.random(500) < 0.1, rng.random(500) < 0.7
+    some = jaccard.CountTree(points, n, group, lead, probe)
+    got_some = {(min(a, b), max(a, b)) for x, y in some.self_join() for a, b in zip(x.tolist(), y.tolist())}
+    assert got_some == {(a, b) for a, b in got if lead[a] and probe[b] or lead[b] and probe[a]}
+
+
+def test_partners_of_a_block_equal_the_bounds():
+    rng = np.random.default_rng(5)
+    key = np.sort(rng.integers(0, 60, 900))
+    n, doc = rng.integers(1, 60, 900).astype(np.int32), np.arange(900)
+    rank = (rng.random(900) * jaccard.probe_prefix(n)).astype(np.int32)
+    want = np.zeros(900, bool)
+    for i in range(900):
+        for j in range(900):
+            small, large = (i, j) if n[i] <= n[j] else (j, i)
+            if i != j and key[i] == key[j] and 4 * n[small] >= 3 * n[large]:
+                leads = rank[small] < jaccard.index_prefix(int(n[small]))
+                leads |= n[i] == n[j] and rank[large] < jaccard.index_prefix(int(n[large]))
+                want[i] |= leads
+    assert (jaccard._has_partner(key, n, rank) == want).all()
+
+
+def test_documents_of_one_template_leave_their_block():
+    """Shared shingles that stand in no index prefix leave no row of the block."""
+    rows = 20_000
+    key = np.zeros(rows, np.int64)
+    n, rank = np.full(rows, 40, np.int32), np.full(rows, 10, np.int32)
+    assert not jaccard._has_partner(key, n, rank).any()
+
+
+@pytest.mark.parametrize("rows, held", [(3, 4), (7, 65_536)])
+def test_links_by_cells_of_split_blocks(spark, monkeypatch, rows, held):
+    monkeypatch.setattr(jaccard, "LEAF", 2)
+    monkeypatch.setattr(jaccard, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(jaccard, "HELD_ROWS", held)
+    monkeypatch.setattr(jaccard, "FREQUENT", 0)
+    split, seen = jaccard._split, []
+    monkeypatch.setattr(jaccard, "_split", lambda df: seen.append(1) or split(df))
+    texts = near_copies(rows, groups=6)
+    frame = [f"c{i}" for i in range(40)]  # one template, some of its documents linked
+    texts += [(1000 + i, " ".join(frame[: 30 + i % 11] + [f"v{i % 9}", f"u{i % 5}"])) for i in range(60)]
+    assert joined(spark.createDataFrame(texts, SCHEMA).repartition(3)) == linked(texts)
+    assert seen
+
 
 def test_components_of_chains_rings_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100 + i, 100) for i in range(30)] + [(7, 7), (200, 201), (201, 200)]

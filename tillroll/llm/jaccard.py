@@ -21,6 +21,11 @@ bounds hold within it.
    form an R-tree (a block of up to ``LEAF`` documents is one leaf), whose self-join gives
    the pairs across components that the bounds leave; these are verified too.
    Before any verification, the fine points of a pair must leave enough overlap.
+   Of a pair, the smaller set must have the shared shingle in its (shorter) index prefix:
+   rows that no such row can meet leave their block first, and the tree visits no two nodes
+   without one.  A block of more than ``BLOCK_ROWS`` documents is split by hashes of the
+   documents into cells of its index rows and cells of all its rows; every cell of the
+   former meets every cell of the latter under a shuffle key of its own.
 4. The components of all links are found by star contraction.
 
 Verification compares the whole sets, one member's text at a time against its centre's;
@@ -49,6 +54,8 @@ SHINGLE = 5
 GROUPS = 256
 LEAF = 32
 FANOUT = 8
+BLOCK_ROWS = 8192  # documents of a block, or of a cell of one, that are joined in one task
+HELD_ROWS = 65_536  # of small blocks that are joined at once
 PARTITION_BYTES = 64 << 20  # text bytes per shuffle partition
 SAMPLE_BYTES = 64 << 20  # of texts that show which shingles are frequent
 FREQUENT = 64  # documents (estimated) with a frequent shingle
@@ -221,12 +228,13 @@ def _entries(docs: DataFrame, frequent: np.ndarray, buckets: int, k: int) -> Dat
 
 
 def possible(n1, r1, d1, n2, r2, d2) -> np.ndarray:
-    """Length, prefix and position bounds for two documents that share a shingle."""
+    """Length, prefix and position bounds for two documents that share a shingle.  Of sets of
+    one size, either may be the smaller (the order of ids differs between copies)."""
     swap = (n1 > n2) | ((n1 == n2) & (d1 > d2))
     ns, rs = np.where(swap, n2, n1).astype(np.int64), np.where(swap, r2, r1)
     nl, rl = np.where(swap, n1, n2).astype(np.int64), np.where(swap, r1, r2)
     return (
-        (4 * ns >= 3 * nl) & (rs < index_prefix(ns))
+        (4 * ns >= 3 * nl) & ((rs < index_prefix(ns)) | ((ns == nl) & (rl < index_prefix(nl))))
         & (np.minimum(ns - rs, nl - rl) >= need(ns, nl))
     )
 
@@ -246,11 +254,23 @@ def _block_ends(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(at + size, size), np.repeat(size, size)
 
 
+def _has_partner(key: np.ndarray, n: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Rows (sorted by key) with another of their block that length and prefix let them link
+    with: one of the two is an index row and not larger."""
+    n = n.astype(np.int64)
+    block = np.cumsum(np.diff(key, prepend=-1) != 0) << 32
+    index = rank < index_prefix(n)
+    rows, leads = np.sort(block | n), np.sort((block | n)[index])
+    smaller = np.searchsorted(leads, block | n, side="right") - np.searchsorted(leads, block | -(-3 * n // 4))
+    larger = np.searchsorted(rows, block | 4 * n // 3, side="right") - np.searchsorted(rows, block | n)
+    return (smaller > index) | (index & (larger > 1))
+
+
 def _in_possible_pairs(key, n, rank, doc) -> np.ndarray:
-    """Rows that some other of their block may link with by length and position (in larger
-    blocks, all rows)."""
+    """Rows that some other of their block may link with by length, prefix and (in blocks of
+    one leaf) position."""
     ends, size = _block_ends(key)
-    keep = size > LEAF
+    keep = (size > LEAF) & _has_partner(key, n, rank)
     for i, j in _small_pairs(key, ends, np.flatnonzero(size <= LEAF)):
         ok = possible(n[i], rank[i], doc[i], n[j], rank[j], doc[j])
         keep[i[ok]] = keep[j[ok]] = True
@@ -259,7 +279,7 @@ def _in_possible_pairs(key, n, rank, doc) -> np.ndarray:
 
 def _blocks(entries: DataFrame) -> DataFrame:
     """kind 0: star pairs (a, b); kind 1: the entries (key, a = doc, n, rank) of shared
-    shingles."""
+    shingles; kind 2: (key, a = entries) of blocks of more than ``BLOCK_ROWS``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[str, list] = {name: [] for name, _ in _ENTRY}
@@ -290,8 +310,11 @@ def _blocks(entries: DataFrame) -> DataFrame:
         zero = np.zeros(len(pairs), np.int64)
         keep = _in_possible_pairs(key, e["n"], e["rank"], e["doc"])
         key, e = key[keep], {name: v[keep] for name, v in e.items()}
+        ends, size = _block_ends(key)
+        large = np.unique(ends[size > BLOCK_ROWS]) - 1
         for kind, columns in ((0, (pairs[:, 0], pairs[:, 1], zero, zero, zero)),
-                              (1, (e["doc"], e["doc"], key, e["n"], e["rank"]))):
+                              (1, (e["doc"], e["doc"], key, e["n"], e["rank"])),
+                              (2, (size[large], size[large], key[large], e["n"][large], e["rank"][large]))):
             for i in range(0, len(columns[0]), 100_000):
                 a, b, k, n, r = (c[i : i + 100_000] for c in columns)
                 yield pa.RecordBatch.from_pydict({
@@ -308,22 +331,26 @@ def _blocks(entries: DataFrame) -> DataFrame:
 
 class CountTree:
     """An R-tree over count vectors, bulk loaded: points sorted by size, then by their
-    greatest coordinate, in leaves of ``LEAF`` and nodes of ``FANOUT``."""
+    greatest coordinate, in leaves of ``LEAF`` and nodes of ``FANOUT``.  A pair needs a
+    leading point and a probing one (either may be both)."""
 
-    def __init__(self, points: np.ndarray, n: np.ndarray, group: np.ndarray):
+    def __init__(self, points: np.ndarray, n: np.ndarray, group: np.ndarray, lead: np.ndarray, probe: np.ndarray):
         slab = np.argsort(np.argsort(n, kind="stable"), kind="stable") // (LEAF * FANOUT)
         self.order = np.lexsort((points.argmax(1), slab))
         self.points, self.n, self.group = points[self.order], n[self.order], group[self.order]
+        self.lead, self.probe = lead[self.order], probe[self.order]
         cuts = np.arange(0, len(n), LEAF)
         tops, least, most = self._bounds(self.points, self.n, self.n, cuts)
         low = np.minimum.reduceat(self.group, cuts)
         high = np.maximum.reduceat(self.group, cuts)
-        self.levels = [(tops, least, most, low, high)]
+        leads, probes = (np.logical_or.reduceat(x, cuts) for x in (self.lead, self.probe))
+        self.levels = [(tops, least, most, low, high, leads, probes)]
         while len(tops) > 1:
             cuts = np.arange(0, len(tops), FANOUT)
             tops, least, most = self._bounds(tops, least, most, cuts)
             low, high = np.minimum.reduceat(low, cuts), np.maximum.reduceat(high, cuts)
-            self.levels.append((tops, least, most, low, high))
+            leads, probes = (np.logical_or.reduceat(x, cuts) for x in (leads, probes))
+            self.levels.append((tops, least, most, low, high, leads, probes))
 
     @staticmethod
     def _bounds(points, least, most, cuts):
@@ -333,7 +360,9 @@ class CountTree:
         )
 
     def _may_join(self, level: int, a: int, b: int) -> bool:
-        tops, least, most, low, high = self.levels[level]
+        tops, least, most, low, high, leads, probes = self.levels[level]
+        if not (leads[a] and probes[b] or leads[b] and probes[a]):
+            return False
         if low[a] == high[a] == low[b] == high[b]:
             return False  # one component
         if 4 * most[a] < 3 * least[b] or 4 * most[b] < 3 * least[a]:
@@ -358,6 +387,8 @@ class CountTree:
             i, j = (x.ravel() for x in np.meshgrid(i, j, indexing="ij"))
             keep = (i < j) & (self.group[i] != self.group[j])
             i, j = i[keep], j[keep]
+            keep = (self.lead[i] & self.probe[j]) | (self.lead[j] & self.probe[i])
+            i, j = i[keep], j[keep]
             keep = overlap_bound(self.points, i, j) >= need(self.n[i], self.n[j])
             yield self.order[i[keep]], self.order[j[keep]]
 
@@ -370,31 +401,36 @@ def overlap_bound(points: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarra
     return out
 
 
-def _block_pairs(key, n, rank, doc, group, points) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions of the pairs across groups that all bounds leave; rows sorted by key."""
-    ends, size = _block_ends(key)
+def _block_pairs(block, n, rank, doc, group, lead, probe, points) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the pairs across groups that all bounds leave; rows sorted by block."""
+    ends, size = _block_ends(block)
 
     def checked(i, j):
         ok = possible(n[i], rank[i], doc[i], n[j], rank[j], doc[j]) & (doc[i] != doc[j])
         return i[ok], j[ok]
 
     # blocks of one leaf, all at once
-    for i, j in _small_pairs(key, ends, np.flatnonzero(size <= LEAF)):
-        keep = group[i] != group[j]
+    for i, j in _small_pairs(block, ends, np.flatnonzero(size <= LEAF)):
+        keep = (group[i] != group[j]) & ((lead[i] & probe[j]) | (lead[j] & probe[i]))
         i, j = checked(i[keep], j[keep])
         keep = overlap_bound(points, i, j) >= need(n[i], n[j])
         yield i[keep], j[keep]
     a = 0
-    while a < len(key):
+    while a < len(block):
         b = ends[a]
         if b - a > LEAF:
-            for i, j in CountTree(points[a:b], n[a:b], group[a:b]).self_join():
+            part = slice(a, b)
+            for i, j in CountTree(points[part], n[part], group[part], lead[part], probe[part]).self_join():
                 yield checked(i + a, j + a)
         a = b
 
 
+_ROLES = "key long, cell long, doc long, n int, rank int, component long, lead boolean, probe boolean"
+
+
 def _mixed(labelled: DataFrame) -> DataFrame:
-    """The entries (one per document and block) of blocks with several components."""
+    """The entries (one per document and block) of blocks with several components; any row of
+    a whole block (cell 0) probes, and those of the index prefix lead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("key", "doc", "n", "rank", "component")
@@ -413,42 +449,72 @@ def _mixed(labelled: DataFrame) -> DataFrame:
         ends, size = _block_ends(e["key"])
         at = np.unique(ends - size)
         several = np.minimum.reduceat(e["component"], at) < np.maximum.reduceat(e["component"], at)
-        keep = np.repeat(several, size[at])
-        for i in range(0, int(keep.sum()), 100_000):
-            yield pa.RecordBatch.from_pydict({c: pa.array(e[c][keep][i : i + 100_000]) for c in names})
-
-    return map_arrow(
-        labelled.select("key", "doc", "n", "rank", "component"), run,
-        "key long, doc long, n int, rank int, component long",
-    )
+        keep = np.repeat(several, size[at]) & _has_partner(e["key"], e["n"], e["rank"])
+        e = {c: v[keep] for c, v in e.items()}
+        e["lead"] = e["rank"] < index_prefix(e["n"].astype(np.int64))
+        e["probe"], e["cell"] = np.ones(len(e["key"]), bool), np.zeros(len(e["key"]), np.int64)
+        for i in range(0, len(e["key"]), 100_000):
+            yield pa.RecordBatch.from_pydict({
+                c: pa.array(e[c][i : i + 100_000])
+                for c in ("key", "cell", "doc", "n", "rank", "component", "lead", "probe")
+            })
+
+    return map_arrow(labelled.select("key", "doc", "n", "rank", "component"), run, _ROLES)
+
+
+def _split(labelled: DataFrame) -> DataFrame:
+    """The entries of large blocks with several components, by cells: the index rows of one
+    (leading) with any rows of another (probing).  Rows of a key are only counted before they
+    are spread, so no task gets a whole block."""
+    lead = F.col("rank") < F.col("n") + F.floor(-6 * F.col("n") / 7) + 1
+    rows = labelled.select("key", "doc", "n", "rank", "component").distinct().withColumn("lead", lead)
+    sizes = rows.groupBy("key").agg(
+        F.count("*").alias("rows"), F.count_if("lead").alias("leads"),
+        F.min("component").alias("low"), F.max("component").alias("high"),
+    ).where("low < high AND leads > 0")
+
+    def cells(size: str):
+        return F.ceil(F.col(size) / BLOCK_ROWS)
+
+    sizes = stored(sizes.select("key", cells("leads").alias("across"), cells("rows").alias("down")), "cells")
+    rows = rows.join(maybe_broadcast(sizes, sizes.count(), 24), "key")
+
+    def own(size: str):
+        return F.pmod(F.xxhash64("doc"), F.col(size))
+
+    def spread(size: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(size) - 1)).alias("other")
+
+    leading = rows.where("lead").select("*", spread("down")).withColumn(
+        "cell", own("across") * F.col("down") + F.col("other")
+    ).withColumn("probe", F.lit(False))
+    probing = rows.select("*", spread("across")).withColumn(
+        "cell", F.col("other") * F.col("down") + own("down")
+    ).withColumn("probe", F.lit(True)).withColumn("lead", F.lit(False))
+    names = ("key", "cell", "doc", "n", "rank", "component", "lead", "probe")
+    return leading.select(*names).union(probing.select(*names))
 
 
 def _cross_pairs(mixed: DataFrame) -> DataFrame:
-    """(a, b): pairs across components from the trees of blocks."""
+    """(a, b): pairs across components from the trees of blocks; rows sorted by key and cell."""
+    names = ("key", "cell", "n", "rank", "doc", "component", "lead", "probe")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns: dict[str, list] = {c: [] for c in ("key", "n", "rank", "doc", "component")}
-        points = []
-        for batch in batches:
-            for c, held in columns.items():
-                held.append(batch.column(c).to_numpy(zero_copy_only=False))
-            points += batch.column("coarse").to_pylist()
-        if not points:
-            return
-        key, n, rank, doc, group = (np.concatenate(v).astype(np.int64) for v in columns.values())
-        point = np.stack([unpacked_point(x).astype(np.uint32) for x in points])
-        del points
-        order = np.lexsort((doc, key))
-        key, n, rank, doc, group, point = (x[order] for x in (key, n, rank, doc, group, point))
+    def join_rows(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        key, cell, n, rank, doc, group, lead, probe = (
+            rows.column(c).to_numpy() for c in names
+        )
+        points = np.stack([unpacked_point(x.as_py()).astype(np.uint32) for x in rows.column("coarse")])
+        block = np.cumsum((np.diff(key, prepend=-1) != 0) | (np.diff(cell, prepend=-1) != 0))
+        n, rank = n.astype(np.int64), rank.astype(np.int64)
         held: list[np.ndarray] = []
+        total = 0
 
         def pairs():
             out = np.unique(np.concatenate(held), axis=0)
             held.clear()
             return pa.RecordBatch.from_pydict({"a": pa.array(out[:, 0]), "b": pa.array(out[:, 1])})
 
-        total = 0
-        for i, j in _block_pairs(key, n, rank, doc, group, point):
+        for i, j in _block_pairs(block, n, rank, doc, group, lead, probe, points):
             if len(i):
                 held.append(np.stack((np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])), axis=1))
                 total += len(i)
@@ -458,7 +524,26 @@ def _cross_pairs(mixed: DataFrame) -> DataFrame:
         if held:
             yield pairs()
 
-    return map_arrow(mixed, run, "a long, b long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size < HELD_ROWS:
+                continue
+            rows = pa.Table.from_batches(held)
+            key, cell = (rows.column(c).to_numpy() for c in ("key", "cell"))
+            # all but the last block, which may go on
+            cut = int(np.argmax((key == key[-1]) & (cell == cell[-1])))
+            if cut:
+                yield from join_rows(rows.slice(0, cut))
+            held = rows.slice(cut).to_batches()
+            size = len(rows) - cut
+        if size:
+            yield from join_rows(pa.Table.from_batches(held))
+
+    return map_arrow(mixed.select(*names, "coarse"), run, "a long, b long")
 
 
 # --------------------------------------------------------------------- verification
@@ -566,10 +651,19 @@ def _labels(docs: DataFrame, size: int, k: int) -> DataFrame:
         .select("key", F.coalesce("first", "doc").alias("doc"), "n", "rank",
                 F.coalesce("component", "doc").alias("component"))
     )
-    mixed = stored(_mixed(live.repartition(parts, "key")), "mixed")
+    large = blocks.where("kind = 2").select("key")
+    n_large = large.count()
+    whole = live
+    if n_large:
+        large = maybe_broadcast(large, n_large, 8)
+        whole = live.join(large, "key", "left_anti")
+    mixed = _mixed(whole.repartition(parts, "key"))
+    if n_large:
+        mixed = mixed.union(_split(live.join(large, "key", "left_semi")))
+    mixed = stored(mixed, "mixed")
     points = summary.where("n > 0").select("doc", "coarse")
-    across = _cross_pairs(mixed.join(points, "doc").repartition(parts, "key"))
-    across = stored(across.distinct(), "across")
+    across = mixed.join(points, "doc").repartition(parts, "key", "cell").sortWithinPartitions("key", "cell")
+    across = stored(_cross_pairs(across).distinct(), "across")
     more = _verify(across, docs, summary, parts, k)
     labels = components(links.union(more))
 
