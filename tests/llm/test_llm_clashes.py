@@ -1,0 +1,66 @@
+"""Further columns whose names the operators use inside or add."""
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from tillroll.llm import bpe, decontaminate, jaccard, langid, licenses, warc
+from tillroll.llm.common import clash_proof
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+ROWS = [(i, f"some words of text number {i % 3} in a row") for i in range(6)] + [(6, None), (7, "")]
+NAMES = ["_text", "_row", "_first_row", "_id", "_d", "_fd", "_first", "_n", "_dir", "_path", "_own",
+         "_score", "_above", "_from", "doc", "n", "key", "label", "component", "Dotted.name"]
+
+
+def with_clashes(df):
+    return df.select("*", *(F.lit(f"v{i}").alias(c) for i, c in enumerate(NAMES)))
+
+
+def values(row):
+    return [row[c] for c in NAMES]
+
+
+def operators(spark):
+    benchmark = spark.createDataFrame([(1, "text number 1 in a")], "item_id long, text string")
+    trained = spark.createDataFrame(
+        [(i, f"a b c {'the' if i % 2 else 'der'} {i}", "en" if i % 2 else "de") for i in range(40)],
+        "doc_id long, text string, lang string",
+    )
+    return {
+        "bpe": lambda df: bpe.encode(df, RANKS, public_tokenizers.PATTERN, digests=True),
+        "langid": lambda df: langid.predict(df, langid.fit(trained)),
+        "jaccard": jaccard.representatives,
+        "decontaminate": lambda df: decontaminate.find_contamination(df, benchmark),
+        "warc": lambda df: warc.mark_revisits(df, "doc_id", "text"),
+        "licenses": lambda df: licenses.scan(
+            df.withColumn("path", F.concat(F.lit("a/"), F.col("doc_id").cast("string"))),
+            licenses.templates(spark),
+        ),
+    }
+
+
+@pytest.mark.parametrize("name", ["bpe", "langid", "jaccard", "decontaminate", "warc", "licenses"])
+def test_further_columns_of_internal_names(spark, name):
+    df = spark.createDataFrame(ROWS, "doc_id long, text string")
+    operator = operators(spark)[name]
+    plain = {r.doc_id: r.asDict() for r in operator(df).collect()}
+    got = operator(with_clashes(df)).collect()
+    assert {r.doc_id for r in got} == set(plain) and len(got) == len(plain)
+    for row in got:
+        assert values(row) == [f"v{i}" for i in range(len(NAMES))]
+        assert {k: row[k] for k in plain[row.doc_id]} == plain[row.doc_id]
+
+
+def test_added_columns_replace_those_of_their_names(spark):
+    df = spark.createDataFrame([(1, "x", "old", 5)], "doc_id long, text string, SCORE string, n long")
+    out = langid.predict.__wrapped__  # the operator itself keeps its signature
+    assert out.__name__ == "predict"
+
+    @clash_proof("text_col")
+    def scored(rows, text_col="text"):
+        assert "n" not in rows.columns and "SCORE" not in rows.columns
+        return rows.withColumn("score", F.lit(0.5)).drop(text_col)
+
+    assert scored(df).collect() == [(1, 5, 0.5)]
+    assert scored(df).columns == ["doc_id", "n", "score"]

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_arrow, worker_cache
+from tillroll.llm.common import clash_proof, map_arrow, worker_cache
 
 MEMO_ENTRIES = 400_000  # about 80 MB
 _MASK = (1 << 64) - 1
@@ -219,6 +219,7 @@ def _codec(key: tuple, shared, pattern: str) -> Codec:
     return _CODECS[key]
 
 
+@clash_proof("text_col")
 def encode(
     df: DataFrame, path: str, pattern: str, text_col: str = "text",
     ids: bool = True, digests: bool = False,
@@ -262,6 +263,7 @@ def encode(
     return map_arrow(rows, run, ", ".join(fields + [f"{n} {t}" for n, t, _ in added]))
 
 
+@clash_proof("ids_col")
 def decode(df: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
     """``df`` plus ``decoded`` (binary): the bytes of ``ids_col``; null ids give null."""
     spark: SparkSession = df.sparkSession

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import gc
+import inspect
 import os
 import tempfile
 import uuid
@@ -113,6 +115,36 @@ def maybe_broadcast(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def clash_proof(*columns: str, reads: tuple[str, ...] = ()):
+    """Decorator of an operator whose first argument is a DataFrame of which further columns
+    pass through: these have other names inside, so that none clashes with a name the operator
+    uses, and their own names again in the result.  ``columns`` are the arguments that name the
+    columns it reads, ``reads`` the columns of fixed name.  A further column of the name of an
+    added one is replaced by it (names compare without case)."""
+
+    def wrap(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+        signature = inspect.signature(operator)
+
+        @functools.wraps(operator)
+        def run(df: DataFrame, *args, **kwargs) -> DataFrame:
+            bound = signature.bind(df, *args, **kwargs)
+            bound.apply_defaults()
+            own = {bound.arguments[c].lower() for c in columns} | {c.lower() for c in reads}
+            inner = {c: c if c.lower() in own else f"further column {i}" for i, c in enumerate(df.columns)}
+            held = df.select(*(F.col(f"`{c}`").alias(name) for c, name in inner.items()))
+            out = operator(held, *args, **kwargs)
+            outer = {name: c for c, name in inner.items()}
+            added = {c.lower() for c in out.columns if c not in outer}
+            return out.select(*(
+                F.col(f"`{c}`").alias(outer.get(c, c)) for c in out.columns
+                if c not in outer or outer[c].lower() not in added
+            ))
+
+        return run
+
+    return wrap
+
+
 def keyed(docs: DataFrame, id_col: str) -> tuple[DataFrame, int, int]:
     """``docs`` (id and ``_text``) with ``_row``, unique numbers in the order of (id, nulls
     last, text), which are the ids themselves if those are unique; rows; text bytes."""

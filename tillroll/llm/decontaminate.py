@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import BROADCAST_BYTES, chunks, map_arrow, stored
+from tillroll.llm.common import BROADCAST_BYTES, chunks, clash_proof, map_arrow, stored
 from tillroll.llm.words import ALPHANUMERIC, U64, Words, find_words
 
 WINDOW = 10
@@ -214,6 +214,7 @@ def _runs(mask: np.ndarray) -> list[dict]:
     return [{"first": int(a), "last": int(b) - 1} for a, b in zip(edges[::2], edges[1::2])]
 
 
+@clash_proof("text_col")
 def find_contamination(
     docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", window: int = WINDOW, shingle: int = SHINGLE,

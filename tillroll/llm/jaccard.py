@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import chunks, keyed, map_arrow, maybe_broadcast, stored
+from tillroll.llm.common import chunks, clash_proof, keyed, map_arrow, maybe_broadcast, stored
 from tillroll.llm.components import components
 from tillroll.llm.words import ASCII_SPACE, U64, Words, _mix, find_words
 
@@ -688,6 +688,7 @@ def join(
     return found.join(ids, "doc").join(names, "label").select(id_col, "n_shingles", "component")
 
 
+@clash_proof("id_col", "text_col")
 def representatives(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE
 ) -> DataFrame:

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import chunks, map_arrow, maybe_broadcast
+from tillroll.llm.common import chunks, clash_proof, map_arrow, maybe_broadcast
 from tillroll.llm.words import U64, _mix
 
 BUCKETS = 1 << 14
@@ -243,6 +243,7 @@ def fit(
     return model
 
 
+@clash_proof("text_col")
 def predict(
     docs: DataFrame, model: Model, text_col: str = "text", keep_text: bool = True
 ) -> DataFrame:

@@ -33,7 +33,7 @@ from importlib import resources
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import stored
+from tillroll.llm.common import clash_proof, stored
 
 THRESHOLD = 0.6
 HEADER = r"(?i)licen[sc]|copyright|spdx"
@@ -277,6 +277,7 @@ def directory_licenses(files: DataFrame, own: DataFrame) -> DataFrame:
     )
 
 
+@clash_proof(reads=("path", "text"))
 def scan(files: DataFrame, known: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``files`` (path, text, more columns) without the text plus license_id, score, origin
     ('own', 'inherited' or null) and license_path (the file the licence was read from)."""

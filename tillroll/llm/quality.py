@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import chunks, map_arrow, stored
+from tillroll.llm.common import chunks, clash_proof, map_arrow, stored
 from tillroll.llm.words import (
     ASCII_SPACE, BYTE_HASH, INVERSE, U64, find_words, powers, prefix_hash, text_bytes,
 )
@@ -105,6 +105,7 @@ def statistics(column: pa.Array) -> np.ndarray:
     return out
 
 
+@clash_proof("text_col")
 def features(df: DataFrame, text_col: str = "text") -> DataFrame:
     """``df`` without its text plus ``features`` (array<double>)."""
     keep = [c for c in df.columns if c not in (text_col, "features")]

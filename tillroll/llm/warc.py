@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import map_arrow
+from tillroll.llm.common import clash_proof, map_arrow
 
 DATA_MEMBER = "archive/data.warc.gz"
 INDEX_MEMBER = "indexes/index.cdxj"
@@ -243,6 +243,7 @@ def decode_record(data: bytes) -> dict:
 # ------------------------------------------------------------------------ operators
 
 
+@clash_proof("id_col", "payload_col")
 def mark_revisits(
     df: DataFrame, id_col: str, payload_col: str, min_bytes: int = MIN_REVISIT_BYTES
 ) -> DataFrame:
