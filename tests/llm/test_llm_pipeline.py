@@ -118,7 +118,7 @@ def test_document_queries_equal_brute_force(spark):
 
 def test_registered_names():
     names = list(driver.queries())
-    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in names and set(driver.oracle_sql()) <= set(names)
 
 
