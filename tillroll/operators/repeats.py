@@ -40,6 +40,8 @@ def consecutive_purchases(sales: DataFrame, min_days: int = 2, gap_days: int = 1
     before the shuffle, so a window partition holds a row per day, at most the days of the
     calendar, whatever the number of sales of a hot customer and product.  Several sales on
     a day are one day of a streak.  Rows without customer, product or timestamp have none.
+    A streak is the difference of two running counts, at its last day and before its first: a
+    task holds its days sorted once, and no table of streaks beside them.
     """
     if min_days < 1 or gap_days < 1:
         raise ValueError("min_days and gap_days must be 1 or more")
@@ -50,17 +52,22 @@ def consecutive_purchases(sales: DataFrame, min_days: int = 2, gap_days: int = 1
         .agg(F.count(F.lit(1)).alias("n"))
     )
     own = Window.partitionBy("customer_id", "product_id").orderBy("sale_day")
-    gap = F.datediff("sale_day", F.lag("sale_day").over(own))
-    starts = days.withColumn("is_start", F.when(gap <= gap_days, 0).otherwise(1))
-    islands = starts.withColumn(
-        "island", F.sum("is_start").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    so_far = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    since = F.datediff("sale_day", F.lag("sale_day").over(own))
+    until = F.datediff(F.lead("sale_day").over(own), "sale_day")
+    ends = days.select(
+        "*", F.coalesce(since > gap_days, F.lit(True)).alias("is_start"),
+        F.coalesce(until > gap_days, F.lit(True)).alias("is_last"),
+        F.row_number().over(own).cast("long").alias("day"), F.sum("n").over(so_far).alias("bought"),
     )
+    first = F.struct("sale_day", (F.col("day") - 1).alias("day"), (F.col("bought") - F.col("n")).alias("bought"))
+    start = F.last(F.when(F.col("is_start"), first), ignorenulls=True).over(so_far)
     return (
-        islands.groupBy("customer_id", "product_id", "island")
-        .agg(
-            F.min("sale_day").alias("first_day"), F.max("sale_day").alias("last_day"),
-            F.count(F.lit(1)).alias("n_days"), F.sum("n").alias("n_purchases"),
+        ends.withColumn("start", start).filter("is_last")
+        .select(
+            "customer_id", "product_id", F.col("start.sale_day").alias("first_day"),
+            F.col("sale_day").alias("last_day"), (F.col("day") - F.col("start.day")).alias("n_days"),
+            (F.col("bought") - F.col("start.bought")).alias("n_purchases"),
         )
         .filter(F.col("n_days") >= min_days)
-        .drop("island")
     )
