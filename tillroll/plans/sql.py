@@ -185,18 +185,21 @@ def consecutive_purchases(
           FROM {p}sales
           WHERE customer_id IS NOT NULL AND product_id IS NOT NULL AND timestamp IS NOT NULL
           GROUP BY customer_id, product_id, to_date(timestamp)),
-        starts AS (
-          SELECT *, CASE WHEN datediff(sale_day, lag(sale_day) OVER w) <= :gap_days
-                         THEN 0 ELSE 1 END AS is_start
+        ends AS (
+          SELECT *, coalesce(datediff(sale_day, lag(sale_day) OVER w) > :gap_days, true) AS is_start,
+                 coalesce(datediff(lead(sale_day) OVER w, sale_day) > :gap_days, true) AS is_last,
+                 CAST(row_number() OVER w AS BIGINT) AS day,
+                 sum(n) OVER (PARTITION BY customer_id, product_id ORDER BY sale_day
+                              ROWS UNBOUNDED PRECEDING) AS bought
           FROM days WINDOW w AS (PARTITION BY customer_id, product_id ORDER BY sale_day)),
-        islands AS (
-          SELECT *, sum(is_start) OVER (
-                   PARTITION BY customer_id, product_id ORDER BY sale_day
-                   ROWS UNBOUNDED PRECEDING) AS island
-          FROM starts)
-        SELECT customer_id, product_id, min(sale_day) AS first_day, max(sale_day) AS last_day,
-               count(*) AS n_days, sum(n) AS n_purchases
-        FROM islands GROUP BY customer_id, product_id, island HAVING n_days >= :min_days
+        started AS (
+          SELECT *, last(CASE WHEN is_start THEN struct(sale_day, day - 1 AS day, bought - n AS bought) END, true)
+                      OVER (PARTITION BY customer_id, product_id ORDER BY sale_day
+                            ROWS UNBOUNDED PRECEDING) AS start
+          FROM ends)
+        SELECT customer_id, product_id, start.sale_day AS first_day, sale_day AS last_day,
+               day - start.day AS n_days, bought - start.bought AS n_purchases
+        FROM started WHERE is_last AND day - start.day >= :min_days
         """,
         args={"min_days": min_days, "gap_days": gap_days},
     )
