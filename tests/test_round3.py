@@ -59,3 +59,13 @@ def test_streaks_hold_no_table_of_streaks(spark):
     for got in both(spark, sales_of(spark, [("c", "p", day(0)), ("c", "p", day(1))]), 2, 1):
         plan = plan_text(got, "simple")
         assert plan.count("HashAggregate") == 2 and "Window" in plan
+
+
+@pytest.mark.parametrize("name", ["customer_lines", "customer_extended_lines", "product_lines"])
+def test_lines_of_a_large_table_are_dealt_over_tasks(spark, monkeypatch, name):
+    lines = getattr(td, name)
+    whole = sorted(r.value for r in lines(spark, E.SMOKE_DIR).collect())
+    monkeypatch.setattr(td, "LINES_PER_TASK", 20)
+    dealt = lines(spark, E.SMOKE_DIR)
+    assert dealt.rdd.getNumPartitions() >= len(whole) // 20
+    assert sorted(r.value for r in dealt.collect()) == whole

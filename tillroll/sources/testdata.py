@@ -138,7 +138,10 @@ def customers_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
     and one in five facebook ids is a bare ``@facebook.com``: the dirty shapes the
     cleaning steps exist for.
     """
-    c = table(spark, sf_dir, "customer")
+    return _extended(spark, sf_dir, table(spark, sf_dir, "customer"))
+
+
+def _extended(spark: SparkSession, sf_dir: str, c: DataFrame) -> DataFrame:
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     # nation and region are tiny: Spark's own size check broadcasts them (no hint, so a
@@ -223,6 +226,14 @@ def customers_extended(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REFUND_TAILS = 20
+# a row group of a dimension table becomes many times its size as text: rows of one task
+LINES_PER_TASK = 250_000
+
+
+def _dealt(rows: DataFrame, n: int) -> DataFrame:
+    """``rows`` (narrow still) over as many tasks as ``n`` lines ask for; few stay as they lie."""
+    parts = -(-n // LINES_PER_TASK)
+    return rows.repartition(parts) if parts > 1 else rows
 
 
 def money_text(amount: str, style: Column) -> Column:
@@ -309,6 +320,8 @@ def refund_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
+    narrow = p.select("p_partkey", "p_name", "p_type", "p_brand", "p_size", "p_retailprice")
+    p = _dealt(narrow, p.count())
     style = F.when(F.col("p_size") < 10, 0).when(F.col("p_size") < 30, 1).otherwise(2)
     return p.select(
         _pipe(
@@ -324,13 +337,16 @@ def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as text; every tenth has a blank first name."""
     c = customers(spark, sf_dir)
+    c = _dealt(c, c.count())
     blank = F.when(F.col("customer_id") % 10 == 0, "").otherwise(F.col("customer_first_name"))
     c = c.withColumn("customer_first_name", blank)
     return c.select(_pipe(*[F.col(n) for n in c.columns]).alias("value"))
 
 
 def customer_extended_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ce = customers_extended(spark, sf_dir)
+    c = table(spark, sf_dir, "customer")
+    narrow = c.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    ce = _extended(spark, sf_dir, _dealt(narrow, c.count()))
     cols: list[Column] = []
     for f in ce.schema.fields:
         if isinstance(f.dataType, T.StructType):
