@@ -69,3 +69,32 @@ def test_lines_of_a_large_table_are_dealt_over_tasks(spark, monkeypatch, name):
     dealt = lines(spark, E.SMOKE_DIR)
     assert dealt.rdd.getNumPartitions() >= len(whole) // 20
     assert sorted(r.value for r in dealt.collect()) == whole
+
+
+def test_update_shuffles_each_sale_and_refund_once_for_a_join(spark, scratch, monkeypatch):
+    """Batches of sales and refunds, early and late: the totals are right, and no plan of an
+    update shuffles refunds again between their sums and the join."""
+    sales = spark.createDataFrame(
+        [(1, "c", "p", day(0), 10.0, "a"), (2, "c", "p", day(1), 20.0, "b"), (3, "d", "q", day(400), 5.0, "b"),
+         (None, "c", "p", day(0), 1.0, "a")], SALES + ", _batch string")
+    back = spark.createDataFrame(
+        [(1, day(2), 1.0, "a"), (1, day(2), 2.0, "b"), (2, day(3), 4.0, "a"), (2, day(-9), 0.5, "b"),
+         (3, day(401), 5.0, "b"), (None, day(0), 7.0, "a"), (9, day(0), 7.0, "a")], BACK + ", _batch string")
+    joins = []
+    real = maintained.month_key
+    union = type(sales).union
+
+    def seen(self, other):
+        joins.append(plan_text(self, "simple"))
+        joins.append(plan_text(other, "simple"))
+        return union(self, other)
+
+    monkeypatch.setattr(type(sales), "union", seen)
+    for key in "ab":
+        maintained.update_totals(scratch, key, sales.filter(sales._batch <= key), back.filter(back._batch <= key))
+    monkeypatch.undo()
+    assert real is maintained.month_key
+    assert joins and all(p.count("Exchange hashpartitioning") + p.count("BroadcastExchange") <= 2 for p in joins)
+    got = {(r.customer_id, m): float(r.net_cents) / 100 for m, year, month in ((1, 2013, 1), (2, 2014, 2))
+           for r in maintained.maintained_net_per_customer(spark, scratch, year, month).collect()}
+    assert got == {("c", 1): 31.0 - 1 - 2 - 4, ("d", 2): 0.0}

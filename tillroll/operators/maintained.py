@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.money import TOTAL, as_double, sum_cents, total
+from tillroll.functions.money import as_double, sum_cents, total
 from tillroll.functions.periods import month_key
 from tillroll.operators.refunds import SAME_YEAR
 from tillroll.session import matching_paths, remove_path
@@ -50,39 +50,47 @@ def update_totals(state_dir: str, batch: str, sales: DataFrame, refunds: DataFra
     spark, base, key = sales.sparkSession, state_dir.rstrip("/"), _key(batch)
     own_sales = sales.filter(F.col(BATCH) == key)
     gross = (
-        own_sales.groupBy(month_key("timestamp").alias("month"), _text("customer_id"), _text("product_id"))
+        own_sales.groupBy(month_key("timestamp").alias("month"), "customer_id", "product_id")
         .agg(total("total_amount").alias("gross"), F.count(F.lit(1)).alias("n_sales"))
+        .select("month", _text("customer_id"), _text("product_id"), "gross", "n_sales")
     )
     remove_path(spark, f"{base}/gross/{BATCH}={key}")
     write_batch(gross, f"{base}/gross", key)
 
+    # ids become text only after the shuffles, and of the time only month and year are joined
     slim = sales.select(
-        F.col("transaction_id").alias("original_transaction_id"), _text("customer_id"),
-        F.col("timestamp").alias("sold"), F.col(BATCH).alias(SALE_BATCH),
+        F.col("transaction_id").alias("original_transaction_id"), "customer_id",
+        month_key("timestamp").alias("month"), F.year("timestamp").alias("sold"),
+        F.col(BATCH).alias(SALE_BATCH),
     )
-    own = slim.filter(F.col(SALE_BATCH) == key)
-    # one row per transaction, year and batch before the join
-    per_sale = (
-        refunds.groupBy("original_transaction_id", F.year("timestamp").alias("year"), F.col(BATCH).alias(REFUND_BATCH))
-        .agg(total("refund_amount").alias("cents"))
+    own = F.col(SALE_BATCH) == key
+    back = refunds.select(
+        "original_transaction_id", F.year("timestamp").alias("year"), "refund_amount",
+        F.col(BATCH).alias(REFUND_BATCH),
     )
-    mine = per_sale.filter(F.col(REFUND_BATCH) == key).join(slim, "original_transaction_id")
-    earlier = per_sale.filter(F.col(REFUND_BATCH) != key).join(own, "original_transaction_id")
-    columns = ["sold", "customer_id", "year", "cents", REFUND_BATCH, SALE_BATCH]
+    # the batch's sales meet all refunds, the other sales its own refunds: no sale is shuffled
+    # twice, and sums are taken after the join, where a refund has been shuffled once
+    with_own = back.filter(F.col(REFUND_BATCH).isNotNull()).join(slim.filter(own), "original_transaction_id")
+    with_others = back.filter(F.col(REFUND_BATCH) == key).join(
+        slim.filter(~F.coalesce(own, F.lit(False))), "original_transaction_id"
+    )
+    columns = ["month", "sold", "customer_id", "year", "refund_amount", REFUND_BATCH, SALE_BATCH]
     paired = (
-        mine.select(*columns).union(earlier.select(*columns))
-        .groupBy(month_key("sold").alias("month"), "customer_id", REFUND_BATCH, SALE_BATCH)
+        with_own.select(*columns).union(with_others.select(*columns))
+        .groupBy("month", "customer_id", REFUND_BATCH, SALE_BATCH)
         .agg(
-            sum_cents("cents").alias("refunded"),
-            sum_cents(F.when(F.col("year") >= F.year("sold"), F.col("cents")).otherwise(F.lit(0).cast(TOTAL)))
+            total("refund_amount").alias("refunded"),
+            total(F.when(F.col("year") >= F.col("sold"), F.col("refund_amount")).otherwise(F.lit(0.0)))
             .alias("refunded_since"),
         )
+        .select("month", _text("customer_id"), "refunded", "refunded_since", REFUND_BATCH, SALE_BATCH)
     )
     folders = [f"{base}/refunds/{REFUND_BATCH}={key}"]
     folders += matching_paths(spark, f"{base}/refunds/{REFUND_BATCH}=*/{SALE_BATCH}={key}")
     for folder in folders:
         remove_path(spark, folder)
-    paired.write.mode("append").partitionBy(REFUND_BATCH, SALE_BATCH).parquet(f"{base}/refunds")
+    writer = paired.write.mode("append").option("compression", "zstd")
+    writer.partitionBy(REFUND_BATCH, SALE_BATCH).parquet(f"{base}/refunds")
 
 
 def _partials(spark: SparkSession, state_dir: str, name: str, schema: str) -> DataFrame:

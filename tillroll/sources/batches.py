@@ -48,7 +48,7 @@ def write_batch(rows: DataFrame, path: str, batch: str) -> None:
         keyed = keyed.sortWithinPartitions(*order)
     (
         keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(BATCH).parquet(path)
+        .option("compression", "zstd").partitionBy(BATCH).parquet(path)
     )
 
 

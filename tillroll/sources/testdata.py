@@ -53,23 +53,23 @@ def order_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_sales(spark: SparkSession, sf_dir: str, with_order: bool = True) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select(
-        _key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias(
-            "transaction_id"
-        ),
-        F.col("l_orderkey").alias("order_id"),
+    lines = table(spark, sf_dir, "lineitem")
+    # made above the join: its parts are smaller in a shuffle
+    sale = [
+        _key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("transaction_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_extendedprice").alias("total_amount"),
         F.col("l_quantity").cast("int").alias("total_quantity"),
-    )
+    ]
     if not with_order:
-        return lines.drop("order_id")
+        return lines.select(*sale)
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("timestamp"),
     )
-    return lines.join(orders, "order_id").select(
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("order_id"))
+    return joined.select("customer_id", "timestamp", *sale).select(
         "transaction_id",
         "customer_id",
         "product_id",
