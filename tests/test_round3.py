@@ -81,7 +81,6 @@ def test_update_shuffles_each_sale_and_refund_once_for_a_join(spark, scratch, mo
         [(1, day(2), 1.0, "a"), (1, day(2), 2.0, "b"), (2, day(3), 4.0, "a"), (2, day(-9), 0.5, "b"),
          (3, day(401), 5.0, "b"), (None, day(0), 7.0, "a"), (9, day(0), 7.0, "a")], BACK + ", _batch string")
     joins = []
-    real = maintained.month_key
     union = type(sales).union
 
     def seen(self, other):
@@ -93,8 +92,14 @@ def test_update_shuffles_each_sale_and_refund_once_for_a_join(spark, scratch, mo
     for key in "ab":
         maintained.update_totals(scratch, key, sales.filter(sales._batch <= key), back.filter(back._batch <= key))
     monkeypatch.undo()
-    assert real is maintained.month_key
     assert joins and all(p.count("Exchange hashpartitioning") + p.count("BroadcastExchange") <= 2 for p in joins)
     got = {(r.customer_id, m): float(r.net_cents) / 100 for m, year, month in ((1, 2013, 1), (2, 2014, 2))
            for r in maintained.maintained_net_per_customer(spark, scratch, year, month).collect()}
     assert got == {("c", 1): 31.0 - 1 - 2 - 4, ("d", 2): 0.0}
+
+
+def test_an_amount_out_of_range_fails_without_a_sale_too(spark, scratch):
+    sales = spark.createDataFrame([(1, "c", "p", day(0), 10.0, "a")], SALES + ", _batch string")
+    back = spark.createDataFrame([(9, day(2), float("nan"), "a")], BACK + ", _batch string")
+    with pytest.raises(Exception, match="overflows"):
+        maintained.update_totals(scratch, "a", sales, back)

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.money import as_double, sum_cents, total
+from tillroll.functions.money import as_double, cents, sum_cents, total
 from tillroll.functions.periods import month_key
 from tillroll.operators.refunds import SAME_YEAR
 from tillroll.session import matching_paths, remove_path
@@ -64,9 +64,10 @@ def update_totals(state_dir: str, batch: str, sales: DataFrame, refunds: DataFra
         F.col(BATCH).alias(SALE_BATCH),
     )
     own = F.col(SALE_BATCH) == key
+    # the amount of any refund is checked, with a sale or without
+    amount = F.when(cents("refund_amount").isNotNull(), F.col("refund_amount")).alias("refund_amount")
     back = refunds.select(
-        "original_transaction_id", F.year("timestamp").alias("year"), "refund_amount",
-        F.col(BATCH).alias(REFUND_BATCH),
+        "original_transaction_id", F.year("timestamp").alias("year"), amount, F.col(BATCH).alias(REFUND_BATCH)
     )
     # the batch's sales meet all refunds, the other sales its own refunds: no sale is shuffled
     # twice, and sums are taken after the join, where a refund has been shuffled once
