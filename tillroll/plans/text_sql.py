@@ -71,7 +71,7 @@ def parse_sql(
         raise ValueError(f"unknown mode {mode!r}")
     names = [n for n, kind in spec.fields if kind in ("stamp", "int")]
     row = "array(named_struct('parts', parts" + "".join(f", '{n}', {n}" for n in names) + "))"
-    bad = "raise_error(concat(reason, ': ', value))" if mode == "failfast" else "NULL"
+    bad = "raise_error(concat(reason, ': ', coalesce(value, '')))" if mode == "failfast" else "NULL"
     money = f"{p}signed_money" if signed_money else f"{p}money"
 
     def field(i: int) -> str:
