@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 
 from llm_brute import hits, linked, lower, repeats
 
-from tillroll.llm import decontaminate, jaccard, sketch, suffix_dedup
+from tillroll.llm import common, decontaminate, jaccard, sketch, suffix_dedup
 from tillroll.llm.components import components
 from tillroll.llm.words import ALPHANUMERIC, ASCII_SPACE, find_words
 
@@ -296,6 +297,52 @@ def test_components_of_chains_rings_and_stars(spark):
     assert components(spark.createDataFrame([], "u long, v long")).collect() == []
 
 
+def _tasks(spark, job):
+    """What ``job`` returns, and the tasks it took with 30 partitions a shuffle."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n, None) for n in names]
+    group = f"count-{uuid.uuid4().hex}"
+    for name, value in zip(names, ("30", "false")):
+        spark.conf.set(name, value)
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        out = job()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for name, value in zip(names, before):
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    tracker, total = spark.sparkContext.statusTracker(), 0
+    for j in tracker.getJobIdsForGroup(group):
+        for s in tracker.getJobInfo(j).stageIds:
+            info = tracker.getStageInfo(s)
+            total += info.numCompletedTasks if info else 0
+    return out, total
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_few_links_take_few_tasks_and_many_the_same_steps(spark, monkeypatch, limit):
+    if limit is not None:
+        monkeypatch.setattr(common, "FEW_ROWS", limit)
+    # a chain, a ring and a star, then a group of more copies than one task's centre takes
+    edges = [(i, i + 1) for i in range(30)] + [(100 + i, 100 + (i + 1) % 9) for i in range(9)]
+    edges += [(200, 201 + i) for i in range(40)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    got, tasks = _tasks(spark, lambda: dict(map(tuple, components(df).collect())))
+    assert got == {i: 0 for i in range(31)} | {100 + i: 100 for i in range(9)} | {200 + i: 200 for i in range(41)}
+    many, lead = limit is not None, "a b c d e f g h i j k l m n o p "
+    assert many or tasks < 200  # a thousand when each key of a round was dealt out
+    texts = [(i, lead * 2 + f"tail {i}") for i in range(300)] + [(400 + i, f"other {i} " * 9) for i in range(9)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 300)] + [(400, 401)], "a long, b long")
+    values = docs.selectExpr("doc_id AS id", "cast(text AS binary) AS value")
+    near = lambda: jaccard._compare(
+        pairs, values, 30, lambda x: [v[:9] for v in x.to_pylist()], lambda x, y: x == y
+    ).collect()
+    rows, tasks = _tasks(spark, near)
+    assert sorted(map(tuple, rows)) == [(0, i) for i in range(1, 300)]
+    assert many or tasks < 120
+
+
 # ------------------------------------------------------------------------ benchmark
 
 

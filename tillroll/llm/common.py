@@ -24,6 +24,8 @@ from tillroll.session import checkpoint_dir
 CHUNK_BYTES = 1 << 20
 # a side is broadcast only when it was counted and its rows take less than this
 BROADCAST_BYTES = 32 << 20
+# narrow rows, as counted, that one task takes without a shuffle
+FEW_ROWS = 1 << 17
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,6 +117,16 @@ def maybe_broadcast(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if rows * row_bytes <= BROADCAST_BYTES else df
 
 
+def are_few(rows: int) -> bool:
+    return rows <= FEW_ROWS
+
+
+def few(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in one partition if its counted ``rows`` are few (and narrow): grouping and joining
+    them then take no shuffle, and so none of its tasks; else as it is."""
+    return df.coalesce(1) if are_few(rows) else df
+
+
 def clash_proof(*columns: str, reads: tuple[str, ...] = ()):
     """Decorator of an operator whose first argument is a DataFrame of which further columns
     pass through: these have other names inside, so that none clashes with a name the operator

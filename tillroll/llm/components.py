@@ -2,6 +2,8 @@
 
 Every step is a grouped minimum and a join on the edges; nothing comes to the driver but
 two sums per round, by which the end is seen.  The edges shrink to a star per component.
+A round over few edges, as counted, takes one task: it would cost a thousand tiny tasks, whose
+reports the driver holds, to deal them out by each of its keys.
 """
 
 from __future__ import annotations
@@ -9,17 +11,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import stored
+from tillroll.llm.common import few, stored
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, rows: int) -> DataFrame:
     """Link the neighbours of each node to the least of them and itself: the larger
-    neighbours (``large``), or the node and its smaller ones."""
+    neighbours (``large``), or the node and its smaller ones; ``rows``: about the edges."""
     both = edges.select("u", "v")
     if large:
         both = both.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    both = few(both, rows)
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     linked = both.join(least.withColumnRenamed("u", "w"), F.col("u") == F.col("w"))
     if large:
@@ -28,7 +31,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select("u", F.col("m").alias("v"))
         )
-    return out.where("u <> v").distinct()
+    return few(out.where("u <> v"), rows).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -46,6 +49,6 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before or not state[0]:
             break
         before = state
-        edges = stored(_star(_star(edges, True), False), "edges")
+        edges = stored(_star(_star(edges, True, state[0]), False, state[0]), "edges")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

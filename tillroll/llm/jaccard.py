@@ -46,7 +46,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import chunks, clash_proof, keyed, map_arrow, maybe_broadcast, stored
+from tillroll.llm.common import (
+    are_few, chunks, clash_proof, few, keyed, map_arrow, maybe_broadcast, stored,
+)
 from tillroll.llm.components import components
 from tillroll.llm.words import ASCII_SPACE, U64, Words, _mix, find_words
 
@@ -553,8 +555,8 @@ def _compare(pairs: DataFrame, values: DataFrame, parts: int, decode, linked) ->
     """The distinct pairs (a, b) for which ``linked(x, y)`` holds, x and y being what
     ``decode`` makes of a batch of ``values`` (id, value).  A centre's value meets those of
     its partners, which are split by a salt if they are many."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    held = values.join(maybe_broadcast(wanted, wanted.count(), 16), "id", "left_semi")
+    rows = pairs.count()
+    pairs = few(pairs, rows)
     fan = F.floor((F.col("members") - 1) / MEMBERS_PER_TASK)  # the greatest salt
     centres = pairs.groupBy("a").agg(F.count("*").alias("members")).select(
         "a", F.explode(F.sequence(F.lit(0), fan)).alias("salt"), fan.alias("fan")
@@ -562,11 +564,16 @@ def _compare(pairs: DataFrame, values: DataFrame, parts: int, decode, linked) ->
     salts = pairs.join(
         centres.where("salt = 0").select(F.col("a").alias("c"), "fan"), F.col("a") == F.col("c")
     ).select("a", "b", F.pmod(F.xxhash64("b"), F.col("fan") + 1).alias("salt"))
-    members = salts.join(held, F.col("b") == F.col("id")).select("a", "salt", "b", "value")
-    heads = centres.join(held, F.col("a") == F.col("id")).select(
-        "a", "salt", F.lit(None).cast("long").alias("b"), "value"
+    # the centres of the pairs and their partners, by the id of the value that they need
+    roles = salts.select(F.col("b").alias("id"), "a", "salt", "b").union(
+        centres.select(F.col("a").alias("id"), "a", "salt", F.lit(None).cast("long"))
     )
-    rows = members.unionByName(heads).repartition(parts, "a", "salt").sortWithinPartitions(
+    if are_few(rows):
+        held, roles = values, F.broadcast(roles)
+    else:
+        wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        held = values.join(maybe_broadcast(wanted, wanted.count(), 16), "id", "left_semi")
+    met = held.join(roles, "id").repartition(parts, "a", "salt").sortWithinPartitions(
         F.col("a"), F.col("salt"), F.col("b").asc_nulls_first()
     )
 
@@ -588,7 +595,7 @@ def _compare(pairs: DataFrame, values: DataFrame, parts: int, decode, linked) ->
                     "a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())
                 })
 
-    return map_arrow(rows.select("a", "b", "value"), run, "a long, b long")
+    return map_arrow(met.select("a", "b", "value"), run, "a long, b long")
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, summary: DataFrame, parts: int, k: int) -> DataFrame:
